@@ -18,15 +18,33 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def is_ipv4(host) -> Column:
+    """True for a dotted-quad IPv4 address (octets 0-255, no leading zeros)."""
+    return _c(host).rlike(IPV4_PATTERN)
+
+
+def _quad_value(h: Column) -> Column:
+    parts = F.split(h, r"\.")
+    return (F.get(parts, 0).try_cast("bigint") * 16777216
+            + F.get(parts, 1).try_cast("bigint") * 65536
+            + F.get(parts, 2).try_cast("bigint") * 256
+            + F.get(parts, 3).try_cast("bigint"))
+
+
 def ip_to_long(host) -> Column:
     """IPv4 dotted quad -> bigint in [0, 2^32); null for IPv6, junk or bad octets."""
     h = _c(host)
-    parts = F.split(h, r"\.")
-    value = (F.get(parts, 0).try_cast("bigint") * 16777216
-             + F.get(parts, 1).try_cast("bigint") * 65536
-             + F.get(parts, 2).try_cast("bigint") * 256
-             + F.get(parts, 3).try_cast("bigint"))
-    return F.when(h.rlike(IPV4_PATTERN), value)
+    return F.when(is_ipv4(h), _quad_value(h))
+
+
+def valid_ip_to_long(host) -> Column:
+    """:func:`ip_to_long` for rows already filtered with :func:`is_ipv4`.
+
+    Declared non-null (the ``-1`` fallback is unreachable after the filter), so
+    the optimizer derives no extra null filters from joins on it and does not
+    copy the parsing expression into them.
+    """
+    return F.coalesce(_quad_value(_c(host)), F.lit(-1).cast("bigint"))
 
 
 def long_to_ip(n) -> Column:

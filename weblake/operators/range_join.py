@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ip import ip_to_long, range_end_text, range_start_text, two_octet_key
+from ..functions.ip import (ip_to_long, is_ipv4, range_end_text, range_start_text, two_octet_key,
+                           valid_ip_to_long)
 
 BLOCK_BITS = 16
 
@@ -43,18 +44,19 @@ def ip_range_join(logs: DataFrame, ranges: DataFrame, host_col: str = "host",
     gives two rows. Output: the log columns followed by the range columns.
     """
     range_cols = list(ranges.columns)
+    # Only IPv4 hosts can match: drop the rest before any shuffle (so junk or
+    # IPv6 traffic never piles up on one join key), then parse once.
+    lg = logs.filter(is_ipv4(host_col)).withColumn("__ip", valid_ip_to_long(host_col))
     if mode == "exact":
         blocks = range_blocks(ranges, range_col, block_bits)
-        lg = (logs.withColumn("__ip", ip_to_long(host_col))
-              .withColumn("__block", F.shiftright("__ip", block_bits)))
+        lg = lg.withColumn("__block", F.shiftright("__ip", block_bits))
         joined = lg.join(blocks, on="__block", how="inner")
     elif mode == "two_octet":
         rk = (ranges.distinct()
               .withColumn("__key", two_octet_key(range_col))
               .withColumn("__lo", ip_to_long(range_start_text(range_col)))
               .withColumn("__hi", ip_to_long(range_end_text(range_col))))
-        lg = (logs.withColumn("__ip", ip_to_long(host_col))
-              .withColumn("__key", two_octet_key(host_col)))
+        lg = lg.withColumn("__key", two_octet_key(host_col))
         joined = lg.join(rk, on="__key", how="inner")
     else:
         raise ValueError(f"unknown range join mode {mode!r}")
