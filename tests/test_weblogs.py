@@ -1,0 +1,64 @@
+"""Log field extraction and the log-derived datasets."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from weblake.functions.text import device_text, device_text_as_array_cast, pad_even, page_type, user_slug
+from weblake.plans import weblogs as W
+from weblake.schemas import WEBLOG_COLUMNS
+
+UAS = ["Mozilla/5.0 (Windows NT 10.0; Win64; x64) Gecko", "curl/7.81", "A (x) B (y)", "(;;)", "()", None]
+
+
+def test_device_text_equals_array_cast(spark):
+    df = spark.createDataFrame([(u,) for u in UAS], "ua string")
+    rows = df.select(device_text("ua").alias("a"), device_text_as_array_cast("ua").alias("b")).collect()
+    assert all(r.a == r.b for r in rows)
+    assert rows[0].a == "[Windows NT 10.0,  Win64,  x64]"
+    assert rows[1].a == "[]"
+    assert rows[2].a == "[x]"
+
+
+def test_page_type_and_id(spark):
+    refs = ["http://h/products/12", "http://h/orders/7", "http://h/account/new", "http://h", "http://h/products/new"]
+    df = spark.createDataFrame([(r,) for r in refs], "referer string")
+    logs = df.select(*[F.lit(None).cast("string").alias(c) for c in WEBLOG_COLUMNS if c != "referer"],
+                     "referer")
+    rows = W.parse_weblogs(logs).collect()
+    assert [r.PageType for r in rows] == ["product", "order", None, None, "product"]
+    assert [r.Id for r in rows] == ["12", "7", "new", None, "new"]
+
+
+def test_slug_and_padding(spark):
+    r = spark.createDataFrame([("Customer A", 7, 2022)], "n string, m int, y int") \
+        .select(user_slug("n").alias("s"), pad_even("m").alias("m"), pad_even("y").alias("y")).first()
+    assert (r.s, r.m, r.y) == ("customer.a", "07", "2022")
+
+
+def _logs(spark, rows):
+    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in WEBLOG_COLUMNS))
+
+
+def test_enrich_and_products(spark):
+    logs = _logs(spark, [
+        ("10.0.3.7", "-", "customer.a", "2022-10-03", "10:00:01", "-", "200", "-",
+         "http://shop.example.com/products/12", "Mozilla/5.0 (Windows NT 10.0; Win64; x64) Gecko"),
+        ("10.0.3.7", "-", "customer.a", "2022-10-03", "10:20:01", "-", "200", "-",
+         "http://shop.example.com/orders/77", "Mozilla/5.0 (X11; Linux x86_64) Gecko"),
+        ("200.1.0.9", "-", "unknown", "2022-10-04", "09:00:00", "-", "200", "-",
+         "http://shop.example.com/products/new", "curl/7.81"),
+        ("bad", "line", None, None, None, None, None, None, None, None),
+    ])
+    ranges = spark.createDataFrame([("AR", "10.0.0.0-10.0.255.255"), ("BR", "200.0.0.0-200.255.255.255")],
+                                   "country string, iprange string")
+    enriched = W.enrich_weblogs(logs, ranges)
+    rows = sorted(enriched.collect(), key=lambda r: r.VisitedAt)
+    assert [r.Country for r in rows] == ["AR", "AR", "BR"]
+    assert rows[0].VisitedAt == dt.datetime(2022, 10, 3, 10, 0, 1)
+    assert (rows[0].year_partition, rows[0].month_partition) == ("2022", "10")
+    dev = W.order_devices(enriched).collect()
+    assert [(d.OrderId, d.Device) for d in dev] == [(77, "[X11,  Linux x86_64]")]
+    products = spark.createDataFrame([(12, "Widget")], "ProductId bigint, ProductName string")
+    pv = W.product_visits(enriched, products).collect()
+    assert [(p.HostIp, p.ProductId, p.ProductName) for p in pv] == [("10.0.3.7", 12, "Widget")]

@@ -11,7 +11,9 @@ branches over the same two hash exchanges (target and source, both on the key):
 
 A target row matched by several source rows is an error (never a silent pick).
 The check is a map-side-combined count of source keys; it runs inside the same
-job and raises only if such a row exists.
+job and raises only if such a row exists. The raising expression is guarded by
+a violation count carried in its own row, so it stays correct wherever the
+optimizer moves a filter that mentions it.
 """
 
 from __future__ import annotations
@@ -35,10 +37,18 @@ def _aligned(source: DataFrame, target: DataFrame) -> DataFrame:
     return source.select(*[F.col(c).cast(types[c]).alias(c) for c in target.columns])
 
 
-def _failing_rows(df: DataFrame, target: DataFrame, message: str) -> DataFrame:
-    """One output row per row of ``df``, each raising ``message`` when evaluated."""
+def _failing_rows(violations: DataFrame, target: DataFrame, message: str) -> DataFrame:
+    """No rows when ``violations`` is empty; otherwise one row that raises ``message``.
+
+    Violations are counted first (a global aggregate: partial counts per task,
+    one tiny final merge); the raise is conditional on that count, so even if a
+    filter is pushed onto this expression it can only fire for a real violation.
+    """
     types = dict(target.dtypes)
-    return df.select(*[F.raise_error(F.lit(message)).cast(types[c]).alias(c) for c in target.columns])
+    n = F.col("__violations")
+    counted = violations.agg(F.count(F.lit(1)).alias("__violations")).filter(n > 0)
+    return counted.select(*[F.when(n > 0, F.raise_error(F.lit(message))).cast(types[c]).alias(c)
+                            for c in target.columns])
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:

@@ -131,6 +131,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_popular_products": q_report_popular_products,
 }
 
+# Queries without an exact SQL oracle (checked by row count and by tests).
+ROWS_ONLY: dict[str, str] = {}
+
 # ---------------------------------------------------------------- oracles
 
 _INC = f"select * from src_orders where OrderDate >= timestamp '{AS_OF[:8]}01'"
