@@ -60,3 +60,17 @@ def pad_even(value) -> Column:
     """Decimal text padded with one leading zero when its length is odd (month 7 -> 07)."""
     s = _c(value).cast("string")
     return F.when(F.length(s) % 2 == 1, F.concat(F.lit("0"), s)).otherwise(s)
+
+
+def quoted(c) -> Column:
+    """``"value"`` (the log format's quoting of tokens that may hold spaces)."""
+    return F.concat(F.lit('"'), _c(c), F.lit('"'))
+
+
+def log_line(host, ident, username, date, time, request, status, size, referer, useragent,
+             quote_username: bool = False) -> Column:
+    """One access-log line: ten space-separated tokens; status, referer and user
+    agent are quoted (product-view lines also quote the user name)."""
+    user = quoted(username) if quote_username else _c(username)
+    return F.concat_ws(" ", _c(host), _c(ident), user, _c(date), _c(time), _c(request), quoted(status),
+                       _c(size), quoted(referer), quoted(useragent))

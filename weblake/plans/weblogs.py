@@ -64,3 +64,14 @@ def devices_upsert(current: DataFrame, batch: DataFrame) -> DataFrame:
 def products_upsert(current: DataFrame, batch: DataFrame) -> DataFrame:
     return upsert(schemas.conform(current, schemas.PRODUCT_VISITS),
                   schemas.conform(batch, schemas.PRODUCT_VISITS), schemas.PRODUCT_VISITS_KEYS)
+
+
+def render_weblog_lines(logs: DataFrame) -> DataFrame:
+    """Parsed log rows back to text lines, with the event year and month as the
+    landing partition values."""
+    from ..functions.text import log_line
+    d = F.col("date").try_cast("date")
+    return logs.select(
+        log_line("host", "ident", "username", "date", "time", "request", "status", "size", "referer",
+                 "useragent").alias("value"),
+        F.year(d).alias("year"), F.month(d).alias("month"))
