@@ -7,8 +7,11 @@ one row per partition, a size bound known in advance -- are combined in one
 place and broadcast back. Without ordering columns, the input's own partition
 order (file order for a scan) is numbered.
 
-Rows that tie on the ordering columns receive consecutive numbers in an
-unspecified order; give a unique ordering for repeatable numbers.
+The tagged rows are read twice (for the counts and for the numbering), so they
+are checkpointed to the shared checkpoint folder first: both reads then see the
+same partitioning even if the input is recomputed differently or an executor
+is lost. Rows that tie on the ordering columns receive consecutive numbers in
+an unspecified order; give a unique ordering for repeatable numbers.
 """
 
 from __future__ import annotations
@@ -16,20 +19,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 
 def serial_keys(df: DataFrame, order_cols: list, name: str = "serial", start: int = 1,
                 num_partitions: int | None = None) -> DataFrame:
     if order_cols:
         n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        # an explicit partition count keeps AQE from re-coalescing this exchange,
-        # so both readers below see the same partition ids
         df = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    tagged = (df.withColumn("__pid", F.spark_partition_id())
-              .withColumn("__pos", F.monotonically_increasing_id()))
-    counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    local = F.col("__pos") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    return (tagged.join(F.broadcast(offsets), on="__pid", how="inner")
-            .withColumn(name, F.col("__offset") + local + F.lit(start))
-            .drop("__pid", "__pos", "__offset"))
+    shared_dir(df.sparkSession)
+    tagged = (df.withColumn("__sk_pid", F.spark_partition_id())
+              .withColumn("__sk_mid", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    counts = tagged.groupBy("__sk_pid").agg(F.count(F.lit(1)).alias("__sk_n"))
+    before = Window.orderBy("__sk_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__sk_pid", F.coalesce(F.sum("__sk_n").over(before), F.lit(0)).alias("__sk_off"))
+    local = F.col("__sk_mid") - F.shiftleft(F.col("__sk_pid").cast("bigint"), 33)
+    return (tagged.join(F.broadcast(offsets), on="__sk_pid", how="inner")
+            .withColumn(name, F.col("__sk_off") + local + F.lit(start))
+            .drop("__sk_pid", "__sk_mid", "__sk_off"))

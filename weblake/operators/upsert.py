@@ -71,12 +71,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
             .unionByName(t_null).unionByName(s_null).unionByName(guard))
 
 
-def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """``INSERT ... ON CONFLICT (keys) DO NOTHING``-like: existing rows win.
-
-    A key repeated inside the batch is an error, as a single multi-row insert
-    with an on-conflict clause cannot touch one row twice.
-    """
+def rows_if_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of ``batch`` that :func:`insert_if_absent` would add (with the
+    repeated-key guard)."""
     src = _aligned(batch, target)
     ok = _keys_not_null(keys)
     s_ok = src.filter(ok)
@@ -84,4 +81,13 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> Da
                 .filter(F.col("__n") > 1).select(*keys))
     guard = _failing_rows(repeated, target, DUPLICATE_BATCH_ERROR)
     new_rows = s_ok.join(target.filter(ok).select(*keys), on=keys, how="left_anti")
-    return target.unionByName(new_rows).unionByName(src.filter(~ok)).unionByName(guard)
+    return new_rows.unionByName(src.filter(~ok)).unionByName(guard)
+
+
+def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """``INSERT ... ON CONFLICT (keys) DO NOTHING``-like: existing rows win.
+
+    A key repeated inside the batch is an error, as a single multi-row insert
+    with an on-conflict clause cannot touch one row twice.
+    """
+    return target.unionByName(rows_if_absent(target, batch, keys))

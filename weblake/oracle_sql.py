@@ -96,3 +96,51 @@ union all select t.* from {tgt} t where {t_ok} and not exists (select 1 from {sr
 union all select s.* from {src} s where {s_ok} and not exists (select 1 from {tgt} t where {on})
 union all select * from {tgt} where {any_null_t}
 union all select * from {src} where {any_null_t}"""
+
+
+def draw_sql(*parts: str) -> str:
+    """DuckDB twin of ``seeded_draw``: parts are SQL expressions rendered as text."""
+    return f"cast('0x' || substr(md5(concat_ws(':', {', '.join(f'cast({p} as varchar)' for p in parts)})), 1, 8) as bigint)"
+
+
+def hash_sql(*parts: str) -> str:
+    return f"md5(concat_ws(':', {', '.join(f'cast({p} as varchar)' for p in parts)}))"
+
+
+def catalog_ctes(seed: int) -> list[tuple[str, str]]:
+    sd = f"'{seed}'"
+    return [
+        ("prod", "select p_partkey as ProductId, p_retailprice as DefaultPrice from part"),
+        ("prod_n", "select count(*) as n from prod"),
+        ("prod_ranked", f"select ProductId, DefaultPrice, row_number() over (order by {hash_sql(sd, repr('supplier'), 'ProductId')}) - 1 as pos from prod"),
+        ("sup", f"""select CompanyId, least({draw_sql(sd, "'supplier-k'", 'CompanyId')} % n + 1, n) as k,
+             {draw_sql(sd, "'supplier-inc'", 'CompanyId')} % 9 + 1 as inc,
+             {draw_sql(sd, "'supplier-offset'", 'CompanyId')} % n as off, n
+           from src_companies, prod_n where IsSupplier"""),
+        ("sup_idx", "select CompanyId, inc, (off + unnest(range(k))) % n as pos from sup"),
+        ("sup_rows", """select p.ProductId, s.CompanyId, cast(null as bigint) as SupplierId, p.DefaultPrice + s.inc as Price
+           from sup_idx s join prod_ranked p on s.pos = p.pos"""),
+        ("offered", "select distinct ProductId from sup_rows"),
+        ("offered_n", "select count(*) as n from offered"),
+        ("offered_ranked", f"select ProductId, row_number() over (order by {hash_sql(sd, repr('company'), 'ProductId')}) - 1 as pos from offered"),
+        ("com", f"""select CompanyId, least({draw_sql(sd, "'company-k'", 'CompanyId')} % n + 1, n) as k,
+             {draw_sql(sd, "'company-inc'", 'CompanyId')} % 29 + 1 as inc,
+             {draw_sql(sd, "'company-offset'", 'CompanyId')} % n as off, n
+           from src_companies, offered_n where not IsSupplier"""),
+        ("com_idx", "select CompanyId, inc, (off + unnest(range(k))) % n as pos from com"),
+        ("com_pick", "select c.CompanyId, c.inc, o.ProductId from com_idx c join offered_ranked o on c.pos = o.pos"),
+        ("opts", f"""select ProductId, CompanyId as SupplierId, Price as sp,
+             row_number() over (partition by ProductId order by {hash_sql(sd, repr('offer'), 'ProductId', 'CompanyId')}) - 1 as opt,
+             count(*) over (partition by ProductId) as m from sup_rows"""),
+        ("com_rows", f"""select p.ProductId, p.CompanyId, o.SupplierId, o.sp + p.inc as Price
+           from com_pick p join opts o on o.ProductId = p.ProductId
+            and o.opt = {draw_sql(sd, "'offer-pick'", 'p.CompanyId', 'p.ProductId')} % o.m"""),
+        ("batch", "select * from sup_rows union all select * from com_rows"),
+        ("new_rows", """select b.* from batch b where not exists
+           (select 1 from src_catalog c where c.CompanyId = b.CompanyId and c.ProductId = b.ProductId)"""),
+        ("catalog_out", """select CatalogId, ProductId, CompanyId, SupplierId, Price from src_catalog
+           union all
+           select (select coalesce(max(CatalogId), 0) from src_catalog)
+                  + row_number() over (order by CompanyId, ProductId) as CatalogId,
+                  ProductId, CompanyId, SupplierId, Price from new_rows"""),
+    ]

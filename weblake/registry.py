@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle_sql as O
-from .plans import reports, sales, weblogs
+from .plans import catalog, reports, sales, weblogs
 from .sources.fixtures import Fixture
 
 # Run parameters of the registered queries (orders span 1995-01 .. 2001-08,
@@ -113,6 +113,36 @@ def q_report_popular_products(spark, d):
     return reports.report_popular_products(q_product_visits(spark, d))
 
 
+CATALOG_SEED = 42
+
+
+def _catalog_inputs(fx: Fixture):
+    companies = fx.companies()
+    return fx.product_prices(), companies.filter("IsSupplier").select("CompanyId"), companies
+
+
+def q_supplier_price_list(spark, d):
+    products, suppliers, _ = _catalog_inputs(Fixture(spark, d))
+    return catalog.supplier_price_list(products, suppliers, CATALOG_SEED)
+
+
+def q_company_price_list(spark, d):
+    products, suppliers, companies = _catalog_inputs(Fixture(spark, d))
+    offers = catalog.supplier_price_list(products, suppliers, CATALOG_SEED).select("ProductId", "CompanyId", "Price")
+    return catalog.company_price_list(offers, companies.filter(~F.col("IsSupplier")).select("CompanyId"),
+                                      CATALOG_SEED)
+
+
+def q_catalog_build(spark, d):
+    fx = Fixture(spark, d)
+    return catalog.catalog_build(fx.catalog(), fx.product_prices(), fx.companies(), CATALOG_SEED)
+
+
+def q_supplier_offers(spark, d):
+    fx = Fixture(spark, d)
+    return catalog.supplier_offers(fx.catalog(), fx.companies())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_fact": q_sales_fact,
     "sales_fact_incremental": q_sales_fact_incremental,
@@ -129,6 +159,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "report_last_year_orders": q_report_last_year_orders,
     "report_order_devices": q_report_order_devices,
     "report_popular_products": q_report_popular_products,
+    "supplier_price_list": q_supplier_price_list,
+    "company_price_list": q_company_price_list,
+    "catalog_build": q_catalog_build,
+    "supplier_offers": q_supplier_offers,
 }
 
 # Queries without an exact SQL oracle (checked by row count and by tests).
@@ -192,3 +226,12 @@ where Country in (select Country from pv group by Country
                   order by count(distinct HostIp) desc, Country asc limit 1)
 group by Country, ProductName order by qttLogs desc, ProductName asc"""),
 }
+
+_CAT = O.catalog_ctes(CATALOG_SEED)
+ORACLES.update({
+    "supplier_price_list": O.with_views(_CAT, "select * from sup_rows"),
+    "company_price_list": O.with_views(_CAT, "select * from com_rows"),
+    "catalog_build": O.with_views(_CAT, "select * from catalog_out"),
+    "supplier_offers": O.with_views([], """select c.ProductId, c.CompanyId as SupplierId, c.Price from src_catalog c
+where c.CompanyId in (select CompanyId from src_companies where IsSupplier)"""),
+})
