@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle_sql as O
-from .plans import catalog, reports, sales, weblogs
+from .functions.ip import ip_to_long, long_to_ip, range_end_text, range_start_text
+from .operators import quality as Q
+from .plans import calendar, catalog, order_logs, reports, sales, weblogs
+from .sources.fixtures import FIXTURE_SITE
 from .sources.fixtures import Fixture
 
 # Run parameters of the registered queries (orders span 1995-01 .. 2001-08,
@@ -143,6 +146,76 @@ def q_supplier_offers(spark, d):
     return catalog.supplier_offers(fx.catalog(), fx.companies())
 
 
+LOG_SEED = 7
+
+
+def q_order_log_lines(spark, d):
+    fx = Fixture(spark, d)
+    return order_logs.order_log_lines(fx.order_context(), order_logs.order_products(fx.orderitems(), fx.catalog()),
+                                      FIXTURE_SITE, LOG_SEED)
+
+
+def q_order_products(spark, d):
+    fx = Fixture(spark, d)
+    return order_logs.order_products(fx.orderitems(), fx.catalog())
+
+
+def q_weblog_lines(spark, d):
+    return weblogs.render_weblog_lines(Fixture(spark, d).weblogs())
+
+
+def q_ip_codec(spark, d):
+    logs = Fixture(spark, d).weblogs()
+    ip = ip_to_long("host")
+    return logs.select("host", ip.alias("ip"), long_to_ip(ip).alias("host_back"),
+                       F.shiftright(ip, 16).alias("block"))
+
+
+def q_ip_ranges(spark, d):
+    r = Fixture(spark, d).ipsrangelist()
+    return r.select("country", "iprange", range_start_text("iprange").alias("start_text"),
+                    range_end_text("iprange").alias("end_text"),
+                    ip_to_long(range_start_text("iprange")).alias("lo"),
+                    ip_to_long(range_end_text("iprange")).alias("hi"))
+
+
+def q_run_calendar(spark, d):
+    return calendar.run_calendar(Fixture(spark, d).orders(), "OrderDate")
+
+
+def q_company_ids_by_role(spark, d):
+    c = Fixture(spark, d).companies()
+    return c.select("IsSupplier", "CompanyId").distinct().orderBy("IsSupplier", "CompanyId")
+
+
+def q_quality_report(spark, d):
+    fx = Fixture(spark, d)
+    cu, pr, co, ca, od, oi, ip = (fx.customers(), fx.products(), fx.companies(), fx.catalog(), fx.orders(),
+                                  fx.orderitems(), fx.ipsrangelist())
+    return Q.report([
+        Q.unique_check("pk.customers", cu, ["CustomerId"]),
+        Q.unique_check("pk.products", pr, ["ProductId"]),
+        Q.unique_check("pk.companies", co, ["CompanyId"]),
+        Q.unique_check("pk.catalog", ca, ["CatalogId"]),
+        Q.unique_check("pk.orders", od, ["OrderId"]),
+        Q.unique_check("pk.orderitems", oi, ["OrderItemId"]),
+        Q.unique_check("uq.catalog.company_product", ca, ["CompanyId", "ProductId"]),
+        Q.reference_check("fk.catalog.product", ca, "ProductId", pr, "ProductId"),
+        Q.reference_check("fk.catalog.company", ca, "CompanyId", co, "CompanyId"),
+        Q.reference_check("fk.catalog.supplier", ca, "SupplierId", co, "CompanyId"),
+        Q.reference_check("fk.orders.customer", od, "CustomerId", cu, "CustomerId"),
+        Q.reference_check("fk.orderitems.order", oi, "OrderId", od, "OrderId"),
+        Q.reference_check("fk.orderitems.catalog", oi, "CatalogId", ca, "CatalogId"),
+        Q.not_null_check("nn.companies", co, ["CompanyName", "IsSupplier"]),
+        Q.not_null_check("nn.products", pr, ["ProductName"]),
+        Q.not_null_check("nn.customers", cu, ["CustomerName"]),
+        Q.not_null_check("nn.catalog", ca, ["ProductId", "CompanyId", "Price"]),
+        Q.not_null_check("nn.orders", od, ["CustomerId", "OrderDate"]),
+        Q.not_null_check("nn.orderitems", oi, ["OrderId", "CatalogId"]),
+        Q.not_null_check("nn.ipsrangelist", ip, ["country", "iprange"]),
+    ])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_fact": q_sales_fact,
     "sales_fact_incremental": q_sales_fact_incremental,
@@ -163,6 +236,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "company_price_list": q_company_price_list,
     "catalog_build": q_catalog_build,
     "supplier_offers": q_supplier_offers,
+    "order_products": q_order_products,
+    "order_log_lines": q_order_log_lines,
+    "weblog_lines": q_weblog_lines,
+    "ip_codec": q_ip_codec,
+    "ip_ranges": q_ip_ranges,
+    "run_calendar": q_run_calendar,
+    "company_ids_by_role": q_company_ids_by_role,
+    "quality_report": q_quality_report,
 }
 
 # Queries without an exact SQL oracle (checked by row count and by tests).
@@ -235,3 +316,95 @@ ORACLES.update({
     "supplier_offers": O.with_views([], """select c.ProductId, c.CompanyId as SupplierId, c.Price from src_catalog c
 where c.CompanyId in (select CompanyId from src_companies where IsSupplier)"""),
 })
+
+
+def _q_unique(name, table, keys):
+    k = ", ".join(keys)
+    nn = " and ".join(f"{c} is not null" for c in keys)
+    return (f"select '{name}' as check_name, count(*) as violations from "
+            f"(select {k} from {table} where {nn} group by {k} having count(*) > 1)")
+
+
+def _q_ref(name, child, fk, parent, pk):
+    return (f"select '{name}' as check_name, count(*) as violations from {child} c "
+            f"where c.{fk} is not null and not exists (select 1 from {parent} p where p.{pk} = c.{fk})")
+
+
+def _q_nn(name, table, cols):
+    return " union all ".join(f"select '{name}.{c}' as check_name, count(*) filter (where {c} is null) as violations "
+                              f"from {table}" for c in cols)
+
+
+_QUALITY = " union all ".join([
+    _q_unique("pk.customers", "src_customers", ["CustomerId"]),
+    _q_unique("pk.products", "src_products", ["ProductId"]),
+    _q_unique("pk.companies", "src_companies", ["CompanyId"]),
+    _q_unique("pk.catalog", "src_catalog", ["CatalogId"]),
+    _q_unique("pk.orders", "src_orders", ["OrderId"]),
+    _q_unique("pk.orderitems", "src_orderitems", ["OrderItemId"]),
+    _q_unique("uq.catalog.company_product", "src_catalog", ["CompanyId", "ProductId"]),
+    _q_ref("fk.catalog.product", "src_catalog", "ProductId", "src_products", "ProductId"),
+    _q_ref("fk.catalog.company", "src_catalog", "CompanyId", "src_companies", "CompanyId"),
+    _q_ref("fk.catalog.supplier", "src_catalog", "SupplierId", "src_companies", "CompanyId"),
+    _q_ref("fk.orders.customer", "src_orders", "CustomerId", "src_customers", "CustomerId"),
+    _q_ref("fk.orderitems.order", "src_orderitems", "OrderId", "src_orders", "OrderId"),
+    _q_ref("fk.orderitems.catalog", "src_orderitems", "CatalogId", "src_catalog", "CatalogId"),
+    _q_nn("nn.companies", "src_companies", ["CompanyName", "IsSupplier"]),
+    _q_nn("nn.products", "src_products", ["ProductName"]),
+    _q_nn("nn.customers", "src_customers", ["CustomerName"]),
+    _q_nn("nn.catalog", "src_catalog", ["ProductId", "CompanyId", "Price"]),
+    _q_nn("nn.orders", "src_orders", ["CustomerId", "OrderDate"]),
+    _q_nn("nn.orderitems", "src_orderitems", ["OrderId", "CatalogId"]),
+    _q_nn("nn.ipsrangelist", "src_ipsrangelist", ["country", "iprange"]),
+])
+
+_UAS = "case OrderId % 4 " + " ".join(
+    f"when {i} then '{ua}'" for i, ua in enumerate(__import__("weblake.sources.fixtures", fromlist=["x"]).FIXTURE_USER_AGENTS)) + " end"
+_ORDER_CTX = f"""select o.OrderId, o.OrderDate, c.c_name as CustomerName,
+  concat(cast(c.c_nationkey * 9 + 10 as varchar), '.', cast(c.c_nationkey % 4 as varchar), '.',
+         cast(o.OrderId % 200 as varchar), '.', cast(o.CustomerId % 256 as varchar)) as HostIp,
+  {_UAS.replace('OrderId', 'o.OrderId')} as UserAgent
+from src_orders o join customer c on o.CustomerId = c.c_custkey"""
+_ORDER_PRODUCTS = """select distinct i.OrderId, c.ProductId from src_orderitems i join src_catalog c on i.CatalogId = c.CatalogId"""
+
+
+def _log_line_sql(host, user, ts, referer, ua):
+    return (f"concat_ws(' ', {host}, '-', {user}, strftime({ts}, '%Y-%m-%d'), strftime({ts}, '%H:%M:%S'), '-', "
+            f"'\"200\"', '-', '\"' || {referer} || '\"', '\"' || {ua} || '\"')").replace('\\"', '"')
+
+
+_VISIT_AT = (f"(o.OrderDate - to_minutes({O.draw_sql(repr(str(LOG_SEED)), "'visit-min'", 'p.OrderId', 'p.ProductId')} % 31)"
+             f" - to_seconds({O.draw_sql(repr(str(LOG_SEED)), "'visit-sec'", 'p.OrderId', 'p.ProductId')} % 60))")
+_ORDER_LINES = f"""select {_log_line_sql('o.HostIp', "'\"' || lower(replace(o.CustomerName, ' ', '.')) || '\"'", 'v.at',
+                                        "'http://shop.example.com/products/' || cast(v.ProductId as varchar)", 'o.UserAgent')} as value,
+  year(v.at) as year, month(v.at) as month
+from (select p.OrderId, p.ProductId, {_VISIT_AT} as at from op p join ctx o on o.OrderId = p.OrderId) v
+join ctx o on o.OrderId = v.OrderId
+union all
+select {_log_line_sql('o.HostIp', "lower(replace(o.CustomerName, ' ', '.'))", 'o.OrderDate',
+                      "'http://shop.example.com/orders/' || cast(o.OrderId as varchar)", 'o.UserAgent')} as value,
+  year(o.OrderDate) as year, month(o.OrderDate) as month
+from ctx o"""
+
+ORACLES.update({
+    "order_products": O.with_views([], _ORDER_PRODUCTS),
+    "order_log_lines": O.with_views([("ctx", _ORDER_CTX), ("op", _ORDER_PRODUCTS)], _ORDER_LINES),
+    "weblog_lines": O.with_views([], f"""select {_log_line_sql('host', 'username', "strptime(date || ' ' || time, '%Y-%m-%d %H:%M:%S')",
+                                                              'referer', 'useragent')} as value,
+  year(cast(date as date)) as year, month(cast(date as date)) as month from src_weblogs"""),
+    "ip_codec": O.with_views([], f"""select host, {O.ip_sql('host')} as ip,
+  case when {O.ip_sql('host')} is not null then concat_ws('.', ({O.ip_sql('host')} >> 24) & 255, ({O.ip_sql('host')} >> 16) & 255,
+     ({O.ip_sql('host')} >> 8) & 255, {O.ip_sql('host')} & 255) end as host_back,
+  {O.ip_sql('host')} >> 16 as block from src_weblogs"""),
+    "ip_ranges": O.with_views([], f"""select country, iprange, {O.range_start_sql('iprange')} as start_text,
+  {O.range_end_sql('iprange')} as end_text, {O.ip_sql(O.range_start_sql('iprange'))} as lo,
+  {O.ip_sql(O.range_end_sql('iprange'))} as hi from src_ipsrangelist"""),
+    "run_calendar": O.with_views([], """select cast(m as date) as run_date,
+  'year=' || strftime(m, '%Y') || '/month=' || strftime(m, '%m') as folder,
+  cast(date_trunc('month', m - interval 1 day) as date) as events_from, cast(m - interval 1 day as date) as events_to,
+  cast(year(m) - 1 as varchar) as last_year, cast(m - interval 1 month as date) as previous_month
+from (select unnest(generate_series(date_trunc('month', min(OrderDate)), date_trunc('month', max(OrderDate)),
+                                    interval 1 month)) as m from src_orders)"""),
+    "company_ids_by_role": O.with_views([], "select distinct IsSupplier, CompanyId from src_companies order by 1, 2"),
+    "quality_report": O.with_views([], _QUALITY),
+})

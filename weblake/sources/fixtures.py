@@ -88,6 +88,21 @@ class Fixture:
                 .select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("OrderItemId"),
                         F.col("l_orderkey").alias("OrderId"), "CatalogId"))
 
+    def order_context(self) -> DataFrame:
+        """Orders with the customer's name, an address inside the customer's
+        nation range and a user agent: the inputs of the order log export."""
+        c = self.table("customer").select("c_custkey", "c_name", "c_nationkey")
+        o = self.orders()
+        n, oid = F.col("c_nationkey"), F.col("OrderId")
+        host = F.concat((n * 9 + 10).cast("string"), F.lit("."), (n % 4).cast("string"), F.lit("."),
+                        (oid % 200).cast("string"), F.lit("."), (F.col("CustomerId") % 256).cast("string"))
+        ua = F.when(oid % 4 == 0, F.lit(FIXTURE_USER_AGENTS[0]))
+        for i in (1, 2, 3):
+            ua = ua.when(oid % 4 == i, F.lit(FIXTURE_USER_AGENTS[i]))
+        return (o.join(c, o.CustomerId == c.c_custkey, "inner")
+                .select("OrderId", "OrderDate", F.col("c_name").alias("CustomerName"), host.alias("HostIp"),
+                        ua.alias("UserAgent")))
+
     def ipsrangelist(self) -> DataFrame:
         n = F.col("n_nationkey")
         first = (n * 9 + 10).cast("string")
