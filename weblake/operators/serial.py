@@ -8,7 +8,7 @@ place and broadcast back. Without ordering columns, the input's own partition
 order (file order for a scan) is numbered.
 
 The tagged rows are read twice (for the counts and for the numbering), so they
-are checkpointed to the shared checkpoint folder first: both reads then see the
+are staged as a table in the shared checkpoint folder first: both reads then see the
 same partitioning even if the input is recomputed differently or an executor
 is lost. Rows that tie on the ordering columns receive consecutive numbers in
 an unspecified order; give a unique ordering for repeatable numbers.
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import stage
 
 
 def serial_keys(df: DataFrame, order_cols: list, name: str = "serial", start: int = 1,
@@ -27,10 +27,8 @@ def serial_keys(df: DataFrame, order_cols: list, name: str = "serial", start: in
     if order_cols:
         n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    shared_dir(df.sparkSession)
-    tagged = (df.withColumn("__sk_pid", F.spark_partition_id())
-              .withColumn("__sk_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    tagged = stage(df.withColumn("__sk_pid", F.spark_partition_id())
+                   .withColumn("__sk_mid", F.monotonically_increasing_id()), "serial")
     counts = tagged.groupBy("__sk_pid").agg(F.count(F.lit(1)).alias("__sk_n"))
     before = Window.orderBy("__sk_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__sk_pid", F.coalesce(F.sum("__sk_n").over(before), F.lit(0)).alias("__sk_off"))

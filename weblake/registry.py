@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from . import oracle_sql as O
 from .functions.ip import ip_to_long, long_to_ip, range_end_text, range_start_text
 from .operators import quality as Q
-from .plans import calendar, catalog, order_logs, reports, sales, weblogs
+from .plans import calendar, catalog, order_logs, pipeline, reports, sales, weblogs
+from .session import shared_dir
 from .sources.fixtures import FIXTURE_SITE
 from .sources.fixtures import Fixture
 
@@ -216,6 +217,35 @@ def q_quality_report(spark, d):
     ])
 
 
+PIPELINE_INCREMENTAL_AS_OF = "2001-01-15"  # next monthly run: orders from 2001-01-01 on
+PIPELINE_LOGS_MONTH = "2024-01-01"         # and the January landing folder
+
+
+def run_fixture_pipeline(spark, d, gold_root: str) -> None:
+    """A historical run over the sources as they stood earlier, then an
+    incremental run over the current sources."""
+    import uuid  # noqa: F401
+    fx = Fixture(spark, d)
+    landing = fx.landing_weblogs()
+    snap = sales.orders_snapshot(fx.orders(), SALES_SNAPSHOT)
+    early = pipeline.Sources(
+        orders=snap, orderitems=fx.orderitems().join(snap.select("OrderId"), "OrderId", "left_semi"),
+        catalog=fx.catalog(), products=fx.products(), ipsrangelist=fx.ipsrangelist(),
+        weblogs=landing.filter(F.col("date") < LOGS_OLD_BEFORE))
+    now = pipeline.Sources(orders=fx.orders(), orderitems=fx.orderitems(), catalog=fx.catalog(),
+                           products=fx.products(), ipsrangelist=fx.ipsrangelist(), weblogs=landing)
+    pipeline.run_transform(spark, early, gold_root, SALES_SNAPSHOT, is_historical=True)
+    pipeline.run_transform(spark, now, gold_root, PIPELINE_INCREMENTAL_AS_OF, is_historical=False,
+                           logs_month=PIPELINE_LOGS_MONTH)
+
+
+def q_pipeline_run(spark, d):
+    import uuid
+    root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    run_fixture_pipeline(spark, d, root)
+    return pipeline.gold_tables(spark, root)["sales"]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_fact": q_sales_fact,
     "sales_fact_incremental": q_sales_fact_incremental,
@@ -244,6 +274,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_calendar": q_run_calendar,
     "company_ids_by_role": q_company_ids_by_role,
     "quality_report": q_quality_report,
+    "pipeline_run": q_pipeline_run,
 }
 
 # Queries without an exact SQL oracle (checked by row count and by tests).
@@ -407,4 +438,5 @@ from (select unnest(generate_series(date_trunc('month', min(OrderDate)), date_tr
                                     interval 1 month)) as m from src_orders)"""),
     "company_ids_by_role": O.with_views([], "select distinct IsSupplier, CompanyId from src_companies order by 1, 2"),
     "quality_report": O.with_views([], _QUALITY),
+    "pipeline_run": O.with_views([], O.sales_sql()),
 })

@@ -60,3 +60,17 @@ def shared_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="weblake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
+
+
+def stage(df, name: str = "stage"):
+    """Write ``df`` as parquet under the shared folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` (later reads never recompute the
+    inputs, and a lost executor only costs re-reading files), but stores the
+    rows columnar and compressed, and keeps parquet pushdown on the reread.
+    """
+    import uuid
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.upsert import upsert
-from ..session import shared_dir
+from ..session import stage
 
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
@@ -45,7 +45,8 @@ def define_table(spark: SparkSession, path: str, schema: StructType, partition_c
     if table_exists(spark, path) and not replace:
         return
     pcols = list(partition_cols or [])
-    empty = spark.createDataFrame([], storage_schema(schema, pcols))
+    full = storage_schema(schema, pcols)
+    empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in full.fields])
     writer = empty.write.mode("overwrite")
     if pcols:
         writer = writer.partitionBy(*pcols)
@@ -66,11 +67,30 @@ def _partition_dir(root: str, names: list[str], values: tuple) -> str:
     return root.rstrip("/") + "/" + "/".join(parts)
 
 
-def _list_files(spark: SparkSession, path: str) -> set[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return set()
-    return {str(s.getPath().getName()) for s in fs.listStatus(p)}
+def _partition_files(spark: SparkSession, path: str, depth: int) -> dict[str, set[str]]:
+    """Data files of every partition folder (one glob call): folder -> names."""
+    fs, _ = _fs(spark, path)
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/*" * (depth + 1))
+    out: dict[str, set[str]] = {}
+    for st in fs.globStatus(pattern) or []:
+        p = st.getPath()
+        name = str(p.getName())
+        if name.startswith(("_", ".")):
+            continue
+        out.setdefault(str(p.getParent().toUri().getPath()), set()).add(name)
+    return out
+
+
+def _dir_key(spark: SparkSession, d: str) -> str:
+    return str(spark._jvm.org.apache.hadoop.fs.Path(d).toUri().getPath())
+
+
+def _write_partitions(df: DataFrame, path: str, pnames: list[str]) -> None:
+    """Dynamic partition overwrite. Rows are first rebalanced on the partition
+    columns: AQE then packs small partitions into few files and splits a large
+    partition over several tasks (so a hot month never lands on one task)."""
+    (df.hint("rebalance", *pnames).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*pnames).parquet(path))
 
 
 def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], schema: StructType,
@@ -86,12 +106,15 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str]
     if not pnames:
         raise ValueError("merge_into needs at least one partition column")
     define_table(spark, path, schema, pnames)
+    before = _partition_files(spark, path, len(pnames))
     src = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     src = src.withColumns({n: e.cast("string") for n, e in parts.items()})
+    if not before:  # first load into an empty table: every batch row is inserted
+        _write_partitions(src, path, pnames)
+        return {"rewritten": len(_partition_files(spark, path, len(pnames))), "removed": 0}
     # the batch is used twice (partition list, merge): materialise it once in the
     # shared checkpoint folder, which also cuts its lineage back to the sources
-    shared_dir(spark)
-    src = src.checkpoint(eager=True)
+    src = stage(src, "merge-batch")
     current = read_table(spark, path, schema, pnames, keep_partitions=True)
 
     # partitions to rewrite: where matched target rows live, and where batch rows go
@@ -104,17 +127,16 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str]
     def same(values):
         return reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(v) for n, v in zip(pnames, values)])
     in_touched = reduce(lambda a, b: a | b, [same(v) for v in touched])
-    before = {v: _list_files(spark, _partition_dir(path, pnames, v)) for v in touched}
 
     merged = upsert(current.filter(in_touched), src, keys)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*pnames).parquet(path))
+    _write_partitions(merged, path, pnames)
 
     removed = 0
     fs, _ = _fs(spark, path)
-    for v, files in before.items():
-        d = _partition_dir(path, pnames, v)
-        if files and _list_files(spark, d) == files:  # not rewritten: all its rows moved away
+    after = _partition_files(spark, path, len(pnames))
+    for v in touched:
+        d = _dir_key(spark, _partition_dir(path, pnames, v))
+        if before.get(d) and after.get(d) == before[d]:  # not rewritten: all its rows moved away
             fs.delete(spark._jvm.org.apache.hadoop.fs.Path(d), True)
             removed += 1
     return {"rewritten": len(touched) - removed, "removed": removed}
@@ -129,6 +151,8 @@ def append_text_lines(lines: DataFrame, path: str, partition_cols: list[str] | N
 
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None, mode: str = "overwrite") -> None:
+    if partition_cols:
+        df = df.hint("rebalance", *partition_cols)
     writer = df.write.mode(mode)
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)

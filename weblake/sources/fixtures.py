@@ -21,6 +21,9 @@ FIXTURE_USER_AGENTS = [
 FIXTURE_SITE = "http://shop.example.com"
 
 
+_SCANS: dict = {}
+
+
 class Fixture:
     """Source tables derived from the driver parquet files in ``sf_dir``."""
 
@@ -29,7 +32,11 @@ class Fixture:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The scan of one driver table (schema read once per session and path)."""
+        key = (id(self.spark._jsparkSession), f"{self.sf_dir}/{name}.parquet")
+        if key not in _SCANS:
+            _SCANS[key] = self.spark.read.parquet(key[1])
+        return _SCANS[key]
 
     def spread(self, df: DataFrame) -> DataFrame:
         """Round-robin ``df`` over the cluster when its scan yields fewer splits
@@ -113,6 +120,11 @@ class Fixture:
                      F.when(wide, n % 4 + 2).otherwise(n % 4).cast("string"),
                      F.when(wide, F.lit(".255.255")).otherwise(F.lit(".199.255"))).alias("iprange"))
 
+    def landing_weblogs(self) -> DataFrame:
+        """:meth:`weblogs` with the landing folder columns (event year and month)."""
+        d = F.col("date").try_cast("date")
+        return self.weblogs().drop("event_id").withColumns({"year": F.year(d), "month": F.month(d)})
+
     def weblogs(self) -> DataFrame:
         """Parsed access-log rows (the columns of the landing log schema)."""
         e = self.spread(self.table("events").select("event_id", "ts", "user_id", "event_type"))
