@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CHUNK = 4096
-BUCKET_HEX = 3  # 4096 hash buckets
+BUCKET_HEX = 3         # 4096 hash buckets for a global order
+WITHIN_BUCKET_HEX = 1  # 16 per key: splits a hot key without multiplying small keys
 
 
 def _c(c) -> Column:
@@ -37,8 +38,8 @@ def seeded_draw(seed, *parts) -> Column:
     return F.conv(F.substring(hash_text(seed, *parts), 1, 8), 16, 10).cast("bigint")
 
 
-def _bucket(h: Column) -> Column:
-    return F.conv(F.substring(h, 1, BUCKET_HEX), 16, 10).cast("int")
+def _bucket(h: Column, digits: int = BUCKET_HEX) -> Column:
+    return F.conv(F.substring(h, 1, digits), 16, 10).cast("int")
 
 
 def rank_by_hash(items: DataFrame, key: str, seed, salt: str, name: str = "__pos",
@@ -55,14 +56,15 @@ def rank_by_hash(items: DataFrame, key: str, seed, salt: str, name: str = "__pos
     parts = [F.lit(salt)] + ([within] if within else []) + [key]
     h = hash_text(seed, *parts)
     grp = [within] if within else []
-    tagged = items.withColumn("__h", h).withColumn("__b", _bucket(F.col("__h")))
+    digits = WITHIN_BUCKET_HEX if within else BUCKET_HEX
+    tagged = items.withColumn("__h", h).withColumn("__b", _bucket(F.col("__h"), digits))
     counts = tagged.groupBy(*grp, "__b").agg(F.count(F.lit(1)).alias("__bn"))
     earlier = Window.partitionBy(*grp).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*grp, "__b", F.coalesce(F.sum("__bn").over(earlier), F.lit(0)).alias("__boff"))
     inner = Window.partitionBy(*grp, "__b").orderBy("__h", key)
     ranked = tagged.withColumn("__r", F.row_number().over(inner))
     if not within:
-        offsets = F.broadcast(offsets)  # one row per bucket: at most 16^BUCKET_HEX rows
+        offsets = F.broadcast(offsets)  # one row per bucket: at most 16**BUCKET_HEX rows
     return (ranked.join(offsets, on=grp + ["__b"], how="inner")
             .withColumn(name, F.col("__boff") + F.col("__r") - 1)
             .drop("__h", "__b", "__r", "__boff"))
@@ -79,13 +81,20 @@ def sample_per_group(groups: DataFrame, group_col: str, k_col: str, items: DataF
     g = (groups.withColumn("__k", F.least(F.col(k_col).cast("bigint"), n))
          .withColumn("__off", F.when(n > 0, F.pmod(seeded_draw(seed, F.lit(salt + "-offset"), group_col), n)))
          .filter(F.col("__k") > 0))
+    # Chunk rows are few and small, so AQE would coalesce their shuffle into one
+    # partition and generate every position in one task; an explicit partition
+    # count (never coalesced) keeps the chunks -- and what they expand into --
+    # spread over the cluster.
+    slots = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = (g.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"),
                                                            F.ceil(F.col("__k") / chunk).cast("bigint") - 1)))
-              .repartition(group_col, "__chunk"))
+              .repartition(slots, group_col, "__chunk"))
     idx = chunks.withColumn("__i", F.explode(F.sequence(F.col("__chunk") * chunk,
                                                         F.least(F.col("__k"), (F.col("__chunk") + 1) * chunk) - 1)))
     idx = idx.withColumn("__pos", F.pmod(F.col("__off") + F.col("__i"), n)).drop("__k", "__off", "__chunk", "__i")
-    return idx.join(ranked, on="__pos", how="inner").drop("__pos")
+    # The position side grows with sum(k) but its size estimate does not (an
+    # explode hides the fan-out), so never let the planner broadcast it.
+    return idx.join(ranked.hint("merge"), on="__pos", how="inner").drop("__pos")
 
 
 def pick_one_per_key(choices: DataFrame, keys: list[str], options: DataFrame, option_key: str, option_id: str,
@@ -101,4 +110,4 @@ def pick_one_per_key(choices: DataFrame, keys: list[str], options: DataFrame, op
     sizes = options.groupBy(option_key).agg(F.count(F.lit(1)).alias("__m"))
     draw = F.pmod(seeded_draw(seed, F.lit(salt + "-pick"), *keys), F.col("__m"))
     picks = choices.join(sizes, on=option_key, how="inner").withColumn("__opt", draw).drop("__m")
-    return picks.join(local, on=[option_key, "__opt"], how="inner").drop("__opt")
+    return picks.join(local.hint("merge"), on=[option_key, "__opt"], how="inner").drop("__opt")

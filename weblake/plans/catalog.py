@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators.sampling import pick_one_per_key, sample_per_group, seeded_draw
 from ..operators.serial import serial_keys
 from ..operators.upsert import rows_if_absent
+from ..session import stage
 
 # fixed values: increment ranges of the price lists (inclusive)
 SUPPLIER_INCREMENT = (1, 9)
@@ -50,6 +51,8 @@ def company_price_list(offers: DataFrame, companies: DataFrame, seed) -> DataFra
     """(ProductId, CompanyId, SupplierId, Price=supplier price+increment).
 
     ``offers``: ProductId, CompanyId (the supplier), Price. ``companies``: CompanyId.
+    The offers are read three times (products offered, their count, the options
+    per product): pass a staged table, not a long lineage.
     """
     offered = offers.select("ProductId").distinct()
     n = offered.select(F.count(F.lit(1))).scalar()
@@ -74,7 +77,7 @@ def catalog_build(existing: DataFrame, products: DataFrame, companies: DataFrame
     """The catalog after adding both price lists (existing rows win)."""
     suppliers = companies.filter(F.col("IsSupplier")).select("CompanyId")
     buyers = companies.filter(~F.col("IsSupplier")).select("CompanyId")
-    sup_rows = supplier_price_list(products, suppliers, seed)
+    sup_rows = stage(supplier_price_list(products, suppliers, seed), "supplier-price-list")
     com_rows = company_price_list(sup_rows.select("ProductId", "CompanyId", "Price"), buyers, seed)
     batch = sup_rows.unionByName(com_rows)
     current = existing.select(*CATALOG_COLUMNS)

@@ -16,7 +16,7 @@ from . import oracle_sql as O
 from .functions.ip import ip_to_long, long_to_ip, range_end_text, range_start_text
 from .operators import quality as Q
 from .plans import calendar, catalog, order_logs, pipeline, reports, sales, weblogs
-from .session import shared_dir
+from .session import shared_dir, stage
 from .sources.fixtures import FIXTURE_SITE
 from .sources.fixtures import Fixture
 
@@ -132,7 +132,7 @@ def q_supplier_price_list(spark, d):
 
 def q_company_price_list(spark, d):
     products, suppliers, companies = _catalog_inputs(Fixture(spark, d))
-    offers = catalog.supplier_price_list(products, suppliers, CATALOG_SEED).select("ProductId", "CompanyId", "Price")
+    offers = stage(catalog.supplier_price_list(products, suppliers, CATALOG_SEED), "supplier-price-list")
     return catalog.company_price_list(offers, companies.filter(~F.col("IsSupplier")).select("CompanyId"),
                                       CATALOG_SEED)
 
