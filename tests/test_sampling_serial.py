@@ -69,3 +69,11 @@ def test_catalog_build_properties(spark):
             assert (r.ProductId, r.SupplierId) in sup and 1 <= r.Price - sup[(r.ProductId, r.SupplierId)] <= 29
         if r.CompanyId <= 4:
             assert r.SupplierId is None and 1 <= r.Price - r.ProductId <= 9
+
+
+def test_positional_join_zips_to_shorter(spark):
+    from weblake.operators.serial import positional_join
+    a = spark.createDataFrame([(i, f"a{i}") for i in range(10)], "ia int, va string")
+    b = spark.createDataFrame([(i, f"b{i}") for i in range(7)], "ib int, vb string")
+    got = sorted((r.va, r.vb) for r in positional_join(a, b, ["ia"], [F.desc("ib")]).collect())
+    assert got == sorted((f"a{i}", f"b{6 - i}") for i in range(7))

@@ -36,3 +36,13 @@ def serial_keys(df: DataFrame, order_cols: list, name: str = "serial", start: in
     return (tagged.join(F.broadcast(offsets), on="__sk_pid", how="inner")
             .withColumn(name, F.col("__sk_off") + local + F.lit(start))
             .drop("__sk_pid", "__sk_mid", "__sk_off"))
+
+
+def positional_join(left: DataFrame, right: DataFrame, left_order: list, right_order: list) -> DataFrame:
+    """Pair the i-th row of ``left`` with the i-th row of ``right`` (each in its
+    own order); the longer side's extra rows are dropped, as when zipping lists.
+    Both sides are numbered with :func:`serial_keys`, then equi-joined on the
+    number -- no single-partition step."""
+    lnum = serial_keys(left, left_order, name="__zip_pos")
+    rnum = serial_keys(right, right_order, name="__zip_pos")
+    return lnum.join(rnum, on="__zip_pos", how="inner").drop("__zip_pos")
