@@ -62,3 +62,17 @@ def test_enrich_and_products(spark):
     products = spark.createDataFrame([(12, "Widget")], "ProductId bigint, ProductName string")
     pv = W.product_visits(enriched, products).collect()
     assert [(p.HostIp, p.ProductId, p.ProductName) for p in pv] == [("10.0.3.7", 12, "Widget")]
+
+
+def test_log_timestamp_is_zone_free(spark):
+    from weblake.functions.dates import parse_log_timestamp
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        rows = spark.createDataFrame([("2024-03-10", "02:30:00"), ("2024-02-30", "01:00:00"), ("2024-1-5", "1:00:00"),
+                                      ("2024-01-05", "24:00:00"), (None, "01:00:00")], "d string, t string") \
+            .select(parse_log_timestamp("d", "t").alias("v")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert rows[0].v == dt.datetime(2024, 3, 10, 2, 30)
+    assert [r.v for r in rows[1:]] == [None, None, None, None]

@@ -23,10 +23,21 @@ def _lit_date(d) -> Column:
     return F.lit(d)
 
 
+# fixed value: the token shapes of LOG_TIMESTAMP_FORMAT
+LOG_TIMESTAMP_PATTERN = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$"
+
+
 def parse_log_timestamp(date_text, time_text) -> Column:
-    """``date`` + ``time`` tokens -> timestamp_ntz; null when malformed."""
-    ts = F.try_to_timestamp(F.concat(_c(date_text), F.lit(" "), _c(time_text)), F.lit(LOG_TIMESTAMP_FORMAT))
-    return ts.cast("timestamp_ntz")
+    """``date`` + ``time`` tokens (``yyyy-MM-dd HH:mm:ss``) -> timestamp_ntz.
+
+    Built from its fields, so no session time zone is involved (a wall-clock
+    time inside a daylight-saving gap stays as written); null when malformed or
+    not a real date/time.
+    """
+    text = F.concat(_c(date_text), F.lit(" "), _c(time_text))
+    # once the shape is checked every field sits at a fixed position
+    part = [F.substring(text, pos, n).try_cast("int") for pos, n in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))]
+    return F.when(text.rlike(LOG_TIMESTAMP_PATTERN), F.try_make_timestamp_ntz(*part))
 
 
 def year_text(c) -> Column:
