@@ -43,7 +43,7 @@ def _bucket(h: Column, digits: int = BUCKET_HEX) -> Column:
 
 
 def rank_by_hash(items: DataFrame, key: str, seed, salt: str, name: str = "__pos",
-                 within: str | None = None) -> DataFrame:
+                 within: str | None = None, with_sizes: bool = False):
     """``items`` numbered 0..n-1 in the order of md5(seed:salt:[within:]key) --
     globally, or inside each value of ``within``.
 
@@ -52,6 +52,8 @@ def rank_by_hash(items: DataFrame, key: str, seed, salt: str, name: str = "__pos
     buckets plus its rank inside its own bucket. This is deterministic (no
     dependence on how the input is partitioned), a group with very many items
     is spread over many buckets, and only per-bucket counts are combined.
+    With ``with_sizes`` also returns the item count per ``within`` value (from
+    the same bucket counts).
     """
     parts = [F.lit(salt)] + ([within] if within else []) + [key]
     h = hash_text(seed, *parts)
@@ -65,9 +67,12 @@ def rank_by_hash(items: DataFrame, key: str, seed, salt: str, name: str = "__pos
     ranked = tagged.withColumn("__r", F.row_number().over(inner))
     if not within:
         offsets = F.broadcast(offsets)  # one row per bucket: at most 16**BUCKET_HEX rows
-    return (ranked.join(offsets, on=grp + ["__b"], how="inner")
-            .withColumn(name, F.col("__boff") + F.col("__r") - 1)
-            .drop("__h", "__b", "__r", "__boff"))
+    out = (ranked.join(offsets, on=grp + ["__b"], how="inner")
+           .withColumn(name, F.col("__boff") + F.col("__r") - 1)
+           .drop("__h", "__b", "__r", "__boff"))
+    if with_sizes:
+        return out, counts.groupBy(*grp).agg(F.sum("__bn").alias("__size"))
+    return out
 
 
 def sample_per_group(groups: DataFrame, group_col: str, k_col: str, items: DataFrame, item_col: str,
@@ -106,8 +111,9 @@ def pick_one_per_key(choices: DataFrame, keys: list[str], options: DataFrame, op
     each choice draws a position modulo its key's option count. Choices whose
     key has no option are dropped.
     """
-    local = rank_by_hash(options, option_id, seed, salt, name="__opt", within=option_key)
-    sizes = options.groupBy(option_key).agg(F.count(F.lit(1)).alias("__m"))
+    local, sizes = rank_by_hash(options, option_id, seed, salt, name="__opt", within=option_key,
+                                with_sizes=True)
+    sizes = sizes.withColumnRenamed("__size", "__m")
     draw = F.pmod(seeded_draw(seed, F.lit(salt + "-pick"), *keys), F.col("__m"))
     picks = choices.join(sizes, on=option_key, how="inner").withColumn("__opt", draw).drop("__m")
     return picks.join(local.hint("merge"), on=[option_key, "__opt"], how="inner").drop("__opt")
