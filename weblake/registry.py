@@ -7,6 +7,7 @@ incremental month, the last-year report, a run's snapshot date).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from .functions.ip import ip_to_long, long_to_ip, range_end_text, range_start_te
 from .operators import quality as Q
 from .plans import calendar, catalog, order_logs, pipeline, reports, sales, weblogs
 from .session import shared_dir, stage
-from .sources.fixtures import FIXTURE_SITE
+from .sources.fixtures import FIXTURE_SITE, FIXTURE_USER_AGENTS
 from .sources.fixtures import Fixture
 
 # Run parameters of the registered queries (orders span 1995-01 .. 2001-08,
@@ -224,7 +225,6 @@ PIPELINE_LOGS_MONTH = "2024-01-01"         # and the January landing folder
 def run_fixture_pipeline(spark, d, gold_root: str) -> None:
     """A historical run over the sources as they stood earlier, then an
     incremental run over the current sources."""
-    import uuid  # noqa: F401
     fx = Fixture(spark, d)
     landing = fx.landing_weblogs()
     snap = sales.orders_snapshot(fx.orders(), SALES_SNAPSHOT)
@@ -240,7 +240,6 @@ def run_fixture_pipeline(spark, d, gold_root: str) -> None:
 
 
 def q_pipeline_run(spark, d):
-    import uuid
     root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     run_fixture_pipeline(spark, d, root)
     return pipeline.gold_tables(spark, root)["sales"]
@@ -389,8 +388,7 @@ _QUALITY = " union all ".join([
     _q_nn("nn.ipsrangelist", "src_ipsrangelist", ["country", "iprange"]),
 ])
 
-_UAS = "case OrderId % 4 " + " ".join(
-    f"when {i} then '{ua}'" for i, ua in enumerate(__import__("weblake.sources.fixtures", fromlist=["x"]).FIXTURE_USER_AGENTS)) + " end"
+_UAS = "case OrderId % 4 " + " ".join(f"when {i} then '{ua}'" for i, ua in enumerate(FIXTURE_USER_AGENTS)) + " end"
 _ORDER_CTX = f"""select o.OrderId, o.OrderDate, c.c_name as CustomerName,
   concat(cast(c.c_nationkey * 9 + 10 as varchar), '.', cast(c.c_nationkey % 4 as varchar), '.',
          cast(o.OrderId % 200 as varchar), '.', cast(o.CustomerId % 256 as varchar)) as HostIp,
