@@ -139,3 +139,23 @@ def test_report_views(spark):
     V.drop_report_views(spark)
     assert not spark.catalog.tableExists("popular_products_report")
     assert fx is not None
+
+
+def test_merge_key_bounds_on_ntz_keys_in_other_zone(spark, scratch):
+    """Key-range pruning on a timestamp_ntz key must not shift with the session zone."""
+    path = os.path.join(scratch, "visits")
+    parts = {"year_partition": F.lit("2024"), "month_partition": F.lit("01")}
+    rows = [("1.1.1.1", "A", dt.datetime(2024, 1, 5, 23, 30), 1, "p")]
+    T.merge_into(spark, path, spark.createDataFrame(rows, schemas.PRODUCT_VISITS), schemas.PRODUCT_VISITS_KEYS,
+                 schemas.PRODUCT_VISITS, parts)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        upd = [("1.1.1.1", "B", dt.datetime(2024, 1, 5, 23, 30), 1, "p")]
+        T.merge_into(spark, path, spark.createDataFrame(upd, schemas.PRODUCT_VISITS), schemas.PRODUCT_VISITS_KEYS,
+                     schemas.PRODUCT_VISITS, parts)
+        got = [(r.Country, r.VisitedAt) for r in T.read_table(spark, path, schemas.PRODUCT_VISITS,
+                                                                ["year_partition", "month_partition"]).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [("B", dt.datetime(2024, 1, 5, 23, 30))]

@@ -93,6 +93,15 @@ def _write_partitions(df: DataFrame, path: str, pnames: list[str]) -> None:
      .partitionBy(*pnames).parquet(path))
 
 
+def _literal(value, dtype: str) -> Column:
+    """A literal of the column's type; date-times go through text so that no
+    time zone (of Python or of the session) shifts them."""
+    import datetime as _dt
+    if isinstance(value, _dt.datetime):
+        return F.lit(value.isoformat(sep=" ")).cast(dtype)
+    return F.lit(value).cast(dtype)
+
+
 def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], schema: StructType,
                partitions: dict[str, Column] | None = None) -> dict:
     """MERGE ``batch`` into the partitioned table at ``path`` on ``keys``.
@@ -117,9 +126,22 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str]
     src = stage(src, "merge-batch")
     current = read_table(spark, path, schema, pnames, keep_partitions=True)
 
-    # partitions to rewrite: where matched target rows live, and where batch rows go
+    # partitions to rewrite: where matched target rows live, and where batch rows go.
+    # A matching target row has every key inside the batch's [min, max] for that
+    # key; as literal bounds these reach the parquet scan, which skips row groups
+    # by their statistics (a month of new ids or visits touches a thin slice).
+    lims = src.agg(*[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
+                   *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)]).first()
+    if lims[0] is None:
+        in_range = F.lit(False)
+    else:
+        types = dict(src.dtypes)
+        in_range = reduce(lambda a, b: a & b,
+                          [F.col(k).between(_literal(lims[f"lo{i}"], types[k]), _literal(lims[f"hi{i}"], types[k]))
+                           for i, k in enumerate(keys)])
     batch_keys = src.select(*keys).distinct()
-    old = current.select(*keys, *pnames).join(batch_keys, on=keys, how="left_semi").select(*pnames)
+    old = (current.filter(in_range).select(*keys, *pnames)
+           .join(batch_keys, on=keys, how="left_semi").select(*pnames))
     touched = [tuple(r) for r in old.unionByName(src.select(*pnames)).distinct().collect()]
     if not touched:
         return {"rewritten": 0, "removed": 0}
