@@ -71,3 +71,27 @@ def test_streaming_ingest_matches_batch(spark, scratch):
     batch_logs = read_weblogs(spark, landing)
     assert _same(g["devices"], W.order_devices(W.enrich_weblogs(batch_logs, ranges)))
     assert _same(g["products"], R.q_product_visits(spark, SF_SMALL))
+
+
+def test_auto_mode_picks_historical_then_incremental(spark, scratch):
+    from weblake.plans.sales import orders_snapshot
+    fx = Fixture(spark, SF_SMALL)
+    root = os.path.join(scratch, "gold")
+    snap = orders_snapshot(fx.orders(), "2001-01-01")
+    early = pipeline.Sources(orders=snap, orderitems=fx.orderitems().join(snap.select("OrderId"), "OrderId", "left_semi"),
+                             catalog=fx.catalog(), products=fx.products(), ipsrangelist=fx.ipsrangelist(),
+                             weblogs=fx.landing_weblogs().filter(F.col("date") < "2024-01-20"))
+    pipeline.run_transform(spark, early, root, "2001-01-01")          # no table yet: historical
+    now = pipeline.Sources(orders=fx.orders(), orderitems=fx.orderitems(), catalog=fx.catalog(),
+                           products=fx.products(), ipsrangelist=fx.ipsrangelist(), weblogs=fx.landing_weblogs())
+    pipeline.run_transform(spark, now, root, "2001-01-15", logs_month="2024-01-01")  # table exists: incremental
+    g = pipeline.gold_tables(spark, root)
+    assert _same(g["sales"], R.q_sales_fact(spark, SF_SMALL))
+    assert _same(g["products"], R.q_product_visits(spark, SF_SMALL))
+
+
+def test_year_month_of(spark):
+    from weblake.functions.dates import year_month_of
+    y, m = year_month_of(F.lit("2022-10-03"))
+    r = spark.range(1).select(y.alias("y"), m.alias("m")).first()
+    assert (r.y, r.m) == ("2022", "10")

@@ -79,3 +79,9 @@ def last_year_text(as_of) -> str:
     if isinstance(as_of, str):
         as_of = _dt.date.fromisoformat(as_of[:10])
     return str(as_of.year - 1)
+
+
+def year_month_of(date_text) -> tuple[Column, Column]:
+    """Year and month tokens of a ``YYYY-MM-DD`` string, by position."""
+    t = _c(date_text)
+    return F.substring(t, 1, 4), F.substring(t, 6, 2)

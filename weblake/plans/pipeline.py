@@ -19,7 +19,7 @@ from .. import schemas
 from ..functions.dates import month_text, year_text
 from ..session import stage
 from ..sinks.jdbc import write_jdbc
-from ..sinks.tables import merge_into, read_table
+from ..sinks.tables import merge_into, read_table, table_exists
 from . import reports, sales, weblogs
 
 PARTITION_NAMES = ["year_partition", "month_partition"]
@@ -50,13 +50,18 @@ def _date(d) -> _dt.date:
     return _dt.date.fromisoformat(d[:10]) if isinstance(d, str) else d
 
 
-def run_transform(spark: SparkSession, src: Sources, gold_root: str, as_of, is_historical: bool,
+def run_transform(spark: SparkSession, src: Sources, gold_root: str, as_of=None, is_historical: bool | None = None,
                   logs_month=None, range_mode: str = "exact") -> dict:
     """One transform run. Historical: every order and every landing log.
     Incremental: orders from the first day of ``as_of``'s month, and the
-    landing folder of ``logs_month`` (default: ``as_of``'s month)."""
-    as_of = _date(as_of)
+    landing folder of ``logs_month`` (default: ``as_of``'s month).
+
+    ``as_of`` defaults to today; ``is_historical=None`` chooses a historical run
+    exactly when the sales table does not exist yet."""
+    as_of = _date(as_of) if as_of is not None else _dt.date.today()
     root = gold_root.rstrip("/")
+    if is_historical is None:
+        is_historical = not table_exists(spark, f"{root}/sales")
     if is_historical:
         batch = sales.sales_fact(src.orderitems, src.orders, src.catalog)
         logs = src.weblogs
