@@ -406,13 +406,13 @@ _VISIT_AT = (f"(o.OrderDate - to_minutes({O.draw_sql(repr(str(LOG_SEED)), "'visi
              f" - to_seconds({O.draw_sql(repr(str(LOG_SEED)), "'visit-sec'", 'p.OrderId', 'p.ProductId')} % 60))")
 _ORDER_LINES = f"""select {_log_line_sql('o.HostIp', "'\"' || lower(replace(o.CustomerName, ' ', '.')) || '\"'", 'v.at',
                                         "'http://shop.example.com/products/' || cast(v.ProductId as varchar)", 'o.UserAgent')} as value,
-  year(v.at) as year, month(v.at) as month
+  cast(year(v.at) as integer) as year, cast(month(v.at) as integer) as month
 from (select p.OrderId, p.ProductId, {_VISIT_AT} as at from op p join ctx o on o.OrderId = p.OrderId) v
 join ctx o on o.OrderId = v.OrderId
 union all
 select {_log_line_sql('o.HostIp', "lower(replace(o.CustomerName, ' ', '.'))", 'o.OrderDate',
                       "'http://shop.example.com/orders/' || cast(o.OrderId as varchar)", 'o.UserAgent')} as value,
-  year(o.OrderDate) as year, month(o.OrderDate) as month
+  cast(year(o.OrderDate) as integer) as year, cast(month(o.OrderDate) as integer) as month
 from ctx o"""
 
 ORACLES.update({
@@ -420,7 +420,7 @@ ORACLES.update({
     "order_log_lines": O.with_views([("ctx", _ORDER_CTX), ("op", _ORDER_PRODUCTS)], _ORDER_LINES),
     "weblog_lines": O.with_views([], f"""select {_log_line_sql('host', 'username', "strptime(date || ' ' || time, '%Y-%m-%d %H:%M:%S')",
                                                               'referer', 'useragent')} as value,
-  year(cast(date as date)) as year, month(cast(date as date)) as month from src_weblogs"""),
+  cast(year(cast(date as date)) as integer) as year, cast(month(cast(date as date)) as integer) as month from src_weblogs"""),
     "ip_codec": O.with_views([], f"""select host, {O.ip_sql('host')} as ip,
   case when {O.ip_sql('host')} is not null then concat_ws('.', ({O.ip_sql('host')} >> 24) & 255, ({O.ip_sql('host')} >> 16) & 255,
      ({O.ip_sql('host')} >> 8) & 255, {O.ip_sql('host')} & 255) end as host_back,
