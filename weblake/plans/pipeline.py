@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.dates import month_text, year_text
-from ..session import stage
+from ..session import stage, unstage
 from ..sinks.jdbc import write_jdbc
 from ..sinks.tables import merge_into, read_table, table_exists
 from . import reports, sales, weblogs
@@ -78,6 +78,7 @@ def run_transform(spark: SparkSession, src: Sources, gold_root: str, as_of=None,
                                   schemas.DEVICES_KEYS, schemas.DEVICES, visit_partitions())
     stats["products"] = merge_into(spark, f"{root}/products", weblogs.product_visits(enriched, src.products),
                                    schemas.PRODUCT_VISITS_KEYS, schemas.PRODUCT_VISITS, visit_partitions())
+    unstage(enriched)
     return stats
 
 

@@ -73,4 +73,16 @@ def stage(df, name: str = "stage"):
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._weblake_stage_path = path
+    return out
+
+
+def unstage(df) -> None:
+    """Delete the folder behind a DataFrame returned by :func:`stage` (call once
+    every job reading it has finished)."""
+    path = getattr(df, "_weblake_stage_path", None)
+    if path:
+        spark = df.sparkSession
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.upsert import upsert
-from ..session import stage
+from ..session import stage, unstage
 
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
@@ -144,6 +144,7 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str]
            .join(batch_keys, on=keys, how="left_semi").select(*pnames))
     touched = [tuple(r) for r in old.unionByName(src.select(*pnames)).distinct().collect()]
     if not touched:
+        unstage(src)
         return {"rewritten": 0, "removed": 0}
 
     def same(values):
@@ -152,6 +153,7 @@ def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str]
 
     merged = upsert(current.filter(in_touched), src, keys)
     _write_partitions(merged, path, pnames)
+    unstage(src)  # the merge has committed; the staged batch is no longer read
 
     removed = 0
     fs, _ = _fs(spark, path)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..plans import weblogs
 from ..plans.pipeline import visit_partitions
-from ..session import stage
+from ..session import stage, unstage
 from ..sinks.tables import merge_into
 
 
@@ -40,6 +40,7 @@ def start_weblog_ingest(spark: SparkSession, landing_root: str, gold_root: str,
                    schemas.DEVICES_KEYS, schemas.DEVICES, visit_partitions())
         merge_into(batch.sparkSession, f"{root}/products", weblogs.product_visits(enriched, products),
                    schemas.PRODUCT_VISITS_KEYS, schemas.PRODUCT_VISITS, visit_partitions())
+        unstage(enriched)
 
     writer = logs.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
