@@ -65,10 +65,13 @@ def q_order_id_bounds(spark, d):
     return sales.order_id_bounds(Fixture(spark, d).orders(), AS_OF)
 
 
+# The upsert queries stage their two inputs first, as a pipeline run has them:
+# the current table stored, the batch materialised once.
+
 def q_sales_upsert(spark, d):
     fx = Fixture(spark, d)
     batch = sales.sales_fact_incremental(fx.orderitems(), fx.orders(), fx.catalog(), SALES_BATCH_AS_OF)
-    return sales.sales_upsert(_sales_snapshot(fx), batch)
+    return sales.sales_upsert(stage(_sales_snapshot(fx), "current-sales"), stage(batch, "sales-batch"))
 
 
 def q_weblogs_enriched(spark, d):
@@ -87,7 +90,7 @@ def q_devices_upsert(spark, d):
     fx = Fixture(spark, d)
     old = weblogs.order_devices(_enriched(fx, F.col("date") < LOGS_OLD_BEFORE))
     new = weblogs.order_devices(_enriched(fx, F.col("date") >= LOGS_NEW_FROM))
-    return weblogs.devices_upsert(old, new)
+    return weblogs.devices_upsert(stage(old, "current-devices"), stage(new, "devices-batch"))
 
 
 def q_product_visits(spark, d):
@@ -99,7 +102,7 @@ def q_products_upsert(spark, d):
     fx = Fixture(spark, d)
     old = weblogs.product_visits(_enriched(fx, F.col("date") < LOGS_OLD_BEFORE), fx.products())
     new = weblogs.product_visits(_enriched(fx, F.col("date") >= LOGS_NEW_FROM), fx.products())
-    return weblogs.products_upsert(old, new)
+    return weblogs.products_upsert(stage(old, "current-products"), stage(new, "products-batch"))
 
 
 def q_last_year_orders(spark, d):
