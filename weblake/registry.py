@@ -248,6 +248,25 @@ def q_pipeline_run(spark, d):
     return pipeline.gold_tables(spark, root)["sales"]
 
 
+def q_stream_ingest(spark, d):
+    """Landing logs written as text, ingested by the file stream (two arrivals),
+    merged into the gold product-visit table; returns that table."""
+    from . import schemas
+    from .sinks.tables import append_text_lines, read_table
+    from .streaming.weblog_ingest import start_weblog_ingest
+    fx = Fixture(spark, d)
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    logs = fx.landing_weblogs().drop("year", "month")
+    for arrival in (F.col("date") < LOGS_OLD_BEFORE, F.col("date") >= LOGS_OLD_BEFORE):
+        append_text_lines(weblogs.render_weblog_lines(logs.filter(arrival)), f"{base}/landing", ["year", "month"])
+        q = start_weblog_ingest(spark, f"{base}/landing", f"{base}/gold", fx.ipsrangelist(), fx.products(),
+                                f"{base}/checkpoint")
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return read_table(spark, f"{base}/gold/products", schemas.PRODUCT_VISITS, pipeline.PARTITION_NAMES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_fact": q_sales_fact,
     "sales_fact_incremental": q_sales_fact_incremental,
@@ -277,6 +296,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "company_ids_by_role": q_company_ids_by_role,
     "quality_report": q_quality_report,
     "pipeline_run": q_pipeline_run,
+    "stream_ingest": q_stream_ingest,
 }
 
 # Queries without an exact SQL oracle (checked by row count and by tests).
@@ -440,4 +460,5 @@ from (select unnest(generate_series(date_trunc('month', min(OrderDate)), date_tr
     "company_ids_by_role": O.with_views([], "select distinct IsSupplier, CompanyId from src_companies order by 1, 2"),
     "quality_report": O.with_views([], _QUALITY),
     "pipeline_run": O.with_views([], O.sales_sql()),
+    "stream_ingest": O.with_views(_ENRICHED, O.product_visits_sql("enriched")),
 })
