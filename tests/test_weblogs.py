@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from weblake.functions.text import device_text, device_text_as_array_cast, pad_even, page_type, user_slug
+from weblake.functions.text import device_text, device_text_as_array_cast, pad_even, user_slug
 from weblake.plans import weblogs as W
 from weblake.schemas import WEBLOG_COLUMNS
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import event_window
+from ..functions.dates import event_window, shift_months
 from ..functions.text import pad_even
 
 
@@ -27,5 +27,5 @@ def run_calendar(dates: DataFrame, col: str) -> DataFrame:
         d.alias("run_date"),
         F.concat(F.lit("year="), pad_even(F.year(d)), F.lit("/month="), pad_even(F.month(d))).alias("folder"),
         lo.alias("events_from"), hi.alias("events_to"),
-        F.year(F.add_months(d, -12)).cast("string").alias("last_year"),
-        F.add_months(d, -1).alias("previous_month"))
+        F.year(shift_months(d, -12)).cast("string").alias("last_year"),
+        shift_months(d, -1).alias("previous_month"))

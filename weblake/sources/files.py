@@ -1,4 +1,4 @@
-"""CSV domain imports, schema documents and gold-table scans."""
+"""CSV domain imports (gold-table scans: ``sinks.tables.read_table``)."""
 
 from __future__ import annotations
 
@@ -22,9 +22,3 @@ def read_domain_csv(spark: SparkSession, path: str, schema: StructType | str, ke
         df = serial_keys(df, order_by or [], name=key, start=1)
         df = df.select(key, *[c for c in df.columns if c != key])
     return df
-
-
-def read_gold(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A gold table with its declared schema. Supplying the schema keeps text
-    partition values as text (``01`` stays ``01``) and skips inference."""
-    return spark.read.schema(schema).parquet(path)
