@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from weblake import registry as R
-from weblake.plans import pipeline, reports
+from weblake.plans import reports, runs
 from weblake.plans import weblogs as W
 from weblake.sinks.tables import append_text_lines
 from weblake.sources.fixtures import Fixture
@@ -21,16 +21,16 @@ def _same(a, b):
 
 def test_historical_plus_incremental_equals_full(spark, scratch):
     root = os.path.join(scratch, "gold")
-    R.run_fixture_pipeline(spark, SF_SMALL, root)
-    g = pipeline.gold_tables(spark, root)
+    R.run_fixture_history(spark, SF_SMALL, root)
+    g = runs.gold_tables(spark, root)
     assert _same(g["sales"], R.q_sales_fact(spark, SF_SMALL))
     assert _same(g["devices"], R.q_order_devices(spark, SF_SMALL))
     assert _same(g["products"], R.q_product_visits(spark, SF_SMALL))
     # replaying the incremental run changes nothing
-    R.run_fixture_pipeline(spark, SF_SMALL, root)
-    assert _same(pipeline.gold_tables(spark, root)["sales"], R.q_sales_fact(spark, SF_SMALL))
-    mart = pipeline.run_load(spark, root, R.AS_OF)
-    rep = pipeline.run_reports(mart)
+    R.run_fixture_history(spark, SF_SMALL, root)
+    assert _same(runs.gold_tables(spark, root)["sales"], R.q_sales_fact(spark, SF_SMALL))
+    mart = runs.run_load(spark, root, R.AS_OF)
+    rep = runs.run_reports(mart)
     assert _same(rep["popular_products_report"], R.q_report_popular_products(spark, SF_SMALL))
     assert _same(rep["last_year_orders_report"], R.q_report_last_year_orders(spark, SF_SMALL))
     assert _same(rep["order_devices_report"], R.q_report_order_devices(spark, SF_SMALL))
@@ -38,10 +38,10 @@ def test_historical_plus_incremental_equals_full(spark, scratch):
 
 def test_mart_load_over_jdbc(spark, scratch):
     root = os.path.join(scratch, "gold")
-    R.run_fixture_pipeline(spark, SF_SMALL, root)
+    R.run_fixture_history(spark, SF_SMALL, root)
     url = f"jdbc:derby:{os.path.join(scratch, 'mart')};create=true"
     props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    mart = pipeline.run_load(spark, root, R.AS_OF, mart_url=url, mart_properties=props)
+    mart = runs.run_load(spark, root, R.AS_OF, mart_url=url, mart_properties=props)
     back = spark.read.jdbc(url, "last_year_orders", properties=props)
     assert back.count() == mart["last_year_orders"].count()
     report = reports.report_last_year_orders(back.withColumn("orderDate", F.col("orderDate").cast("timestamp_ntz")))
@@ -66,8 +66,8 @@ def test_streaming_ingest_matches_batch(spark, scratch):
     assert q.exception() is None
     from weblake import schemas
     from weblake.sinks.tables import read_table
-    g = {"devices": read_table(spark, f"{gold}/devices", schemas.DEVICES, pipeline.PARTITION_NAMES),
-         "products": read_table(spark, f"{gold}/products", schemas.PRODUCT_VISITS, pipeline.PARTITION_NAMES)}
+    g = {"devices": read_table(spark, f"{gold}/devices", schemas.DEVICES, runs.PARTITION_NAMES),
+         "products": read_table(spark, f"{gold}/products", schemas.PRODUCT_VISITS, runs.PARTITION_NAMES)}
     batch_logs = read_weblogs(spark, landing)
     assert _same(g["devices"], W.order_devices(W.enrich_weblogs(batch_logs, ranges)))
     assert _same(g["products"], R.q_product_visits(spark, SF_SMALL))
@@ -78,14 +78,14 @@ def test_auto_mode_picks_historical_then_incremental(spark, scratch):
     fx = Fixture(spark, SF_SMALL)
     root = os.path.join(scratch, "gold")
     snap = orders_snapshot(fx.orders(), "2001-01-01")
-    early = pipeline.Sources(orders=snap, orderitems=fx.orderitems().join(snap.select("OrderId"), "OrderId", "left_semi"),
+    early = runs.Sources(orders=snap, orderitems=fx.orderitems().join(snap.select("OrderId"), "OrderId", "left_semi"),
                              catalog=fx.catalog(), products=fx.products(), ipsrangelist=fx.ipsrangelist(),
                              weblogs=fx.landing_weblogs().filter(F.col("date") < "2024-01-20"))
-    pipeline.run_transform(spark, early, root, "2001-01-01")          # no table yet: historical
-    now = pipeline.Sources(orders=fx.orders(), orderitems=fx.orderitems(), catalog=fx.catalog(),
+    runs.run_transform(spark, early, root, "2001-01-01")          # no table yet: historical
+    now = runs.Sources(orders=fx.orders(), orderitems=fx.orderitems(), catalog=fx.catalog(),
                            products=fx.products(), ipsrangelist=fx.ipsrangelist(), weblogs=fx.landing_weblogs())
-    pipeline.run_transform(spark, now, root, "2001-01-15", logs_month="2024-01-01")  # table exists: incremental
-    g = pipeline.gold_tables(spark, root)
+    runs.run_transform(spark, now, root, "2001-01-15", logs_month="2024-01-01")  # table exists: incremental
+    g = runs.gold_tables(spark, root)
     assert _same(g["sales"], R.q_sales_fact(spark, SF_SMALL))
     assert _same(g["products"], R.q_product_visits(spark, SF_SMALL))
 

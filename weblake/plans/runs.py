@@ -1,4 +1,4 @@
-"""The batch pipeline: transform (full or incremental) into gold tables, load
+"""Transform runs: full or incremental into gold tables, then load
 the mart, answer the reports.
 
 Gold layout under ``gold_root``: ``sales``, ``devices`` and ``products``, each

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from . import oracle_sql as O
 from .functions.ip import ip_to_long, long_to_ip, range_end_text, range_start_text
 from .operators import quality as Q
-from .plans import calendar, catalog, order_logs, pipeline, reports, sales, weblogs
+from .plans import calendar, catalog, order_logs, reports, runs, sales, weblogs
 from .session import shared_dir, stage
 from .sources.fixtures import FIXTURE_SITE, FIXTURE_USER_AGENTS
 from .sources.fixtures import Fixture
@@ -65,7 +65,7 @@ def q_order_id_bounds(spark, d):
     return sales.order_id_bounds(Fixture(spark, d).orders(), AS_OF)
 
 
-# The upsert queries stage their two inputs first, as a pipeline run has them:
+# The upsert queries stage their two inputs first, as a transform run has them:
 # the current table stored, the batch materialised once.
 
 def q_sales_upsert(spark, d):
@@ -221,31 +221,31 @@ def q_quality_report(spark, d):
     ])
 
 
-PIPELINE_INCREMENTAL_AS_OF = "2001-01-15"  # next monthly run: orders from 2001-01-01 on
-PIPELINE_LOGS_MONTH = "2024-01-01"         # and the January landing folder
+RUN_INCREMENTAL_AS_OF = "2001-01-15"  # next monthly run: orders from 2001-01-01 on
+RUN_LOGS_MONTH = "2024-01-01"         # and the January landing folder
 
 
-def run_fixture_pipeline(spark, d, gold_root: str) -> None:
+def run_fixture_history(spark, d, gold_root: str) -> None:
     """A historical run over the sources as they stood earlier, then an
     incremental run over the current sources."""
     fx = Fixture(spark, d)
     landing = fx.landing_weblogs()
     snap = sales.orders_snapshot(fx.orders(), SALES_SNAPSHOT)
-    early = pipeline.Sources(
+    early = runs.Sources(
         orders=snap, orderitems=fx.orderitems().join(snap.select("OrderId"), "OrderId", "left_semi"),
         catalog=fx.catalog(), products=fx.products(), ipsrangelist=fx.ipsrangelist(),
         weblogs=landing.filter(F.col("date") < LOGS_OLD_BEFORE))
-    now = pipeline.Sources(orders=fx.orders(), orderitems=fx.orderitems(), catalog=fx.catalog(),
+    now = runs.Sources(orders=fx.orders(), orderitems=fx.orderitems(), catalog=fx.catalog(),
                            products=fx.products(), ipsrangelist=fx.ipsrangelist(), weblogs=landing)
-    pipeline.run_transform(spark, early, gold_root, SALES_SNAPSHOT, is_historical=True)
-    pipeline.run_transform(spark, now, gold_root, PIPELINE_INCREMENTAL_AS_OF, is_historical=False,
-                           logs_month=PIPELINE_LOGS_MONTH)
+    runs.run_transform(spark, early, gold_root, SALES_SNAPSHOT, is_historical=True)
+    runs.run_transform(spark, now, gold_root, RUN_INCREMENTAL_AS_OF, is_historical=False,
+                           logs_month=RUN_LOGS_MONTH)
 
 
-def q_pipeline_run(spark, d):
-    root = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    run_fixture_pipeline(spark, d, root)
-    return pipeline.gold_tables(spark, root)["sales"]
+def q_transform_load_run(spark, d):
+    root = f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}"
+    run_fixture_history(spark, d, root)
+    return runs.gold_tables(spark, root)["sales"]
 
 
 def q_stream_ingest(spark, d):
@@ -264,7 +264,7 @@ def q_stream_ingest(spark, d):
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    return read_table(spark, f"{base}/gold/products", schemas.PRODUCT_VISITS, pipeline.PARTITION_NAMES)
+    return read_table(spark, f"{base}/gold/products", schemas.PRODUCT_VISITS, runs.PARTITION_NAMES)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -295,7 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_calendar": q_run_calendar,
     "company_ids_by_role": q_company_ids_by_role,
     "quality_report": q_quality_report,
-    "pipeline_run": q_pipeline_run,
+    "transform_load_run": q_transform_load_run,
     "stream_ingest": q_stream_ingest,
 }
 
@@ -459,6 +459,6 @@ from (select unnest(generate_series(date_trunc('month', min(OrderDate)), date_tr
                                     interval 1 month)) as m from src_orders)"""),
     "company_ids_by_role": O.with_views([], "select distinct IsSupplier, CompanyId from src_companies order by 1, 2"),
     "quality_report": O.with_views([], _QUALITY),
-    "pipeline_run": O.with_views([], O.sales_sql()),
+    "transform_load_run": O.with_views([], O.sales_sql()),
     "stream_ingest": O.with_views(_ENRICHED, O.product_visits_sql("enriched")),
 })

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from ..plans import weblogs
-from ..plans.pipeline import visit_partitions
+from ..plans.runs import visit_partitions
 from ..session import stage, unstage
 from ..sinks.tables import merge_into
 
