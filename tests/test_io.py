@@ -159,3 +159,18 @@ def test_merge_key_bounds_on_ntz_keys_in_other_zone(spark, scratch):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [("B", dt.datetime(2024, 1, 5, 23, 30))]
+
+
+def test_month_predicates_cover_every_row_once():
+    import duckdb
+    preds = JR.month_predicates("ts", dt.date(2020, 11, 15), dt.date(2021, 2, 3))
+    assert len(preds) == 4
+    values = ["2019-01-01 00:00:00", "2020-11-30 23:59:59", "2020-12-01 00:00:00", "2021-01-31 23:59:59",
+              "2021-02-01 00:00:00", "2030-05-05 12:00:00", None]
+    con = duckdb.connect()
+    con.execute("create table t (ts timestamp)")
+    con.executemany("insert into t values (?)", [(v,) for v in values])
+    hits = [sum(con.execute(f"select count(*) from t where ts is not distinct from ? and ({p})", [v])
+                .fetchall()[0][0] for p in preds) for v in values]
+    assert hits == [1] * len(values)
+    assert JR.month_predicates("ts", dt.date(2020, 1, 1), dt.date(2020, 1, 31)) == ["1 = 1"]
