@@ -41,10 +41,9 @@ def reference_check(name: str, child: DataFrame, fk: str, parent: DataFrame, pk:
 
 def not_null_check(name: str, df: DataFrame, cols: list[str]) -> DataFrame:
     """One row per column: rows where it is null (computed in one pass)."""
-    counts = df.agg(*[F.sum(F.col(c).isNull().cast("bigint")).alias(c) for c in cols])
-    rows = [counts.select(F.lit(f"{name}.{c}").alias("check_name"),
-                          F.coalesce(F.col(c), F.lit(0)).alias("violations")) for c in cols]
-    return reduce(DataFrame.unionByName, rows)
+    counts = df.agg(*[F.coalesce(F.sum(F.col(c).isNull().cast("bigint")), F.lit(0)).alias(f"{name}.{c}")
+                      for c in cols])
+    return counts.unpivot([], [f"`{name}.{c}`" for c in cols], "check_name", "violations")
 
 
 def report(checks: list[DataFrame]) -> DataFrame:
