@@ -174,3 +174,24 @@ def test_month_predicates_cover_every_row_once():
                 .fetchall()[0][0] for p in preds) for v in values]
     assert hits == [1] * len(values)
     assert JR.month_predicates("ts", dt.date(2020, 1, 1), dt.date(2020, 1, 31)) == ["1 = 1"]
+
+
+def test_incremental_items_by_order_id_range(spark, derby):
+    """SRC-2 -> AGG-1 -> SRC-3 -> FLT-2: month's orders, their id bounds, a
+    range-partitioned item read, then the sales rows of exactly those orders."""
+    from weblake.plans import sales
+    url, props = derby
+    fx = Fixture(spark, SF_SMALL)
+    JS.write_jdbc(fx.orders().withColumn("OrderDate", F.col("OrderDate").cast("timestamp")), url, "orders", props)
+    JS.write_jdbc(fx.orderitems(), url, "orderitems", props)
+    month = JR.read_with_predicates(spark, url, "orders", JR.since_month_predicate("OrderDate", dt.date(2001, 6, 1),
+                                                                                   quote='"'), props)
+    month = month.withColumn("OrderDate", F.col("OrderDate").cast("timestamp_ntz"))
+    items = JR.read_range_for(spark, url, "orderitems", "OrderId", sales.order_id_bounds(month), 4, props, quote='"')
+    got = sales.sales_fact_for_orders(items, month, fx.catalog())
+    expect = sales.sales_fact_incremental(fx.orderitems(), fx.orders(), fx.catalog(), "2001-06-01")
+    assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
+    empty = JR.read_with_predicates(spark, url, "orders", JR.since_month_predicate("OrderDate", dt.date(2030, 1, 1),
+                                                                                   quote='"'), props)
+    assert JR.read_range_for(spark, url, "orderitems", "OrderId", sales.order_id_bounds(empty), 4, props,
+                             quote='"').count() == 0

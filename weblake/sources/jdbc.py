@@ -61,3 +61,17 @@ def month_predicates(column: str, start: _dt.date, end: _dt.date, quote: str = "
 def since_month_predicate(column: str, as_of: _dt.date, quote: str = "") -> list[str]:
     """Incremental scan: rows from the first day of ``as_of``'s month on."""
     return [f"{_quote(column, quote)} >= '{_dt.date(as_of.year, as_of.month, 1).isoformat()} 00:00:00'"]
+
+
+def read_range_for(spark: SparkSession, url: str, table: str, column: str, bounds: DataFrame,
+                   num_partitions: int, properties: dict | None = None, quote: str = "") -> DataFrame:
+    """Range-partitioned read whose stride bounds come from a one-row
+    (min, max) frame, e.g. the OrderId bounds of a month's orders. Rows below
+    the lower bound are filtered out (the stride bounds alone do not filter);
+    an empty selection (null bounds) reads nothing instead of failing."""
+    row = bounds.first()  # exactly one row: two scalars reach the driver
+    if row is None or row[0] is None:
+        return read_with_predicates(spark, url, table, ["1 = 0"], properties)
+    lo, hi = int(row[0]), int(row[1])
+    df = read_range_partitioned(spark, url, table, _quote(column, quote), lo, hi + 1, num_partitions, properties)
+    return df.filter(df[column] >= lo)
