@@ -53,3 +53,32 @@ def test_quality_hot_foreign_key(spark):
     assert got == sum(1 for i in range(9000) if i % 3 != 0 and i % 100 >= 50)
     dup = Q.unique_check("pk", child, ["fk"]).first().violations
     assert dup == 100
+
+
+def test_hot_block_is_split_by_aqe_when_not_broadcast(spark):
+    """Without a broadcast, the /16 block join is a sort-merge join and AQE
+    splits the partition of a block holding a third of the log rows."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ids = spark.range(0, 300000)
+        host = (F.when(F.col("id") % 3 == 0, F.concat(F.lit("10.1."), (F.col("id") % 200).cast("string"), F.lit(".1")))
+                .otherwise(F.concat((F.col("id") % 200 + 20).cast("string"), F.lit("."),
+                                    (F.col("id") % 7).cast("string"), F.lit(".1.1"))))
+        ranges = spark.createDataFrame([("HOT", "10.1.0.0-10.1.255.255")]
+                                       + [(f"c{i}", f"{20 + i}.0.0.0-{20 + i}.6.255.255") for i in range(200)],
+                                       "country string, iprange string")
+        df = ip_range_join(ids.select(host.alias("host")), ranges)
+        assert len(df.collect()) == 300000
+        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
