@@ -61,7 +61,7 @@ def test_hot_block_is_split_by_aqe_when_not_broadcast(spark):
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
     old = {k: spark.conf.get(k, None) for k in conf}
     try:
         for k, v in conf.items():
