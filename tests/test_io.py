@@ -195,3 +195,16 @@ def test_incremental_items_by_order_id_range(spark, derby):
                                                                                    quote='"'), props)
     assert JR.read_range_for(spark, url, "orderitems", "OrderId", sales.order_id_bounds(empty), 4, props,
                              quote='"').count() == 0
+
+
+def test_define_table_if_absent_and_replace(spark, scratch):
+    path = os.path.join(scratch, "devices")
+    T.define_table(spark, path, schemas.DEVICES)
+    assert T.read_table(spark, path, schemas.DEVICES).count() == 0
+    rows = spark.createDataFrame([("u", dt.datetime(2024, 1, 1), 1, "[x]")], schemas.DEVICES)
+    T.write_table(rows, path)
+    T.define_table(spark, path, schemas.DEVICES)                 # exists: left alone
+    assert T.read_table(spark, path, schemas.DEVICES).count() == 1
+    T.define_table(spark, path, schemas.DEVICES, replace=True)   # drop and recreate
+    assert T.read_table(spark, path, schemas.DEVICES).count() == 0
+    assert T.read_table(spark, path, schemas.DEVICES).schema == schemas.DEVICES
