@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ngram_join
+from . import decontaminate, ngram_join, repetition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @register("op9_ngram_jaccard_join", rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{PLAIN}') AS ws FROM documents),
-sets AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))
+sets AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))
                                              WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w),
 sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM sets x JOIN sets y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
@@ -43,3 +44,52 @@ JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 5-word shingle sets reach Jaccard 0.75."""
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+def _repeat_words_sql(length: int) -> str:
+    """Words inside ``length``-word windows found twice or more in their document."""
+    return rf"""(SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT v.doc_id, unnest(range(p, p + {length})) AS word FROM (
+        SELECT doc_id, unnest(ps) AS p FROM (SELECT doc_id, g, list(p) AS ps FROM (
+            SELECT doc_id, unnest(range(1, len(ws) - {length} + 2)) AS p, array_to_string(ws[p:p + {length} - 1], ' ') AS g FROM w)
+        GROUP BY doc_id, g HAVING count(*) > 1)) v) GROUP BY doc_id)"""
+
+
+@register("op2_suffix_array_repetition", rf"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{PLAIN}') AS ws FROM documents),
+lines AS (SELECT doc_id, l, count(*) - 1 AS again FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM w)
+          WHERE regexp_matches(l, '{PLAIN}') GROUP BY doc_id, l),
+dup AS (SELECT doc_id, sum(again)::BIGINT AS n FROM lines GROUP BY doc_id),
+r3 AS {_repeat_words_sql(3)}, r8 AS {_repeat_words_sql(8)}, r61 AS {_repeat_words_sql(61)},
+b AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+      length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(dup.n, 0)::BIGINT AS n_dup_lines,
+      coalesce(r3.n, 0)::BIGINT AS n_repeat_words, coalesce(r8.n, 0)::BIGINT AS n_covered_words, r61.n IS NOT NULL AS long_repeat
+      FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN r3 USING (doc_id) LEFT JOIN r8 USING (doc_id) LEFT JOIN r61 USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_covered_words, base_failed,
+       NOT base_failed AND 100 * n_covered_words <= 30 * n_words AND NOT long_repeat AS kept FROM f""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and the verdict of the suffix-array repetition rules for every document."""
+    return repetition.repetition_rules(table(spark, sf_dir, "documents"), max_longest=60).drop("longest_repeat")
+
+
+@register("op3_wu_manber_decontamination", rf"""
+WITH iw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}') AS ws FROM benchmark),
+windows AS (SELECT DISTINCT item_id, array_to_string(g, ' ') AS g, len(g) AS k FROM (
+    SELECT item_id, unnest(CASE WHEN len(ws) > 13 THEN list_transform(range(1, len(ws) - 11), lambda i: ws[i:i + 12])
+                                WHEN len(ws) > 0 THEN [ws] ELSE [] END) AS g FROM iw)),
+sizes AS (SELECT DISTINCT k FROM windows),
+dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{ALNUM}') AS ws FROM documents),
+spots AS (SELECT doc_id, k, p, array_to_string(ws[p:p + k - 1], ' ') AS g FROM (
+    SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS p FROM dw, sizes)),
+found AS (SELECT doc_id, item_id, s.k, p FROM spots s JOIN windows w ON s.g = w.g AND s.k = w.k),
+hit AS (SELECT doc_id, count(DISTINCT word) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS word FROM found) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(its.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n > 0 AND 20 * hit.n >= len(ws), false) AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrences of 13-word benchmark windows in every document."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
