@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, repetition
+from . import decontaminate, language, ngram_join, repetition
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,3 +93,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def _held_out(col: str = "doc_id"):
+    """The fold that no model learns from."""
+    return F.crc32(F.col(col).cast("string").cast("binary")) % 3 == 1
+
+
+@register("op10_language_spans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document from Viterbi spans; learned from two of three folds."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(~_held_out()).select("doc_id", "text", "lang"))
+    return language.predict(docs, model).select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "n_spans")
