@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, ngram_join, repetition
+from . import decontaminate, language, ngram_join, repetition, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +106,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(~_held_out()).select("doc_id", "text", "lang"))
     return language.predict(docs, model).select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "n_spans")
+
+
+@register("op4_convolutional_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calibrated toxicity score of every document; learned from two of three folds."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~_held_out()))
+    found = toxicity.scored(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), F.col(toxicity.SCORE).alias("score"),
+                        (F.col(toxicity.SCORE) >= toxicity.CUT).cast("int").alias("predicted"))
