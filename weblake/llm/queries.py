@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, ngram_join, repetition, toxicity
+from . import decontaminate, language, ngram_join, repetition, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -116,3 +116,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.scored(docs.select("doc_id", "text"), model)
     return found.select("doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), F.col(toxicity.SCORE).alias("score"),
                         (F.col(toxicity.SCORE) >= toxicity.CUT).cast("int").alias("predicted"))
+
+
+def bpe_path() -> str:
+    """The public byte-level BPE that the token queries use."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register("op8_token_files")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id files of all documents, read back through their minimal perfect hash index."""
+    return token_files.token_files(table(spark, sf_dir, "documents"), bpe_path())
