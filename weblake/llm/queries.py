@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, ngram_join, repetition, token_files, toxicity
+from . import decontaminate, language, ngram_join, repetition, sharding, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,35 @@ def bpe_path() -> str:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files of all documents, read back through their minimal perfect hash index."""
     return token_files.token_files(table(spark, sf_dir, "documents"), bpe_path())
+
+
+def _feistel_sql(source: str, seed: int) -> str:
+    """One pass of the network over column v of ``source`` (CTE dom has bits and mask)."""
+    sql = f"SELECT row, v >> bits AS l, v & mask AS r FROM {source}, dom"
+    for a, b in sharding.round_keys(seed):
+        p = (1 << 31) - 1
+        m = f"((r * {a}::BIGINT + {b}) % {p})"
+        sql = f"SELECT row, r AS l, xor(l, ({m} * {m}) % {p} & mask) AS r FROM ({sql}), dom"
+    return f"SELECT row, (l << bits) | r AS v FROM ({sql}), dom"
+
+
+@register("op6_feistel_shards", f"""
+WITH RECURSIVE crc_table AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab),
+t AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, hex(encode(coalesce(text, ''))) AS hx FROM documents),
+s AS (SELECT doc_id, size, xor(4294967295, list_reduce(
+        list_transform(range(1, len(hx), 2), lambda i: (strpos('0123456789ABCDEF', hx[i]) - 1) * 16 + strpos('0123456789ABCDEF', hx[i + 1]) - 1),
+        lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) AS text_crc32 FROM t, crc_table),
+numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS row FROM s),
+dom AS (SELECT count(*) AS n, ((len(bin(greatest(count(*) - 1, 1))) + 1) // 2)::INT AS bits,
+        (1::BIGINT << ((len(bin(greatest(count(*) - 1, 1))) + 1) // 2)::INT) - 1 AS mask FROM numbered),
+start AS (SELECT row, row AS v FROM numbered),
+walk(row, v) AS ({_feistel_sql("start", 20_231)} UNION ALL
+    ({_feistel_sql("(SELECT row, v FROM walk, (SELECT n FROM dom) WHERE v >= n)", 20_231)})),
+placed AS (SELECT row, v FROM walk, (SELECT n FROM dom) WHERE v < n)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'rows' AS law, (v % 16)::INT AS shard,
+       (v // 16)::BIGINT AS slot, NULL::INT AS grown_shard FROM numbered JOIN placed USING (row)""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 16 shards by a Feistel permutation of their row numbers."""
+    placed = sharding.shuffle_shards(table(spark, sf_dir, "documents"), shards=16, seed=20_231)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
