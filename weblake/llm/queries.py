@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, ngram_join, repetition, sharding, token_files, toxicity
+from ..session import shared_dir, stage
+from . import decontaminate, language, ngram_join, repetition, sharding, token_files, token_rollups, toxicity, url_filter
+from .words import ALNUM_WORD, PLAIN_WORD, byte_class
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +163,67 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards by a Feistel permutation of their row numbers."""
     placed = sharding.shuffle_shards(table(spark, sf_dir, "documents"), shards=16, seed=20_231)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
+JUNK_SITE = r"(^|\.)(adult-x|spam-farm|cheap-pills|ads-track|casino-win|free-bets)\.example\.[a-z]+$"
+
+
+@register("op5_blocked_bloom_urls", rf"""
+WITH p AS (SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 1), ''), '{UPPER}', '{LOWER}') AS host,
+                  coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 2), '') AS path,
+                  coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 3), '') AS query FROM pages),
+c AS (SELECT *, list_filter(list_sort(string_split(query, '&')), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref)=')) AS args FROM p),
+k AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '')
+                     || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END END AS key FROM c),
+listed AS (SELECT DISTINCT key FROM k WHERE regexp_matches(host, '{JUNK_SITE}')),
+rules(rule, site, rest, action) AS (VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+    ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+best AS (SELECT page_id, url, host, path, key, (SELECT arg_max(r, length(r.rule)) FROM rules r
+         WHERE (host = r.site OR ends_with(host, '.' || r.site)) AND starts_with(path, r.rest)) AS r FROM k)
+SELECT page_id, host, path, r.rule AS rule, listed.key IS NOT NULL AS listed,
+       coalesce(r.action, CASE WHEN listed.key IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM best LEFT JOIN listed ON listed.key = best.key""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: rules, then the list of URLs met on junk sites."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.where(url_filter.host(F.col("url")).rlike(JUNK_SITE))
+    return url_filter.judge(pages, listed, RULES).drop("url")
+
+
+ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SYMBOL = "[#*$%&|<>]"
+
+
+@register("op1_token_rollups", rf"""
+WITH c AS (SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '{PLAIN}')) AS plain,
+                  len(regexp_extract_all(coalesce(text, ''), '{ANY_CASE}')) AS alnum,
+                  len(regexp_extract_all(regexp_replace(coalesce(text, ''), '{SYMBOL}', '', 'g'), '{PLAIN}')) AS solid,
+                  min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+changes AS (SELECT source, lang, 'plain-1' AS tokenizer_version, 1 AS docs, plain AS tokens FROM c
+  UNION ALL SELECT source, lang, 'alnum-1', 1, alnum FROM c
+  UNION ALL SELECT source, lang, 'plain-1', -1, -plain FROM c WHERE doc_id <> first
+  UNION ALL SELECT source, lang, 'alnum-1', -1, -alnum FROM c WHERE doc_id <> first
+  UNION ALL SELECT source, lang, 'plain-1', 0, solid - plain FROM c WHERE doc_id = first)
+SELECT source, lang, tokenizer_version, sum(docs)::BIGINT AS n_docs, sum(tokens)::BIGINT AS n_tokens FROM changes GROUP BY ALL""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals after inserts under two tokenizer versions, deletes of exact copies and
+    recounts without words of symbols only; every batch is sent twice."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"), "text")
+    counters = {"plain": (PLAIN_WORD, None), "alnum": (ALNUM_WORD | byte_class((0x41, 0x5A)), None),
+                "solid": (PLAIN_WORD, ~byte_class(*[(ord(c), ord(c)) for c in SYMBOL[1:-1]]))}
+    counted = stage(token_rollups.count_words(docs, counters), "counted")
+    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    marked = stage(counted.join(first, "digest"), "marked")
+    copies, kept = marked.where("doc_id <> first"), marked.where("doc_id = first")
+    rollup = token_rollups.TokenRollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    change = token_rollups.changes
+    for batch_id, batch in [
+        ("load-plain-1", change(marked, "insert", "plain-1", "plain")),
+        ("load-alnum-1", change(marked, "insert", "alnum-1", "alnum")),
+        ("drop-copies", change(copies, "delete", "plain-1", "plain").unionByName(change(copies, "delete", "alnum-1", "alnum"))),
+        ("recount-solid", change(kept, "revise", "plain-1", "solid", "plain")),
+    ]:
+        rollup.commit(batch_id, batch)
+        rollup.commit(batch_id, batch)   # a replay: its id is in the log, nothing changes
+    return rollup.totals()
