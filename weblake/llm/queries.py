@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_dir, stage
-from . import decontaminate, language, ngram_join, repetition, sharding, token_files, token_rollups, toxicity, url_filter
+from . import decontaminate, language, mixing, ngram_join, repetition, sharding, token_files, token_rollups, toxicity, url_filter
 from .words import ALNUM_WORD, PLAIN_WORD, byte_class
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +227,19 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         rollup.commit(batch_id, batch)
         rollup.commit(batch_id, batch)   # a replay: its id is in the log, nothing changes
     return rollup.totals()
+
+
+MIX = {"high": 0.87, "low": 0.13}
+
+
+def quality_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents with their domain: ``high`` or ``low`` quality."""
+    return table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low").alias("domain"))
+
+
+@register("op7_soft_mixing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posteriors, rate and copies of every document for the target mix of quality domains."""
+    docs = table(spark, sf_dir, "documents")
+    rates = mixing.fit(docs, quality_domains(spark, sf_dir), MIX)
+    return mixing.rated(docs, rates, MIX)
