@@ -35,7 +35,7 @@ from ..session import stage
 BINS = 8
 FEATURES = ("length", "distinct", "capitals", "symbols", "word_length")
 PULL = 1e-3           # weight of the pull towards rate 1
-TOLERANCE = 1e-6      # of the largest change of a residual, as a share of all tokens
+TOLERANCE = 1e-5      # of the largest change of a residual, as a share of all tokens
 MAX_STEPS = 80
 
 
@@ -124,6 +124,8 @@ def fit_rates(profiles: DataFrame, weights: list[float], budget: float | None) -
         rho = [round((a - t) / everything, 12) for a, t in zip(now, targets)]
         if before is not None and max(abs(a - b) for a, b in zip(rho, before)) < TOLERANCE:
             break
+        if before is not None and sum(a * a for a in rho) > sum(b * b for b in before):
+            momentum = 1.0   # the momentum overshot: start it anew
         following = (1 + math.sqrt(1 + 4 * momentum * momentum)) / 2
         history.append((rho, (momentum - 1) / following))
         momentum, before = following, rho
