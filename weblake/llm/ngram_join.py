@@ -275,8 +275,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     first = (classes.select("sig", "n", "shared", F.posexplode("prefix").alias("at", "gram"))
              .select("gram", "sig", "n", (F.col("shared") - F.col("at")).alias("rem")))
-    lead = (first.groupBy("gram").agg(F.min(F.struct("sig", "n", "rem")).alias("lead"), F.count(F.lit(1)).alias("df"))
-            .where("df > 1").select("gram", "lead.*").toDF("gram", "lead", "lead_n", "lead_rem"))
+    # the leader is the class that has the n-gram earliest for its size: in a group of near
+    # copies that is the text the others were made from, which links with most of them
+    lead = (first.groupBy("gram").agg(F.min(F.struct((F.lit(1) - F.col("rem") / F.col("n")).alias("at"), "sig", "n", "rem")).alias("lead"),
+                                      F.count(F.lit(1)).alias("df"))
+            .where("df > 1").select("gram", "lead.sig", "lead.n", "lead.rem").toDF("gram", "lead", "lead_n", "lead_rem"))
     met = first.join(lead, "gram").where((F.col("sig") != F.col("lead"))
                                          & _fits(percent, F.col("n"), F.col("rem"), F.col("lead_n"), F.col("lead_rem")))
     links = stage(_links(_pairs(met, "sig", "lead"), classes, percent), "links")

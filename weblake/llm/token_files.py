@@ -123,6 +123,7 @@ def encoder(path: str) -> Encoder:
 
 def count_tokens(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "n_tokens") -> DataFrame:
     """``docs`` with the number of ids of each text (without an end id)."""
+    docs = docs.drop(out_col)
     at, names = docs.columns.index(text_col), docs.columns
 
     def run(batches):

@@ -32,8 +32,8 @@ def count_words(docs: DataFrame, counters: dict[str, tuple], text_col: str = "te
     """``docs`` without its text, with one column per counter. A counter is (bytes of its
     words, bytes of which a word must hold one, or None)."""
     at = docs.columns.index(text_col)
-    names = [c for c in docs.columns if c != text_col]
-    schema = T.StructType([f for f in docs.schema.fields if f.name != text_col] + [T.StructField(c, T.LongType()) for c in counters])
+    names = [c for c in docs.columns if c != text_col and c not in counters]
+    schema = T.StructType([f for f in docs.schema.fields if f.name in names] + [T.StructField(c, T.LongType()) for c in counters])
 
     def count(block, inside, needed):
         starts, ends, bounds = runs(inside[block.data], block.offsets)

@@ -248,6 +248,7 @@ SCORE = "__toxicity"
 
 def scored(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs`` with the calibrated score as column ``__toxicity``."""
+    docs = docs.drop(SCORE)
     if model is None:
         return docs.withColumn(SCORE, F.lit(0.0))
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -91,5 +91,6 @@ def judge(pages: DataFrame, listed_urls: DataFrame, rules: list[tuple[str, str]]
     both = unlisted.unionByName(checked).withColumns({"__host": host(F.col(url_col)), "__path": path(F.col(url_col))})
     both = both.withColumn("__rule", match_rule(F.col("__host"), F.col("__path"), rules))
     verdict = F.coalesce(F.col("__rule.action"), F.when(F.col("__listed"), "block").otherwise("allow"))
-    return both.select(*[F.col(c) for c in pages.columns], F.col("__host").alias("host"), F.col("__path").alias("path"),
+    made = ("host", "path", "rule", "listed", "verdict")   # replace columns of these names
+    return both.select(*[F.col(c) for c in pages.columns if c not in made], F.col("__host").alias("host"), F.col("__path").alias("path"),
                        F.col("__rule.rule").alias("rule"), F.col("__listed").alias("listed"), verdict.alias("verdict"))
