@@ -66,8 +66,8 @@ def test_streaming_ingest_matches_batch(spark, scratch):
     assert q.exception() is None
     from weblake import schemas
     from weblake.sinks.tables import read_table
-    g = {"devices": read_table(spark, f"{gold}/devices", schemas.DEVICES, runs.PARTITION_NAMES),
-         "products": read_table(spark, f"{gold}/products", schemas.PRODUCT_VISITS, runs.PARTITION_NAMES)}
+    g = {"devices": read_table(spark, f"{gold}/devices", schemas.DEVICES),
+         "products": read_table(spark, f"{gold}/products", schemas.PRODUCT_VISITS)}
     batch_logs = read_weblogs(spark, landing)
     assert _same(g["devices"], W.order_devices(W.enrich_weblogs(batch_logs, ranges)))
     assert _same(g["products"], R.q_product_visits(spark, SF_SMALL))

@@ -1,26 +1,23 @@
 """Keyed upsert (MERGE) and insert-if-absent as DataFrame compositions.
 
-Parquet tables have no MERGE; the merged table is computed as a union of
-branches over the same two hash exchanges (target and source, both on the key):
+Parquet tables have no MERGE; the merged table is one full outer join of target
+and source on the key, so each side is exchanged once:
 
-* matched target rows take the source row's values,
-* unmatched target rows are kept,
-* unmatched source rows are inserted,
-* rows with a null key part never match: they are passed through without
-  being shuffled at all, so a flood of null keys cannot create a hot partition.
+* a matched target row takes the source row's values, an unmatched one is kept,
+  an unmatched source row is inserted;
+* rows with a null key part never match: they are passed through without being
+  shuffled, so a flood of null keys cannot create a hot partition.
 
 A target row matched by several source rows is an error (never a silent pick).
-The check is a map-side-combined count of source keys; it runs inside the same
-job and raises only if such a row exists. The raising expression is guarded by
-a violation count carried in its own row, so it stays correct wherever the
-optimizer moves a filter that mentions it.
+The number of source rows of a key is counted over the exchange the join needs
+anyway, and a filter on the joined row raises where a match meets more than one.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MULTI_MATCH_ERROR = "upsert: a target row is matched by more than one source row"
@@ -55,20 +52,17 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """The target after ``MERGE source ON keys WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *``."""
     src = _aligned(source, target)
     ok = _keys_not_null(keys)
-    t_ok, t_null = target.filter(ok), target.filter(~ok)
-    s_ok, s_null = src.filter(ok), src.filter(~ok)
-    t_keys = t_ok.select(*keys)
-
-    matched = t_keys.join(s_ok, on=keys, how="inner").select(*target.columns)
-    kept = t_ok.join(s_ok.select(*keys), on=keys, how="left_anti")
-    inserted = s_ok.join(t_keys, on=keys, how="left_anti")
-
-    repeated = (s_ok.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-                .filter(F.col("__n") > 1).select(*keys))
-    guard = _failing_rows(t_keys.join(repeated, on=keys, how="left_semi"), target, MULTI_MATCH_ERROR)
-
-    return (matched.unionByName(kept).unionByName(inserted)
-            .unionByName(t_null).unionByName(s_null).unionByName(guard))
+    rest = [c for c in target.columns if c not in keys]
+    count = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    s = src.filter(ok).withColumn("__rows", count).select(*keys, "__rows", *[F.col(c).alias(f"__new_{i}") for i, c in enumerate(rest)])
+    t = target.filter(ok).withColumn("__old", F.lit(True))
+    joined = t.join(s, on=keys, how="full_outer")
+    clash = F.col("__old") & (F.col("__rows") > 1)
+    checked = joined.filter(F.when(clash, F.raise_error(F.lit(MULTI_MATCH_ERROR)).cast("boolean")).otherwise(True))
+    new = F.col("__rows").isNotNull()
+    values = {c: F.when(new, F.col(f"__new_{i}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(rest)}
+    merged = checked.select(*[values.get(c, F.col(c)) for c in target.columns])
+    return merged.unionByName(target.filter(~ok)).unionByName(src.filter(~ok))
 
 
 def rows_if_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

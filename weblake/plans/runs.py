@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.dates import month_text, year_text
-from ..session import stage, unstage
+from ..session import stage, staging
 from ..sinks.jdbc import write_jdbc
 from ..sinks.tables import merge_into, read_table, table_exists
 from . import reports, sales, weblogs
@@ -72,22 +72,21 @@ def run_transform(spark: SparkSession, src: Sources, gold_root: str, as_of=None,
     stats = {"sales": merge_into(spark, f"{root}/sales", batch, schemas.SALES_KEYS, schemas.SALES,
                                  sales_partitions())}
 
-    # the enriched logs feed two tables: stage them once in the shared folder
-    enriched = stage(weblogs.enrich_weblogs(logs, src.ipsrangelist, mode=range_mode), "enriched-logs")
-    stats["devices"] = merge_into(spark, f"{root}/devices", weblogs.order_devices(enriched),
-                                  schemas.DEVICES_KEYS, schemas.DEVICES, visit_partitions())
-    stats["products"] = merge_into(spark, f"{root}/products", weblogs.product_visits(enriched, src.products),
-                                   schemas.PRODUCT_VISITS_KEYS, schemas.PRODUCT_VISITS, visit_partitions())
-    unstage(enriched)
+    with staging(spark):   # the enriched logs feed two tables: stage them once in the shared folder
+        enriched = stage(weblogs.enrich_weblogs(logs, src.ipsrangelist, mode=range_mode), "enriched-logs")
+        stats["devices"] = merge_into(spark, f"{root}/devices", weblogs.order_devices(enriched),
+                                      schemas.DEVICES_KEYS, schemas.DEVICES, visit_partitions())
+        stats["products"] = merge_into(spark, f"{root}/products", weblogs.product_visits(enriched, src.products),
+                                       schemas.PRODUCT_VISITS_KEYS, schemas.PRODUCT_VISITS, visit_partitions())
     return stats
 
 
 def gold_tables(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
     root = gold_root.rstrip("/")
     return {
-        "sales": read_table(spark, f"{root}/sales", schemas.SALES, schemas.SALES_PARTITIONS),
-        "devices": read_table(spark, f"{root}/devices", schemas.DEVICES, PARTITION_NAMES),
-        "products": read_table(spark, f"{root}/products", schemas.PRODUCT_VISITS, PARTITION_NAMES),
+        "sales": read_table(spark, f"{root}/sales", schemas.SALES),
+        "devices": read_table(spark, f"{root}/devices", schemas.DEVICES),
+        "products": read_table(spark, f"{root}/products", schemas.PRODUCT_VISITS),
     }
 
 

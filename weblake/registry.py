@@ -264,7 +264,7 @@ def q_stream_ingest(spark, d):
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    return read_table(spark, f"{base}/gold/products", schemas.PRODUCT_VISITS, runs.PARTITION_NAMES)
+    return read_table(spark, f"{base}/gold/products", schemas.PRODUCT_VISITS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

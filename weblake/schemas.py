@@ -49,8 +49,9 @@ def schema_from_json(doc: str | dict) -> StructType:
     if isinstance(doc, str):
         text = doc.strip()
         if not text.startswith("{"):
-            with open(doc, encoding="utf-8") as fh:
-                text = fh.read()
+            from pyspark.sql import SparkSession
+            spark = SparkSession.getActiveSession()   # the path may lie on any storage that Spark reads
+            text = "\n".join(r[0] for r in spark.read.text(doc, wholetext=True).collect())
         doc = json.loads(text)
     return StructType.fromJson(doc)
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -46,20 +51,28 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for lineage cuts and working tables.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
-    dir). Only when neither is set -- local tests -- a scratch folder is created
-    and registered.
+    dir). A local master without one gets a scratch folder of its own (tests); on
+    any other master the folder must be configured, because executors of a
+    cluster do not share a machine's temporary folder.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        sc.setCheckpointDir(conf)
-        return conf.rstrip("/")
-    local = tempfile.mkdtemp(prefix="weblake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
-    return local
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("no shared folder: set spark.checkpoint.dir to a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="weblake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current.rstrip("/")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+_scopes: list[list[str]] = []
 
 
 def stage(df, name: str = "stage"):
@@ -68,21 +81,41 @@ def stage(df, name: str = "stage"):
     Cuts the lineage like ``checkpoint()`` (later reads never recompute the
     inputs, and a lost executor only costs re-reading files), but stores the
     rows columnar and compressed, and keeps parquet pushdown on the reread.
+    The folder is deleted when the surrounding :func:`staging` scope ends, or
+    with :func:`unstage`; a stage that a returned DataFrame still reads belongs
+    to no scope and lives in the application's folder.
     """
-    import uuid
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.mode("overwrite").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._weblake_stage_path = path
     return out
 
 
+@contextmanager
+def staging(spark: SparkSession):
+    """Delete every folder staged inside the block when it ends, also on failure."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            _delete(spark, path)
+
+
 def unstage(df) -> None:
     """Delete the folder behind a DataFrame returned by :func:`stage` (call once
     every job reading it has finished)."""
     path = getattr(df, "_weblake_stage_path", None)
     if path:
-        spark = df.sparkSession
-        jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-        jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+        _delete(df.sparkSession, path)
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete the application's folder of stages (when no result reads them any more)."""
+    _delete(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")

@@ -1,16 +1,21 @@
-"""Gold tables on parquet: define, scan and merge a batch into them.
-
-A merge rewrites only the partitions it touches -- the partitions of the batch
-rows plus the partitions holding target rows the batch matches (a row whose
-partition value changes is removed from its old partition). The merged rows
-of those partitions are written with dynamic partition overwrite, which
-stages the new files and swaps whole partition folders at job commit; an
-incremental month therefore rewrites about one month of the table, not all of
-it. Partitions emptied by the merge are removed afterwards.
+"""Gold tables on parquet with atomic versions: define, scan and merge a batch.
+
+A table is a folder of immutable batches (``data/batch=<id>/<partitions>``), a
+manifest per version (a small parquet table naming the batch that holds each
+partition) and a commit log. Publishing the next version's log entry is the one
+step that makes a merge visible, so readers see the old version or the new one,
+and a merge that fails half way leaves only files that nothing refers to.
+
+A merge rewrites only the partitions it touches -- those of the batch rows and
+those holding target rows that the batch matches (a row whose partition value
+changes leaves its old partition). The touched partitions are a DataFrame that
+is joined, never collected. A writer may name its batch with an epoch: the log
+entry records it, and an epoch that was committed is skipped when it comes again.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,19 +23,31 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.upsert import upsert
-from ..session import stage, unstage
+from ..session import stage, staging
+from .commit_log import CommitLog
 
-HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
+BATCH = "batch"
+# a version: its manifest, the live batches, the partition columns, and the last epoch of every writer
+EMPTY = {"manifest": None, "batches": [], "partitions": [], "epochs": {}}
 
 
-def _fs(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+def _log(spark: SparkSession, path: str) -> CommitLog:
+    return CommitLog(spark, f"{path.rstrip('/')}/versions")
+
+
+def _latest(log: CommitLog) -> tuple[int, dict]:
+    """Number and entry of the newest version (0 and an empty entry if there is none)."""
+    ids = log.ids()
+    return (int(ids[-1]), log.read(ids[-1])) if ids else (0, EMPTY)
+
+
+def _publish(log: CommitLog, version: int, entry: dict) -> None:
+    if not log.publish(f"{version:012d}", entry):
+        raise RuntimeError(f"another writer has published version {version}: read the table and merge again")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
+    return bool(_log(spark, path).ids())
 
 
 def storage_schema(schema: StructType, partition_cols: list[str]) -> StructType:
@@ -41,56 +58,60 @@ def storage_schema(schema: StructType, partition_cols: list[str]) -> StructType:
 
 def define_table(spark: SparkSession, path: str, schema: StructType, partition_cols: list[str] | None = None,
                  replace: bool = False) -> None:
-    """Create an empty table at ``path`` (if absent, or always with ``replace``)."""
-    if table_exists(spark, path) and not replace:
-        return
-    pcols = list(partition_cols or [])
-    full = storage_schema(schema, pcols)
-    empty = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in full.fields])
-    writer = empty.write.mode("overwrite")
-    if pcols:
-        writer = writer.partitionBy(*pcols)
-    writer.parquet(path)
+    """Create an empty table at ``path`` (if absent, or always with ``replace``: drop and recreate)."""
+    log = _log(spark, path)
+    version, entry = _latest(log)
+    if version == 0 or replace:
+        _publish(log, version + 1, EMPTY | {"partitions": list(partition_cols or []), "epochs": entry["epochs"]})
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType, partition_cols: list[str] | None = None,
-               keep_partitions: bool = False) -> DataFrame:
-    """Scan a table with its declared schema (partition values stay text).
-    Partition columns that are not declared columns are dropped unless asked for."""
-    pcols = list(partition_cols or [])
-    df = spark.read.schema(storage_schema(schema, pcols)).parquet(path)
-    return df if keep_partitions else df.select(*schema.fieldNames())
+def _manifest(spark: SparkSession, entry: dict) -> DataFrame:
+    schema = StructType([StructField(c, StringType(), True) for c in [BATCH, *entry["partitions"]]])
+    return spark.read.schema(schema).parquet(entry["manifest"]) if entry["manifest"] else spark.createDataFrame([], schema)
 
 
-def _partition_dir(root: str, names: list[str], values: tuple) -> str:
-    parts = [f"{n}={HIVE_NULL if v is None else v}" for n, v in zip(names, values)]
-    return root.rstrip("/") + "/" + "/".join(parts)
+def _same_partition(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names], F.lit(True))
 
 
-def _partition_files(spark: SparkSession, path: str, depth: int) -> dict[str, set[str]]:
-    """Data files of every partition folder (one glob call): folder -> names."""
-    fs, _ = _fs(spark, path)
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/*" * (depth + 1))
-    out: dict[str, set[str]] = {}
-    for st in fs.globStatus(pattern) or []:
-        p = st.getPath()
-        name = str(p.getName())
-        if name.startswith(("_", ".")):
-            continue
-        out.setdefault(str(p.getParent().toUri().getPath()), set()).add(name)
-    return out
+def _rows(spark: SparkSession, path: str, entry: dict, schema: StructType) -> DataFrame:
+    """Rows of a version, with its partition columns. The live batches (one per merge still in
+    use) filter the scan's folders; the manifest join drops partitions that a later batch replaced."""
+    pnames = entry["partitions"]
+    full = storage_schema(schema, pnames)
+    if not entry["manifest"]:
+        return spark.createDataFrame([], full)
+    stored = StructType([f for f in full.fields if f.name not in pnames]
+                        + [StructField(BATCH, StringType()), *[StructField(n, StringType()) for n in pnames]])
+    data = spark.read.schema(stored).parquet(f"{path.rstrip('/')}/data")
+    data = data.filter(F.col(BATCH).isin(entry["batches"]))
+    live = _manifest(spark, entry)
+    return (data.join(live, (data[BATCH] == live[BATCH]) & _same_partition(data, live, pnames), "left_semi")
+            .select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in full.fields]))
 
 
-def _dir_key(spark: SparkSession, d: str) -> str:
-    return str(spark._jvm.org.apache.hadoop.fs.Path(d).toUri().getPath())
+def read_table(spark: SparkSession, path: str, schema: StructType, keep_partitions: bool = False) -> DataFrame:
+    """Scan the newest version with its declared schema (partition values stay text).
+    Partition columns that are not declared columns are dropped unless asked for."""
+    df = _rows(spark, path, _latest(_log(spark, path))[1], schema)
+    return df if keep_partitions else df.select(*schema.fieldNames())
 
 
-def _write_partitions(df: DataFrame, path: str, pnames: list[str]) -> None:
-    """Dynamic partition overwrite. Rows are first rebalanced on the partition
+def _write_batch(df: DataFrame, path: str, pnames: list[str]) -> str:
+    """Write rows as a new batch. Rows are first rebalanced on the partition
     columns: AQE then packs small partitions into few files and splits a large
     partition over several tasks (so a hot month never lands on one task)."""
-    (df.hint("rebalance", *pnames).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*pnames).parquet(path))
+    batch = uuid.uuid4().hex
+    writer = (df.hint("rebalance", *pnames) if pnames else df).write
+    (writer.partitionBy(*pnames) if pnames else writer).parquet(f"{path.rstrip('/')}/data/{BATCH}={batch}")
+    return batch
+
+
+def _batch_partitions(spark: SparkSession, path: str, batch: str, pnames: list[str]) -> DataFrame:
+    """One row per partition that holds rows of a batch (only partition columns are read)."""
+    schema = StructType([StructField(BATCH, StringType()), *[StructField(n, StringType()) for n in pnames]])
+    data = spark.read.schema(schema).option("basePath", f"{path.rstrip('/')}/data").parquet(f"{path.rstrip('/')}/data/{BATCH}={batch}")
+    return data.select(BATCH, *pnames).distinct()
 
 
 def _literal(value, dtype: str) -> Column:
@@ -102,68 +123,79 @@ def _literal(value, dtype: str) -> Column:
     return F.lit(value).cast(dtype)
 
 
+def _bounds(rows: DataFrame, cols: list[str], nulls: bool = False) -> Column:
+    """Every column inside the [min, max] that it has in ``rows``, or null if that may match too.
+    As literal bounds these reach the scan, which skips folders (partition columns) and row
+    groups (by their statistics)."""
+    lims = rows.agg(*[F.min(c).alias(f"lo{i}") for i, c in enumerate(cols)],
+                    *[F.max(c).alias(f"hi{i}") for i, c in enumerate(cols)]).first()
+    types = dict(rows.dtypes)
+
+    def near(i: int, c: str) -> Column:
+        inside = (F.lit(False) if lims[f"lo{i}"] is None else
+                  F.col(c).between(_literal(lims[f"lo{i}"], types[c]), _literal(lims[f"hi{i}"], types[c])))
+        return inside | F.col(c).isNull() if nulls else inside
+
+    return reduce(lambda a, b: a & b, [near(i, c) for i, c in enumerate(cols)])
+
+
 def merge_into(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], schema: StructType,
-               partitions: dict[str, Column] | None = None) -> dict:
-    """MERGE ``batch`` into the partitioned table at ``path`` on ``keys``.
+               partitions: dict[str, Column] | None = None, epoch: tuple[str, int] | None = None) -> dict:
+    """MERGE ``batch`` into the table at ``path`` on ``keys`` and publish the result as its next version.
 
     ``partitions`` maps partition column -> expression over the declared columns
-    (for columns of the schema itself pass ``F.col(name)``). Returns counts of
-    the partitions rewritten and removed.
+    (for columns of the schema itself pass ``F.col(name)``). ``epoch`` is
+    (writer, number): a number that the writer has committed before is skipped.
+    Returns the version, and whether the batch was applied.
     """
     parts = dict(partitions or {})
     pnames = list(parts)
-    if not pnames:
-        raise ValueError("merge_into needs at least one partition column")
-    define_table(spark, path, schema, pnames)
-    before = _partition_files(spark, path, len(pnames))
+    log = _log(spark, path)
+    version, entry = _latest(log)
+    if entry["manifest"] and entry["partitions"] != pnames:
+        raise ValueError(f"the table at {path} is partitioned by {entry['partitions']}, not {pnames}")
+    if epoch and entry["epochs"].get(epoch[0], -1) >= epoch[1]:
+        return {"version": version, "applied": False}
+    entry = entry | {"partitions": pnames}
     src = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     src = src.withColumns({n: e.cast("string") for n, e in parts.items()})
-    if not before:  # first load into an empty table: every batch row is inserted
-        _write_partitions(src, path, pnames)
-        return {"rewritten": len(_partition_files(spark, path, len(pnames))), "removed": 0}
-    # the batch is used twice (partition list, merge): materialise it once in the
-    # shared checkpoint folder, which also cuts its lineage back to the sources
-    src = stage(src, "merge-batch")
-    current = read_table(spark, path, schema, pnames, keep_partitions=True)
-
-    # partitions to rewrite: where matched target rows live, and where batch rows go.
-    # A matching target row has every key inside the batch's [min, max] for that
-    # key; as literal bounds these reach the parquet scan, which skips row groups
-    # by their statistics (a month of new ids or visits touches a thin slice).
-    lims = src.agg(*[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
-                   *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)]).first()
-    if lims[0] is None:
-        in_range = F.lit(False)
-    else:
-        types = dict(src.dtypes)
-        in_range = reduce(lambda a, b: a & b,
-                          [F.col(k).between(_literal(lims[f"lo{i}"], types[k]), _literal(lims[f"hi{i}"], types[k]))
-                           for i, k in enumerate(keys)])
-    batch_keys = src.select(*keys).distinct()
-    old = (current.filter(in_range).select(*keys, *pnames)
-           .join(batch_keys, on=keys, how="left_semi").select(*pnames))
-    touched = [tuple(r) for r in old.unionByName(src.select(*pnames)).distinct().collect()]
-    if not touched:
-        unstage(src)
-        return {"rewritten": 0, "removed": 0}
-
-    def same(values):
-        return reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(v) for n, v in zip(pnames, values)])
-    in_touched = reduce(lambda a, b: a | b, [same(v) for v in touched])
-
-    merged = upsert(current.filter(in_touched), src, keys)
-    _write_partitions(merged, path, pnames)
-    unstage(src)  # the merge has committed; the staged batch is no longer read
-
+    with staging(spark):
+        # the batch is used several times: materialise it once in the shared
+        # folder, which also cuts its lineage back to the sources
+        src = stage(src, "merge-batch")
+        current, old = _rows(spark, path, entry, schema), _manifest(spark, entry)
+        affected, kept = current, old.limit(0)
+        if pnames:
+            hit = current.filter(_bounds(src, keys)).join(src.select(*keys).distinct(), on=keys, how="left_semi")
+            touched = stage(hit.select(*pnames).unionByName(src.select(*pnames)).distinct(), "touched")
+            near = current.filter(_bounds(touched, pnames, nulls=True))
+            affected = near.join(touched, _same_partition(near, touched, pnames), "left_semi")
+            kept = old.join(touched, _same_partition(old, touched, pnames), "left_anti")
+        written = _write_batch(upsert(affected, src, keys), path, pnames)
+        manifest = f"{path.rstrip('/')}/manifests/{uuid.uuid4().hex}"
+        kept.unionByName(_batch_partitions(spark, path, written, pnames)).write.parquet(manifest)
+        entry = entry | {"manifest": manifest, "epochs": entry["epochs"] | ({epoch[0]: epoch[1]} if epoch else {})}
+        live = [r[0] for r in _manifest(spark, entry).select(BATCH).distinct().collect()]   # one per merge in use
+        _publish(log, version + 1, entry | {"batches": sorted(live)})
+    return {"version": version + 1, "applied": True}
+
+
+def vacuum(spark: SparkSession, path: str) -> int:
+    """Delete batches and manifests that the newest version does not use; returns how many.
+
+    Run it when no reader of an older version and no other writer is active."""
+    root = path.rstrip("/")
+    entry = _latest(_log(spark, path))[1]
+    used = {f"{BATCH}={b}" for b in entry["batches"]} | {(entry["manifest"] or "").rsplit("/", 1)[-1]}
     removed = 0
-    fs, _ = _fs(spark, path)
-    after = _partition_files(spark, path, len(pnames))
-    for v in touched:
-        d = _dir_key(spark, _partition_dir(path, pnames, v))
-        if before.get(d) and after.get(d) == before[d]:  # not rewritten: all its rows moved away
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(d), True)
-            removed += 1
-    return {"rewritten": len(touched) - removed, "removed": removed}
+    for folder in ("data", "manifests"):
+        jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
+        fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in fs.listStatus(jpath) if fs.exists(jpath) else []:
+            if status.getPath().getName() not in used:
+                fs.delete(status.getPath(), True)
+                removed += 1
+    return removed
 
 
 def append_text_lines(lines: DataFrame, path: str, partition_cols: list[str] | None = None) -> None:
@@ -175,9 +207,11 @@ def append_text_lines(lines: DataFrame, path: str, partition_cols: list[str] | N
 
 
 def write_table(df: DataFrame, path: str, partition_cols: list[str] | None = None, mode: str = "overwrite") -> None:
+    """Write plain parquet files. Overwriting replaces the whole table, not only the partitions
+    that ``df`` has rows for, whatever the session's partition overwrite mode."""
     if partition_cols:
         df = df.hint("rebalance", *partition_cols)
-    writer = df.write.mode(mode)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.parquet(path)

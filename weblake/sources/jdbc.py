@@ -48,7 +48,9 @@ def month_predicates(column: str, start: _dt.date, end: _dt.date, quote: str = "
     while (y, m) <= (end.year, end.month):
         months.append(_dt.date(y, m, 1))
         y, m = (y + 1, 1) if m == 12 else (y, m + 1)
-    if len(months) <= 1:
+    if not months:
+        return ["1 = 0"]   # start after end: no month, no rows
+    if len(months) == 1:
         return ["1 = 1"]
     c = _quote(column, quote)
     bound = [f"'{d.isoformat()} 00:00:00'" for d in months]

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from .. import schemas
 
 
+def with_log_format(reader, schema=schemas.WEBLOGS):
+    """Reader options of the log layout (for a batch or a streaming reader)."""
+    return reader.schema(schema).option("sep", " ").option("quote", '"').option("mode", "PERMISSIVE")
+
+
 def read_weblogs(spark: SparkSession, root: str, year: int | None = None, month: int | None = None,
                  schema=schemas.WEBLOGS) -> DataFrame:
     """Space-separated, ``"``-quoted log lines under ``root``.
@@ -16,12 +21,7 @@ def read_weblogs(spark: SparkSession, root: str, year: int | None = None, month:
     and a month is selected with a partition filter, which prunes the listing to
     that folder. Short lines are padded with nulls (permissive mode).
     """
-    df = (spark.read
-          .option("sep", " ")
-          .option("quote", '"')
-          .option("mode", "PERMISSIVE")
-          .schema(schema)
-          .csv(root))
+    df = with_log_format(spark.read, schema).csv(root)
     if year is not None:
         df = df.filter(F.col("year") == year)
     if month is not None:

@@ -3,9 +3,10 @@
 The landing folder is read as a stream of new files (``year=``/``month=``
 folders are discovered, each file is processed once; progress lives in the
 checkpoint location). Every micro-batch is enriched and merged into the two
-gold tables. The merge is an upsert on each table's key, so replaying a batch
-after a failure leaves the tables unchanged: the at-least-once batch delivery
-of ``foreachBatch`` becomes exactly-once table content.
+gold tables, each merge published with the stream's epoch number: a micro-batch
+that is delivered again finds its epoch in the table's log and is skipped, also
+if it holds null keys or repeated keys. Delivery at least once thus becomes table
+content exactly once, per table (the two tables are two commits).
 
 Run with ``available_now=True`` (process everything present, then stop) from a
 scheduler in place of a monthly batch job, or continuously with a
@@ -19,28 +20,29 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..plans import weblogs
 from ..plans.runs import visit_partitions
-from ..session import stage, unstage
+from ..session import stage, staging
 from ..sinks.tables import merge_into
+from ..sources.logs import with_log_format
 
 
 def start_weblog_ingest(spark: SparkSession, landing_root: str, gold_root: str, ranges: DataFrame,
                         products: DataFrame, checkpoint_location: str, available_now: bool = True,
                         max_files_per_trigger: int | None = None, processing_time: str = "1 minute"):
     """Start the stream; returns the ``StreamingQuery``."""
-    reader = (spark.readStream.schema(schemas.WEBLOGS)
-              .option("sep", " ").option("quote", '"').option("mode", "PERMISSIVE"))
+    reader = with_log_format(spark.readStream)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     logs = reader.csv(landing_root)
-    root = gold_root.rstrip("/")
+    root, stream = gold_root.rstrip("/"), checkpoint_location.rstrip("/")   # epochs count per checkpoint
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        enriched = stage(weblogs.enrich_weblogs(batch, ranges), f"stream-enriched-{epoch_id}")
-        merge_into(batch.sparkSession, f"{root}/devices", weblogs.order_devices(enriched),
-                   schemas.DEVICES_KEYS, schemas.DEVICES, visit_partitions())
-        merge_into(batch.sparkSession, f"{root}/products", weblogs.product_visits(enriched, products),
-                   schemas.PRODUCT_VISITS_KEYS, schemas.PRODUCT_VISITS, visit_partitions())
-        unstage(enriched)
+        session = batch.sparkSession
+        with staging(session):
+            enriched = stage(weblogs.enrich_weblogs(batch, ranges), f"stream-enriched-{epoch_id}")
+            merge_into(session, f"{root}/devices", weblogs.order_devices(enriched), schemas.DEVICES_KEYS, schemas.DEVICES,
+                       visit_partitions(), epoch=(stream, epoch_id))
+            merge_into(session, f"{root}/products", weblogs.product_visits(enriched, products), schemas.PRODUCT_VISITS_KEYS,
+                       schemas.PRODUCT_VISITS, visit_partitions(), epoch=(stream, epoch_id))
 
     writer = logs.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
