@@ -180,23 +180,28 @@ def _segments(docs: DataFrame, text_col: str, k: int, fragments: int, hot) -> Da
     return docs.select(text_col).mapInArrow(run, SEGMENT_ROW)
 
 
+def _several(sig: np.ndarray, n: np.ndarray, hashes: np.ndarray):
+    """The elements whose n-gram lies in more than one class, with the n-gram's count (two bytes)."""
+    order = np.argsort(hashes)
+    sig, n, hashes = sig[order], n[order], hashes[order]
+    first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])[:len(hashes)])
+    size = np.diff(np.append(first, len(hashes)))
+    shared = np.minimum.reduceat(sig, first) != np.maximum.reduceat(sig, first) if len(first) else np.zeros(0, bool)
+    keep = np.repeat(shared, size)
+    return sig[keep], n[keep], hashes[keep], np.repeat(np.minimum(size[shared], 0xFFFE), size[shared]).astype(np.uint16)
+
+
 def _shared(segments: DataFrame, fragments: int) -> DataFrame:
     """Per fragment: the n-grams of more than one class, with that count, by class bucket."""
     def run(key, table):
         part = key[0].as_py()
         sig, n, hashes, _ = _unpack(table)
         if part >= fragments:
-            df = np.full(len(sig), 0xFFFF, dtype=np.uint16)
-            bucket = np.full(len(sig), part - fragments, dtype=np.int64)
+            df, bucket = np.full(len(sig), 0xFFFF, dtype=np.uint16), np.full(len(sig), part - fragments, dtype=np.int64)
         else:
-            order = np.argsort(hashes)
-            sig, n, hashes = sig[order], n[order], hashes[order]
-            first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
-            size = np.diff(np.append(first, len(hashes)))
-            low, high = np.minimum.reduceat(sig, first), np.maximum.reduceat(sig, first)
-            several = np.repeat(low != high, size)
-            df = np.repeat(np.minimum(size, 0xFFFE), size)[several].astype(np.uint16)
-            sig, n, hashes = sig[several], n[several], hashes[several]
+            quarter = (hashes >> U64(20)) & U64(3)   # a quarter of the n-grams at a time, to hold less
+            found = [_several(sig[q], n[q], hashes[q]) for q in (np.flatnonzero(quarter == i) for i in range(4))]
+            sig, n, hashes, df = (np.concatenate(x) for x in zip(*found))
             bucket = _bucket(sig, fragments)
         order = np.lexsort((hashes, sig, bucket))
         out = _pack(bucket[order], sig[order], n[order], hashes[order], df[order])
