@@ -55,7 +55,7 @@ def test_pick_one_per_key_brute_force(spark):
 
 def test_catalog_build_properties(spark):
     products = spark.createDataFrame([(p, float(p)) for p in range(1, 41)], "ProductId bigint, DefaultPrice double")
-    companies = spark.createDataFrame([(c, c <= 4) for c in range(1, 11)], "CompanyId bigint, IsSupplier boolean")
+    companies = spark.createDataFrame([(c, c <= 4, 7 * c) for c in range(1, 11)], "CompanyId bigint, IsSupplier boolean, k bigint")
     existing = spark.createDataFrame([(1, 1, 5, None, 123.0)],
                                      "CatalogId bigint, ProductId bigint, CompanyId bigint, SupplierId bigint, Price double")
     out = C.catalog_build(existing, products, companies, 3).collect()
@@ -64,6 +64,7 @@ def test_catalog_build_properties(spark):
     assert sorted(r.CatalogId for r in out) == list(range(1, len(out) + 1))
     assert [r.Price for r in out if (r.CompanyId, r.ProductId) == (5, 1)] == [123.0]  # existing row wins
     sup = {(r.ProductId, r.CompanyId): r.Price for r in out if r.CompanyId <= 4}
+    assert len(sup) == 7 + 14 + 21 + 28   # the output grows with the sum of the sizes
     for r in out:
         if r.CompanyId > 4 and r.CatalogId != 1:
             assert (r.ProductId, r.SupplierId) in sup and 1 <= r.Price - sup[(r.ProductId, r.SupplierId)] <= 29
@@ -77,3 +78,18 @@ def test_positional_join_zips_to_shorter(spark):
     b = spark.createDataFrame([(i, f"b{i}") for i in range(7)], "ib int, vb string")
     got = sorted((r.va, r.vb) for r in positional_join(a, b, ["ia"], [F.desc("ib")]).collect())
     assert got == sorted((f"a{i}", f"b{6 - i}") for i in range(7))
+
+
+def test_samples_of_two_groups_are_not_windows_of_one_order(spark):
+    n, k = 600, 60
+    items = spark.range(n).withColumnRenamed("id", "item")
+    groups = spark.createDataFrame([(g, k) for g in range(40)], "g bigint, k bigint")
+    order = {r.item: r.p for r in rank_by_hash(items, "item", 4, "w", name="p").collect()}
+    picked = {}
+    for r in sample_per_group(groups, "g", "k", items, "item", 4, "w").collect():
+        picked.setdefault(r.g, set()).add(order[r.item])
+    assert all(len(v) == k for v in picked.values())
+    windows = sum(1 for v in picked.values() if any(v == {(s + i) % n for i in range(k)} for s in range(n)))
+    assert windows <= 2
+    overlaps = [len(picked[a] & picked[b]) for a in picked for b in picked if a < b]
+    assert 0.5 * k * k / n < sum(overlaps) / len(overlaps) < 2 * k * k / n and max(overlaps) < k

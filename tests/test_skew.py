@@ -1,11 +1,14 @@
 """Hot keys: a third of the rows on one key must give whole, correct results."""
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from weblake.operators import quality as Q
-from weblake.operators.range_join import ip_range_join
+from weblake.operators.range_join import MAX_BLOCKS, ip_range_join, range_blocks
 from weblake.operators.sampling import sample_per_group
 from weblake.operators.upsert import upsert
+from weblake.plans.weblogs import product_visits
 
 
 def test_range_join_hot_block_and_junk(spark):
@@ -55,9 +58,9 @@ def test_quality_hot_foreign_key(spark):
     assert dup == 100
 
 
-def test_hot_block_is_split_by_aqe_when_not_broadcast(spark):
-    """Without a broadcast, the /16 block join is a sort-merge join and AQE
-    splits the partition of a block holding a third of the log rows."""
+@contextmanager
+def _skew_conf(spark):
+    """No broadcasts, small skew thresholds: joins are sort-merge joins that AQE may split."""
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
@@ -66,8 +69,21 @@ def test_hot_block_is_split_by_aqe_when_not_broadcast(spark):
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def test_hot_block_is_split_by_aqe_when_not_broadcast(spark):
+    """Without a broadcast, the block join is a sort-merge join and AQE
+    splits the partition of a block holding a third of the log rows."""
+    with _skew_conf(spark):
         ids = spark.range(0, 300000)
-        host = (F.when(F.col("id") % 3 == 0, F.concat(F.lit("10.1."), (F.col("id") % 200).cast("string"), F.lit(".1")))
+        host = (F.when(F.col("id") % 3 == 0, F.concat(F.lit("10.1.1."), (F.col("id") % 200).cast("string")))
                 .otherwise(F.concat((F.col("id") % 200 + 20).cast("string"), F.lit("."),
                                     (F.col("id") % 7).cast("string"), F.lit(".1.1"))))
         ranges = spark.createDataFrame([("HOT", "10.1.0.0-10.1.255.255")]
@@ -76,9 +92,29 @@ def test_hot_block_is_split_by_aqe_when_not_broadcast(spark):
         df = ip_range_join(ids.select(host.alias("host")), ranges)
         assert len(df.collect()) == 300000
         assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+
+
+def test_hot_product_is_split_by_aqe(spark):
+    with _skew_conf(spark):
+        i = F.col("id")
+        enriched = spark.range(0, 300000).select(
+            F.concat(F.lit("10.1."), (i % 250).cast("string"), F.lit("."), F.floor(i / 250).cast("string")).alias("HostIp"), F.lit("A").alias("Country"),
+            F.timestamp_seconds(i).cast("timestamp_ntz").alias("VisitedAt"), F.lit("product").alias("PageType"),
+            F.when(i % 2 == 0, F.lit("7")).otherwise((i % 500).cast("string")).alias("Id"))
+        products = spark.range(0, 500).select(F.col("id").alias("ProductId"), F.concat(F.lit("p"), F.col("id")).alias("ProductName"))
+        df = product_visits(enriched, products)
+        assert len(df.collect()) == 300000
+        assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_wide_ranges_make_few_blocks(spark):
+    ranges = spark.createDataFrame([(f"w{i}", "0.0.0.0-255.255.255.255") for i in range(1000)]
+                                   + [("one", "1.2.3.4-1.2.3.4"), ("odd", "9.255.255.255-10.0.0.0"), ("big", "1.0.0.1-200.0.0.1")],
+                                   "country string, iprange string")
+    per = {r.country: r["count"] for r in range_blocks(ranges).groupBy("country").count().collect()}
+    assert len(per) == 1003 and max(per.values()) <= MAX_BLOCKS and per["one"] == 1
+    logs = spark.createDataFrame([("1.2.3.4",), ("10.0.0.0",), ("255.255.255.255",), ("200.0.0.2",)], "host string")
+    got = {(r.host, r.country) for r in ip_range_join(logs, ranges).filter("country not like 'w%'").collect()}
+    assert got == {("1.2.3.4", "one"), ("1.2.3.4", "big"), ("10.0.0.0", "odd"), ("10.0.0.0", "big")}
+    assert ip_range_join(logs, ranges).count() == 4000 + 4
+    assert ip_range_join(logs, ranges.limit(0)).count() == 0

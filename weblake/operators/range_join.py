@@ -1,12 +1,15 @@
 """IPv4 interval join: attach to each log row every range that contains its host.
 
 A plain ``BETWEEN`` join condition gives Catalyst no equality to hash or sort on,
-so it plans a Cartesian / nested-loop join. Here each range is cut into the /16
-blocks it touches (at most 65,536 for all of IPv4), the host's block becomes an
-equi-join key, and the exact ``BETWEEN`` is applied to the candidates. Spark
-then picks a broadcast hash join when the block table is small (its size is
-checked by the planner and again at runtime by AQE) and a sort-merge join
-otherwise; AQE's skew handling splits a hot block on the log side.
+so it plans a Cartesian / nested-loop join. Here each range is cut into aligned
+blocks of a size that suits it: the finest multiple of four bits at which it
+touches at most ``MAX_BLOCKS`` blocks. A host probes each block size that the
+ranges use (at most nine), the (size, block) pair is the equi-join key, and the
+exact ``BETWEEN`` is applied to the candidates. However wide a range is, it
+makes at most ``MAX_BLOCKS`` rows, so the planner's size estimate of the block
+table, which does not see the fan-out of an explode, is off by that constant at
+most. Spark picks a broadcast hash join when the block table is small and a
+sort-merge join otherwise; AQE's skew handling splits a hot block on the log side.
 """
 
 from __future__ import annotations
@@ -17,25 +20,30 @@ from pyspark.sql import functions as F
 from ..functions.ip import (ip_to_long, is_ipv4, range_end_text, range_start_text, two_octet_key,
                            valid_ip_to_long)
 
-BLOCK_BITS = 16
+STEP_BITS = 4
+MAX_BLOCKS = 17   # a range at its size touches at most this many blocks
 
 
-def range_blocks(ranges: DataFrame, range_col: str = "iprange", block_bits: int = BLOCK_BITS) -> DataFrame:
-    """Distinct ranges with numeric bounds, one row per /``32-block_bits`` block covered."""
+def range_blocks(ranges: DataFrame, range_col: str = "iprange") -> DataFrame:
+    """Distinct ranges with numeric bounds, one row per block covered (``__bits``, ``__block``)."""
     r = (ranges.distinct()
          .withColumn("__lo", ip_to_long(range_start_text(range_col)))
          .withColumn("__hi", ip_to_long(range_end_text(range_col)))
          .filter(F.col("__lo") <= F.col("__hi")))
-    return r.withColumn("__block", F.explode(F.sequence(F.shiftright("__lo", block_bits),
-                                                        F.shiftright("__hi", block_bits))))
+    fits = F.lit(32)
+    for bits in range(32 - STEP_BITS, -1, -STEP_BITS):   # the finest size that fits comes last
+        touched = F.shiftright("__hi", bits) - F.shiftright("__lo", bits) + 1
+        fits = F.when(touched <= MAX_BLOCKS, bits).otherwise(fits)
+    r = r.withColumn("__bits", fits)
+    shift = F.pow(F.lit(2), F.col("__bits")).cast("bigint")
+    return r.withColumn("__block", F.explode(F.sequence(F.floor(F.col("__lo") / shift), F.floor(F.col("__hi") / shift))))
 
 
 def ip_range_join(logs: DataFrame, ranges: DataFrame, host_col: str = "host",
-                  range_col: str = "iprange", mode: str = "exact",
-                  block_bits: int = BLOCK_BITS) -> DataFrame:
+                  range_col: str = "iprange", mode: str = "exact") -> DataFrame:
     """Inner join of ``logs`` with every range (``start-end``, inclusive) holding the host.
 
-    ``mode="exact"``: block-exploded equi join + exact bounds (default).
+    ``mode="exact"``: equi join on blocks + exact bounds (default).
     ``mode="two_octet"``: the legacy coarse key -- the first two octets of host and
     range start concatenated -- then the bounds; it loses ranges wider than a /16
     and is kept for comparison only.
@@ -48,9 +56,15 @@ def ip_range_join(logs: DataFrame, ranges: DataFrame, host_col: str = "host",
     # IPv6 traffic never piles up on one join key), then parse once.
     lg = logs.filter(is_ipv4(host_col)).withColumn("__ip", valid_ip_to_long(host_col))
     if mode == "exact":
-        blocks = range_blocks(ranges, range_col, block_bits)
-        lg = lg.withColumn("__block", F.shiftright("__ip", block_bits))
-        joined = lg.join(blocks, on="__block", how="inner")
+        blocks = range_blocks(ranges, range_col)
+        sizes = sorted(r[0] for r in blocks.select("__bits").distinct().collect())   # at most nine
+        probes = [F.struct(F.lit(b).alias("bits"), F.shiftright("__ip", b).alias("block")) for b in sizes]
+        if len(probes) > 1:
+            lg = lg.withColumn("__probe", F.explode(F.array(*probes)))
+        else:
+            lg = lg.withColumn("__probe", probes[0] if probes else F.struct(F.lit(0).alias("bits"), F.col("__ip").alias("block")))
+        lg = lg.withColumns({"__bits": F.col("__probe.bits"), "__block": F.col("__probe.block")}).drop("__probe")
+        joined = lg.join(blocks, on=["__bits", "__block"], how="inner")
     elif mode == "two_octet":
         rk = (ranges.distinct()
               .withColumn("__key", two_octet_key(range_col))

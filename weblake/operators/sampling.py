@@ -6,8 +6,9 @@ task order -- and equals the same md5 computation in any SQL engine.
 
 ``sample_per_group`` takes k distinct items for each group. Items are put in
 a seeded random order (a global sort on their hash, numbered 0..n-1); a group
-takes the k consecutive positions starting at its own seeded offset (wrapping
-around). Work is proportional to the output size (sum of k), never to
+walks that order from its own seeded start with its own seeded stride, which is
+coprime to n, so its k positions are distinct and differ from those of any other
+group. Work is proportional to the output size (sum of k), never to
 groups x items, and a group with a very large k is cut into chunks that are
 spread over tasks before its positions are generated.
 """
@@ -22,6 +23,20 @@ BUCKET_HEX = 3         # 4096 hash buckets for a global order
 WITHIN_BUCKET_HEX = 1  # 16 per key: splits a hot key without multiplying small keys
 
 
+def _primes(above: int, count: int) -> tuple[int, ...]:
+    """The first ``count`` primes over ``above`` (trial division: a few milliseconds)."""
+    found, x = [], above | 1
+    while len(found) < count:
+        x += 2
+        if all(x % d for d in range(3, int(x ** 0.5) + 1, 2)):
+            found.append(x)
+    return tuple(found)
+
+
+# A product of two primes larger than n is coprime to n: strides for up to 2**30 items.
+WALK_PRIMES = _primes(1 << 30, 48)
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -83,7 +98,14 @@ def sample_per_group(groups: DataFrame, group_col: str, k_col: str, items: DataF
     """
     n = items.select(F.count(F.lit(1))).scalar()
     ranked = rank_by_hash(items, item_col, seed, salt)
+    primes = F.array(*[F.lit(p).cast("bigint") for p in WALK_PRIMES])
+
+    def factor(part: str) -> Column:
+        index = F.pmod(seeded_draw(seed, F.lit(f"{salt}-stride-{part}"), group_col), F.lit(len(WALK_PRIMES))) + 1
+        return F.pmod(F.element_at(primes, index.cast("int")), n)
+
     g = (groups.withColumn("__k", F.least(F.col(k_col).cast("bigint"), n))
+         .withColumn("__step", F.when(n > 0, F.pmod(factor("a") * factor("b"), n)))
          .withColumn("__off", F.when(n > 0, F.pmod(seeded_draw(seed, F.lit(salt + "-offset"), group_col), n)))
          .filter(F.col("__k") > 0))
     # Chunk rows are few and small, so AQE would coalesce their shuffle into one
@@ -96,7 +118,7 @@ def sample_per_group(groups: DataFrame, group_col: str, k_col: str, items: DataF
               .repartition(slots, group_col, "__chunk"))
     idx = chunks.withColumn("__i", F.explode(F.sequence(F.col("__chunk") * chunk,
                                                         F.least(F.col("__k"), (F.col("__chunk") + 1) * chunk) - 1)))
-    idx = idx.withColumn("__pos", F.pmod(F.col("__off") + F.col("__i"), n)).drop("__k", "__off", "__chunk", "__i")
+    idx = idx.withColumn("__pos", F.pmod(F.col("__off") + F.col("__i") * F.col("__step"), n)).drop("__k", "__off", "__step", "__chunk", "__i")
     # The position side grows with sum(k) but its size estimate does not (an
     # explode hides the fan-out), so never let the planner broadcast it.
     return idx.join(ranked.hint("merge"), on="__pos", how="inner").drop("__pos")

@@ -6,8 +6,10 @@ are inlined as common table expressions.
 
 from __future__ import annotations
 
-from .functions.ip import IPV4_PATTERN
-from .functions.text import DEVICE_PATTERN
+# the oracles' own patterns: a dotted quad of numbers up to 255, and the text in the first brackets
+OCTET = "(0|[1-9][0-9]?|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
+DOTTED_QUAD = "[.]".join([OCTET] * 4)
+FIRST_BRACKETS = "[(]([^)]*)[)]"
 
 FIXTURE_VIEWS = {
     "src_customers": "select c_custkey as CustomerId, c_name as CustomerName from customer",
@@ -17,13 +19,13 @@ FIXTURE_VIEWS = {
     "src_orders": "select o_orderkey as OrderId, o_custkey as CustomerId, o_orderdate as OrderDate from orders",
     "src_orderitems": "select l_orderkey * 10 + l_linenumber as OrderItemId, l_orderkey as OrderId, min(l_partkey) as CatalogId from lineitem group by l_orderkey, l_linenumber",
     "src_ipsrangelist": "select n_name as country, concat(cast(n_nationkey * 9 + 10 as string), '.', cast(n_nationkey % 4 as string), '.0.0-', cast(n_nationkey * 9 + 10 as string), '.', cast(case when n_nationkey % 5 = 0 then n_nationkey % 4 + 2 else n_nationkey % 4 end as string), case when n_nationkey % 5 = 0 then '.255.255' else '.199.255' end) as iprange from nation",
-    "src_weblogs": "select event_id, concat(cast((user_id % 25) * 9 + 10 as string), '.', cast((user_id % 25) % 4 + case when event_id % 3 = 0 then 1 else 0 end as string), '.', cast(event_id % 256 as string), '.', cast(user_id % 256 as string)) as host, '-' as ident, case when event_type = 'error' then 'unknown' else concat('customer#', lpad(cast(user_id as string), 9, '0')) end as username, cast(cast(ts as date) as string) as date, concat(lpad(cast(hour(ts) as string), 2, '0'), ':', lpad(cast(minute(ts) as string), 2, '0'), ':', lpad(cast(cast(floor(second(ts)) as int) as string), 2, '0')) as time, '-' as request, '200' as status, '-' as size, case when event_type = 'purchase' then concat('http://shop.example.com/orders/', cast(event_id as string)) when event_type in ('view', 'click') then concat('http://shop.example.com/products/', cast(event_id % 200 as string)) when event_type = 'signup' then 'http://shop.example.com/account/new' else 'http://shop.example.com' end as referer, case when event_id % 4 = 0 then 'curl/7.81' when event_id % 4 = 1 then 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) Gecko' when event_id % 4 = 2 then 'Mozilla/5.0 (X11; Linux x86_64) Gecko' else 'Mozilla/5.0 (iPhone; CPU iPhone OS 15_0) Safari (x)' end as useragent from events",
+    "src_weblogs": "select event_id, concat(cast((user_id % 25) * 9 + 10 as string), '.', cast((user_id % 25) % 4 + case when event_id % 3 = 0 then 1 else 0 end as string), '.', cast(event_id % 256 as string), '.', cast(user_id % 256 as string)) as host, '-' as ident, case when event_type = 'error' then 'unknown' else concat('customer#', lpad(cast(user_id as string), 9, '0')) end as username, cast(cast(ts as date) as string) as date, concat(lpad(cast(hour(ts) as string), 2, '0'), ':', lpad(cast(minute(ts) as string), 2, '0'), ':', lpad(cast(cast(floor(second(ts)) as int) as string), 2, '0')) as time, '-' as request, '200' as status, '-' as size, case when event_type = 'purchase' then concat('http://shop.example.com/orders/', cast(event_id as string)) when event_type in ('view', 'click') then concat('http://shop.example.com/products/', cast(event_id % 200 as string)) when event_type = 'signup' then 'http://shop.example.com/account/new' else 'http://shop.example.com' end as referer, ['curl/7.81', 'Mozilla/5.0 (Windows NT 10.0; Win64; x64) Gecko', 'Mozilla/5.0 (X11; Linux x86_64) Gecko', 'Mozilla/5.0 (iPhone; CPU iPhone OS 15_0) Safari (x)', 'Mozilla/5.0 (Macintosh; Intel Mac OS X 12_1) Safari', 'Mozilla/5.0 (Linux; Android 12; Pixel 6) Chrome', 'Mozilla/5.0 (compatible) Bot'][event_id % 7 + 1] as useragent from events",
 }
 
 
 def ip_sql(x: str) -> str:
     parts = " + ".join(f"cast(split_part({x}, '.', {i + 1}) as bigint) * {256 ** (3 - i)}" for i in range(4))
-    return f"(case when regexp_full_match({x}, '{IPV4_PATTERN}') then {parts} end)"
+    return f"(case when regexp_full_match({x}, '{DOTTED_QUAD}') then {parts} end)"
 
 
 def range_start_sql(r: str) -> str:
@@ -55,7 +57,7 @@ PARSED_LOGS = f"""select host as HostIp, username as Username,
   try_strptime(date || ' ' || time, '%Y-%m-%d %H:%M:%S') as VisitedAt,
   case string_split(referer, '/')[4] when 'products' then 'product' when 'orders' then 'order' end as PageType,
   string_split(referer, '/')[5] as Id,
-  '[' || replace(regexp_extract(useragent, '{DEVICE_PATTERN}', 1), ';', ', ') || ']' as Device,
+  '[' || replace(regexp_extract(useragent, '{FIRST_BRACKETS}', 1), ';', ', ') || ']' as Device,
   strftime(try_cast(date as date), '%Y') as year_partition,
   strftime(try_cast(date as date), '%m') as month_partition,
   {ip_sql('host')} as ip
@@ -107,27 +109,33 @@ def hash_sql(*parts: str) -> str:
     return f"md5(concat_ws(':', {', '.join(f'cast({p} as varchar)' for p in parts)}))"
 
 
+def _walk_sql(groups: str, salt: str, seed: str, n: str, k: str, inc: int) -> str:
+    """Groups with their price increment, sample size, start and stride (a product of two of the walk's primes)."""
+    from .operators.sampling import WALK_PRIMES
+    primes = str(list(WALK_PRIMES))
+    pick = " * ".join(f"({primes}[{draw_sql(seed, repr(salt + x), 'CompanyId')} % {len(WALK_PRIMES)} + 1] % n)" for x in ("-stride-a", "-stride-b"))
+    return f"""select CompanyId, least(k, n) as k, {draw_sql(seed, repr(salt + '-inc'), 'CompanyId')} % {inc} + 1 as inc,
+             {draw_sql(seed, repr(salt + '-offset'), 'CompanyId')} % n as off, ({pick}) % n as stride, n
+           from ({groups}) g, {n}"""
+
+
 def catalog_ctes(seed: int) -> list[tuple[str, str]]:
     sd = f"'{seed}'"
+    sized = """select CompanyId, coalesce(k, 0) as k from src_companies
+               left join (select l_suppkey as CompanyId, count(distinct l_partkey) as k from lineitem group by 1) using (CompanyId) where {}"""
     return [
         ("prod", "select p_partkey as ProductId, p_retailprice as DefaultPrice from part"),
         ("prod_n", "select count(*) as n from prod"),
         ("prod_ranked", f"select ProductId, DefaultPrice, row_number() over (order by {hash_sql(sd, repr('supplier'), 'ProductId')}) - 1 as pos from prod"),
-        ("sup", f"""select CompanyId, least({draw_sql(sd, "'supplier-k'", 'CompanyId')} % n + 1, n) as k,
-             {draw_sql(sd, "'supplier-inc'", 'CompanyId')} % 9 + 1 as inc,
-             {draw_sql(sd, "'supplier-offset'", 'CompanyId')} % n as off, n
-           from src_companies, prod_n where IsSupplier"""),
-        ("sup_idx", "select CompanyId, inc, (off + unnest(range(k))) % n as pos from sup"),
+        ("sup", _walk_sql(sized.format("IsSupplier"), "supplier", sd, "prod_n", "k", 9)),
+        ("sup_idx", "select CompanyId, inc, (off + unnest(range(k)) * stride) % n as pos from sup"),
         ("sup_rows", """select p.ProductId, s.CompanyId, cast(null as bigint) as SupplierId, p.DefaultPrice + s.inc as Price
            from sup_idx s join prod_ranked p on s.pos = p.pos"""),
         ("offered", "select distinct ProductId from sup_rows"),
         ("offered_n", "select count(*) as n from offered"),
         ("offered_ranked", f"select ProductId, row_number() over (order by {hash_sql(sd, repr('company'), 'ProductId')}) - 1 as pos from offered"),
-        ("com", f"""select CompanyId, least({draw_sql(sd, "'company-k'", 'CompanyId')} % n + 1, n) as k,
-             {draw_sql(sd, "'company-inc'", 'CompanyId')} % 29 + 1 as inc,
-             {draw_sql(sd, "'company-offset'", 'CompanyId')} % n as off, n
-           from src_companies, offered_n where not IsSupplier"""),
-        ("com_idx", "select CompanyId, inc, (off + unnest(range(k))) % n as pos from com"),
+        ("com", _walk_sql(sized.format("not IsSupplier"), "company", sd, "offered_n", "k", 29)),
+        ("com_idx", "select CompanyId, inc, (off + unnest(range(k)) * stride) % n as pos from com"),
         ("com_pick", "select c.CompanyId, c.inc, o.ProductId from com_idx c join offered_ranked o on c.pos = o.pos"),
         ("opts", f"""select ProductId, CompanyId as SupplierId, Price as sp,
              row_number() over (partition by ProductId order by {hash_sql(sd, repr('offer'), 'ProductId', 'CompanyId')}) - 1 as opt,

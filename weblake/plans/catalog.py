@@ -3,7 +3,9 @@
 Suppliers each offer a seeded random subset of the products at the product's
 default price plus a per-supplier increment; companies each sell a seeded
 random subset of the *offered* products, buying each from one seeded random
-supplier of it, at that supplier's price plus a per-company increment. New
+supplier of it, at that supplier's price plus a per-company increment. The size
+of a list (column ``k``) is given with the company, so the output grows with the
+sum of the sizes, not with companies x products. New
 (CompanyId, ProductId) pairs are added to the existing catalog -- existing rows
 win -- and receive serial CatalogIds after the current maximum.
 """
@@ -33,13 +35,11 @@ def _between(draw, lo: int, hi: int):
 def supplier_price_list(products: DataFrame, suppliers: DataFrame, seed) -> DataFrame:
     """(ProductId, CompanyId=supplier, SupplierId=null, Price=default+increment).
 
-    ``products``: ProductId, DefaultPrice. ``suppliers``: CompanyId.
-    Each supplier offers k products, k uniform in 1..n.
+    ``products``: ProductId, DefaultPrice. ``suppliers``: CompanyId, k
+    (the number of products on offer, at most all).
     """
-    n = products.select(F.count(F.lit(1))).scalar()
     s = suppliers.select(
-        "CompanyId",
-        (F.pmod(seeded_draw(seed, F.lit("supplier-k"), "CompanyId"), n) + 1).alias("__k"),
+        "CompanyId", F.col("k").alias("__k"),
         _between(seeded_draw(seed, F.lit("supplier-inc"), "CompanyId"), *SUPPLIER_INCREMENT).alias("__inc"))
     picked = sample_per_group(s, "CompanyId", "__k", products.select("ProductId", "DefaultPrice"),
                               "ProductId", seed, "supplier")
@@ -50,15 +50,13 @@ def supplier_price_list(products: DataFrame, suppliers: DataFrame, seed) -> Data
 def company_price_list(offers: DataFrame, companies: DataFrame, seed) -> DataFrame:
     """(ProductId, CompanyId, SupplierId, Price=supplier price+increment).
 
-    ``offers``: ProductId, CompanyId (the supplier), Price. ``companies``: CompanyId.
+    ``offers``: ProductId, CompanyId (the supplier), Price. ``companies``: CompanyId, k.
     The offers are read three times (products offered, their count, the options
     per product): pass a staged table, not a long lineage.
     """
     offered = offers.select("ProductId").distinct()
-    n = offered.select(F.count(F.lit(1))).scalar()
     c = companies.select(
-        "CompanyId",
-        (F.pmod(seeded_draw(seed, F.lit("company-k"), "CompanyId"), n) + 1).alias("__k"),
+        "CompanyId", F.col("k").alias("__k"),
         _between(seeded_draw(seed, F.lit("company-inc"), "CompanyId"), *COMPANY_INCREMENT).alias("__inc"))
     picked = sample_per_group(c, "CompanyId", "__k", offered, "ProductId", seed, "company")
     opts = offers.select("ProductId", F.col("CompanyId").alias("SupplierId"), F.col("Price").alias("__sp"))
@@ -74,9 +72,10 @@ def supplier_offers(catalog: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def catalog_build(existing: DataFrame, products: DataFrame, companies: DataFrame, seed) -> DataFrame:
-    """The catalog after adding both price lists (existing rows win)."""
-    suppliers = companies.filter(F.col("IsSupplier")).select("CompanyId")
-    buyers = companies.filter(~F.col("IsSupplier")).select("CompanyId")
+    """The catalog after adding both price lists (existing rows win). ``companies``: CompanyId,
+    IsSupplier, k."""
+    suppliers = companies.filter(F.col("IsSupplier")).select("CompanyId", "k")
+    buyers = companies.filter(~F.col("IsSupplier")).select("CompanyId", "k")
     sup_rows = stage(supplier_price_list(products, suppliers, seed), "supplier-price-list")
     com_rows = company_price_list(sup_rows.select("ProductId", "CompanyId", "Price"), buyers, seed)
     batch = sup_rows.unionByName(com_rows)

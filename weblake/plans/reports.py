@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import last_year_text
+from ..session import stage
 
 
 def last_year_orders(sales: DataFrame, as_of) -> DataFrame:
@@ -30,17 +31,19 @@ def report_order_devices(devices: DataFrame, top: int = 5) -> DataFrame:
             .limit(top))
 
 
-def most_active_country(visits: DataFrame) -> DataFrame:
-    """The country with most distinct visiting hosts (ties by name): one row."""
-    return (visits.groupBy("Country").agg(F.count_distinct("HostIp").alias("__hosts"))
-            .orderBy(F.desc("__hosts"), F.asc("Country"))
-            .limit(1)
-            .select("Country"))
+def visitor_counts(visits: DataFrame) -> DataFrame:
+    """Distinct visiting hosts per country (``ProductName`` null, ``whole`` 1) and per country
+    and product (``whole`` 0), from one pass over the visits."""
+    hosts = visits.groupingSets([["Country", "HostIp", "ProductName"], ["Country", "HostIp"]], "Country", "HostIp", "ProductName").agg(
+        F.grouping("ProductName").cast("int").alias("whole"))
+    return hosts.groupBy("Country", "ProductName", "whole").agg(F.count("HostIp").alias("qttLogs"))
 
 
 def report_popular_products(visits: DataFrame) -> DataFrame:
-    """Products by distinct visiting hosts within the most active country."""
-    top = most_active_country(visits)
-    return (visits.join(top, on="Country", how="left_semi")
-            .groupBy("Country", "ProductName").agg(F.count_distinct("HostIp").alias("qttLogs"))
+    """Products by distinct visiting hosts within the most active country (most distinct
+    visiting hosts, ties by name). The counts are staged: the country is chosen from them."""
+    counts = stage(visitor_counts(visits), "visitor-counts")
+    top = (counts.filter("whole = 1").orderBy(F.desc("qttLogs"), F.asc("Country")).limit(1).select("Country"))
+    return (counts.filter("whole = 0").join(top, on="Country", how="left_semi")
+            .select("Country", "ProductName", "qttLogs")
             .orderBy(F.desc("qttLogs"), F.asc("ProductName")))

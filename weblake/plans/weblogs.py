@@ -48,12 +48,15 @@ def order_devices(enriched: DataFrame) -> DataFrame:
 
 
 def product_visits(enriched: DataFrame, products: DataFrame) -> DataFrame:
-    """Distinct product page visits with the product's name (inner join on id)."""
+    """Distinct product page visits with the product's name (inner join on id, the products' key).
+
+    Visits are made distinct before they meet the products: the distinct shuffles fewer and
+    narrower rows, spread by all four columns, and the join on the id that follows has an
+    exchange of its own, so AQE can split a hot product."""
     visits = (enriched.filter(F.col("PageType") == "product")
-              .select("HostIp", "Country", "VisitedAt", F.col("Id").try_cast("bigint").alias("ProductId")))
+              .select("HostIp", "Country", "VisitedAt", F.col("Id").try_cast("bigint").alias("ProductId")).distinct())
     return (visits.join(products.select("ProductId", "ProductName"), on="ProductId", how="inner")
-            .select("HostIp", "Country", "VisitedAt", "ProductId", "ProductName")
-            .distinct())
+            .select("HostIp", "Country", "VisitedAt", "ProductId", "ProductName"))
 
 
 def devices_upsert(current: DataFrame, batch: DataFrame) -> DataFrame:

@@ -14,12 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle_sql as O
+from . import schemas
+from .functions.dates import month_text, year_month_of, year_text
 from .functions.ip import ip_to_long, long_to_ip, range_end_text, range_start_text
+from .functions.text import page_type
 from .operators import quality as Q
+from .operators.serial import positional_join
 from .plans import calendar, catalog, order_logs, reports, runs, sales, weblogs
 from .session import shared_dir, stage
+from .sinks.tables import merge_into, read_table
 from .sources.fixtures import FIXTURE_SITE, FIXTURE_USER_AGENTS
 from .sources.fixtures import Fixture
+from .sources.logs import read_weblogs
 
 # Run parameters of the registered queries (orders span 1995-01 .. 2001-08,
 # events span January 2024).
@@ -66,12 +72,26 @@ def q_order_id_bounds(spark, d):
 
 
 # The upsert queries stage their two inputs first, as a transform run has them:
-# the current table stored, the batch materialised once.
+# the current table stored, the batch materialised once. The batches really change
+# what they match: new prices, devices and names, moved dates (and so partitions),
+# and null keys; some target rows occur twice, and both are updated.
+
+def _twice(current: DataFrame, key: str) -> DataFrame:
+    return current.unionByName(current.filter(F.col(key) % 50 == 0))
+
+
+def _lost(key: str, of: str | None = None):
+    """The key column, null in one row of 97."""
+    return F.when(F.col(of or key) % 97 != 0, F.col(key)).alias(key)
+
 
 def q_sales_upsert(spark, d):
     fx = Fixture(spark, d)
     batch = sales.sales_fact_incremental(fx.orderitems(), fx.orders(), fx.catalog(), SALES_BATCH_AS_OF)
-    return sales.sales_upsert(stage(_sales_snapshot(fx), "current-sales"), stage(batch, "sales-batch"))
+    moved = F.when(F.col("orderItemId") % 7 == 0, F.col("orderDate") + F.expr("interval 40 days")).otherwise(F.col("orderDate"))
+    batch = batch.select(_lost("orderItemId"), "orderId", (F.col("price") + 1).alias("price"), moved.alias("orderDate"),
+                         year_text(moved).alias("year_partition"), month_text(moved).alias("month_partition"))
+    return sales.sales_upsert(stage(_twice(_sales_snapshot(fx), "orderItemId"), "current-sales"), stage(batch, "sales-batch"))
 
 
 def q_weblogs_enriched(spark, d):
@@ -90,7 +110,8 @@ def q_devices_upsert(spark, d):
     fx = Fixture(spark, d)
     old = weblogs.order_devices(_enriched(fx, F.col("date") < LOGS_OLD_BEFORE))
     new = weblogs.order_devices(_enriched(fx, F.col("date") >= LOGS_NEW_FROM))
-    return weblogs.devices_upsert(stage(old, "current-devices"), stage(new, "devices-batch"))
+    new = new.select("Username", "VisitedAt", _lost("OrderId"), F.concat("Device", F.lit(" v2")).alias("Device"))
+    return weblogs.devices_upsert(stage(_twice(old, "OrderId"), "current-devices"), stage(new, "devices-batch"))
 
 
 def q_product_visits(spark, d):
@@ -102,11 +123,15 @@ def q_products_upsert(spark, d):
     fx = Fixture(spark, d)
     old = weblogs.product_visits(_enriched(fx, F.col("date") < LOGS_OLD_BEFORE), fx.products())
     new = weblogs.product_visits(_enriched(fx, F.col("date") >= LOGS_NEW_FROM), fx.products())
-    return weblogs.products_upsert(stage(old, "current-products"), stage(new, "products-batch"))
+    new = new.select(_lost("HostIp", "ProductId"), "Country", "VisitedAt", "ProductId", F.concat("ProductName", F.lit(" (new)")).alias("ProductName"))
+    return weblogs.products_upsert(stage(_twice(old, "ProductId"), "current-products"), stage(new, "products-batch"))
 
 
 def q_last_year_orders(spark, d):
-    return reports.last_year_orders(_sales_full(Fixture(spark, d)), AS_OF)
+    """Last year's rows of the stored sales table: one year's folders are scanned."""
+    path = f"{shared_dir(spark)}/sales-{uuid.uuid4().hex}"
+    merge_into(spark, path, _sales_full(Fixture(spark, d)), schemas.SALES_KEYS, schemas.SALES, runs.sales_partitions())
+    return reports.last_year_orders(read_table(spark, path, schemas.SALES), AS_OF)
 
 
 def q_report_last_year_orders(spark, d):
@@ -125,8 +150,8 @@ CATALOG_SEED = 42
 
 
 def _catalog_inputs(fx: Fixture):
-    companies = fx.companies()
-    return fx.product_prices(), companies.filter("IsSupplier").select("CompanyId"), companies
+    companies = fx.companies().join(fx.offered_parts(), "CompanyId", "left").fillna({"k": 0})
+    return fx.product_prices(), companies.filter("IsSupplier").select("CompanyId", "k"), companies
 
 
 def q_supplier_price_list(spark, d):
@@ -137,13 +162,14 @@ def q_supplier_price_list(spark, d):
 def q_company_price_list(spark, d):
     products, suppliers, companies = _catalog_inputs(Fixture(spark, d))
     offers = stage(catalog.supplier_price_list(products, suppliers, CATALOG_SEED), "supplier-price-list")
-    return catalog.company_price_list(offers, companies.filter(~F.col("IsSupplier")).select("CompanyId"),
+    return catalog.company_price_list(offers, companies.filter(~F.col("IsSupplier")).select("CompanyId", "k"),
                                       CATALOG_SEED)
 
 
 def q_catalog_build(spark, d):
     fx = Fixture(spark, d)
-    return catalog.catalog_build(fx.catalog(), fx.product_prices(), fx.companies(), CATALOG_SEED)
+    products, _, companies = _catalog_inputs(fx)
+    return catalog.catalog_build(fx.catalog(), products, companies, CATALOG_SEED)
 
 
 def q_supplier_offers(spark, d):
@@ -196,8 +222,9 @@ def q_company_ids_by_role(spark, d):
 def q_quality_report(spark, d):
     fx = Fixture(spark, d)
     cu, pr, co, ca, od, oi, ip = (fx.customers(), fx.products(), fx.companies(), fx.catalog(), fx.orders(),
-                                  fx.orderitems(), fx.ipsrangelist())
+                                  stage(fx.orderitems(), "orderitems"), fx.ipsrangelist())
     return Q.report([
+        Q.unique_check("pk.lineitem", fx.table("lineitem"), ["l_orderkey", "l_linenumber"]),   # finds repeated keys
         Q.unique_check("pk.customers", cu, ["CustomerId"]),
         Q.unique_check("pk.products", pr, ["ProductId"]),
         Q.unique_check("pk.companies", co, ["CompanyId"]),
@@ -242,17 +269,87 @@ def run_fixture_history(spark, d, gold_root: str) -> None:
                            logs_month=RUN_LOGS_MONTH)
 
 
-def q_transform_load_run(spark, d):
+def _run(spark, d) -> str:
+    """The gold root after both runs."""
     root = f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}"
     run_fixture_history(spark, d, root)
-    return runs.gold_tables(spark, root)["sales"]
+    return root
+
+
+def q_transform_load_run(spark, d):
+    return runs.gold_tables(spark, _run(spark, d))["sales"]
+
+
+def q_run_devices(spark, d):
+    return runs.gold_tables(spark, _run(spark, d))["devices"]
+
+
+def q_run_products(spark, d):
+    return runs.gold_tables(spark, _run(spark, d))["products"]
+
+
+def q_run_reports(spark, d):
+    """The run's three reports, read from their views over the mart extracts."""
+    from .sinks import views
+    mart = runs.run_load(spark, _run(spark, d), AS_OF)
+    views.register_mart(spark, mart["last_year_orders"], mart["order_devices"], mart["popular_products"])
+    made = views.create_report_views(spark)
+    parts = [made["last_year_orders_report"].select(F.lit("last_year_orders").alias("report"), F.col("lastYear").alias("k1"), F.col("month").alias("k2"), F.col("qttOrders").alias("n")),
+             made["order_devices_report"].select(F.lit("order_devices"), "Device", F.lit(None).cast("string"), "qttOrders"),
+             made["popular_products_report"].select(F.lit("popular_products"), "Country", "ProductName", "qttLogs")]
+    views.drop_report_views(spark)
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+LANDING_MONTH = (2000, 6)
+
+
+def _landing(spark, d) -> str:
+    """Order and visit log lines together as landing text under year= and month= folders."""
+    from .sinks.tables import append_text_lines
+    path = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    append_text_lines(q_order_log_lines(spark, d).unionByName(q_weblog_lines(spark, d)), path, ["year", "month"])
+    return path
+
+
+def q_landing_logs(spark, d):
+    """Lines, hosts and page types of every landing month, read back from text."""
+    logs = read_weblogs(spark, _landing(spark, d)).withColumn("page", page_type("referer"))
+    return logs.groupBy("year", "month", "page").agg(F.count(F.lit(1)).alias("lines"), F.count_distinct("host").alias("hosts"))
+
+
+def q_landing_logs_month(spark, d):
+    """One month's log rows: only that folder is read."""
+    logs = read_weblogs(spark, _landing(spark, d), *LANDING_MONTH)
+    return logs.select("host", "username", "date", "time", "referer", "useragent", "year", "month")
+
+
+def q_positional_join(spark, d):
+    """The i-th customer with the i-th product, as far as both reach."""
+    fx = Fixture(spark, d)
+    return positional_join(fx.customers(), fx.products(), ["CustomerId"], ["ProductId"])
+
+
+def q_domain_csv(spark, d):
+    """Companies written as a CSV file and imported with serial ids in file order."""
+    from .sources.files import read_domain_csv
+    path = f"{shared_dir(spark)}/companies-{uuid.uuid4().hex}"
+    rows = Fixture(spark, d).companies().orderBy("CompanyId").coalesce(1)
+    rows.select("CompanyName", "IsSupplier").write.csv(path)
+    return read_domain_csv(spark, path, "CompanyName string, IsSupplier boolean", key="Id")
+
+
+def q_order_months(spark, d):
+    """Orders by the year and month texts of their date text."""
+    year, month = year_month_of(F.date_format("OrderDate", "yyyy-MM-dd"))
+    return (Fixture(spark, d).orders().select(year.alias("year"), month.alias("month"))
+            .groupBy("year", "month").agg(F.count(F.lit(1)).alias("orders")))
 
 
 def q_stream_ingest(spark, d):
     """Landing logs written as text, ingested by the file stream (two arrivals),
     merged into the gold product-visit table; returns that table."""
-    from . import schemas
-    from .sinks.tables import append_text_lines, read_table
+    from .sinks.tables import append_text_lines
     from .streaming.weblog_ingest import start_weblog_ingest
     fx = Fixture(spark, d)
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -296,6 +393,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "company_ids_by_role": q_company_ids_by_role,
     "quality_report": q_quality_report,
     "transform_load_run": q_transform_load_run,
+    "run_devices": q_run_devices,
+    "run_products": q_run_products,
+    "run_reports": q_run_reports,
+    "landing_logs": q_landing_logs,
+    "landing_logs_month": q_landing_logs_month,
+    "positional_join": q_positional_join,
+    "domain_csv": q_domain_csv,
+    "order_months": q_order_months,
     "stream_ingest": q_stream_ingest,
 }
 
@@ -321,6 +426,21 @@ join (select country, split_part(iprange, '.', 1) || split_part(iprange, '.', 2)
       from (select distinct country, iprange from src_ipsrangelist)) r
   on p.k = r.k and p.ip between r.lo and r.hi"""
 
+
+
+def _twice_sql(cte: str, key: str) -> str:
+    return f"select * from {cte} union all select * from {cte} where {key} % 50 = 0"
+
+
+_REPORT_LAST_YEAR = """select strftime(orderDate, '%Y') as lastYear, strftime(orderDate, '%m') as month,
+  count(distinct orderId) as qttOrders from ly group by 1, 2"""
+_REPORT_DEVICES = """select Device, qttOrders from (select Device, count(distinct OrderId) as qttOrders,
+  row_number() over (order by count(distinct OrderId) desc, Device) as place from dev group by Device) where place <= 5"""
+_REPORT_PRODUCTS = """select Country, ProductName, qttLogs from (
+  select pv.Country, ProductName, count(distinct pv.HostIp) as qttLogs, any_value(c.place) as place from pv
+  join (select Country, row_number() over (order by count(distinct HostIp) desc, Country) as place from pv group by Country) c
+    on c.Country = pv.Country group by pv.Country, ProductName) where place = 1"""
+
 ORACLES: dict[str, str] = {
     "sales_fact": O.with_views([], O.sales_sql()),
     "sales_fact_incremental": O.with_views([("recent", _INC)], O.sales_sql("recent", "inner")),
@@ -331,34 +451,39 @@ ORACLES: dict[str, str] = {
         [("recent", _INC)], "select min(OrderId) as minOrderId, max(OrderId) as maxOrderId from recent"),
     "sales_upsert": O.with_views(
         [("snap", _SNAP), ("batch_orders", _BATCH),
-         ("tgt", O.sales_sql("snap", "inner")), ("src", O.sales_sql("batch_orders", "inner"))],
+         ("tgt0", O.sales_sql("snap", "inner")), ("tgt", _twice_sql("tgt0", "orderItemId")),
+         ("src0", "select *, case when orderItemId % 7 = 0 then orderDate + interval 40 day else orderDate end as moved from ("
+                  + O.sales_sql("batch_orders", "inner") + ")"),
+         ("src", """select case when orderItemId % 97 <> 0 then orderItemId end as orderItemId, orderId, price + 1 as price, moved as orderDate,
+             strftime(moved, '%Y') as year_partition, strftime(moved, '%m') as month_partition from src0""")],
         O.upsert_sql("tgt", "src", ["orderItemId"])),
     "weblogs_enriched": O.with_views(_ENRICHED, "select * from enriched"),
     "weblogs_enriched_two_octet": O.with_views([("parsed0", O.PARSED_LOGS.replace("LOGS", "src_weblogs"))],
                                                _TWO_OCTET),
     "order_devices": O.with_views(_ENRICHED, O.order_devices_sql("enriched")),
     "devices_upsert": O.with_views(
-        _OLD_NEW + [("tgt", O.order_devices_sql("enr_old")), ("src", O.order_devices_sql("enr_new"))],
+        _OLD_NEW + [("tgt0", O.order_devices_sql("enr_old")), ("tgt", _twice_sql("tgt0", "OrderId")),
+                    ("src0", O.order_devices_sql("enr_new")),
+                    ("src", """select Username, VisitedAt, case when OrderId % 97 <> 0 then OrderId end as OrderId,
+                         Device || ' v2' as Device from src0""")],
         O.upsert_sql("tgt", "src", ["OrderId"])),
     "product_visits": O.with_views(_ENRICHED, O.product_visits_sql("enriched")),
     "products_upsert": O.with_views(
-        _OLD_NEW + [("tgt", O.product_visits_sql("enr_old")), ("src", O.product_visits_sql("enr_new"))],
+        _OLD_NEW + [("tgt0", O.product_visits_sql("enr_old")), ("tgt", _twice_sql("tgt0", "ProductId")),
+                    ("src0", O.product_visits_sql("enr_new")),
+                    ("src", """select case when ProductId % 97 <> 0 then HostIp end as HostIp, Country, VisitedAt, ProductId,
+                         ProductName || ' (new)' as ProductName from src0""")],
         O.upsert_sql("tgt", "src", ["HostIp", "VisitedAt", "ProductId"])),
     "last_year_orders": O.with_views([("sales", O.sales_sql())], _LAST_YEAR),
     "report_last_year_orders": O.with_views(
         [("sales", O.sales_sql()), ("ly", _LAST_YEAR)],
-        """select max(strftime(orderDate, '%Y')) as lastYear, strftime(orderDate, '%m') as month,
-  count(distinct orderId) as qttOrders from ly group by 2 order by 2"""),
+        _REPORT_LAST_YEAR + " order by 2"),
     "report_order_devices": O.with_views(
         _ENRICHED + [("dev", O.order_devices_sql("enriched"))],
-        """select Device, count(distinct OrderId) as qttOrders from dev group by Device
-order by qttOrders desc, Device asc limit 5"""),
+        _REPORT_DEVICES),
     "report_popular_products": O.with_views(
         _ENRICHED + [("pv", O.product_visits_sql("enriched"))],
-        """select Country, ProductName, count(distinct HostIp) as qttLogs from pv
-where Country in (select Country from pv group by Country
-                  order by count(distinct HostIp) desc, Country asc limit 1)
-group by Country, ProductName order by qttLogs desc, ProductName asc"""),
+        _REPORT_PRODUCTS),
 }
 
 _CAT = O.catalog_ctes(CATALOG_SEED)
@@ -389,6 +514,7 @@ def _q_nn(name, table, cols):
 
 
 _QUALITY = " union all ".join([
+    _q_unique("pk.lineitem", "lineitem", ["l_orderkey", "l_linenumber"]),
     _q_unique("pk.customers", "src_customers", ["CustomerId"]),
     _q_unique("pk.products", "src_products", ["ProductId"]),
     _q_unique("pk.companies", "src_companies", ["CompanyId"]),
@@ -411,7 +537,7 @@ _QUALITY = " union all ".join([
     _q_nn("nn.ipsrangelist", "src_ipsrangelist", ["country", "iprange"]),
 ])
 
-_UAS = "case OrderId % 4 " + " ".join(f"when {i} then '{ua}'" for i, ua in enumerate(FIXTURE_USER_AGENTS)) + " end"
+_UAS = "case OrderId % 7 " + " ".join(f"when {i} then '{ua}'" for i, ua in enumerate(FIXTURE_USER_AGENTS)) + " end"
 _ORDER_CTX = f"""select o.OrderId, o.OrderDate, c.c_name as CustomerName,
   concat(cast(c.c_nationkey * 9 + 10 as varchar), '.', cast(c.c_nationkey % 4 as varchar), '.',
          cast(o.OrderId % 200 as varchar), '.', cast(o.CustomerId % 256 as varchar)) as HostIp,
@@ -461,4 +587,31 @@ from (select unnest(generate_series(date_trunc('month', min(OrderDate)), date_tr
     "quality_report": O.with_views([], _QUALITY),
     "transform_load_run": O.with_views([], O.sales_sql()),
     "stream_ingest": O.with_views(_ENRICHED, O.product_visits_sql("enriched")),
+    "run_devices": O.with_views(_ENRICHED, O.order_devices_sql("enriched")),
+    "run_products": O.with_views(_ENRICHED, O.product_visits_sql("enriched")),
+    "run_reports": O.with_views(
+        _ENRICHED + [("sales", O.sales_sql()), ("ly", _LAST_YEAR), ("dev", O.order_devices_sql("enriched")), ("pv", O.product_visits_sql("enriched"))],
+        f"""select 'last_year_orders' as report, lastYear as k1, month as k2, qttOrders as n from ({_REPORT_LAST_YEAR})
+union all select 'order_devices', Device, null, qttOrders from ({_REPORT_DEVICES})
+union all select 'popular_products', Country, ProductName, qttLogs from ({_REPORT_PRODUCTS})"""),
+    "landing_logs": O.with_views(
+        [("ctx", _ORDER_CTX), ("op", _ORDER_PRODUCTS)],
+        f"""select year, month, page, count(*) as lines, count(distinct host) as hosts from (
+  select year, month, split_part(value, ' ', 1) as host, case when value like '%.com/products/%' then 'product'
+    when value like '%.com/orders/%' then 'order' end as page
+  from ({_ORDER_LINES} union all select * from ({{WEBLOG_LINES}}))) group by all"""),
+    "landing_logs_month": O.with_views([("ctx", _ORDER_CTX), ("op", _ORDER_PRODUCTS)], f"""
+select host, username, strftime(ts, '%Y-%m-%d') as date, strftime(ts, '%H:%M:%S') as time, referer, useragent,
+  cast(year(ts) as integer) as year, cast(month(ts) as integer) as month from (
+  select o.HostIp as host, lower(replace(o.CustomerName, ' ', '.')) as username, {_VISIT_AT} as ts,
+    'http://shop.example.com/products/' || cast(p.ProductId as varchar) as referer, o.UserAgent as useragent from op p join ctx o on o.OrderId = p.OrderId
+  union all select o.HostIp, lower(replace(o.CustomerName, ' ', '.')), o.OrderDate, 'http://shop.example.com/orders/' || cast(o.OrderId as varchar), o.UserAgent from ctx o)
+where year(ts) = {LANDING_MONTH[0]} and month(ts) = {LANDING_MONTH[1]}"""),
+    "positional_join": O.with_views([], """select CustomerId, CustomerName, ProductId, ProductName from
+  (select *, row_number() over (order by CustomerId) as i from src_customers) join
+  (select *, row_number() over (order by ProductId) as i from src_products) using (i)"""),
+    "domain_csv": O.with_views([], "select row_number() over (order by CompanyId) as Id, CompanyName, IsSupplier from src_companies"),
+    "order_months": O.with_views([], """select strftime(OrderDate, '%Y') as year, strftime(OrderDate, '%m') as month,
+  count(*) as orders from src_orders group by all"""),
 })
+ORACLES["landing_logs"] = ORACLES["landing_logs"].replace("{WEBLOG_LINES}", ORACLES["weblog_lines"])

@@ -1,26 +1,12 @@
-"""The three report views over the mart tables, as Spark SQL views."""
+"""The three reports as temporary views over the mart extracts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-REPORT_VIEWS = ["last_year_orders_report", "order_devices_report", "popular_products_report"]
+from ..plans import reports
 
-# Report texts over the mart tables (column names as the mart stores them).
-REPORT_SQL = {
-    "last_year_orders_report": """
-        select max(date_format(orderDate, 'yyyy')) as lastYear, date_format(orderDate, 'MM') as month,
-               count(distinct orderId) as qttOrders
-        from last_year_orders group by date_format(orderDate, 'MM') order by month""",
-    "order_devices_report": """
-        select Device, count(distinct OrderId) as qttOrders from order_devices
-        group by Device order by qttOrders desc, Device asc limit 5""",
-    "popular_products_report": """
-        select Country, ProductName, count(distinct HostIp) as qttLogs from popular_products
-        where Country in (select Country from popular_products group by Country
-                          order by count(distinct HostIp) desc, Country asc limit 1)
-        group by Country, ProductName order by qttLogs desc, ProductName asc""",
-}
+REPORT_VIEWS = ["last_year_orders_report", "order_devices_report", "popular_products_report"]
 
 
 def register_mart(spark: SparkSession, last_year_orders: DataFrame, order_devices: DataFrame,
@@ -37,9 +23,10 @@ def drop_report_views(spark: SparkSession) -> None:
 
 
 def create_report_views(spark: SparkSession) -> dict[str, DataFrame]:
-    """(Re)create the report views; the base tables must be registered first."""
-    out = {}
-    for name, text in REPORT_SQL.items():
-        spark.sql(f"create or replace temp view {name} as {text}")
-        out[name] = spark.table(name)
-    return out
+    """(Re)create the report views from the report functions; the mart tables must be registered first."""
+    made = {"last_year_orders_report": reports.report_last_year_orders(spark.table("last_year_orders")),
+            "order_devices_report": reports.report_order_devices(spark.table("order_devices")),
+            "popular_products_report": reports.report_popular_products(spark.table("popular_products"))}
+    for name, report in made.items():
+        report.createOrReplaceTempView(name)
+    return {name: spark.table(name) for name in REPORT_VIEWS}

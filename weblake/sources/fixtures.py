@@ -16,12 +16,17 @@ FIXTURE_USER_AGENTS = [
     "Mozilla/5.0 (Windows NT 10.0; Win64; x64) Gecko",
     "Mozilla/5.0 (X11; Linux x86_64) Gecko",
     "Mozilla/5.0 (iPhone; CPU iPhone OS 15_0) Safari (x)",
+    "Mozilla/5.0 (Macintosh; Intel Mac OS X 12_1) Safari",
+    "Mozilla/5.0 (Linux; Android 12; Pixel 6) Chrome",
+    "Mozilla/5.0 (compatible) Bot",
 ]
 # fixed value: site root of the synthetic referers
 FIXTURE_SITE = "http://shop.example.com"
 
 
-_SCANS: dict = {}
+def _user_agent(number):
+    """One of the user agents, by a row's number."""
+    return F.element_at(F.array(*[F.lit(u) for u in FIXTURE_USER_AGENTS]), (number % len(FIXTURE_USER_AGENTS) + 1).cast("int"))
 
 
 class Fixture:
@@ -32,21 +37,8 @@ class Fixture:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        """The scan of one driver table (schema read once per session and path)."""
-        key = (id(self.spark._jsparkSession), f"{self.sf_dir}/{name}.parquet")
-        if key not in _SCANS:
-            _SCANS[key] = self.spark.read.parquet(key[1])
-        return _SCANS[key]
-
-    def spread(self, df: DataFrame) -> DataFrame:
-        """Round-robin ``df`` over the cluster when its scan yields fewer splits
-        than there are task slots (the driver files hold one row group each, so
-        they scan as a single task). Large, multi-file inputs already scan in
-        parallel and are returned unchanged -- no extra shuffle at scale."""
-        slots = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < slots:
-            return df.repartition(slots)
-        return df
+        """The scan of one driver table."""
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # --- domain tables ---
     def customers(self) -> DataFrame:
@@ -69,6 +61,11 @@ class Fixture:
             F.when(k % 2 == 1, (k % 5) * 2).alias("SupplierId"),
             F.col("p_retailprice").alias("Price"))
 
+    def offered_parts(self) -> DataFrame:
+        """How many different parts each company has delivered: the size of its price list."""
+        return (self.table("lineitem").select("l_suppkey", "l_partkey").distinct()
+                .groupBy(F.col("l_suppkey").alias("CompanyId")).agg(F.count(F.lit(1)).alias("k")))
+
     def product_prices(self) -> DataFrame:
         """Products with their list price (the default price of the catalog build)."""
         return self.table("part").select(F.col("p_partkey").alias("ProductId"),
@@ -84,12 +81,10 @@ class Fixture:
         """One row per (order, line): the line number is folded into the item id.
 
         The driver data repeats (l_orderkey, l_linenumber); the grouping makes the
-        item id unique. Rows are first hash-partitioned on the order key, which
-        both satisfies the grouping and is the partitioning the order join
-        needs, so lineitem is shuffled once.
+        item id unique, with partial aggregation before its shuffle.
         """
         li = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-        return (li.repartition("l_orderkey")
+        return (li
                 .groupBy("l_orderkey", "l_linenumber")
                 .agg(F.min("l_partkey").alias("CatalogId"))
                 .select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("OrderItemId"),
@@ -103,9 +98,7 @@ class Fixture:
         n, oid = F.col("c_nationkey"), F.col("OrderId")
         host = F.concat((n * 9 + 10).cast("string"), F.lit("."), (n % 4).cast("string"), F.lit("."),
                         (oid % 200).cast("string"), F.lit("."), (F.col("CustomerId") % 256).cast("string"))
-        ua = F.when(oid % 4 == 0, F.lit(FIXTURE_USER_AGENTS[0]))
-        for i in (1, 2, 3):
-            ua = ua.when(oid % 4 == i, F.lit(FIXTURE_USER_AGENTS[i]))
+        ua = _user_agent(oid)
         return (o.join(c, o.CustomerId == c.c_custkey, "inner")
                 .select("OrderId", "OrderDate", F.col("c_name").alias("CustomerName"), host.alias("HostIp"),
                         ua.alias("UserAgent")))
@@ -127,7 +120,7 @@ class Fixture:
 
     def weblogs(self) -> DataFrame:
         """Parsed access-log rows (the columns of the landing log schema)."""
-        e = self.spread(self.table("events").select("event_id", "ts", "user_id", "event_type"))
+        e = self.table("events").select("event_id", "ts", "user_id", "event_type")
         eid, uid, ts, et = F.col("event_id"), F.col("user_id"), F.col("ts"), F.col("event_type")
 
         def pad2(c):
@@ -136,9 +129,7 @@ class Fixture:
         host = F.concat((uid % 25 * 9 + 10).cast("string"), F.lit("."),
                         (uid % 25 % 4 + F.when(eid % 3 == 0, 1).otherwise(0)).cast("string"), F.lit("."),
                         (eid % 256).cast("string"), F.lit("."), (uid % 256).cast("string"))
-        ua = F.when(eid % 4 == 0, F.lit(FIXTURE_USER_AGENTS[0]))
-        for i in (1, 2, 3):
-            ua = ua.when(eid % 4 == i, F.lit(FIXTURE_USER_AGENTS[i]))
+        ua = _user_agent(eid)
         referer = (F.when(et == "purchase", F.concat(F.lit(FIXTURE_SITE + "/orders/"), eid.cast("string")))
                    .when(et.isin("view", "click"),
                          F.concat(F.lit(FIXTURE_SITE + "/products/"), (eid % 200).cast("string")))
