@@ -34,7 +34,7 @@ BITS, DIM, FILTERS, WIDTHS = 15, 12, 12, (1, 2, 3)
 STEM = 5               # bytes of a word that its second embedding hashes
 CUT = 0.7              # calibrated scores from here on are toxic
 BLOCK = 1 << 20
-EPOCHS, BATCH, RATE = 4, 32, 0.01
+EPOCHS, LEAST_STEPS, BATCH, RATE = 4, 400, 32, 0.01
 
 # Frequent function words, by which a text's language is told for calibration.
 FUNCTION_WORDS = {
@@ -137,7 +137,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     dense = [_Adam(f.shape) for f in model.filters]
     bias_opt, out_opt, last_opt, square = _Adam(model.bias.shape), _Adam(model.out.shape), _Adam(()), np.full(2 << BITS, 1e-6, np.float32)
     classes = [np.flatnonzero(labels == c) for c in (0, 1)]
-    steps = max(len(classes[0]), len(classes[1])) * 2 // BATCH + 1
+    steps = max(max(len(classes[0]), len(classes[1])) * 2 // BATCH + 1, LEAST_STEPS // EPOCHS)
     for epoch in range(EPOCHS):
         rate = RATE / (1 + epoch)
         for _ in range(steps):
