@@ -213,7 +213,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     counters = {"plain": (PLAIN_WORD, None), "alnum": (ALNUM_WORD | byte_class((0x41, 0x5A)), None),
                 "solid": (PLAIN_WORD, ~byte_class(*[(ord(c), ord(c)) for c in SYMBOL[1:-1]]))}
     counted = stage(token_rollups.count_words(docs, counters), "counted")
-    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    first = stage(counted.groupBy("digest").agg(F.min("doc_id").alias("first")), "first")   # staged: AQE can then split a hot digest
     marked = stage(counted.join(first, "digest"), "marked")
     copies, kept = marked.where("doc_id <> first"), marked.where("doc_id = first")
     rollup = token_rollups.TokenRollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
