@@ -54,7 +54,7 @@ def company_price_list(offers: DataFrame, companies: DataFrame, seed) -> DataFra
     The offers are read three times (products offered, their count, the options
     per product): pass a staged table, not a long lineage.
     """
-    offered = offers.select("ProductId").distinct()
+    offered = stage(offers.select("ProductId").distinct(), "offered")   # read for its size and for its order
     c = companies.select(
         "CompanyId", F.col("k").alias("__k"),
         _between(seeded_draw(seed, F.lit("company-inc"), "CompanyId"), *COMPANY_INCREMENT).alias("__inc"))
