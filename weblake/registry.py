@@ -7,7 +7,6 @@ incremental month, the last-year report, a run's snapshot date).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +20,7 @@ from .functions.text import page_type
 from .operators import quality as Q
 from .operators.serial import positional_join
 from .plans import calendar, catalog, order_logs, reports, runs, sales, weblogs
-from .session import shared_dir, stage
+from .session import stage, work_path
 from .sinks.tables import merge_into, read_table
 from .sources.fixtures import FIXTURE_SITE, FIXTURE_USER_AGENTS
 from .sources.fixtures import Fixture
@@ -129,7 +128,7 @@ def q_products_upsert(spark, d):
 
 def q_last_year_orders(spark, d):
     """Last year's rows of the stored sales table: one year's folders are scanned."""
-    path = f"{shared_dir(spark)}/sales-{uuid.uuid4().hex}"
+    path = work_path(spark, "sales")
     merge_into(spark, path, _sales_full(Fixture(spark, d)), schemas.SALES_KEYS, schemas.SALES, runs.sales_partitions())
     return reports.last_year_orders(read_table(spark, path, schemas.SALES), AS_OF)
 
@@ -271,7 +270,7 @@ def run_fixture_history(spark, d, gold_root: str) -> None:
 
 def _run(spark, d) -> str:
     """The gold root after both runs."""
-    root = f"{shared_dir(spark)}/runs-{uuid.uuid4().hex}"
+    root = work_path(spark, "runs")
     run_fixture_history(spark, d, root)
     return root
 
@@ -307,7 +306,7 @@ LANDING_MONTH = (2000, 6)
 def _landing(spark, d) -> str:
     """Order and visit log lines together as landing text under year= and month= folders."""
     from .sinks.tables import append_text_lines
-    path = f"{shared_dir(spark)}/landing-{uuid.uuid4().hex}"
+    path = work_path(spark, "landing")
     append_text_lines(q_order_log_lines(spark, d).unionByName(q_weblog_lines(spark, d)), path, ["year", "month"])
     return path
 
@@ -333,7 +332,7 @@ def q_positional_join(spark, d):
 def q_domain_csv(spark, d):
     """Companies written as a CSV file and imported with serial ids in file order."""
     from .sources.files import read_domain_csv
-    path = f"{shared_dir(spark)}/companies-{uuid.uuid4().hex}"
+    path = work_path(spark, "companies")
     rows = Fixture(spark, d).companies().orderBy("CompanyId").coalesce(1)
     rows.select("CompanyName", "IsSupplier").write.csv(path)
     return read_domain_csv(spark, path, "CompanyName string, IsSupplier boolean", key="Id")
@@ -352,7 +351,7 @@ def q_stream_ingest(spark, d):
     from .sinks.tables import append_text_lines
     from .streaming.weblog_ingest import start_weblog_ingest
     fx = Fixture(spark, d)
-    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    base = work_path(spark, "stream")
     logs = fx.landing_weblogs().drop("year", "month")
     for arrival in (F.col("date") < LOGS_OLD_BEFORE, F.col("date") >= LOGS_OLD_BEFORE):
         append_text_lines(weblogs.render_weblog_lines(logs.filter(arrival)), f"{base}/landing", ["year", "month"])

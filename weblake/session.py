@@ -73,6 +73,24 @@ def _delete(spark: SparkSession, path: str) -> None:
 
 
 _scopes: list[list[str]] = []
+_applications: set[str] = set()
+
+
+def _clear_at_exit(spark: SparkSession) -> None:
+    try:
+        clear_stages(spark)
+    except Exception:   # the context has been stopped before: the folder can no longer be reached
+        pass
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path in the application's folder of the shared folder, which is deleted when the
+    driver program ends (or with :func:`clear_stages`)."""
+    app = spark.sparkContext.applicationId
+    if app not in _applications:
+        _applications.add(app)
+        atexit.register(_clear_at_exit, spark)
+    return f"{shared_dir(spark)}/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df, name: str = "stage"):
@@ -86,7 +104,7 @@ def stage(df, name: str = "stage"):
     to no scope and lives in the application's folder.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = work_path(spark, name)
     if _scopes:
         _scopes[-1].append(path)
     df.write.mode("overwrite").parquet(path)
