@@ -310,8 +310,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per document: its id, ``n_shingles`` and ``component_id``, the smallest id
     reachable by links (itself included)."""
     members, labels = jaccard_classes(docs, id_col, text_col, k, percent)
+    labels = stage(labels, "labels")
     placed = members.where("n > 0").join(labels, "sig", "left").select("id", "n", F.coalesce("label", "sig").alias("label"))
-    roots = placed.groupBy("label").agg(F.min("id").alias("component_id"))
+    roots = stage(placed.groupBy("label").agg(F.min("id").alias("component_id")), "roots")   # staged: AQE can then split a hot label
     linked = placed.join(roots, "label").select("id", "n", "component_id")
     alone = members.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return linked.unionByName(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
@@ -319,14 +320,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                       percent: int = 75) -> DataFrame:
-    """The documents' rows with one row of each component kept (smallest id; of repeated rows
-    with that id, one)."""
-    found = stage(jaccard_components(docs, id_col, text_col, k, percent), "components")
-    keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col, "component_id")
-    counts = keep.groupBy(id_col).agg(F.count(F.lit(1)).alias("copies"))
-    once, several = counts.where("copies = 1").select(id_col), counts.where("copies > 1").select(id_col)
-    same = lambda ids: docs[id_col].eqNullSafe(ids[id_col])
-    repeated = docs.join(several, same(several), "left_semi")
-    first = Window.partitionBy(id_col).orderBy(text_col)
-    return docs.join(once, same(once), "left_semi").unionByName(
-        repeated.withColumn("__copy", F.row_number().over(first)).where("__copy = 1").drop("__copy"))
+    """The documents' rows with one row of each component kept: the smallest id (null ids come
+    last), then the smallest text hash; of rows equal in both, one.
+
+    Rows are told apart by id and text hash. The set of kept rows grows with the corpus, so it
+    is never broadcast: one sort-merge join moves the texts, at every size, and the choice among
+    equal rows needs no further shuffle."""
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    row = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), text_hash.alias("hash"))
+    found = jaccard_components(docs.select(row.alias("row"), F.col(text_col).alias("text")), "row", "text", k, percent)
+
+    def name(of):
+        return F.coalesce(of.cast("string"), F.lit("\0"))
+
+    kept = (found.where(F.col("row") == F.col("component_id"))
+            .select(name(F.col("row.id")).alias("__id"), F.col("row.hash").alias("__hash")).distinct())
+    chosen = docs.withColumns({"__id": name(F.col(id_col)), "__hash": text_hash}).join(kept.hint("merge"), ["__id", "__hash"])
+    first = F.row_number().over(Window.partitionBy("__id", "__hash").orderBy("__hash"))
+    return chosen.withColumn("__copy", first).where("__copy = 1").select(*docs.columns)

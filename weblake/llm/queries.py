@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir, stage
+from ..session import stage, work_path
 from . import decontaminate, language, mixing, ngram_join, repetition, sharding, token_files, token_rollups, toxicity, url_filter
 from .words import ALNUM_WORD, PLAIN_WORD, byte_class
 
@@ -216,7 +215,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = stage(counted.groupBy("digest").agg(F.min("doc_id").alias("first")), "first")   # staged: AQE can then split a hot digest
     marked = stage(counted.join(first, "digest"), "marked")
     copies, kept = marked.where("doc_id <> first"), marked.where("doc_id = first")
-    rollup = token_rollups.TokenRollup(spark, f"{shared_dir(spark)}/rollup-{uuid.uuid4().hex}")
+    rollup = token_rollups.TokenRollup(spark, work_path(spark, "rollup"))
     change = token_rollups.changes
     for batch_id, batch in [
         ("load-plain-1", change(marked, "insert", "plain-1", "plain")),

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shared_dir, stage
+from ..session import stage, work_path
 from .words import U64, blocks, byte_class, mix, span_hashes
 
 END = 0
@@ -321,8 +321,10 @@ def read_documents(found: DataFrame, root: str, starts: DataFrame, id_col: str)
 
 
 def token_files(docs: DataFrame, path: str, root: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write shards and index of all documents, look every key up and read its ids back."""
-    root = root or f"{shared_dir(docs.sparkSession)}/token-files-{uuid.uuid4().hex}"
+    """Write shards and index of all documents, look every key up and read its ids back.
+
+    Without a ``root`` the files live in the application's folder, until the driver program ends."""
+    root = root or work_path(docs.sparkSession, "token-files")
     entries = write_shards(docs, path, root, id_col, text_col)
     index, buckets = build_index(entries)
     totals = entries.groupBy("shard").agg(F.sum("n_tokens").alias("n"))   # one row per shard
