@@ -56,6 +56,13 @@ def test_quality_hot_foreign_key(spark):
     assert got == sum(1 for i in range(9000) if i % 3 != 0 and i % 100 >= 50)
     dup = Q.unique_check("pk", child, ["fk"]).first().violations
     assert dup == 100
+    rows = child.select(F.when(F.col("fk") != 5, F.col("fk")).alias("fk"), F.when(F.col("fk") > 9, F.col("fk")).alias("other"))
+    both = {r.check_name: r.violations for r in Q.table_check("pk", rows, ["fk"], "nn", ["fk", "other"]).collect()}
+    assert both == {"pk": 99, "nn.fk": rows.filter("fk is null").count(), "nn.other": rows.filter("other is null").count()}
+    checks = [("a", rows, "fk", parent, "pk"), ("b", rows, "other", parent, "pk"), ("c", rows, "fk", rows, "fk")]
+    refs = {r.check_name: r.violations for r in Q.reference_checks(checks).collect()}
+    assert refs == {c[0]: Q.orphans(*c[1:]).count() for c in checks}
+    assert refs["c"] == 0 < refs["a"]
 
 
 @contextmanager

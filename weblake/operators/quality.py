@@ -1,10 +1,10 @@
 """Data-quality checks for keys, references and required columns.
 
-Each check is a full-table aggregate returning one summary row
-(``check_name``, ``violations``); all checks of a report are unioned into one
-plan. Duplicate keys are found with a map-side-combined count; reference
-checks are anti joins on non-null foreign keys (a hot foreign-key value is
-split by AQE's skew handling, or the parent side is broadcast when small).
+Every check gives summary rows (``check_name``, ``violations``) over whole tables. A table's
+key and not-null checks share one grouping on the key (counts combined before the shuffle);
+all reference checks share one anti join: foreign-key values are counted before they are
+shuffled, so a hot value is one row, and a child or parent table is read once for all its
+checks.
 """
 
 from __future__ import annotations
@@ -46,5 +46,32 @@ def not_null_check(name: str, df: DataFrame, cols: list[str]) -> DataFrame:
     return counts.unpivot([], [f"`{name}.{c}`" for c in cols], "check_name", "violations")
 
 
+def table_check(unique_name: str, df: DataFrame, keys: list[str], nn_name: str | None = None, cols: list[str] = ()) -> DataFrame:
+    """:func:`unique_check` on ``keys`` and :func:`not_null_check` on ``cols`` from one grouping."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"),
+                                   *[F.sum(F.col(c).isNull().cast("bigint")).alias(f"__null_{i}") for i, c in enumerate(cols)])
+    names = [unique_name, *[f"{nn_name}.{c}" for c in cols]]
+    counts = [F.sum((whole & (F.col("__rows") > 1)).cast("bigint")), *[F.sum(f"__null_{i}") for i in range(len(cols))]]
+    summary = groups.agg(*[F.coalesce(c, F.lit(0)).alias(n) for n, c in zip(names, counts)])
+    return summary.unpivot([], [f"`{n}`" for n in names], "check_name", "violations")
+
+
+def reference_checks(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """One row per (name, child, fk, parent, pk): child rows whose non-null ``fk`` matches no parent ``pk``."""
+    def listed(side: int) -> DataFrame:
+        tables: dict[int, tuple[DataFrame, list]] = {}
+        for check in checks:
+            tables.setdefault(id(check[side]), (check[side], []))[1].append(
+                F.struct(F.lit(check[0]).alias("check_name"), F.col(check[side + 1]).cast("string").alias("value")))
+        return reduce(DataFrame.unionByName, [df.select(F.inline(F.array(*pairs))) for df, pairs in tables.values()])
+
+    spark = checks[0][1].sparkSession
+    counted = listed(1).where("value is not null").groupBy("check_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    found = counted.join(listed(3), ["check_name", "value"], "left_anti").groupBy("check_name").agg(F.sum("n").alias("n"))
+    names = spark.createDataFrame([(c[0],) for c in checks], "check_name string")
+    return names.join(found, "check_name", "left").select("check_name", F.coalesce("n", F.lit(0)).alias("violations"))
+
+
 def report(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)

@@ -224,26 +224,22 @@ def q_quality_report(spark, d):
                                   stage(fx.orderitems(), "orderitems"), fx.ipsrangelist())
     return Q.report([
         Q.unique_check("pk.lineitem", fx.table("lineitem"), ["l_orderkey", "l_linenumber"]),   # finds repeated keys
-        Q.unique_check("pk.customers", cu, ["CustomerId"]),
-        Q.unique_check("pk.products", pr, ["ProductId"]),
-        Q.unique_check("pk.companies", co, ["CompanyId"]),
-        Q.unique_check("pk.catalog", ca, ["CatalogId"]),
-        Q.unique_check("pk.orders", od, ["OrderId"]),
-        Q.unique_check("pk.orderitems", oi, ["OrderItemId"]),
+        Q.table_check("pk.customers", cu, ["CustomerId"], "nn.customers", ["CustomerName"]),
+        Q.table_check("pk.products", pr, ["ProductId"], "nn.products", ["ProductName"]),
+        Q.table_check("pk.companies", co, ["CompanyId"], "nn.companies", ["CompanyName", "IsSupplier"]),
+        Q.table_check("pk.catalog", ca, ["CatalogId"], "nn.catalog", ["ProductId", "CompanyId", "Price"]),
+        Q.table_check("pk.orders", od, ["OrderId"], "nn.orders", ["CustomerId", "OrderDate"]),
+        Q.table_check("pk.orderitems", oi, ["OrderItemId"], "nn.orderitems", ["OrderId", "CatalogId"]),
         Q.unique_check("uq.catalog.company_product", ca, ["CompanyId", "ProductId"]),
-        Q.reference_check("fk.catalog.product", ca, "ProductId", pr, "ProductId"),
-        Q.reference_check("fk.catalog.company", ca, "CompanyId", co, "CompanyId"),
-        Q.reference_check("fk.catalog.supplier", ca, "SupplierId", co, "CompanyId"),
-        Q.reference_check("fk.orders.customer", od, "CustomerId", cu, "CustomerId"),
-        Q.reference_check("fk.orderitems.order", oi, "OrderId", od, "OrderId"),
-        Q.reference_check("fk.orderitems.catalog", oi, "CatalogId", ca, "CatalogId"),
-        Q.not_null_check("nn.companies", co, ["CompanyName", "IsSupplier"]),
-        Q.not_null_check("nn.products", pr, ["ProductName"]),
-        Q.not_null_check("nn.customers", cu, ["CustomerName"]),
-        Q.not_null_check("nn.catalog", ca, ["ProductId", "CompanyId", "Price"]),
-        Q.not_null_check("nn.orders", od, ["CustomerId", "OrderDate"]),
-        Q.not_null_check("nn.orderitems", oi, ["OrderId", "CatalogId"]),
         Q.not_null_check("nn.ipsrangelist", ip, ["country", "iprange"]),
+        Q.reference_checks([
+            ("fk.catalog.product", ca, "ProductId", pr, "ProductId"),
+            ("fk.catalog.company", ca, "CompanyId", co, "CompanyId"),
+            ("fk.catalog.supplier", ca, "SupplierId", co, "CompanyId"),
+            ("fk.orders.customer", od, "CustomerId", cu, "CustomerId"),
+            ("fk.orderitems.order", oi, "OrderId", od, "OrderId"),
+            ("fk.orderitems.catalog", oi, "CatalogId", ca, "CatalogId"),
+        ]),
     ])
 
 
