@@ -43,7 +43,7 @@ from .components import components
 from .words import PLAIN_WORD, U64, blocks, mix, split, windows
 
 FRAGMENT_BYTES = 16 << 20   # text bytes whose n-grams make one fragment
-HOT_LOCAL = 24              # documents of one block that make an n-gram common there
+HOT_LOCAL = 8               # documents of one block (some hundreds) that make an n-gram common there
 HOT_LIMIT = 250_000         # common n-grams kept (2 MB broadcast at most)
 BLOCK = 2 << 20
 PIECES = 8                  # fragments of the candidates' overlap count

@@ -147,7 +147,7 @@ WITH RECURSIVE crc_table AS (SELECT list_transform(range(256), lambda i: list_re
         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab),
 t AS (SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, hex(encode(coalesce(text, ''))) AS hx FROM documents),
 s AS (SELECT doc_id, size, xor(4294967295, list_reduce(
-        list_transform(range(1, len(hx), 2), lambda i: (strpos('0123456789ABCDEF', hx[i]) - 1) * 16 + strpos('0123456789ABCDEF', hx[i + 1]) - 1),
+        list_transform(regexp_extract_all(hx, '..'), lambda h: ('0x' || h)::BIGINT),
         lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295::BIGINT)) AS text_crc32 FROM t, crc_table),
 numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS row FROM s),
 dom AS (SELECT count(*) AS n, ((len(bin(greatest(count(*) - 1, 1))) + 1) // 2)::INT AS bits,
