@@ -76,12 +76,12 @@ def q_order_id_bounds(spark, d):
 # and null keys; some target rows occur twice, and both are updated.
 
 def _twice(current: DataFrame, key: str) -> DataFrame:
-    return current.unionByName(current.filter(F.col(key) % 50 == 0))
+    return current.unionByName(current.filter(F.col(key) % 5 == 0))
 
 
 def _lost(key: str, of: str | None = None):
-    """The key column, null in one row of 97."""
-    return F.when(F.col(of or key) % 97 != 0, F.col(key)).alias(key)
+    """The key column, null in one row of 13."""
+    return F.when(F.col(of or key) % 13 != 0, F.col(key)).alias(key)
 
 
 def q_sales_upsert(spark, d):
@@ -424,7 +424,7 @@ join (select country, split_part(iprange, '.', 1) || split_part(iprange, '.', 2)
 
 
 def _twice_sql(cte: str, key: str) -> str:
-    return f"select * from {cte} union all select * from {cte} where {key} % 50 = 0"
+    return f"select * from {cte} union all select * from {cte} where {key} % 5 = 0"
 
 
 _REPORT_LAST_YEAR = """select strftime(orderDate, '%Y') as lastYear, strftime(orderDate, '%m') as month,
@@ -449,7 +449,7 @@ ORACLES: dict[str, str] = {
          ("tgt0", O.sales_sql("snap", "inner")), ("tgt", _twice_sql("tgt0", "orderItemId")),
          ("src0", "select *, case when orderItemId % 7 = 0 then orderDate + interval 40 day else orderDate end as moved from ("
                   + O.sales_sql("batch_orders", "inner") + ")"),
-         ("src", """select case when orderItemId % 97 <> 0 then orderItemId end as orderItemId, orderId, price + 1 as price, moved as orderDate,
+         ("src", """select case when orderItemId % 13 <> 0 then orderItemId end as orderItemId, orderId, price + 1 as price, moved as orderDate,
              strftime(moved, '%Y') as year_partition, strftime(moved, '%m') as month_partition from src0""")],
         O.upsert_sql("tgt", "src", ["orderItemId"])),
     "weblogs_enriched": O.with_views(_ENRICHED, "select * from enriched"),
@@ -459,14 +459,14 @@ ORACLES: dict[str, str] = {
     "devices_upsert": O.with_views(
         _OLD_NEW + [("tgt0", O.order_devices_sql("enr_old")), ("tgt", _twice_sql("tgt0", "OrderId")),
                     ("src0", O.order_devices_sql("enr_new")),
-                    ("src", """select Username, VisitedAt, case when OrderId % 97 <> 0 then OrderId end as OrderId,
+                    ("src", """select Username, VisitedAt, case when OrderId % 13 <> 0 then OrderId end as OrderId,
                          Device || ' v2' as Device from src0""")],
         O.upsert_sql("tgt", "src", ["OrderId"])),
     "product_visits": O.with_views(_ENRICHED, O.product_visits_sql("enriched")),
     "products_upsert": O.with_views(
         _OLD_NEW + [("tgt0", O.product_visits_sql("enr_old")), ("tgt", _twice_sql("tgt0", "ProductId")),
                     ("src0", O.product_visits_sql("enr_new")),
-                    ("src", """select case when ProductId % 97 <> 0 then HostIp end as HostIp, Country, VisitedAt, ProductId,
+                    ("src", """select case when ProductId % 13 <> 0 then HostIp end as HostIp, Country, VisitedAt, ProductId,
                          ProductName || ' (new)' as ProductName from src0""")],
         O.upsert_sql("tgt", "src", ["HostIp", "VisitedAt", "ProductId"])),
     "last_year_orders": O.with_views([("sales", O.sales_sql())], _LAST_YEAR),
