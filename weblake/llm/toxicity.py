@@ -197,7 +197,8 @@ def _threshold(logits: np.ndarray, labels: np.ndarray) -> float:
 def calibrate(model: Model, rows: list[np.ndarray], labels: np.ndarray, languages: np.ndarray, least: int = 25) -> None:
     """Set the logit shift of each language with enough rows of both classes, others share one."""
     target = np.log(CUT / (1 - CUT))
-    logits = model.logits(*_flat(rows)) if rows else np.zeros(0)
+    parts = [model.logits(*_flat(rows[i:i + 64])) for i in range(0, len(rows), 64)]   # a few at a time: this runs on the driver
+    logits = np.concatenate([np.zeros(0), *parts])
     both = len(labels) and labels.min() != labels.max()
     common = target - _threshold(logits, labels) if both else 0.0
     for c in range(len(LANGUAGES)):
@@ -228,7 +229,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for block in blocks(batch.column(2), BLOCK):
                 found, ids, languages = encode(block)
                 yield pa.record_batch([batch.column(0).slice(block.lo, block.n), batch.column(1).slice(block.lo, block.n), pa.array(languages),
-                                       pa.array([ids[a:b].tobytes() for a, b in zip(found.bounds[:-1], found.bounds[1:])], pa.binary())],
+                                       pa.array([ids[a:b].astype(np.uint16).tobytes() for a, b in zip(found.bounds[:-1], found.bounds[1:])], pa.binary())],
                                       names=["r", "label", "language", "ids"])
 
     sample = (training_sample(docs, labels, id_col, text_col, label_col)
@@ -237,7 +238,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y, languages = sample.column("label").to_numpy(), sample.column("language").to_numpy()
     if not len(y) or y.min() == y.max():
         return None
-    rows = [np.frombuffer(b, dtype=np.int32).reshape(-1, 2) for b in sample.column("ids").to_pylist()]
+    rows = [np.frombuffer(b, dtype=np.uint16).reshape(-1, 2) for b in sample.column("ids").to_pylist()]   # 2 << BITS fits 16 bits
+    del sample
     held = np.arange(len(y)) % 10 >= 8
     learn = ~held if min((y[~held] == 0).sum(), (y[~held] == 1).sum()) else np.ones(len(y), bool)
     model = train([rows[i] for i in np.flatnonzero(learn)], y[learn])
