@@ -106,6 +106,23 @@ def test_merge_that_fails_half_way_is_invisible_and_can_be_repeated(spark, scrat
     assert not glob.glob(os.path.join(shared_dir(spark), spark.sparkContext.applicationId, "merge-batch-*"))
 
 
+def test_the_second_writer_of_a_version_is_refused(spark, scratch, monkeypatch):
+    path, parts = os.path.join(scratch, "d"), {"year_partition": F.lit("2024")}
+    row = lambda k, v: spark.createDataFrame([("u", None, k, v)], schemas.DEVICES)
+    T.merge_into(spark, path, row(1, "old"), ["OrderId"], schemas.DEVICES, parts)
+    real = T._write_batch
+
+    def slow(*args):
+        monkeypatch.setattr(T, "_write_batch", real)
+        T.merge_into(spark, path, row(1, "fast"), ["OrderId"], schemas.DEVICES, parts)   # publishes first
+        return real(*args)
+
+    monkeypatch.setattr(T, "_write_batch", slow)
+    with pytest.raises(RuntimeError, match="another writer"):
+        T.merge_into(spark, path, row(1, "slow"), ["OrderId"], schemas.DEVICES, parts)
+    assert [r.Device for r in T.read_table(spark, path, schemas.DEVICES).collect()] == ["fast"]
+
+
 def test_replayed_batch_with_a_repeated_key(spark, scratch):
     path, parts = os.path.join(scratch, "d"), {"year_partition": F.lit("a/b=c:d")}   # a value Spark has to escape
     rows = spark.createDataFrame([("u", None, 1, "x"), ("v", None, 1, "y"), ("w", None, None, "z")], schemas.DEVICES)
