@@ -292,7 +292,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     mine = (first.join(known, "sig", "left").select("gram", "sig", "n", "rem", F.coalesce("label", "sig").alias("label")))
     sides = mine.groupBy("gram", "label").agg(F.count(F.lit(1)).alias("size"))
-    split_up = (sides.groupBy("gram").agg(F.max_by("label", "size").alias("main"), F.count(F.lit(1)).alias("labels"))
+    # ties go to the larger label: both sides of the join below must name the same main label
+    split_up = (sides.groupBy("gram").agg(F.max(F.struct("size", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("labels"))
                 .where("labels > 1").select("gram", "main"))
     mixed = mine.join(split_up, "gram")
     other = mixed.where("label != main").select("gram", F.col("sig").alias("sig2"), F.col("n").alias("n2"),
