@@ -103,6 +103,27 @@ def test_toxicity_of_awkward_rows(spark):
     assert toxicity.scored(docs.limit(0), fitted).count() == 0
 
 
+def test_toxicity_thresholds_rest_on_all_labelled_rows(spark, monkeypatch):
+    """A small training sample, as at any corpus that has many more labels: the thresholds still see every other row."""
+    monkeypatch.setattr(toxicity, "SAMPLE_DOCS", 60)
+    rng = random.Random(15)
+    rows = []
+    for i in range(1500):
+        toxic, german = int(i % 3 == 0), i % 10 == 1 or i % 10 == 9
+        filler = "der hund und die katze mit dem haus" if german else "the dog and the cat with this house"
+        marks = "nasty " * (rng.randrange(1, 3) if toxic else int(rng.random() < 0.1)) + ("stark " if german and not toxic else "")
+        rows.append((i, f"{filler} {marks}{H.prose(rng, 30)} {filler}", toxic, "de" if german else "en"))
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int, lang string")
+    docs, seen, kept = table.select("doc_id", "text"), [], toxicity.calibrate
+    monkeypatch.setattr(toxicity, "calibrate", lambda model, *args: seen.append(args) or kept(model, *args))
+    fitted = toxicity.fit(docs.unionByName(docs.limit(100)), table.select("doc_id", "toxic"))
+    en, de = toxicity.LANGUAGES.index("en"), toxicity.LANGUAGES.index("de")
+    assert fitted.shift[en] != fitted.shift[de]
+    (counts,), = seen
+    assert counts.sum() == len(rows) - 2 * 48   # 60 of a class sampled, four fifths of them learned from
+    assert counts[de].sum() > 200 and counts[de, 1].sum() > 60
+
+
 def test_mixing_matches_brute_force(spark):
     rng = random.Random(12)
     rows = [(i, (H.prose(rng, rng.randrange(1, 200)) if i % 3 else "#$% " * rng.randrange(1, 60))) for i in range(300)]

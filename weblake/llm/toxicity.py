@@ -6,10 +6,13 @@ each filter's maximum over the whole document is kept (max pooling), and a logis
 gives the logit. Gradients flow to the maximal windows only, which makes training cheap.
 
 Training takes at most ``SAMPLE_DOCS`` labelled documents of each class (those with the
-smallest hashes: a documented bound); their word hashes, not their texts, reach the
-driver. A fifth of them is held back to calibrate a threshold for each language, so that
-a calibrated score of ``CUT`` means "at the language's threshold". The language of a text
-is read off its own function words; no column but the text enters a score.
+smallest hashes: a documented bound) but every fifth of them; their word hashes, not their
+texts, reach the driver. All other labelled documents, however many, are scored on Spark and
+calibrate a threshold for each language from counts by language, label and logit bin, so that
+a calibrated score of ``CUT`` means "at the language's threshold". A language with fewer than
+``LEAST`` such rows of a class is filled up to ``LEAST`` with the distribution of all
+languages; one without any has the threshold of all. The language of a text is read off its
+own function words; no column but the text enters a score.
 
 Null and empty texts have no words and get the score of the bias alone; every score lies
 in 0..1. Without labelled rows of both classes every document scores 0. Repeated rows are
@@ -27,12 +30,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stage, staging
 from .words import ALNUM_WORD, LOWER, U64, Words, blocks, mix, span_hashes, split
 
 SAMPLE_DOCS = 4000
 BITS, DIM, FILTERS, WIDTHS = 15, 12, 12, (1, 2, 3)
 STEM = 5               # bytes of a word that its second embedding hashes
 CUT = 0.7              # calibrated scores from here on are toxic
+LEAST = 25             # rows of a class from which a language's threshold rests on its own rows alone
+LIMIT, STEPS = 30, 32  # logits are clipped to -LIMIT..LIMIT and counted in STEPS bins for each unit
 BLOCK = 1 << 20
 EPOCHS, LEAST_STEPS, BATCH, RATE = 4, 400, 32, 0.01
 
@@ -104,11 +110,11 @@ class Model:
         return (best, spot) if where else best
 
     def logits(self, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        return np.maximum(self.pool(ids, bounds) + self.bias, 0) @ self.out + self.out_bias
+        return (np.maximum(self.pool(ids, bounds) + self.bias, 0) * self.out).sum(axis=1) + self.out_bias   # a row's sum does not depend on its block
 
     def scores(self, ids, bounds, languages) -> np.ndarray:
         moved = np.array([self.shift.get(c, 0.0) for c in range(len(LANGUAGES))])[languages]
-        return 1 / (1 + np.exp(-np.clip(self.logits(ids, bounds).astype(np.float64) + moved, -30, 30)))
+        return 1 / (1 + np.exp(-np.clip(self.logits(ids, bounds).astype(np.float64) + moved, -LIMIT, LIMIT)))
 
 
 class _Adam:
@@ -183,68 +189,95 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     return model
 
 
-def _threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The cut with the least sum of both classes' error rates (the middle of the best range)."""
-    order = np.argsort(logits)
-    x, y = logits[order], labels[order]
-    miss = np.append(0, np.cumsum(y)) / max(y.sum(), 1)
-    alarm = np.append((1 - y).sum(), (1 - y).sum() - np.cumsum(1 - y)) / max((1 - y).sum(), 1)
-    best = np.flatnonzero(miss + 2 * alarm <= (miss + 2 * alarm).min() + 1e-12)
-    edges = np.concatenate([[x[0] - 1], (x[1:] + x[:-1]) / 2, [x[-1] + 1]])
-    return float(edges[best].mean())
+def _threshold(clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The cut with the least sum of both classes' error rates (the middle of the widest best range)."""
+    filled = np.flatnonzero(clean + toxic)
+    edges = np.arange(filled[0], filled[-1] + 2)
+    miss = np.append(0, np.cumsum(toxic))[edges] / toxic.sum()
+    alarm = 1 - np.append(0, np.cumsum(clean))[edges] / clean.sum()
+    best = edges[miss + 2 * alarm <= (miss + 2 * alarm).min() + 1e-9]
+    widest = max(np.split(best, np.flatnonzero(np.diff(best) > 1) + 1), key=len)
+    return (widest[0] + widest[-1]) / 2 / STEPS - LIMIT
 
 
-def calibrate(model: Model, rows: list[np.ndarray], labels: np.ndarray, languages: np.ndarray, least: int = 25) -> None:
-    """Set the logit shift of each language with enough rows of both classes, others share one."""
+def calibrate(model: Model, counts: np.ndarray) -> None:
+    """Set the logit shift of each language from its rows [language, label, logit bin]."""
     target = np.log(CUT / (1 - CUT))
-    parts = [model.logits(*_flat(rows[i:i + 64])) for i in range(0, len(rows), 64)]   # a few at a time: this runs on the driver
-    logits = np.concatenate([np.zeros(0), *parts])
-    both = len(labels) and labels.min() != labels.max()
-    common = target - _threshold(logits, labels) if both else 0.0
+    every = counts.sum(axis=0)
+    both = every.sum(axis=1).all()
     for c in range(len(LANGUAGES)):
-        mine = languages == c
-        enough = min((labels[mine] == 0).sum(), (labels[mine] == 1).sum()) >= least
-        model.shift[c] = target - _threshold(logits[mine], labels[mine]) if enough else common
+        missing = np.maximum(0, LEAST - counts[c].sum(axis=1, keepdims=True))
+        model.shift[c] = target - _threshold(*(counts[c] + missing * (every / every.sum(axis=1, keepdims=True)))) if both else 0.0
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """Labelled documents, at most ``SAMPLE_DOCS`` a class: rank, label, text."""
-    rows = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
+def labelled(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """One row (id, label) of each labelled id."""
+    return labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).groupBy("__id").agg(F.max("label").alias("label"))
+
+
+def training_ids(rows: DataFrame) -> DataFrame:
+    """At most ``SAMPLE_DOCS`` labelled ids a class: id, label, rank."""
     counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     hashed = rows.withColumn("h", F.pmod(F.xxhash64("__id", F.lit("toxicity")), F.lit(1 << 30)))
     near = hashed.join(F.broadcast(counts), "label").where(   # two rows: spares the ranking all but about twice the sample
         F.col("h") * F.col("n") <= F.lit(2 * SAMPLE_DOCS * (1 << 30)))
     ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h", "__id")))
-    chosen = ranked.where(F.col("r") <= SAMPLE_DOCS).select("__id", "label", "r")   # at most 2 * SAMPLE_DOCS rows
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-    return (texts.join(F.broadcast(chosen), "__id").groupBy("__id", "label", "r").agg(F.min("text").alias("text"))
-            .select("r", "label", "text"))
+    return ranked.where(F.col("r") <= SAMPLE_DOCS).select("__id", "label", "r")   # at most 2 * SAMPLE_DOCS rows
+
+
+def label_counts(docs: DataFrame, rows: DataFrame, learned: DataFrame, model: Model, id_col: str, text_col: str) -> np.ndarray:
+    """Labelled documents by [learned from or not, language, label, logit bin]. Only ids, languages and bins are shuffled."""
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = T.StructType([texts.schema["__id"], T.StructField("language", T.LongType()), T.StructField("bin", T.LongType())])
+
+    def run(batches):
+        own = shared.value
+        for batch in batches:
+            for block in blocks(batch.column(1), BLOCK):
+                words, ids, languages = encode(block)
+                spots = np.floor((np.clip(own.logits(ids, words.bounds).astype(np.float64), -LIMIT, LIMIT) + LIMIT) * STEPS)
+                yield pa.record_batch([batch.column(0).slice(block.lo, block.n), pa.array(languages.astype(np.int64)),
+                                       pa.array(spots.astype(np.int64))], names=["__id", "language", "bin"])
+
+    once = texts.mapInArrow(run, schema).groupBy("__id").agg(F.min(F.struct("language", "bin")).alias("x"))   # a repeated document counts once
+    known = once.join(rows, "__id").join(F.broadcast(learned.select("__id", F.lit(1).alias("learned"))), "__id", "left")
+    counts = np.zeros((2, len(LANGUAGES), 2, 2 * LIMIT * STEPS + 1))
+    for r in known.groupBy(F.coalesce("learned", F.lit(0)), "x.language", "label", "x.bin").count().collect():   # at most one row a cell
+        counts[r[0], r[1], r[2], r[3]] = r[4]
+    return counts
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:
-    """Train and calibrate from the labelled documents; None without rows of both classes."""
+    """Train on a sample of the labelled documents, calibrate on all others; None without rows of both classes."""
     def words(batches):
         for batch in batches:
             for block in blocks(batch.column(2), BLOCK):
-                found, ids, languages = encode(block)
-                yield pa.record_batch([batch.column(0).slice(block.lo, block.n), batch.column(1).slice(block.lo, block.n), pa.array(languages),
+                found, ids, _ = encode(block)
+                yield pa.record_batch([batch.column(0).slice(block.lo, block.n), batch.column(1).slice(block.lo, block.n),
                                        pa.array([ids[a:b].astype(np.uint16).tobytes() for a, b in zip(found.bounds[:-1], found.bounds[1:])], pa.binary())],
-                                      names=["r", "label", "language", "ids"])
-
-    sample = (training_sample(docs, labels, id_col, text_col, label_col)
-              .mapInArrow(words, "r int, label int, language bigint, ids binary").toArrow()
-              .sort_by([("r", "ascending"), ("label", "ascending")]))
-    y, languages = sample.column("label").to_numpy(), sample.column("language").to_numpy()
-    if not len(y) or y.min() == y.max():
-        return None
-    rows = [np.frombuffer(b, dtype=np.uint16).reshape(-1, 2) for b in sample.column("ids").to_pylist()]   # 2 << BITS fits 16 bits
-    del sample
-    held = np.arange(len(y)) % 10 >= 8
-    learn = ~held if min((y[~held] == 0).sum(), (y[~held] == 1).sum()) else np.ones(len(y), bool)
-    model = train([rows[i] for i in np.flatnonzero(learn)], y[learn])
-    check = np.flatnonzero(held) if held.any() else np.arange(len(y))
-    calibrate(model, [rows[i] for i in check], y[check], languages[check])
+                                      names=["r", "label", "ids"])
+
+    rows = labelled(labels, id_col, label_col)
+    with staging(docs.sparkSession):
+        chosen = stage(training_ids(rows), "training_ids")
+        texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
+        sample = (texts.join(F.broadcast(chosen), "__id").groupBy("__id", "label", "r").agg(F.min("text").alias("text"))
+                  .select("r", "label", "text").mapInArrow(words, "r int, label int, ids binary").toArrow()
+                  .sort_by([("r", "ascending"), ("label", "ascending")]))
+        y, learn = sample.column("label").to_numpy(), sample.column("r").to_numpy() % 5 > 0
+        if not len(y) or y.min() == y.max():
+            return None
+        part = chosen.where("r % 5 > 0")
+        if len(np.unique(y[learn])) < 2:   # too few to hold any back
+            learn, part = np.ones(len(y), bool), chosen
+        found = sample.column("ids").to_pylist()
+        model = train([np.frombuffer(found[i], dtype=np.uint16).reshape(-1, 2) for i in np.flatnonzero(learn)], y[learn])   # 2 << BITS fits 16 bits
+        del sample, found
+        counts = label_counts(docs, rows, part, model, id_col, text_col)
+    fresh = counts[0]
+    calibrate(model, fresh if fresh.sum(axis=(0, 2)).all() else counts.sum(axis=0))
     return model
 
 
