@@ -32,8 +32,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated by their fitted rates until quality domains meet their weights (operator 7)."""
-    return mixing.mixed(docs, mixing.fit(docs, queries.quality_domains(spark, sf_dir), queries.MIX))
+    """Documents repeated by their fitted rates until quality domains meet their weights; all are kept (operator 7)."""
+    return mixing.mixed(docs, mixing.fit(docs, queries.quality_domains(spark, sf_dir), queries.MIX, least=1.0))
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

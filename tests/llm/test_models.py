@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from weblake.llm import language, mixing, queries, toxicity
 
 from . import helpers as H
@@ -158,6 +159,22 @@ def test_mixing_matches_brute_force(spark):
     assert taken.columns == docs.columns and taken.count() == sum(x.copies for x in got)
 
 
+def test_pipeline_mixing_keeps_every_document(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    mixed = corpus_pipeline.mix_to_weights(spark, docs, SF)
+    assert docs.join(mixed, "doc_id", "left_anti").count() == 0
+    rows = queries.QUERIES["op7_soft_mixing"](spark, SF)
+    assert rows.where("rate < 1 or copies < 1").count() == 0
+
+
+def test_mixing_from_rate_one_meets_the_weights(spark):
+    docs, weights = spark.read.parquet(f"{SF}/documents.parquet"), {"high": 0.6, "low": 0.4}
+    got = mixing.rated(docs, mixing.fit(docs, queries.quality_domains(spark, SF), weights, least=1.0), weights)
+    r = got.agg(F.min("rate"), F.min("copies"), *[F.sum(F.col("n_tokens") * F.col("rate") * F.col(f"p_{d}")) for d in ("high", "low")]).first()
+    assert r[0] >= 1 and r[1] >= 1
+    assert abs(r[2] / (r[2] + r[3]) - 0.6) < 5e-3
+
+
 def test_mixing_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "a b c"), (2, None)], DOCS)
     labels = spark.createDataFrame([], "doc_id bigint, domain string")
@@ -168,6 +185,15 @@ def test_mixing_without_labels_or_rows(spark):
     assert mixing.mixed(empty, mixing.fit(empty, labels, weights)).count() == 0
 
 
+def test_mixing_from_rate_one_without_labels_or_rows(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, None)], DOCS)
+    labels = spark.createDataFrame([], "doc_id bigint, domain string")
+    uneven = {"a": 0.9, "b": 0.1}   # no repetition meets these weights: the total is not raised for them
+    assert all(1 <= r.rate < 5 for r in mixing.rated(docs, mixing.fit(docs, labels, uneven, least=1.0), uneven).collect())
+    empty = docs.limit(0)
+    assert mixing.mixed(empty, mixing.fit(empty, labels, uneven, least=1.0)).count() == 0
+
+
 def test_mixing_can_cut_and_stays_nonnegative(spark):
     rng = random.Random(13)
     rows = [(i, H.prose(rng, 50) if i % 2 else "#$% " * 50) for i in range(200)]

@@ -14,7 +14,11 @@
    below the fraction, so the expected count is the rate and reruns agree.
 
 ``budget`` is the tokens aimed at; by default the smallest total at which no domain's
-target lies below its present tokens, so that scarce domains are repeated and none is cut.
+target lies below its present tokens. This keeps the domains' totals, not every document:
+what repeated documents add to an abundant domain, its own documents lose. With ``least=1``
+no rate is below 1, so that every document is kept, and without a ``budget`` the total is
+raised to what its most abundant domain then needs, until the domains meet their weights
+(not for weights that no repetition meets, as without labels).
 
 Null and empty texts have no tokens, the lowest bins and a rate like others. Labels of no
 document, null labels and domains outside the given list are ignored, repeated labels of
@@ -36,6 +40,8 @@ BINS = 8
 FEATURES = ("length", "distinct", "capitals", "symbols", "word_length")
 PULL = 1e-3           # weight of the pull towards rate 1
 TOLERANCE = 1e-5      # of the largest change of a residual, as a share of all tokens
+SETTLED = 1e-4        # change of a residual below which a raised total is tried
+RAISE = 1e-3          # least raise of the total, as a share of it
 MAX_STEPS = 80
 
 
@@ -88,10 +94,10 @@ def with_posteriors(rows: DataFrame, logs: list[list]) -> DataFrame:
     return scored.withColumn("__w", whole).withColumn("__p", F.transform("__e", lambda e: e / F.col("__w"))).drop("__s", "__top", "__e", "__w")
 
 
-def _state(history: list[tuple[list[float], float]]) -> Column:
+def _state(history: list[tuple[list[float], float]], least: float = 0.0) -> Column:
     """struct(r, y): the rate after the steps so far and the point where the next gradient is
     taken, from the posterior and the (residuals, momentum) of every step."""
-    start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
+    start = F.struct(F.lit(max(1.0, least)).alias("r"), F.lit(max(1.0, least)).alias("y"))
     if not history:
         return start
     rate = 1 / (1 + PULL)
@@ -99,13 +105,13 @@ def _state(history: list[tuple[list[float], float]]) -> Column:
 
     def move(state, step):
         slope = F.aggregate(F.zip_with("__p", step["rho"], lambda p, x: p * x), F.lit(0.0), lambda a, x: a + x)
-        new = F.greatest(F.lit(0.0), state["y"] - F.lit(rate) * (slope + F.lit(PULL) * (state["y"] - 1)))
+        new = F.greatest(F.lit(float(least)), state["y"] - F.lit(rate) * (slope + F.lit(PULL) * (state["y"] - 1)))
         return F.struct(new.alias("r"), (new + step["beta"] * (new - state["r"])).alias("y"))
 
     return F.aggregate(steps, start, move)
 
 
-def fit_rates(profiles: DataFrame, weights: list[float], budget: float | None) -> tuple[DataFrame, list[float]]:
+def fit_rates(profiles: DataFrame, weights: list[float], budget: float | None, least: float = 0.0) -> tuple[DataFrame, list[float]]:
     """(profile, __p, __rate) for every profile, and the domains' target tokens."""
     size = len(weights)
 
@@ -119,27 +125,37 @@ def fit_rates(profiles: DataFrame, weights: list[float], budget: float | None) -
     share = [w / sum(weights) for w in weights]
     total = budget if budget is not None else max([p / s for p, s in zip(present, share) if s > 0], default=0.0)
     targets, history, momentum, before = [total * s for s in share], [], 1.0, None
+    excess = 0.0          # by which a domain was above the total's share at the last raise: raises go on while it shrinks
+    if budget is None and least > 0 and everything > 0:
+        peaks = profiles.agg(*[F.max(F.col("__p")[k]) for k in range(size)]).first()
+        excess = math.inf if all(p > s for p, s in zip(peaks, share)) else 0.0
     for step in range(MAX_STEPS if everything > 0 else 0):
-        now = present if not history else totals(_state(history)["y"])
+        now = present if not history and least <= 1 else totals(_state(history, least)["y"])
         rho = [round((a - t) / everything, 12) for a, t in zip(now, targets)]
-        if before is not None and max(abs(a - b) for a, b in zip(rho, before)) < TOLERANCE:
+        change = max(abs(a - b) for a, b in zip(rho, before)) if before is not None else math.inf
+        needed = max([a / s for a, s in zip(now, share) if s > 0], default=0.0)
+        if change < SETTLED and RAISE < needed / total - 1 < excess:   # rates at ``least`` hold a domain above its target: raise all targets
+            total, excess, momentum = needed, needed / total - 1, 1.0
+            targets = [total * s for s in share]
+            rho = [round((a - t) / everything, 12) for a, t in zip(now, targets)]
+        elif change < TOLERANCE:
             break
-        if before is not None and sum(a * a for a in rho) > sum(b * b for b in before):
+        elif before is not None and sum(a * a for a in rho) > sum(b * b for b in before):
             momentum = 1.0   # the momentum overshot: start it anew
         following = (1 + math.sqrt(1 + 4 * momentum * momentum)) / 2
         history.append((rho, (momentum - 1) / following))
         momentum, before = following, rho
-    return profiles.select("__profile", "__p", _state(history)["r"].alias("__rate")), targets
+    return profiles.select("__profile", "__p", _state(history, least)["r"].alias("__rate")), targets
 
 
 def fit(docs: DataFrame, labels: DataFrame, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "domain", budget: float | None = None) -> DataFrame:
-    """The staged table (__profile, __p, __rate) fitted to all of ``docs``."""
+        label_col: str = "domain", budget: float | None = None, least: float = 0.0) -> DataFrame:
+    """The staged table (__profile, __p, __rate) fitted to all of ``docs``; no rate is below ``least``."""
     domains = sorted(weights)
     slim = stage(with_profile(docs.select(id_col, text_col), text_col).select(id_col, "__profile", "__n"), "profiles")
     logs = fit_posteriors(slim, labels, domains, id_col, label_col)
     profiles = stage(with_posteriors(slim.groupBy("__profile").agg(F.sum("__n").alias("__tokens")), logs), "posteriors")
-    rates, _ = fit_rates(profiles, [weights[d] for d in domains], budget)
+    rates, _ = fit_rates(profiles, [weights[d] for d in domains], budget, least)
     return stage(rates, "rates")
 
 

@@ -240,5 +240,5 @@ def quality_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posteriors, rate and copies of every document for the target mix of quality domains."""
     docs = table(spark, sf_dir, "documents")
-    rates = mixing.fit(docs, quality_domains(spark, sf_dir), MIX)
+    rates = mixing.fit(docs, quality_domains(spark, sf_dir), MIX, least=1.0)
     return mixing.rated(docs, rates, MIX)
