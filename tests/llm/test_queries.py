@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     import __spark_entry__ as E
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
 
 
