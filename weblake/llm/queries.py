@@ -255,24 +255,23 @@ def _codes_sql(rounds: int = 4, parts: int = 4, entries: int = 256) -> str:
     """Product quantisation by comparing every part with every entry, round by round."""
     def nearest(book: str) -> str:
         return f"""SELECT vec_id, part, min(dist) AS dist, arg_min(entry, (dist, entry)) AS entry FROM (
-          SELECT vec_id, p.part, entry, sum((x - c) * (x - c))::BIGINT AS dist FROM x p JOIN {book} b ON b.part = p.part AND b.at = p.at
+          SELECT vec_id, p.part, entry, sum((x - c) * (x - c))::BIGINT AS dist FROM x p JOIN {book} b ON b.part = p.part AND b.place = p.place
           GROUP BY vec_id, p.part, entry) GROUP BY vec_id, part"""
 
-    steps = [f"""b0 AS (SELECT part, at, x AS c, rank - 1 AS entry FROM x JOIN (
+    steps = [f"""b0 AS (SELECT part, place, x AS c, rank - 1 AS entry FROM x JOIN (
         SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS rank FROM kept) USING (vec_id) WHERE rank <= {entries})"""]
     for i in range(rounds):
         steps += [f"a{i} AS MATERIALIZED ({nearest(f'b{i}')})",
-                  f"""m{i} AS (SELECT part, at, entry, floor_div(sum(x)::BIGINT, count(*)::BIGINT) AS c FROM x JOIN a{i} USING (vec_id, part) GROUP BY ALL)""",
-                  f"b{i + 1} AS MATERIALIZED (SELECT part, at, entry, coalesce(m.c, b.c)::BIGINT AS c FROM b{i} b LEFT JOIN m{i} m USING (part, at, entry))"]
-    sql = f"""WITH kept AS (SELECT vec_id, label, embedding AS v FROM embeddings WHERE embedding IS NOT NULL
+                  f"""m{i} AS (SELECT part, place, entry, (sum(x)::BIGINT - ((sum(x)::BIGINT % count(*)) + count(*)) % count(*)) // count(*) AS c FROM x JOIN a{i} USING (vec_id, part) GROUP BY ALL)""",
+                  f"b{i + 1} AS MATERIALIZED (SELECT part, place, entry, coalesce(m.c, b.c)::BIGINT AS c FROM b{i} b LEFT JOIN m{i} m USING (part, place, entry))"]
+    return f"""WITH kept AS (SELECT vec_id, label, embedding AS v FROM embeddings WHERE embedding IS NOT NULL
       AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-x AS MATERIALIZED (SELECT vec_id, i // w AS part, i % w AS at, floor(v[i + 1]::DOUBLE * 1024)::BIGINT AS x FROM (
+x AS MATERIALIZED (SELECT vec_id, i // w AS part, i % w AS place, floor(v[i + 1]::DOUBLE * 1024)::BIGINT AS x FROM (
       SELECT vec_id, v, len(v) // {parts} AS w, unnest(range(len(v))) AS i FROM kept)),
 {", ".join(steps)},
 coded AS (SELECT vec_id, string_agg(lower(printf('%02x', entry)), '' ORDER BY part) AS code, sum(dist)::BIGINT AS error FROM ({nearest(f'b{rounds}')}) GROUP BY vec_id),
-books AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, at)) AS codebooks_sha256 FROM b{rounds})
+books AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM b{rounds})
 SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN kept USING (vec_id), books"""
-    return sql.replace("floor_div(sum(x)::BIGINT, count(*)::BIGINT)", "(sum(x)::BIGINT - ((sum(x)::BIGINT % count(*)) + count(*)) % count(*)) // count(*)")
 
 
 @register("op12_laesa_vector_codes", _codes_sql())
