@@ -58,6 +58,33 @@ def test_rollup_refuses_unknown_kinds_and_hides_failed_batches(spark, tmp_path,
     assert rollup.commit("good", good) and totals(rollup) == {("s", "en", "v"): (1, 1)}
 
 
+def test_overlapping_compactions_count_every_batch_once(spark, tmp_path, monkeypatch):
+    def rollup():
+        return token_rollups.TokenRollup(spark, str(tmp_path))
+
+    def insert(n):
+        return spark.createDataFrame([("s", "en", "v", "insert", n, None)], CHANGE)
+
+    one, two = rollup(), rollup()
+    one.commit("a", insert(4))
+    one.commit("b", insert(6))
+    real, done = one.log.publish, []
+
+    def late(*args):   # the other compaction, and one more batch, come in between
+        done.append(two.compact())
+        two.commit("c", insert(5))
+        return real(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(one.log, "publish", late)
+        assert one.compact() is False and done == [True]
+    assert totals(rollup()) == {("s", "en", "v"): (3, 15)}
+    assert one.compact() and two.compact() and totals(rollup()) == {("s", "en", "v"): (3, 15)}
+    assert not rollup().commit("a", insert(4))
+    with pytest.raises(ValueError):
+        one.commit("compaction 00000009", insert(1))
+
+
 def test_word_counts(spark):
     rows = H.awkward_rows()
     docs = spark.createDataFrame(rows, DOCS).withColumn("n", F.lit(1))

@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sinks.commit_log import CommitLog
+from .commit_log import CommitLog
 from .words import blocks, runs
 
 KEYS = ("source", "lang", "tokenizer_version")
+COMPACTION = "compaction "   # ids of compactions; batches may not take them
 
 
 def count_words(docs: DataFrame, counters: dict[str, tuple], text_col: str = "text") -> DataFrame:
@@ -80,27 +81,35 @@ class TokenRollup:
 
     def commit(self, batch_id: str, changed: DataFrame) -> bool:
         """Add a batch; False (and no change) if a batch of that id was added before."""
+        if batch_id.startswith(COMPACTION):
+            raise ValueError(f"{batch_id!r}: this id is kept for compactions")
         if batch_id in self.log:
             return False
         path = f"{self.root}/data/{uuid.uuid4().hex}"
         deltas(changed).coalesce(1).write.parquet(path)   # one row per key
         return self.log.publish(batch_id, {"path": path, "covers": []})
 
-    def _live(self) -> dict[str, dict]:
-        entries = {i: self.log.read(i) for i in self.log.ids()}
+    def _live(self) -> tuple[dict[str, dict], int]:
+        """The entries that no compaction covers, and the number of the next compaction."""
+        ids = self.log.ids()
+        entries = {i: self.log.read(i) for i in ids}
         covered = {c for e in entries.values() for c in e["covers"]}
-        return {i: e for i, e in entries.items() if i not in covered}
+        return {i: e for i, e in entries.items() if i not in covered}, 1 + sum(i.startswith(COMPACTION) for i in ids)
+
+    def _rows(self, live: dict[str, dict]) -> DataFrame:
+        paths = [e["path"] for e in live.values()]
+        schema = "source string, lang string, tokenizer_version string, docs bigint, tokens bigint"
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def totals(self) -> DataFrame:
         """Documents and tokens of every key over all published batches."""
-        paths = [e["path"] for e in self._live().values()]
-        schema = "source string, lang string, tokenizer_version string, docs bigint, tokens bigint"
-        rows = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-        return rows.groupBy(*KEYS).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
+        return self._rows(self._live()[0]).groupBy(*KEYS).agg(F.sum("docs").alias("n_docs"), F.sum("tokens").alias("n_tokens"))
 
-    def compact(self) -> None:
-        """Fold all published batches into one entry; their ids stay known."""
-        live = self._live()
+    def compact(self) -> bool:
+        """Fold all published batches into one entry; their ids stay known. Compactions are
+        numbered: of two that overlap, the one that publishes second is refused (False, and its
+        folder stays unread), so no batch is ever covered twice."""
+        live, number = self._live()
         path = f"{self.root}/data/{uuid.uuid4().hex}"
-        self.totals().withColumnsRenamed({"n_docs": "docs", "n_tokens": "tokens"}).coalesce(1).write.parquet(path)
-        self.log.publish(f"compact-{uuid.uuid4().hex}", {"path": path, "covers": sorted(live)})
+        self._rows(live).groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens")).coalesce(1).write.parquet(path)
+        return self.log.publish(f"{COMPACTION}{number:08d}", {"path": path, "covers": sorted(live)})
