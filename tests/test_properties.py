@@ -68,3 +68,32 @@ def test_upsert_matches_model(spark, target, source):
         got = sorted((tuple(r) for r in upsert(t, s, ["k"]).collect()),
                      key=lambda r: (r[0] is None, r[0] or 0, r[1]))
         assert got == expect
+
+
+def _conditional_model(target, source):
+    """MERGE ON target.k = source.k AND source.v > target.v in plain Python; None for a multi-match."""
+    out, used = [], set()
+    for k, v in target:
+        hits = [i for i, (sk, sv) in enumerate(source) if k is not None and sk == k and sv > v]
+        if len(hits) > 1:
+            return None
+        used.update(hits)
+        out.append(source[hits[0]] if hits else (k, v))
+    out += [r for i, r in enumerate(source) if i not in used]
+    return sorted(out, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows, rows)
+def test_upsert_on_a_condition_matches_model(spark, target, source):
+    import pytest
+    from pyspark.sql import functions as F
+    from weblake.operators.upsert import upsert
+    t, s = spark.createDataFrame(target, "k int, v string"), spark.createDataFrame(source, "k int, v string")
+    expect = _conditional_model(target, source)
+    for on in ("source.v > target.v and target.k = source.k", (F.col("target.k") == F.col("source.k")) & (F.col("source.v") > F.col("target.v"))):
+        if expect is None:
+            with pytest.raises(Exception, match="more than one source row"):
+                upsert(t, s, on).collect()
+        else:
+            assert sorted((tuple(r) for r in upsert(t, s, on).collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1])) == expect

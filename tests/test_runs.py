@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from weblake import registry as R
@@ -19,23 +20,70 @@ def _same(a, b):
     return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_historical_plus_incremental_equals_full(spark, scratch):
-    root = os.path.join(scratch, "gold")
-    R.run_fixture_history(spark, SF_SMALL, root)
-    g = runs.gold_tables(spark, root)
-    assert _same(g["sales"], R.q_sales_fact(spark, SF_SMALL))
+def _key_rows(df):
+    return {tuple(r) for r in df.collect()}
+
+
+def test_historical_run_and_incremental_run_that_updates(spark, scratch):
+    from weblake.plans.sales import incremental_orders
+    R.runs.run_transform(spark, R.fixture_sources(spark, SF_SMALL, early=True), scratch, R.RUN_SNAPSHOT, is_historical=True)
+    before = {n: _key_rows(df) for n, df in runs.gold_tables(spark, scratch).items()}
+    now = R.fixture_sources(spark, SF_SMALL)
+    assert runs.run_transform(spark, now, scratch, R.RUN_INCREMENTAL_AS_OF, is_historical=False, logs_month=R.RUN_LOGS_MONTH) == 2
+    g = runs.gold_tables(spark, scratch)
+    recent = incremental_orders(now.orders, R.RUN_INCREMENTAL_AS_OF).select(F.col("OrderId").alias("orderId"))
+    assert _same(g["sales"].join(recent, "orderId", "left_semi").select(g["sales"].columns),
+                 R.q_sales_fact(spark, SF_SMALL).join(recent, "orderId", "left_semi").select(g["sales"].columns))
     assert _same(g["devices"], R.q_order_devices(spark, SF_SMALL))
     assert _same(g["products"], R.q_product_visits(spark, SF_SMALL))
+    after = {n: _key_rows(df) for n, df in g.items()}
+    keys = {"sales": 0, "devices": 2}
+    for name, at in keys.items():   # rows of the same key changed values, and some sales their month
+        old, new = {r[at]: r for r in before[name]}, {r[at]: r for r in after[name]}
+        assert any(k in old and old[k] != new[k] for k in new) and len(new) > len(old)
+    old, new = {r[0]: r[-1] for r in before["sales"]}, {r[0]: r[-1] for r in after["sales"]}
+    assert any(k in old and old[k] != new[k] for k in new)
     # replaying the incremental run changes nothing
-    R.run_fixture_history(spark, SF_SMALL, root)
-    assert _same(runs.gold_tables(spark, root)["sales"], R.q_sales_fact(spark, SF_SMALL))
-    mart = runs.run_load(spark, root, R.AS_OF)
+    runs.run_transform(spark, now, scratch, R.RUN_INCREMENTAL_AS_OF, is_historical=False, logs_month=R.RUN_LOGS_MONTH)
+    assert {n: _key_rows(df) for n, df in runs.gold_tables(spark, scratch).items()} == after
+    mart = runs.run_load(spark, scratch, R.AS_OF)
     rep = runs.run_reports(mart)
     assert _same(rep["popular_products_report"], R.q_report_popular_products(spark, SF_SMALL))
     assert _same(rep["last_year_orders_report"], R.q_report_last_year_orders(spark, SF_SMALL))
     assert _same(rep["order_devices_report"], R.q_report_order_devices(spark, SF_SMALL))
 
 
+@pytest.mark.parametrize("failing", ["products", "publish"])
+def test_a_run_that_fails_after_the_devices_merge_leaves_all_tables_at_the_old_run(spark, scratch, monkeypatch, failing):
+    from weblake.sinks import tables as T
+    early, now = R.fixture_sources(spark, SF_SMALL, early=True), R.fixture_sources(spark, SF_SMALL)
+    runs.run_transform(spark, early, scratch, R.RUN_SNAPSHOT, is_historical=True)
+    before = {n: _key_rows(df) for n, df in runs.gold_tables(spark, scratch).items()}
+    merge, publish, merged = T.Run.merge, T.Run.publish, []
+
+    def broken_merge(run, name, *args, **kwargs):
+        if name == failing:
+            raise RuntimeError("lost")
+        merged.append(name)
+        return merge(run, name, *args, **kwargs)
+
+    def broken_publish(run):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(T.Run, "merge", broken_merge)
+    monkeypatch.setattr(T.Run, "publish", broken_publish if failing == "publish" else publish)
+    run = lambda: runs.run_transform(spark, now, scratch, R.RUN_INCREMENTAL_AS_OF, is_historical=False, logs_month=R.RUN_LOGS_MONTH)
+    with pytest.raises(RuntimeError, match="lost"):
+        run()
+    assert merged[:2] == ["sales", "devices"]
+    assert {n: _key_rows(df) for n, df in runs.gold_tables(spark, scratch).items()} == before
+    monkeypatch.setattr(T.Run, "merge", merge)
+    monkeypatch.setattr(T.Run, "publish", publish)
+    run()   # the retry
+    after = runs.gold_tables(spark, scratch)
+    assert _same(after["devices"], R.q_order_devices(spark, SF_SMALL)) and _same(after["products"], R.q_product_visits(spark, SF_SMALL))
+
+
 def test_mart_load_over_jdbc(spark, scratch):
     root = os.path.join(scratch, "gold")
     R.run_fixture_history(spark, SF_SMALL, root)
@@ -64,10 +112,9 @@ def test_streaming_ingest_matches_batch(spark, scratch):
     q = start_weblog_ingest(spark, landing, gold, ranges, products, ckpt)
     q.awaitTermination(300)
     assert q.exception() is None
-    from weblake import schemas
-    from weblake.sinks.tables import read_table
-    g = {"devices": read_table(spark, f"{gold}/devices", schemas.DEVICES),
-         "products": read_table(spark, f"{gold}/products", schemas.PRODUCT_VISITS)}
+    from weblake.sinks.tables import current, read_table
+    g = {"devices": read_table(spark, gold, "devices"), "products": read_table(spark, gold, "products")}
+    assert current(spark, gold)["run"] == 2   # one visible step per micro-batch, for both tables
     batch_logs = read_weblogs(spark, landing)
     assert _same(g["devices"], W.order_devices(W.enrich_weblogs(batch_logs, ranges)))
     assert _same(g["products"], R.q_product_visits(spark, SF_SMALL))

@@ -4,7 +4,8 @@ the mart, answer the reports.
 Gold layout under ``gold_root``: ``sales``, ``devices`` and ``products``, each
 partitioned by ``year_partition``/``month_partition`` (sales by order date, the
 two log tables by visit date), so an incremental month rewrites about one
-month of each table.
+month of each table. A run shows its three merges in one step: readers see all
+tables of the last run, or all tables of this one.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from .. import schemas
 from ..functions.dates import month_text, year_text
 from ..session import stage, staging
 from ..sinks.jdbc import write_jdbc
-from ..sinks.tables import merge_into, read_table, table_exists
+from ..sinks.tables import current, gold_run, table_exists, table_rows
 from . import reports, sales, weblogs
 
 PARTITION_NAMES = ["year_partition", "month_partition"]
@@ -30,8 +31,11 @@ def visit_partitions() -> dict:
     return {"year_partition": year_text("VisitedAt"), "month_partition": month_text("VisitedAt")}
 
 
-def sales_partitions() -> dict:
-    return {c: F.col(c) for c in schemas.SALES_PARTITIONS}
+GOLD = {"sales": schemas.SALES, "devices": schemas.DEVICES, "products": schemas.PRODUCT_VISITS}
+
+
+def sales_partitions() -> list[str]:
+    return schemas.SALES_PARTITIONS
 
 
 @dataclass
@@ -51,43 +55,47 @@ def _date(d) -> _dt.date:
 
 
 def run_transform(spark: SparkSession, src: Sources, gold_root: str, as_of=None, is_historical: bool | None = None,
-                  logs_month=None, range_mode: str = "exact") -> dict:
-    """One transform run. Historical: every order and every landing log.
+                  logs_month=None, range_mode: str = "exact", tables: tuple[str, ...] = tuple(GOLD)) -> int:
+    """One transform run; returns its number. Historical: every order and every landing log.
     Incremental: orders from the first day of ``as_of``'s month, and the
     landing folder of ``logs_month`` (default: ``as_of``'s month).
 
-    ``as_of`` defaults to today; ``is_historical=None`` chooses a historical run
-    exactly when the sales table does not exist yet."""
+    ``as_of`` defaults to today; ``is_historical=None`` chooses a historical run exactly when none of
+    ``tables`` (the gold tables to refresh) exists yet. All of them change in one step, or none."""
     as_of = _date(as_of) if as_of is not None else _dt.date.today()
     root = gold_root.rstrip("/")
     if is_historical is None:
-        is_historical = not table_exists(spark, f"{root}/sales")
-    if is_historical:
-        batch = sales.sales_fact(src.orderitems, src.orders, src.catalog)
-        logs = src.weblogs
-    else:
-        batch = sales.sales_fact_incremental(src.orderitems, src.orders, src.catalog, as_of)
+        is_historical = not any(table_exists(spark, root, t) for t in tables)
+    logs = src.weblogs
+    if not is_historical:
         lm = _date(logs_month) if logs_month else as_of
-        logs = src.weblogs.filter((F.col("year") == lm.year) & (F.col("month") == lm.month))
-    stats = {"sales": merge_into(spark, f"{root}/sales", batch, schemas.SALES_KEYS, schemas.SALES,
-                                 sales_partitions())}
-
-    with staging(spark):   # the enriched logs feed two tables: stage them once in the shared folder
-        enriched = stage(weblogs.enrich_weblogs(logs, src.ipsrangelist, mode=range_mode), "enriched-logs")
-        stats["devices"] = merge_into(spark, f"{root}/devices", weblogs.order_devices(enriched),
-                                      schemas.DEVICES_KEYS, schemas.DEVICES, visit_partitions())
-        stats["products"] = merge_into(spark, f"{root}/products", weblogs.product_visits(enriched, src.products),
-                                       schemas.PRODUCT_VISITS_KEYS, schemas.PRODUCT_VISITS, visit_partitions())
-    return stats
+        logs = logs.filter((F.col("year") == lm.year) & (F.col("month") == lm.month))
+    with gold_run(spark, root) as run:
+        if "sales" in tables:
+            batch = (sales.sales_fact(src.orderitems, src.orders, src.catalog) if is_historical
+                     else sales.sales_fact_incremental(src.orderitems, src.orders, src.catalog, as_of))
+            run.merge("sales", batch, schemas.SALES_KEYS, schemas.SALES, sales_partitions())
+        merge_visits(run, logs, src.ipsrangelist, src.products, [t for t in tables if t != "sales"], range_mode)
+    return run.number
+
+
+def merge_visits(run, logs: DataFrame, ranges: DataFrame, products: DataFrame, tables=("devices", "products"), range_mode: str = "exact") -> None:
+    """Merge what ``logs`` hold for the two log tables into a run. The enriched logs are staged in the
+    shared folder when both need them."""
+    with staging(run.spark):
+        enriched = weblogs.enrich_weblogs(logs, ranges, mode=range_mode)
+        if len(tables) > 1:
+            enriched = stage(enriched, "enriched-logs")
+        if "devices" in tables:
+            run.merge("devices", weblogs.order_devices(enriched), schemas.DEVICES_KEYS, schemas.DEVICES, visit_partitions())
+        if "products" in tables:
+            run.merge("products", weblogs.product_visits(enriched, products), schemas.PRODUCT_VISITS_KEYS, schemas.PRODUCT_VISITS, visit_partitions())
 
 
 def gold_tables(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
-    root = gold_root.rstrip("/")
-    return {
-        "sales": read_table(spark, f"{root}/sales", schemas.SALES),
-        "devices": read_table(spark, f"{root}/devices", schemas.DEVICES),
-        "products": read_table(spark, f"{root}/products", schemas.PRODUCT_VISITS),
-    }
+    """The three gold tables, all as the same run left them."""
+    state = current(spark, gold_root)
+    return {name: table_rows(spark, gold_root, state, name, schema) for name, schema in GOLD.items()}
 
 
 def run_load(spark: SparkSession, gold_root: str, as_of, mart_url: str | None = None,

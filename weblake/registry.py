@@ -7,6 +7,7 @@ incremental month, the last-year report, a run's snapshot date).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from .operators import quality as Q
 from .operators.serial import positional_join
 from .plans import calendar, catalog, order_logs, reports, runs, sales, weblogs
 from .session import stage, work_path
-from .sinks.tables import merge_into, read_table
+from .sinks.tables import define_table, gold_run, merge_into, read_table
 from .sources.fixtures import FIXTURE_SITE, FIXTURE_USER_AGENTS
 from .sources.fixtures import Fixture
 from .sources.logs import read_weblogs
@@ -128,9 +129,10 @@ def q_products_upsert(spark, d):
 
 def q_last_year_orders(spark, d):
     """Last year's rows of the stored sales table: one year's folders are scanned."""
-    path = work_path(spark, "sales")
-    merge_into(spark, path, _sales_full(Fixture(spark, d)), schemas.SALES_KEYS, schemas.SALES, runs.sales_partitions())
-    return reports.last_year_orders(read_table(spark, path, schemas.SALES), AS_OF)
+    root = work_path(spark, "gold")
+    with gold_run(spark, root) as run:
+        run.replace("sales", _sales_full(Fixture(spark, d)), schemas.SALES, runs.sales_partitions())
+    return reports.last_year_orders(read_table(spark, root, "sales"), AS_OF)
 
 
 def q_report_last_year_orders(spark, d):
@@ -243,59 +245,101 @@ def q_quality_report(spark, d):
     ])
 
 
+RUN_SNAPSHOT = "2001-03-01"           # what the historical run sees: orders placed before, some dated later than now
 RUN_INCREMENTAL_AS_OF = "2001-01-15"  # next monthly run: orders from 2001-01-01 on
 RUN_LOGS_MONTH = "2024-01-01"         # and the January landing folder
 
 
-def run_fixture_history(spark, d, gold_root: str) -> None:
-    """A historical run over the sources as they stood earlier, then an
-    incremental run over the current sources."""
+def fixture_sources(spark, d, early: bool = False) -> runs.Sources:
+    """The sources as they are, or as they stood at the earlier run: fewer orders and logs, some orders of
+    the incremental months dated 20 days later, other prices, product names and user agents."""
     fx = Fixture(spark, d)
-    landing = fx.landing_weblogs()
-    snap = sales.orders_snapshot(fx.orders(), SALES_SNAPSHOT)
-    early = runs.Sources(
-        orders=snap, orderitems=fx.orderitems().join(snap.select("OrderId"), "OrderId", "left_semi"),
-        catalog=fx.catalog(), products=fx.products(), ipsrangelist=fx.ipsrangelist(),
-        weblogs=landing.filter(F.col("date") < LOGS_OLD_BEFORE))
-    now = runs.Sources(orders=fx.orders(), orderitems=fx.orderitems(), catalog=fx.catalog(),
-                           products=fx.products(), ipsrangelist=fx.ipsrangelist(), weblogs=landing)
-    runs.run_transform(spark, early, gold_root, SALES_SNAPSHOT, is_historical=True)
-    runs.run_transform(spark, now, gold_root, RUN_INCREMENTAL_AS_OF, is_historical=False,
-                           logs_month=RUN_LOGS_MONTH)
-
-
-def _run(spark, d) -> str:
+    orders, items, catalog_, products, logs = fx.orders(), fx.orderitems(), fx.catalog(), fx.products(), fx.landing_weblogs()
+    if early:
+        moved = (F.col("OrderId") % 5 == 0) & (F.col("OrderDate") >= F.lit(f"{RUN_INCREMENTAL_AS_OF[:8]}01").cast("timestamp_ntz"))
+        orders = sales.orders_snapshot(orders, RUN_SNAPSHOT).withColumn(
+            "OrderDate", F.when(moved, F.col("OrderDate") + F.expr("interval 20 days")).otherwise(F.col("OrderDate")))
+        items = items.join(orders.select("OrderId"), "OrderId", "left_semi")
+        catalog_ = catalog_.withColumn("Price", F.when(F.col("CatalogId") % 3 == 0, F.col("Price") - 1).otherwise(F.col("Price")))
+        products = products.withColumn("ProductName", F.concat("ProductName", F.lit(" (old)")))
+        logs = logs.filter(F.col("date") < LOGS_OLD_BEFORE).withColumn("useragent", F.concat(F.lit("Old/1.0 (before) "), "useragent"))
+    return runs.Sources(orders=orders, orderitems=items, catalog=catalog_, products=products, ipsrangelist=fx.ipsrangelist(), weblogs=logs)
+
+
+def run_fixture_history(spark, d, gold_root: str, tables=tuple(runs.GOLD)) -> None:
+    """A historical run over the sources as they stood earlier, then an
+    incremental run over the current sources, which changes values, moves rows to other months and adds rows."""
+    runs.run_transform(spark, fixture_sources(spark, d, early=True), gold_root, RUN_SNAPSHOT, is_historical=True, tables=tables)
+    runs.run_transform(spark, fixture_sources(spark, d), gold_root, RUN_INCREMENTAL_AS_OF, is_historical=False,
+                       logs_month=RUN_LOGS_MONTH, tables=tables)
+
+
+def _run(spark, d, tables=tuple(runs.GOLD)) -> str:
     """The gold root after both runs."""
     root = work_path(spark, "runs")
-    run_fixture_history(spark, d, root)
+    run_fixture_history(spark, d, root, tables)
     return root
 
 
 def q_transform_load_run(spark, d):
+    """The sales table after a historical and an incremental run of all three tables."""
     return runs.gold_tables(spark, _run(spark, d))["sales"]
 
 
 def q_run_devices(spark, d):
-    return runs.gold_tables(spark, _run(spark, d))["devices"]
+    """The devices table after both runs (of this table alone)."""
+    return runs.gold_tables(spark, _run(spark, d, ("devices",)))["devices"]
 
 
 def q_run_products(spark, d):
-    return runs.gold_tables(spark, _run(spark, d))["products"]
+    """The product visits after both runs (of this table alone)."""
+    return runs.gold_tables(spark, _run(spark, d, ("products",)))["products"]
 
 
 def q_run_reports(spark, d):
-    """The run's three reports, read from their views over the mart extracts."""
+    """The run's three reports, read from their views over the loaded mart."""
     from .sinks import views
-    mart = runs.run_load(spark, _run(spark, d), AS_OF)
-    views.register_mart(spark, mart["last_year_orders"], mart["order_devices"], mart["popular_products"])
-    made = views.create_report_views(spark)
+    database = f"mart_{uuid.uuid4().hex}"
+    made = views.load_mart(spark, runs.run_load(spark, _run(spark, d), AS_OF), database, work_path(spark, "mart"))
     parts = [made["last_year_orders_report"].select(F.lit("last_year_orders").alias("report"), F.col("lastYear").alias("k1"), F.col("month").alias("k2"), F.col("qttOrders").alias("n")),
              made["order_devices_report"].select(F.lit("order_devices"), "Device", F.lit(None).cast("string"), "qttOrders"),
              made["popular_products_report"].select(F.lit("popular_products"), "Country", "ProductName", "qttLogs")]
-    views.drop_report_views(spark)
+    views.drop_mart(spark, database)   # the frames are resolved: they read the mart's files
     return parts[0].union(parts[1]).union(parts[2])
 
 
+def q_conditional_merge(spark, d):
+    """A stored merge on key and condition: an order's device is replaced by a later visit only; earlier visits
+    of a known order do not match it and are added. An order may come twice, as long as one visit is later."""
+    fx, root = Fixture(spark, d), work_path(spark, "gold")
+    old = weblogs.order_devices(_enriched(fx, F.col("date") < LOGS_OLD_BEFORE))
+    merge_into(spark, root, "devices", old, schemas.DEVICES_KEYS, schemas.DEVICES, runs.visit_partitions())
+    new = weblogs.order_devices(_enriched(fx, F.col("date") >= LOGS_NEW_FROM))
+    shift = {"later": F.expr("interval 25 days"), "earlier": F.expr("interval -1 day")}   # 25 days: mostly another month
+    batch = [new.select("Username", (F.col("VisitedAt") + by).alias("VisitedAt"), "OrderId", F.concat("Device", F.lit(f" {name}")).alias("Device"))
+             for name, by in shift.items()]
+    batch = batch[0].filter("OrderId % 3 <> 0").unionByName(batch[1].filter("OrderId % 2 = 0"))
+    merge_into(spark, root, "devices", batch, "target.OrderId = source.OrderId and source.VisitedAt > target.VisitedAt",
+               schemas.DEVICES, runs.visit_partitions())
+    return read_table(spark, root, "devices")
+
+
+def q_defined_table(spark, d):
+    """A table defined from a schema document, filled, left alone by a second definition, dropped and
+    recreated, filled again; read by its declared schema."""
+    fx, root, document = Fixture(spark, d), work_path(spark, "gold"), schemas.DEVICES.json()
+    devices = {name: weblogs.order_devices(_enriched(fx, when)) for name, when in
+               (("old", F.col("date") < LOGS_OLD_BEFORE), ("new", F.col("date") >= LOGS_NEW_FROM))}
+    define_table(spark, root, "devices", document, list(runs.visit_partitions()))
+    merge_into(spark, root, "devices", devices["old"], schemas.DEVICES_KEYS, schemas.DEVICES, runs.visit_partitions())
+    define_table(spark, root, "devices", document, list(runs.visit_partitions()))
+    if not read_table(spark, root, "devices").head(1):
+        raise RuntimeError("a table that exists must be left alone")
+    define_table(spark, root, "devices", document, list(runs.visit_partitions()), replace=True)
+    merge_into(spark, root, "devices", devices["new"], schemas.DEVICES_KEYS, schemas.DEVICES, runs.visit_partitions())
+    return read_table(spark, root, "devices")
+
+
 LANDING_MONTH = (2000, 6)
 
 
@@ -356,7 +400,7 @@ def q_stream_ingest(spark, d):
         q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
-    return read_table(spark, f"{base}/gold/products", schemas.PRODUCT_VISITS)
+    return read_table(spark, f"{base}/gold", "products")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -391,6 +435,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_devices": q_run_devices,
     "run_products": q_run_products,
     "run_reports": q_run_reports,
+    "conditional_merge": q_conditional_merge,
+    "defined_table": q_defined_table,
     "landing_logs": q_landing_logs,
     "landing_logs_month": q_landing_logs_month,
     "positional_join": q_positional_join,
@@ -532,6 +578,15 @@ _QUALITY = " union all ".join([
     _q_nn("nn.ipsrangelist", "src_ipsrangelist", ["country", "iprange"]),
 ])
 
+# the runs: orders of the incremental months as they are now, older ones at the prices of the first run
+_RUN_CTES = [("now_orders", f"select * from src_orders where OrderDate >= timestamp '{RUN_INCREMENTAL_AS_OF[:8]}01'"),
+             ("old_orders", f"select * from src_orders where OrderDate < timestamp '{RUN_INCREMENTAL_AS_OF[:8]}01'"),
+             ("now_sales", O.sales_sql("now_orders", "inner")),
+             ("old_sales", "select s.* replace (case when i.CatalogId % 3 = 0 then s.price - 1 else s.price end as price) from ("
+              + O.sales_sql("old_orders", "inner") + ") s join src_orderitems i on i.OrderItemId = s.orderItemId")]
+_RUN_ROWS = "select * from now_sales union all select * from old_sales"
+_RUN_SALES = O.with_views(_RUN_CTES, _RUN_ROWS)
+
 _UAS = "case OrderId % 7 " + " ".join(f"when {i} then '{ua}'" for i, ua in enumerate(FIXTURE_USER_AGENTS)) + " end"
 _ORDER_CTX = f"""select o.OrderId, o.OrderDate, c.c_name as CustomerName,
   concat(cast(c.c_nationkey * 9 + 10 as varchar), '.', cast(c.c_nationkey % 4 as varchar), '.',
@@ -580,12 +635,21 @@ from (select unnest(generate_series(date_trunc('month', min(OrderDate)), date_tr
                                     interval 1 month)) as m from src_orders)"""),
     "company_ids_by_role": O.with_views([], "select distinct IsSupplier, CompanyId from src_companies order by 1, 2"),
     "quality_report": O.with_views([], _QUALITY),
-    "transform_load_run": O.with_views([], O.sales_sql()),
+    "transform_load_run": _RUN_SALES,
+    "conditional_merge": O.with_views(
+        _OLD_NEW + [("tgt", O.order_devices_sql("enr_old")), ("new0", O.order_devices_sql("enr_new")),
+                    ("src", """select Username, VisitedAt + interval 25 day as VisitedAt, OrderId, Device || ' later' as Device from new0 where OrderId % 3 <> 0
+                       union all select Username, VisitedAt - interval 1 day, OrderId, Device || ' earlier' from new0 where OrderId % 2 = 0""")],
+        """select case when s.OrderId is not null then s.Username else t.Username end as Username,
+             case when s.OrderId is not null then s.VisitedAt else t.VisitedAt end as VisitedAt,
+             coalesce(s.OrderId, t.OrderId) as OrderId, case when s.OrderId is not null then s.Device else t.Device end as Device
+           from tgt t full join src s on t.OrderId = s.OrderId and s.VisitedAt > t.VisitedAt"""),
+    "defined_table": O.with_views(_OLD_NEW, O.order_devices_sql("enr_new")),
     "stream_ingest": O.with_views(_ENRICHED, O.product_visits_sql("enriched")),
     "run_devices": O.with_views(_ENRICHED, O.order_devices_sql("enriched")),
     "run_products": O.with_views(_ENRICHED, O.product_visits_sql("enriched")),
     "run_reports": O.with_views(
-        _ENRICHED + [("sales", O.sales_sql()), ("ly", _LAST_YEAR), ("dev", O.order_devices_sql("enriched")), ("pv", O.product_visits_sql("enriched"))],
+        _ENRICHED + _RUN_CTES + [("sales", _RUN_ROWS), ("ly", _LAST_YEAR), ("dev", O.order_devices_sql("enriched")), ("pv", O.product_visits_sql("enriched"))],
         f"""select 'last_year_orders' as report, lastYear as k1, month as k2, qttOrders as n from ({_REPORT_LAST_YEAR})
 union all select 'order_devices', Device, null, qttOrders from ({_REPORT_DEVICES})
 union all select 'popular_products', Country, ProductName, qttLogs from ({_REPORT_PRODUCTS})"""),

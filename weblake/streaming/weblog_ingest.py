@@ -3,10 +3,10 @@
 The landing folder is read as a stream of new files (``year=``/``month=``
 folders are discovered, each file is processed once; progress lives in the
 checkpoint location). Every micro-batch is enriched and merged into the two
-gold tables, each merge published with the stream's epoch number: a micro-batch
-that is delivered again finds its epoch in the table's log and is skipped, also
-if it holds null keys or repeated keys. Delivery at least once thus becomes table
-content exactly once, per table (the two tables are two commits).
+gold tables as one run, published with the stream's epoch number: a micro-batch
+that is delivered again finds its epoch published and is skipped, also if it
+holds null keys or repeated keys. Delivery at least once thus becomes content
+exactly once, of both tables together.
 
 Run with ``available_now=True`` (process everything present, then stop) from a
 scheduler in place of a monthly batch job, or continuously with a
@@ -17,11 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .. import schemas
-from ..plans import weblogs
-from ..plans.runs import visit_partitions
-from ..session import stage, staging
-from ..sinks.tables import merge_into
+from ..plans.runs import merge_visits
+from ..sinks.tables import gold_run
 from ..sources.logs import with_log_format
 
 
@@ -36,13 +33,9 @@ def start_weblog_ingest(spark: SparkSession, landing_root: str, gold_root: str,
     root, stream = gold_root.rstrip("/"), checkpoint_location.rstrip("/")   # epochs count per checkpoint
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        session = batch.sparkSession
-        with staging(session):
-            enriched = stage(weblogs.enrich_weblogs(batch, ranges), f"stream-enriched-{epoch_id}")
-            merge_into(session, f"{root}/devices", weblogs.order_devices(enriched), schemas.DEVICES_KEYS, schemas.DEVICES,
-                       visit_partitions(), epoch=(stream, epoch_id))
-            merge_into(session, f"{root}/products", weblogs.product_visits(enriched, products), schemas.PRODUCT_VISITS_KEYS,
-                       schemas.PRODUCT_VISITS, visit_partitions(), epoch=(stream, epoch_id))
+        with gold_run(batch.sparkSession, root, epoch=(stream, epoch_id)) as run:
+            if not run.repeated:
+                merge_visits(run, batch, ranges, products)
 
     writer = logs.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
