@@ -1,8 +1,12 @@
 """Serial keys, seeded sampling and the catalog build."""
 
+import math
+import os
+import statistics
+
 from pyspark.sql import functions as F
 
-from weblake.operators.sampling import pick_one_per_key, rank_by_hash, sample_per_group, seeded_draw
+from weblake.operators.sampling import permuted, pick_one_per_key, rank_by_hash, sample_per_group, seeded_draw
 from weblake.operators.serial import serial_keys
 from weblake.plans import catalog as C
 
@@ -55,7 +59,7 @@ def test_pick_one_per_key_brute_force(spark):
 
 def test_catalog_build_properties(spark):
     products = spark.createDataFrame([(p, float(p)) for p in range(1, 41)], "ProductId bigint, DefaultPrice double")
-    companies = spark.createDataFrame([(c, c <= 4, 7 * c) for c in range(1, 11)], "CompanyId bigint, IsSupplier boolean, k bigint")
+    companies = spark.createDataFrame([(c, c <= 4, 7 * c, c) for c in range(1, 11)], "CompanyId bigint, IsSupplier boolean, k bigint, Increment bigint")
     existing = spark.createDataFrame([(1, 1, 5, None, 123.0)],
                                      "CatalogId bigint, ProductId bigint, CompanyId bigint, SupplierId bigint, Price double")
     out = C.catalog_build(existing, products, companies, 3).collect()
@@ -67,9 +71,9 @@ def test_catalog_build_properties(spark):
     assert len(sup) == 7 + 14 + 21 + 28   # the output grows with the sum of the sizes
     for r in out:
         if r.CompanyId > 4 and r.CatalogId != 1:
-            assert (r.ProductId, r.SupplierId) in sup and 1 <= r.Price - sup[(r.ProductId, r.SupplierId)] <= 29
+            assert (r.ProductId, r.SupplierId) in sup and r.Price - sup[(r.ProductId, r.SupplierId)] == r.CompanyId
         if r.CompanyId <= 4:
-            assert r.SupplierId is None and 1 <= r.Price - r.ProductId <= 9
+            assert r.SupplierId is None and r.Price - r.ProductId == r.CompanyId
 
 
 def test_positional_join_zips_to_shorter(spark):
@@ -80,16 +84,53 @@ def test_positional_join_zips_to_shorter(spark):
     assert got == sorted((f"a{i}", f"b{6 - i}") for i in range(7))
 
 
-def test_samples_of_two_groups_are_not_windows_of_one_order(spark):
-    n, k = 600, 60
+def test_samples_of_groups_are_independent(spark):
+    """Overlaps of any two groups' samples have the mean and the spread of independent draws (hypergeometric)."""
+    n, k, g = 600, 60, 90
     items = spark.range(n).withColumnRenamed("id", "item")
-    groups = spark.createDataFrame([(g, k) for g in range(40)], "g bigint, k bigint")
-    order = {r.item: r.p for r in rank_by_hash(items, "item", 4, "w", name="p").collect()}
+    groups = spark.createDataFrame([(i, k) for i in range(g)], "g bigint, k bigint")
     picked = {}
     for r in sample_per_group(groups, "g", "k", items, "item", 4, "w").collect():
-        picked.setdefault(r.g, set()).add(order[r.item])
+        picked.setdefault(r.g, set()).add(r.item)
     assert all(len(v) == k for v in picked.values())
-    windows = sum(1 for v in picked.values() if any(v == {(s + i) % n for i in range(k)} for s in range(n)))
-    assert windows <= 2
     overlaps = [len(picked[a] & picked[b]) for a in picked for b in picked if a < b]
-    assert 0.5 * k * k / n < sum(overlaps) / len(overlaps) < 2 * k * k / n and max(overlaps) < k
+    mean, variance = k * k / n, k * k / n * (1 - k / n) * (n - k) / (n - 1)
+    assert abs(statistics.mean(overlaps) - mean) < 4 * math.sqrt(variance / len(overlaps))
+    assert 0.85 * variance < statistics.variance(overlaps) < 1.15 * variance
+    chosen = [sum(i in v for v in picked.values()) for i in range(n)]   # every item about as often
+    expect = g * k / n * (1 - k / n)
+    assert 0.8 * expect < statistics.variance(chosen) < 1.25 * expect
+
+
+def test_permutation_is_one_to_one_for_every_size(spark):
+    for n in (1, 2, 3, 5, 16, 17, 1000, 4099):
+        df = spark.range(n).withColumn("n", F.lit(n))
+        rows = permuted(permuted(df, "id", "n", 7, F.lit(1), name="p1"), "id", "n", 7, F.lit(2), name="p2").collect()
+        assert sorted(r.p1 for r in rows) == sorted(r.p2 for r in rows) == list(range(n))
+        assert n < 16 or [r.p1 for r in rows] != [r.p2 for r in rows]
+
+
+def test_permutation_of_more_than_two_to_the_thirtieth(spark):
+    for n in ((1 << 33) + 7, (1 << 52) - 5):
+        got = [r.p for r in permuted(spark.range(20_000).withColumn("n", F.lit(n)), "id", "n", 7, F.lit("g"), name="p").collect()]
+        assert len(set(got)) == len(got) and 0 <= min(got) and max(got) < n
+        assert abs(statistics.mean(got) / n - 0.5) < 0.01   # spread over the whole range
+
+
+def test_serial_keys_in_file_order(spark, tmp_path):
+    """A small first file and larger later ones, cut into several splits: Spark deals the larger splits first."""
+    from weblake.sources.files import read_domain_csv
+    files = {"a.csv": ["first"], "b.csv": [f"b{i}" for i in range(3000)], "c.csv": [], "d.csv": [f"d{i}" for i in range(700)], "e.csv": ["last"]}
+    for name, lines in files.items():
+        with open(os.path.join(tmp_path, name), "w") as fh:
+            fh.write("".join(f"{x}, TRUE\n" for x in lines))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("4096", old):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = read_domain_csv(spark, str(tmp_path), "name string, flag boolean", key="Id").orderBy("Id").collect()
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        assert [(r.Id, r.name) for r in rows] == list(enumerate((x for lines in files.values() for x in lines), start=1))
+    by_name = read_domain_csv(spark, str(tmp_path), "name string, flag boolean", key="Id", order_by=["name"]).orderBy("Id").collect()
+    assert [r.name for r in by_name] == sorted(x for lines in files.values() for x in lines)

@@ -4,11 +4,11 @@
 md5, so a draw depends only on the row's own values -- not on partitioning or
 task order -- and equals the same md5 computation in any SQL engine.
 
-``sample_per_group`` takes k distinct items for each group. Items are put in
-a seeded random order (a global sort on their hash, numbered 0..n-1); a group
-walks that order from its own seeded start with its own seeded stride, which is
-coprime to n, so its k positions are distinct and differ from those of any other
-group. Work is proportional to the output size (sum of k), never to
+``sample_per_group`` takes k distinct items for each group, independently of every
+other group's. Items are put in a seeded random order (a global sort on their hash,
+numbered 0..n-1); a group has a keyed pseudo-random permutation of 0..n-1 of its own
+(:func:`permuted`) and takes the items at the first k of its positions, which are
+distinct. Work is proportional to the output size (sum of k), never to
 groups x items, and a group with a very large k is cut into chunks that are
 spread over tasks before its positions are generated.
 """
@@ -23,18 +23,8 @@ BUCKET_HEX = 3         # 4096 hash buckets for a global order
 WITHIN_BUCKET_HEX = 1  # 16 per key: splits a hot key without multiplying small keys
 
 
-def _primes(above: int, count: int) -> tuple[int, ...]:
-    """The first ``count`` primes over ``above`` (trial division: a few milliseconds)."""
-    found, x = [], above | 1
-    while len(found) < count:
-        x += 2
-        if all(x % d for d in range(3, int(x ** 0.5) + 1, 2)):
-            found.append(x)
-    return tuple(found)
-
-
-# A product of two primes larger than n is coprime to n: strides for up to 2**30 items.
-WALK_PRIMES = _primes(1 << 30, 48)
+ROUNDS = 4             # of the permutation's network
+WALK = 24              # steps outside 0..n-1 that are followed
 
 
 def _c(c) -> Column:
@@ -53,6 +43,49 @@ def seeded_draw(seed, *parts) -> Column:
     return F.conv(F.substring(hash_text(seed, *parts), 1, 8), 16, 10).cast("bigint")
 
 
+def _quotient(a: Column, b: Column) -> Column:
+    return ((a - F.pmod(a, b)) / b).cast("bigint")   # exact: a multiple of b below 2**53
+
+
+def permuted(df: DataFrame, i: str, n: str, seed, *key, name: str = "__pos") -> DataFrame:
+    """``df`` with column ``name``: where the permutation of 0..n-1 that belongs to ``key`` puts ``i``.
+
+    A Feistel network over pairs (l, r), l < a and r < b, with a the root of n and a * b just not
+    below n; round functions are md5 of (seed, key, round, other half). A value from n on (fewer than
+    a of them) is permuted again until it falls below n (cycle walking): each step stays
+    outside with a chance of at most 1 / root of n, so ``WALK`` steps never suffice to stay there
+    (were it to happen, the query fails rather than repeat an item). ``i`` and ``n`` name columns, n at
+    most 2**52 and not zero. The rounds are columns of their own, so that each hash is computed once."""
+    size, a, b = F.col("__size"), F.col("__a"), F.col("__b")
+
+    def halves(v: Column) -> tuple[Column, Column]:
+        return _quotient(v, b), F.pmod(v, b)
+
+    def step(k: int, left: Column, right: Column) -> Column:
+        own, other, m = (left, right, a) if k % 2 == 0 else (right, left, b)
+        draw = F.conv(F.substring(hash_text(seed, *key, F.lit(f"round-{k}"), other), 1, 15), 16, 10).cast("bigint")
+        return F.pmod(own + draw, m)
+
+    def once(v: Column) -> Column:
+        left, right = halves(v)
+        for k in range(ROUNDS):
+            left, right = (step(k, left, right), right) if k % 2 == 0 else (left, step(k, left, right))
+        return left * b + right
+
+    out = df.withColumn("__size", F.col(n).cast("bigint")).withColumn("__a", F.ceil(F.sqrt("__size")).cast("bigint"))
+    out = out.withColumn("__b", _quotient(size + a - 1, a))
+    left, right = halves(F.col(i).cast("bigint"))
+    out = out.withColumns({"__l": left, "__r": right})
+    for k in range(ROUNDS):
+        out = out.withColumn("__l" if k % 2 == 0 else "__r", step(k, F.col("__l"), F.col("__r")))
+    out = out.withColumn("__v", F.col("__l") * b + F.col("__r"))
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.col("__v"), lambda v, _: F.when(v < size, v).otherwise(once(v)))
+    out = out.withColumn("__v", F.when(F.col("__v") < size, F.col("__v")).otherwise(walked))
+    stuck = F.raise_error(F.lit("sample: a walk did not return")).cast("bigint")
+    return (out.withColumn(name, F.when(F.col("__v") < size, F.col("__v")).otherwise(stuck))
+            .drop("__size", "__a", "__b", "__l", "__r", "__v"))
+
+
 def _bucket(h: Column, digits: int = BUCKET_HEX) -> Column:
     return F.conv(F.substring(h, 1, digits), 16, 10).cast("int")
 
@@ -98,15 +131,9 @@ def sample_per_group(groups: DataFrame, group_col: str, k_col: str, items: DataF
     """
     n = items.select(F.count(F.lit(1))).scalar()
     ranked = rank_by_hash(items, item_col, seed, salt)
-    primes = F.array(*[F.lit(p).cast("bigint") for p in WALK_PRIMES])
-
-    def factor(part: str) -> Column:
-        index = F.pmod(seeded_draw(seed, F.lit(f"{salt}-stride-{part}"), group_col), F.lit(len(WALK_PRIMES))) + 1
-        return F.pmod(F.element_at(primes, index.cast("int")), n)
-
-    g = (groups.withColumn("__k", F.least(F.col(k_col).cast("bigint"), n))
-         .withColumn("__step", F.when(n > 0, F.pmod(factor("a") * factor("b"), n)))
-         .withColumn("__off", F.when(n > 0, F.pmod(seeded_draw(seed, F.lit(salt + "-offset"), group_col), n)))
+    too_many = F.raise_error(F.lit("sample: more than 2**52 items")).cast("bigint")
+    g = (groups.withColumn("__n", n).withColumn("__n", F.when(F.col("__n") <= 1 << 52, F.col("__n")).otherwise(too_many))
+         .withColumn("__k", F.least(F.col(k_col).cast("bigint"), F.col("__n")))
          .filter(F.col("__k") > 0))
     # Chunk rows are few and small, so AQE would coalesce their shuffle into one
     # partition and generate every position in one task; an explicit partition
@@ -118,7 +145,8 @@ def sample_per_group(groups: DataFrame, group_col: str, k_col: str, items: DataF
               .repartition(slots, group_col, "__chunk"))
     idx = chunks.withColumn("__i", F.explode(F.sequence(F.col("__chunk") * chunk,
                                                         F.least(F.col("__k"), (F.col("__chunk") + 1) * chunk) - 1)))
-    idx = idx.withColumn("__pos", F.pmod(F.col("__off") + F.col("__i") * F.col("__step"), n)).drop("__k", "__off", "__step", "__chunk", "__i")
+    idx = (permuted(idx, "__i", "__n", seed, F.lit(f"{salt}-walk"), group_col)
+           .drop("__k", "__n", "__chunk", "__i"))
     # The position side grows with sum(k) but its size estimate does not (an
     # explode hides the fan-out), so never let the planner broadcast it.
     return idx.join(ranked.hint("merge"), on="__pos", how="inner").drop("__pos")

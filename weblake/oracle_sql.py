@@ -40,7 +40,8 @@ def with_views(ctes: list[tuple[str, str]], body: str) -> str:
     """``WITH`` the fixture views used by ``body`` (in dependency order) plus ``ctes``."""
     names = [n for n in FIXTURE_VIEWS if n in body or any(n in c for _, c in ctes)]
     parts = [f"{n} as ({FIXTURE_VIEWS[n]})" for n in names] + [f"{n} as ({q})" for n, q in ctes]
-    return ("with " + ",\n".join(parts) + "\n" + body) if parts else body
+    recursive = "recursive " if any("_walk(" in n for n, _ in ctes) else ""
+    return (f"with {recursive}" + ",\n".join(parts) + "\n" + body) if parts else body
 
 
 # --- reusable query texts (referencing fixture views or earlier CTEs) ---
@@ -109,14 +110,26 @@ def hash_sql(*parts: str) -> str:
     return f"md5(concat_ws(':', {', '.join(f'cast({p} as varchar)' for p in parts)}))"
 
 
-def _walk_sql(groups: str, salt: str, seed: str, n: str, k: str, inc: int) -> str:
-    """Groups with their price increment, sample size, start and stride (a product of two of the walk's primes)."""
-    from .operators.sampling import WALK_PRIMES
-    primes = str(list(WALK_PRIMES))
-    pick = " * ".join(f"({primes}[{draw_sql(seed, repr(salt + x), 'CompanyId')} % {len(WALK_PRIMES)} + 1] % n)" for x in ("-stride-a", "-stride-b"))
-    return f"""select CompanyId, least(k, n) as k, {draw_sql(seed, repr(salt + '-inc'), 'CompanyId')} % {inc} + 1 as inc,
-             {draw_sql(seed, repr(salt + '-offset'), 'CompanyId')} % n as off, ({pick}) % n as stride, n
-           from ({groups}) g, {n}"""
+def _sized_sql(groups: str, salt: str, seed: str, n: str, inc: int) -> str:
+    """Groups with their price increment, sample size and the sides of their permutation's grid."""
+    return f"""select *, (n + a - 1) // a as b from (select CompanyId, least(k, n) as k, {draw_sql(seed, repr(salt + '-inc'), 'CompanyId')} % {inc} + 1 as inc,
+             n, cast(ceil(sqrt(n)) as bigint) as a from ({groups}) g, {n}) where n > 0"""
+
+
+def _permute_sql(source: str, salt: str, seed: str) -> str:
+    """One pass of every group's permutation over column v."""
+    sql = f"select *, v // b as l, v % b as r from ({source})"
+    for k in range(4):
+        own, other, m = ("l", "r", "a") if k % 2 == 0 else ("r", "l", "b")
+        drawn = draw_sql(seed, repr(f"{salt}-walk"), "CompanyId", repr(f"round-{k}"), other).replace("1, 8)", "1, 15)")
+        sql = f"select * replace (({own} + {drawn}) % {m} as {own}) from ({sql})"
+    return f"select CompanyId, inc, n, a, b, l * b + r as v from ({sql})"
+
+
+def _positions(name: str, groups: str, salt: str, seed: str) -> tuple[str, str]:
+    """The recursive CTE that walks all positions until they fall below n."""
+    start = f"select CompanyId, inc, n, a, b, unnest(range(k)) as v from {groups}"
+    return (f"{name}(CompanyId, inc, n, a, b, v)", f"{_permute_sql(start, salt, seed)} union all {_permute_sql(f'select * from {name} where v >= n', salt, seed)}")
 
 
 def catalog_ctes(seed: int) -> list[tuple[str, str]]:
@@ -127,15 +140,15 @@ def catalog_ctes(seed: int) -> list[tuple[str, str]]:
         ("prod", "select p_partkey as ProductId, p_retailprice as DefaultPrice from part"),
         ("prod_n", "select count(*) as n from prod"),
         ("prod_ranked", f"select ProductId, DefaultPrice, row_number() over (order by {hash_sql(sd, repr('supplier'), 'ProductId')}) - 1 as pos from prod"),
-        ("sup", _walk_sql(sized.format("IsSupplier"), "supplier", sd, "prod_n", "k", 9)),
-        ("sup_idx", "select CompanyId, inc, (off + unnest(range(k)) * stride) % n as pos from sup"),
+        ("sup", _sized_sql(sized.format("IsSupplier"), "supplier", sd, "prod_n", 9)),
+        _positions("sup_walk", "sup", "supplier", sd), ("sup_idx", "select CompanyId, inc, v as pos from sup_walk where v < n"),
         ("sup_rows", """select p.ProductId, s.CompanyId, cast(null as bigint) as SupplierId, p.DefaultPrice + s.inc as Price
            from sup_idx s join prod_ranked p on s.pos = p.pos"""),
         ("offered", "select distinct ProductId from sup_rows"),
         ("offered_n", "select count(*) as n from offered"),
         ("offered_ranked", f"select ProductId, row_number() over (order by {hash_sql(sd, repr('company'), 'ProductId')}) - 1 as pos from offered"),
-        ("com", _walk_sql(sized.format("not IsSupplier"), "company", sd, "offered_n", "k", 29)),
-        ("com_idx", "select CompanyId, inc, (off + unnest(range(k)) * stride) % n as pos from com"),
+        ("com", _sized_sql(sized.format("not IsSupplier"), "company", sd, "offered_n", 29)),
+        _positions("com_walk", "com", "company", sd), ("com_idx", "select CompanyId, inc, v as pos from com_walk where v < n"),
         ("com_pick", "select c.CompanyId, c.inc, o.ProductId from com_idx c join offered_ranked o on c.pos = o.pos"),
         ("opts", f"""select ProductId, CompanyId as SupplierId, Price as sp,
              row_number() over (partition by ProductId order by {hash_sql(sd, repr('offer'), 'ProductId', 'CompanyId')}) - 1 as opt,

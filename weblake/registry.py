@@ -151,8 +151,8 @@ CATALOG_SEED = 42
 
 
 def _catalog_inputs(fx: Fixture):
-    companies = fx.companies().join(fx.offered_parts(), "CompanyId", "left").fillna({"k": 0})
-    return fx.product_prices(), companies.filter("IsSupplier").select("CompanyId", "k"), companies
+    companies = fx.price_list_companies(CATALOG_SEED)
+    return fx.product_prices(), companies.filter("IsSupplier"), companies
 
 
 def q_supplier_price_list(spark, d):
@@ -163,8 +163,7 @@ def q_supplier_price_list(spark, d):
 def q_company_price_list(spark, d):
     products, suppliers, companies = _catalog_inputs(Fixture(spark, d))
     offers = stage(catalog.supplier_price_list(products, suppliers, CATALOG_SEED), "supplier-price-list")
-    return catalog.company_price_list(offers, companies.filter(~F.col("IsSupplier")).select("CompanyId", "k"),
-                                      CATALOG_SEED)
+    return catalog.company_price_list(offers, companies.filter(~F.col("IsSupplier")), CATALOG_SEED)
 
 
 def q_catalog_build(spark, d):
@@ -370,10 +369,12 @@ def q_positional_join(spark, d):
 
 
 def q_domain_csv(spark, d):
-    """Companies written as a CSV file and imported with serial ids in file order."""
+    """Companies written as CSV files in the order of their ids and imported with serial ids in file order: many
+    files, many tasks, the numbers of one file."""
     from .sources.files import read_domain_csv
     path = work_path(spark, "companies")
-    rows = Fixture(spark, d).companies().orderBy("CompanyId").coalesce(1)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = Fixture(spark, d).companies().repartitionByRange(parts, "CompanyId").sortWithinPartitions("CompanyId")
     rows.select("CompanyName", "IsSupplier").write.csv(path)
     return read_domain_csv(spark, path, "CompanyName string, IsSupplier boolean", key="Id")
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sampling import seeded_draw
+
 # fixed values: user agents assigned to synthetic log rows by event id
 FIXTURE_USER_AGENTS = [
     "curl/7.81",
@@ -66,6 +68,14 @@ class Fixture:
         return (self.table("lineitem").select("l_suppkey", "l_partkey").distinct()
                 .groupBy(F.col("l_suppkey").alias("CompanyId")).agg(F.count(F.lit(1)).alias("k")))
 
+    def price_list_companies(self, seed) -> DataFrame:
+        """Companies with the size and the price increment (drawn by seed: 1 to 9 for suppliers, 1 to 29
+        for others) of their price lists."""
+        def drawn(salt: str, top: int):
+            return F.pmod(seeded_draw(seed, F.lit(salt), "CompanyId"), F.lit(top)) + 1
+        return (self.companies().join(self.offered_parts(), "CompanyId", "left").fillna({"k": 0})
+                .withColumn("Increment", F.when(F.col("IsSupplier"), drawn("supplier-inc", 9)).otherwise(drawn("company-inc", 29))))
+
     def product_prices(self) -> DataFrame:
         """Products with their list price (the default price of the catalog build)."""
         return self.table("part").select(F.col("p_partkey").alias("ProductId"),
