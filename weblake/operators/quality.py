@@ -5,6 +5,10 @@ key and not-null checks share one grouping on the key (counts combined before th
 all reference checks share one anti join: foreign-key values are counted before they are
 shuffled, so a hot value is one row, and a child or parent table is read once for all its
 checks.
+
+The same counts can be kept for growing tables: :func:`key_state` holds how many rows each key value has,
+and :func:`unique_change` / :func:`reference_change` give by how much a batch of added and removed rows
+changes the violations, looking only at the key values that the batch touches.
 """
 
 from __future__ import annotations
@@ -73,5 +77,54 @@ def reference_checks(checks: list[tuple[str, DataFrame, str, DataFrame, str]]) -
     return names.join(found, "check_name", "left").select("check_name", F.coalesce("n", F.lit(0)).alias("violations"))
 
 
+def signed_keys(added: DataFrame | None, removed: DataFrame | None, keys: list[str]) -> DataFrame:
+    """A batch as changes of row counts per (whole, non-null) key value: columns k0.., rows."""
+    parts = [df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], F.lit(sign).cast("bigint").alias("rows"))
+             for df, sign in ((added, 1), (removed, -1)) if df is not None]
+    names = [f"k{i}" for i in range(len(keys))]
+    rows = reduce(DataFrame.unionByName, parts).filter(reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names]))
+    return rows.groupBy(*names).agg(F.sum("rows").alias("rows")).filter("rows <> 0")
+
+
+def key_state(df: DataFrame, keys: list[str]) -> DataFrame:
+    """How many rows each non-null key value has: what a batch is checked against."""
+    return signed_keys(df, None, keys)
+
+
+def merge_state(state: DataFrame, change: DataFrame) -> DataFrame:
+    """The state after a batch (values without rows are gone)."""
+    names = [c for c in state.columns if c != "rows"]
+    return state.unionByName(change).groupBy(*names).agg(F.sum("rows").alias("rows")).filter("rows <> 0")
+
+
+def _before(change: DataFrame, state: DataFrame, name: str) -> DataFrame:
+    """``change`` with the rows that its values had in ``state``."""
+    names = [c for c in state.columns if c != "rows"]
+    return change.join(state.withColumnRenamed("rows", name), names, "left").fillna({name: 0})
+
+
+def unique_change(name: str, state: DataFrame, change: DataFrame) -> DataFrame:
+    """By how many the violations of a unique key change with a batch."""
+    now = _before(change, state, "old").select(((F.col("old") + F.col("rows")) > 1).cast("bigint").alias("new"), (F.col("old") > 1).cast("bigint").alias("old"))
+    return now.agg(F.coalesce(F.sum(F.col("new") - F.col("old")), F.lit(0)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+
+
+def reference_change(name: str, children: DataFrame, child_change: DataFrame, parents: DataFrame, parent_change: DataFrame) -> DataFrame:
+    """By how many the violations of a reference change with a batch of children and of parents: children of
+    touched values that had, or now have, no parent."""
+    touched = (child_change.select("k0", F.col("rows").alias("c"), F.lit(0).cast("bigint").alias("p"))
+               .unionByName(parent_change.select("k0", F.lit(0).cast("bigint").alias("c"), F.col("rows").alias("p")))
+               .groupBy("k0").agg(F.sum("c").alias("c"), F.sum("p").alias("p")))
+    both = _before(_before(touched, children, "old_c"), parents, "old_p")
+    old = F.when(F.col("old_p") == 0, F.col("old_c")).otherwise(0)
+    new = F.when(F.col("old_p") + F.col("p") == 0, F.col("old_c") + F.col("c")).otherwise(0)
+    return both.agg(F.coalesce(F.sum(new - old), F.lit(0)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+
+
+def report_after(before: DataFrame, changes: list[DataFrame]) -> DataFrame:
+    """A report brought up to date by the changes of a batch."""
+    return before.unionByName(report(changes)).groupBy("check_name").agg(F.sum("violations").alias("violations"))
+
+
 def report(checks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)

@@ -10,6 +10,11 @@ makes at most ``MAX_BLOCKS`` rows, so the planner's size estimate of the block
 table, which does not see the fan-out of an explode, is off by that constant at
 most. Spark picks a broadcast hash join when the block table is small and a
 sort-merge join otherwise; AQE's skew handling splits a hot block on the log side.
+
+With a broadcast the probes cost no shuffle. Where the block table is too large for one and uses several
+sizes, probing log rows would shuffle each of them once per size. Then every distinct host is looked up
+once (its probes, the blocks, the exact bounds), and the log rows, shuffled once, join their host's
+ranges.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from ..functions.ip import (ip_to_long, is_ipv4, range_end_text, range_start_tex
 
 STEP_BITS = 4
 MAX_BLOCKS = 17   # a range at its size touches at most this many blocks
+PROBE_ROWS = 100_000   # block rows up to which log rows are probed directly (a table that Spark can broadcast)
 
 
 def range_blocks(ranges: DataFrame, range_col: str = "iprange") -> DataFrame:
@@ -39,8 +45,19 @@ def range_blocks(ranges: DataFrame, range_col: str = "iprange") -> DataFrame:
     return r.withColumn("__block", F.explode(F.sequence(F.floor(F.col("__lo") / shift), F.floor(F.col("__hi") / shift))))
 
 
+def _probed(hosts: DataFrame, sizes: list[int], blocks: DataFrame) -> DataFrame:
+    """Rows with ``__ip`` joined with the blocks that hold it, by exact bounds."""
+    probes = [F.struct(F.lit(b).alias("bits"), F.shiftright("__ip", b).alias("block")) for b in sizes]
+    if len(probes) > 1:
+        hosts = hosts.withColumn("__probe", F.explode(F.array(*probes)))
+    else:
+        hosts = hosts.withColumn("__probe", probes[0] if probes else F.struct(F.lit(0).alias("bits"), F.col("__ip").alias("block")))
+    hosts = hosts.withColumns({"__bits": F.col("__probe.bits"), "__block": F.col("__probe.block")}).drop("__probe")
+    return hosts.join(blocks, on=["__bits", "__block"], how="inner").filter(F.col("__ip").between(F.col("__lo"), F.col("__hi")))
+
+
 def ip_range_join(logs: DataFrame, ranges: DataFrame, host_col: str = "host",
-                  range_col: str = "iprange", mode: str = "exact") -> DataFrame:
+                  range_col: str = "iprange", mode: str = "exact", probe_rows: int = PROBE_ROWS) -> DataFrame:
     """Inner join of ``logs`` with every range (``start-end``, inclusive) holding the host.
 
     ``mode="exact"``: equi join on blocks + exact bounds (default).
@@ -57,22 +74,20 @@ def ip_range_join(logs: DataFrame, ranges: DataFrame, host_col: str = "host",
     lg = logs.filter(is_ipv4(host_col)).withColumn("__ip", valid_ip_to_long(host_col))
     if mode == "exact":
         blocks = range_blocks(ranges, range_col)
-        sizes = sorted(r[0] for r in blocks.select("__bits").distinct().collect())   # at most nine
-        probes = [F.struct(F.lit(b).alias("bits"), F.shiftright("__ip", b).alias("block")) for b in sizes]
-        if len(probes) > 1:
-            lg = lg.withColumn("__probe", F.explode(F.array(*probes)))
+        used = dict(blocks.groupBy("__bits").count().collect())   # at most nine sizes
+        sizes = sorted(used)
+        if len(sizes) > 1 and sum(used.values()) > probe_rows:
+            found = _probed(lg.select("__ip").distinct(), sizes, blocks).select("__ip", "__lo", "__hi", *range_cols)
+            joined = lg.join(found, on="__ip", how="inner")
         else:
-            lg = lg.withColumn("__probe", probes[0] if probes else F.struct(F.lit(0).alias("bits"), F.col("__ip").alias("block")))
-        lg = lg.withColumns({"__bits": F.col("__probe.bits"), "__block": F.col("__probe.block")}).drop("__probe")
-        joined = lg.join(blocks, on=["__bits", "__block"], how="inner")
+            joined = _probed(lg, sizes, blocks)
     elif mode == "two_octet":
         rk = (ranges.distinct()
               .withColumn("__key", two_octet_key(range_col))
               .withColumn("__lo", ip_to_long(range_start_text(range_col)))
               .withColumn("__hi", ip_to_long(range_end_text(range_col))))
         lg = lg.withColumn("__key", two_octet_key(host_col))
-        joined = lg.join(rk, on="__key", how="inner")
+        joined = lg.join(rk, on="__key", how="inner").filter(F.col("__ip").between(F.col("__lo"), F.col("__hi")))
     else:
         raise ValueError(f"unknown range join mode {mode!r}")
-    joined = joined.filter(F.col("__ip").between(F.col("__lo"), F.col("__hi")))
     return joined.select(*[F.col(c) for c in logs.columns + range_cols])

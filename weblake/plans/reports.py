@@ -1,4 +1,9 @@
-"""Mart extracts and the three reports, as DataFrame functions over gold tables."""
+"""Mart extracts and the three reports, as DataFrame functions over gold tables.
+
+The reports can also be kept: the rows of a period (a month of sales, a day of visits) are reduced to a
+mergeable state of distinct values (:mod:`weblake.operators.distinct`), only the periods that changed are
+reduced again, and the reports are read from the states, equal to a recount of all rows.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import last_year_text
+from ..operators.distinct import bitmap_state, distinct_counts, value_state
 from ..session import stage
 
 
@@ -47,3 +53,34 @@ def report_popular_products(visits: DataFrame) -> DataFrame:
     return (counts.filter("whole = 0").join(top, on="Country", how="left_semi")
             .select("Country", "ProductName", "qttLogs")
             .orderBy(F.desc("qttLogs"), F.asc("ProductName")))
+
+
+# ---------------------------------------------------------------- reports from states
+# table -> its state: period columns (the partitions), further groups, counted value
+STATE_TABLES = {"sales_state": (["year_partition", "month_partition"], [], "orderId"),
+                "devices_state": (["day"], ["Device"], "OrderId"),
+                "visits_state": (["day"], ["Country", "ProductName"], "HostIp")}
+
+
+def refresh_states(run, sales: DataFrame | None = None, devices: DataFrame | None = None, visits: DataFrame | None = None) -> None:
+    """Put the states of the given rows into a gold run. The rows must hold whole periods: a period's
+    state is replaced, other periods keep theirs."""
+    day = F.date_format("VisitedAt", "yyyy-MM-dd").alias("day")
+    for name, rows in (("sales_state", sales), ("devices_state", devices), ("visits_state", visits)):
+        if rows is not None:
+            periods, groups, value = STATE_TABLES[name]
+            reduce_ = value_state if name == "visits_state" else bitmap_state   # addresses lie far apart
+            state = reduce_(rows if "day" not in periods else rows.select("*", day), [*periods, *groups], value)
+            run.replace_partitions(name, state, state.schema, periods)
+
+
+def reports_from_states(sales_state: DataFrame, devices_state: DataFrame, visits_state: DataFrame, as_of, top: int = 5) -> dict[str, DataFrame]:
+    """The three reports, read from states."""
+    year = last_year_text(as_of)
+    orders = (distinct_counts(sales_state.filter(F.col("year_partition") == year), ["year_partition", "month_partition"], "qttOrders")
+              .select(F.col("year_partition").alias("lastYear"), F.col("month_partition").alias("month"), "qttOrders").orderBy("month"))
+    devices = distinct_counts(devices_state, ["Device"], "qttOrders").orderBy(F.desc("qttOrders"), F.asc("Device")).limit(top)
+    busiest = distinct_counts(visits_state, ["Country"]).orderBy(F.desc("n"), F.asc("Country")).limit(1).select("Country")
+    products = (distinct_counts(visits_state.join(busiest, "Country", "left_semi"), ["Country", "ProductName"], "qttLogs")
+                .orderBy(F.desc("qttLogs"), F.asc("ProductName")))
+    return {"last_year_orders_report": orders, "order_devices_report": devices, "popular_products_report": products}

@@ -33,11 +33,11 @@ def parse_weblogs(logs: DataFrame) -> DataFrame:
         month_text("date").alias("month_partition"))
 
 
-def enrich_weblogs(logs: DataFrame, ranges: DataFrame, mode: str = "exact") -> DataFrame:
+def enrich_weblogs(logs: DataFrame, ranges: DataFrame, mode: str = "exact", **options) -> DataFrame:
     """Visit rows with the country of the host's address range (inner join)."""
     parsed = parse_weblogs(logs)
     geo = ranges.select(F.col("country").alias("Country"), F.col("iprange").alias("__range"))
-    joined = ip_range_join(parsed, geo, host_col="HostIp", range_col="__range", mode=mode)
+    joined = ip_range_join(parsed, geo, host_col="HostIp", range_col="__range", mode=mode, **options)
     return joined.select(*ENRICHED_COLUMNS)
 
 

@@ -98,6 +98,14 @@ def q_weblogs_enriched(spark, d):
     return _enriched(Fixture(spark, d))
 
 
+def q_weblogs_enriched_by_host(spark, d):
+    """Enriched logs the way a range table too large to broadcast is joined: distinct hosts probe, log rows
+    join their host's ranges. The ranges here are the nations' and wider ones around them, so several
+    block sizes are in use and ranges overlap."""
+    fx = Fixture(spark, d)
+    return weblogs.enrich_weblogs(fx.weblogs(), fx.nested_ranges(), probe_rows=0)
+
+
 def q_weblogs_enriched_two_octet(spark, d):
     return _enriched(Fixture(spark, d), mode="two_octet")
 
@@ -339,6 +347,50 @@ def q_defined_table(spark, d):
     return read_table(spark, root, "devices")
 
 
+def q_reports_from_states(spark, d):
+    """The three reports from states of distinct values: built by month of sales and day of visits, those of the
+    periods that arrive again replaced, the rest kept."""
+    fx, root = Fixture(spark, d), work_path(spark, "gold")
+    whole = _sales_full(fx)
+    old_orders = F.col("orderDate") < F.lit(SALES_SNAPSHOT).cast("timestamp_ntz")
+    again = F.col("orderDate") >= F.lit(f"{SALES_BATCH_AS_OF[:8]}01").cast("timestamp_ntz")
+    enriched = stage(_enriched(fx), "enriched-logs")
+    devices, visits = weblogs.order_devices(enriched), weblogs.product_visits(enriched, fx.products())
+    before, since = F.col("VisitedAt") < LOGS_OLD_BEFORE, F.col("VisitedAt") >= LOGS_NEW_FROM
+    with gold_run(spark, root) as run:   # the first load; what arrives again later is only half there
+        reports.refresh_states(run, whole.filter(old_orders & (~again | (F.col("orderId") % 2 == 0))), devices.filter(before), visits.filter(before))
+    with gold_run(spark, root) as run:
+        reports.refresh_states(run, whole.filter(again), devices.filter(since), visits.filter(since))
+    made = reports.reports_from_states(*[read_table(spark, root, t, keep_partitions=True) for t in reports.STATE_TABLES], AS_OF)
+    parts = [made["last_year_orders_report"].select(F.lit("last_year_orders").alias("report"), F.col("lastYear").alias("k1"), F.col("month").alias("k2"), F.col("qttOrders").alias("n")),
+             made["order_devices_report"].select(F.lit("order_devices"), "Device", F.lit(None).cast("string"), "qttOrders"),
+             made["popular_products_report"].select(F.lit("popular_products"), "Country", "ProductName", "qttLogs")]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+def q_quality_after_batch(spark, d):
+    """Violations after a batch (new orders, their items, line items taken back), from the report before it and
+    the key values that the batch touches."""
+    fx = Fixture(spark, d)
+    orders, items, lines = fx.orders(), fx.orderitems(), fx.table("lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    early, late = orders.filter(F.col("OrderDate") < SALES_SNAPSHOT), orders.filter(F.col("OrderDate") >= SALES_SNAPSHOT)
+    early_items, late_items = items.filter("OrderItemId % 10 < 5"), items.filter("OrderItemId % 10 >= 5")   # children before their parents
+    taken = lines.filter("l_quantity = 1")
+    keys = ["l_orderkey", "l_linenumber"]
+    line_state, item_state, order_state = (stage(Q.key_state(df, k), "keys") for df, k in ((lines, keys), (early_items, ["OrderId"]), (early, ["OrderId"])))
+    catalog_state = Q.key_state(fx.catalog(), ["CatalogId"])
+    before = Q.report([Q.unique_check("pk.lineitem", lines, keys), Q.unique_check("pk.orders", early, ["OrderId"]),
+                       Q.reference_checks([("fk.orderitems.order", early_items, "OrderId", early, "OrderId"),
+                                           ("fk.orderitems.catalog", early_items, "CatalogId", fx.catalog(), "CatalogId")])])
+    item_change, order_change = Q.signed_keys(late_items, None, ["OrderId"]), stage(Q.signed_keys(late, None, ["OrderId"]), "keys")
+    no_catalog = Q.signed_keys(fx.catalog().limit(0), None, ["CatalogId"])
+    return Q.report_after(before, [
+        Q.unique_change("pk.lineitem", line_state, Q.signed_keys(None, taken, keys)),
+        Q.unique_change("pk.orders", order_state, order_change),
+        Q.reference_change("fk.orderitems.order", item_state, item_change, order_state, order_change),
+        Q.reference_change("fk.orderitems.catalog", Q.key_state(early_items, ["CatalogId"]), Q.signed_keys(late_items, None, ["CatalogId"]), catalog_state, no_catalog)])
+
+
 LANDING_MONTH = (2000, 6)
 
 
@@ -411,6 +463,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_id_bounds": q_order_id_bounds,
     "sales_upsert": q_sales_upsert,
     "weblogs_enriched": q_weblogs_enriched,
+    "weblogs_enriched_by_host": q_weblogs_enriched_by_host,
     "weblogs_enriched_two_octet": q_weblogs_enriched_two_octet,
     "order_devices": q_order_devices,
     "devices_upsert": q_devices_upsert,
@@ -438,6 +491,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_reports": q_run_reports,
     "conditional_merge": q_conditional_merge,
     "defined_table": q_defined_table,
+    "reports_from_states": q_reports_from_states,
+    "quality_after_batch": q_quality_after_batch,
     "landing_logs": q_landing_logs,
     "landing_logs_month": q_landing_logs_month,
     "positional_join": q_positional_join,
@@ -483,6 +538,10 @@ _REPORT_PRODUCTS = """select Country, ProductName, qttLogs from (
   join (select Country, row_number() over (order by count(distinct HostIp) desc, Country) as place from pv group by Country) c
     on c.Country = pv.Country group by pv.Country, ProductName) where place = 1"""
 
+_THREE_REPORTS = f"""select 'last_year_orders' as report, lastYear as k1, month as k2, qttOrders as n from ({_REPORT_LAST_YEAR})
+union all select 'order_devices', Device, null, qttOrders from ({_REPORT_DEVICES})
+union all select 'popular_products', Country, ProductName, qttLogs from ({_REPORT_PRODUCTS})"""
+
 ORACLES: dict[str, str] = {
     "sales_fact": O.with_views([], O.sales_sql()),
     "sales_fact_incremental": O.with_views([("recent", _INC)], O.sales_sql("recent", "inner")),
@@ -500,6 +559,11 @@ ORACLES: dict[str, str] = {
              strftime(moved, '%Y') as year_partition, strftime(moved, '%m') as month_partition from src0""")],
         O.upsert_sql("tgt", "src", ["orderItemId"])),
     "weblogs_enriched": O.with_views(_ENRICHED, "select * from enriched"),
+    "weblogs_enriched_by_host": O.with_views(
+        [("all_ranges", """select country, iprange from src_ipsrangelist union all
+            select n_name || ' and around', concat(n_nationkey * 9 + 8, '.0.0.0-', n_nationkey * 9 + 12, '.255.255.255') from nation union all
+            select n_name || ' narrow', concat(n_nationkey * 9 + 10, '.', n_nationkey % 4, '.7.0-', n_nationkey * 9 + 10, '.', n_nationkey % 4, '.9.99') from nation"""),
+         ("bounds", O.RANGE_BOUNDS.replace("src_ipsrangelist", "all_ranges"))] + O.enriched_ctes(), "select * from enriched"),
     "weblogs_enriched_two_octet": O.with_views([("parsed0", O.PARSED_LOGS.replace("LOGS", "src_weblogs"))],
                                                _TWO_OCTET),
     "order_devices": O.with_views(_ENRICHED, O.order_devices_sql("enriched")),
@@ -651,9 +715,14 @@ from (select unnest(generate_series(date_trunc('month', min(OrderDate)), date_tr
     "run_products": O.with_views(_ENRICHED, O.product_visits_sql("enriched")),
     "run_reports": O.with_views(
         _ENRICHED + _RUN_CTES + [("sales", _RUN_ROWS), ("ly", _LAST_YEAR), ("dev", O.order_devices_sql("enriched")), ("pv", O.product_visits_sql("enriched"))],
-        f"""select 'last_year_orders' as report, lastYear as k1, month as k2, qttOrders as n from ({_REPORT_LAST_YEAR})
-union all select 'order_devices', Device, null, qttOrders from ({_REPORT_DEVICES})
-union all select 'popular_products', Country, ProductName, qttLogs from ({_REPORT_PRODUCTS})"""),
+        _THREE_REPORTS),
+    "reports_from_states": O.with_views(
+        _ENRICHED + [("sales", O.sales_sql()), ("ly", _LAST_YEAR), ("dev", O.order_devices_sql("enriched")), ("pv", O.product_visits_sql("enriched"))],
+        _THREE_REPORTS),
+    "quality_after_batch": O.with_views([("lines", "select * from lineitem where l_quantity is distinct from 1")], " union all ".join([
+        _q_unique("pk.lineitem", "lines", ["l_orderkey", "l_linenumber"]), _q_unique("pk.orders", "src_orders", ["OrderId"]),
+        _q_ref("fk.orderitems.order", "src_orderitems", "OrderId", "src_orders", "OrderId"),
+        _q_ref("fk.orderitems.catalog", "src_orderitems", "CatalogId", "src_catalog", "CatalogId")])),
     "landing_logs": O.with_views(
         [("ctx", _ORDER_CTX), ("op", _ORDER_PRODUCTS)],
         f"""select year, month, page, count(*) as lines, count(distinct host) as hosts from (

@@ -198,6 +198,17 @@ class Run:
         self.define(name, schema, list(parts), replace=True)
         self.state["tables"][name]["live"] = self._write(name, _stored(df, schema, parts), list(parts))
 
+    def replace_partitions(self, name: str, df: DataFrame, schema: StructType, partitions: dict[str, Column] | list[str]) -> None:
+        """The partitions that ``df`` has rows for, anew; the others stay."""
+        parts = _expressions(partitions)
+        self.define(name, schema, list(parts))
+        table = self.state["tables"][name]
+        if table["partition_by"] != list(parts):
+            raise ValueError(f"table {name} is partitioned by {table['partition_by']}, not {list(parts)}")
+        written = self._write(name, _stored(df, schema, parts), list(parts))
+        new = [x[0] for x in written]
+        table["live"] = [x for x in table["live"] if x[0] not in new] + written
+
     def merge(self, name: str, batch: DataFrame, on: list[str] | str | Column, schema: StructType,
               partitions: dict[str, Column] | list[str] | None = None) -> None:
         """MERGE ``batch`` into the table: update what matches, insert the rest.

@@ -123,6 +123,18 @@ class Fixture:
                      F.when(wide, n % 4 + 2).otherwise(n % 4).cast("string"),
                      F.when(wide, F.lit(".255.255")).otherwise(F.lit(".199.255"))).alias("iprange"))
 
+    def nested_ranges(self) -> DataFrame:
+        """:meth:`ipsrangelist` with a wider range around and a narrow one inside each nation's."""
+        n, name = F.col("n_nationkey"), F.col("n_name")
+        nation = self.table("nation")
+        middle = (n * 9 + 10).cast("string")
+        wide = F.concat((n * 9 + 8).cast("string"), F.lit(".0.0.0-"), (n * 9 + 12).cast("string"), F.lit(".255.255.255"))
+        head = F.concat(middle, F.lit("."), (n % 4).cast("string"))
+        narrow = F.concat(head, F.lit(".7.0-"), head, F.lit(".9.99"))
+        return (self.ipsrangelist()
+                .unionByName(nation.select(F.concat(name, F.lit(" and around")).alias("country"), wide.alias("iprange")))
+                .unionByName(nation.select(F.concat(name, F.lit(" narrow")).alias("country"), narrow.alias("iprange"))))
+
     def landing_weblogs(self) -> DataFrame:
         """:meth:`weblogs` with the landing folder columns (event year and month)."""
         d = F.col("date").try_cast("date")

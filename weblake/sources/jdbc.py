@@ -1,7 +1,8 @@
 """Relational sources over JDBC.
 
 Three read shapes: a whole table, one partition per predicate, and a numeric
-range split into ``num_partitions`` stride partitions. Monthly predicates let an
+range split into ``num_partitions`` strides of equal width -- or, for a key that is
+dense here and sparse there, of about equal row counts. Monthly predicates let an
 incremental or historical order scan run in parallel, one month per task,
 instead of through a single connection.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> DataFrame:
@@ -32,6 +34,37 @@ def read_range_partitioned(spark: SparkSession, url: str, table: str, column: st
                            numPartitions=num_partitions, properties=dict(properties or {}))
 
 
+def quantile_predicates(keys: DataFrame, column: str, num_partitions: int, quote: str = "", accuracy: int = 10_000) -> list[str]:
+    """One predicate per partition so that each holds about as many rows of ``keys`` (a frame with the
+    key column: the table's, or a sample of it). Split points are approximate quantiles, combined from
+    partial sketches per task; ``num_partitions`` numbers reach the driver. A key value that makes up
+    more than a partition's share is not split. The first predicate is open below (and takes
+    nulls), the last is open above: rows outside the sample are read as well."""
+    shares = [i / num_partitions for i in range(1, num_partitions)]
+    splits = keys.agg(F.percentile_approx(column, shares, accuracy).alias("q")).first().q if shares else None
+    splits = sorted(set(splits or []))
+    if not splits:
+        return ["1 = 1"]
+    c = _quote(column, quote)
+    return ([f"{c} < {splits[0]} or {c} is null"] + [f"{c} >= {a} and {c} < {b}" for a, b in zip(splits, splits[1:])]
+            + [f"{c} >= {splits[-1]}"])
+
+
+def read_balanced(spark: SparkSession, url: str, table: str, column: str, num_partitions: int,
+                  properties: dict | None = None, quote: str = "") -> DataFrame:
+    """Range-partitioned read on a numeric key whose values are unevenly spread. Two passes over the table:
+    the key column alone in strides of equal width, for the quantiles, then whole rows in strides of
+    about equal row counts."""
+    c = _quote(column, quote)
+    key = f"(select {c} as {quote}k{quote} from {table}) keys"
+    ends = spark.read.jdbc(url=url, table=f"(select min({c}) as lo, max({c}) as hi from {table}) ends", properties=dict(properties or {})).first()
+    if ends[0] is None:
+        return read_with_predicates(spark, url, table, ["1 = 1"], properties)
+    keys = read_range_partitioned(spark, url, key, _quote("k", quote), int(ends[0]), int(ends[1]) + 1, num_partitions, properties)
+    predicates = [p.replace(_quote("k", quote), c) for p in quantile_predicates(keys, "k", num_partitions, quote)]
+    return read_with_predicates(spark, url, table, predicates, properties)
+
+
 def _quote(column: str, quote: str) -> str:
     return f"{quote}{column}{quote}" if quote else column
 
