@@ -75,6 +75,21 @@ def test_decontamination_matches_brute_force(spark, monkeypatch, chunk):
     assert clean.columns == docs.columns and clean.count() == sum(not w[4] for w in want)
 
 
+def test_tables_of_a_large_benchmark_and_copies_of_one_item(spark, monkeypatch):
+    rng = random.Random(3)
+    items = [(i, H.prose(rng, 9_000, 60_000)) for i in range(20)] + [(100 + i, "x " * 30 + H.prose(random.Random(1), 500)) for i in range(200)]
+    size = sum(len(t) for _, t in items)
+    matchers = decontaminate.build(items, 13)
+    assert len(matchers) == 1 and matchers[0].nbytes < 25 * size   # 8 MB of text: under 200 MB
+    assert len(matchers[0].first) < 20 * 9_000 + 600 and matchers[0].shift.dtype.itemsize == 1   # the copies' windows once
+    docs = [(1, "w " + " ".join(items[3][1].split()[700:720])), (2, H.prose(random.Random(1), 500)), (3, "nothing here"), (None, items[0][1])]
+    monkeypatch.setattr(decontaminate, "CHUNK_BYTES", size // 4)
+    found = decontaminate.contamination(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items + items[:5], "item_id bigint, text string"))
+    got = {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in found.collect()}
+    assert got[1] == (21, 20, ["3"]) and got[2] == (500, 500, [str(100 + i) for i in range(200)]) and got[3] == (2, 0, [])
+    assert got[None] == (9_000, 9_000, ["0"])
+
+
 def test_decontamination_of_long_texts_and_empty_tables(spark):
     passage = " ".join(f"q{i}" for i in range(20))
     long_text = "filler words " * 150_000 + passage + " filler" * 150_000

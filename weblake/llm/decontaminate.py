@@ -10,9 +10,11 @@ fewer words, but some, is one pattern. Patterns of one length share a matcher:
 * word hashes of the whole window are compared, and then the words themselves.
 
 A block of documents is searched in lanes (stretches of a document that overlap by one
-window), all lanes moving by their own shifts at once. The benchmark is broadcast in
-chunks of at most ``CHUNK_BYTES`` of its text: a larger benchmark takes more passes over
-the documents, chained in one stage, never a larger broadcast.
+window), all lanes moving by their own shifts at once. Patterns are positions in the items'
+words, which they share, equal ones once; the tables take some 30 bytes a benchmark word
+(about 50 MB for the 8 MB chunk). The benchmark's distinct rows are broadcast in chunks of about
+``CHUNK_BYTES`` of text (an item is not cut). A larger benchmark takes more passes over the
+documents: each writes the few rows that it found, so that one chunk is resident at a time.
 
 A document word inside any occurrence is hit. A document is contaminated if it has a hit
 and hit words make at least ``1/ratio`` of its words. Null and empty texts have no words
@@ -23,12 +25,15 @@ hits; empty tables work; other columns pass through.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import stage
 from .words import ALNUM_WORD, LOWER, U64, Block, Words, blocks, mix, span_hashes, split
 
 CHUNK_BYTES = 8 << 20
@@ -45,25 +50,45 @@ def _expand(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 class Matcher:
-    """Wu-Manber tables of the patterns of one length."""
-
-    def __init__(self, patterns: dict[tuple, set]):
-        self.texts = list(patterns)
-        self.items = [sorted(x) for x in patterns.values()]
-        self.length = m = len(self.texts[0])
-        words = [w for p in self.texts for w in p]
-        ends = np.cumsum([len(w) for w in words])
-        data = np.frombuffer(b"".join(words), dtype=np.uint8)
-        self.hashes = span_hashes(data, np.append(0, ends[:-1]), ends).reshape(-1, m)
-        self.width = min(2, m)
-        self.bits = max(10, int(np.ceil(np.log2(4 * len(words) + 1))))
-        self.shift = np.full(1 << self.bits, m - self.width + 1, dtype=np.int64)
-        for end in range(self.width - 1, m):
-            before = self.hashes[:, end - 1] if self.width == 2 else None
-            np.minimum.at(self.shift, self.slots(before, self.hashes[:, end]), m - 1 - end)
-        suffix = self.slots(self.hashes[:, m - 2] if self.width == 2 else None, self.hashes[:, m - 1])
-        self.order = np.argsort(suffix, kind="stable")
-        self.bucket = np.searchsorted(suffix[self.order], np.arange((1 << self.bits) + 1))
+    """Wu-Manber tables of the patterns of one length.
+
+    ``words`` are the benchmark's words over their bytes ``data`` (with ``ids`` that are equal for equal
+    words), ``first`` the patterns' first words and ``owner`` their items (numbers in ``names``; -1: none)."""
+
+    def __init__(self, data: np.ndarray, words: Words, ids: np.ndarray, first: np.ndarray, owner: np.ndarray, names: list[str], length: int):
+        self.length, self.names, self.data = length, names, data
+        self.starts, self.ends, self.hashes = words.starts.astype(np.int32), words.ends.astype(np.int32), words.hashes
+        key = np.zeros(len(first), dtype=U64)
+        for j in range(length):
+            key = mix(key * _PAIR + self.hashes[first + j])
+        order = np.argsort(key, kind="stable")
+        key, first = key[order], first[order]
+        new = np.append(True, key[1:] != key[:-1])   # equal windows are one pattern
+        for j in range(length):
+            new[1:] |= ids[first[1:] + j] != ids[first[:-1] + j]
+        self.first = first[new].astype(np.int32)
+        self.owner, self.owner_bounds = owner[order].astype(np.int32), np.append(np.flatnonzero(new), len(first)).astype(np.int32)
+        self.width = min(2, length)
+        self.bits = max(10, int(np.ceil(np.log2(4 * len(ids) + 1))))
+        self.shift = np.full(1 << self.bits, length - self.width + 1, dtype=np.min_scalar_type(length))
+        for end in range(self.width - 1, length):
+            np.minimum.at(self.shift, self._ending(end), self.shift.dtype.type(length - 1 - end))
+        suffix = self._ending(length - 1)
+        self.order = np.argsort(suffix, kind="stable").astype(np.int32)
+        self.suffix = suffix[self.order].astype(np.int32 if self.bits < 32 else np.int64)
+
+    def _ending(self, end: int) -> np.ndarray:
+        """The slot of every pattern's block that ends with its word ``end``."""
+        return self.slots(self.hashes[self.first + end - 1] if self.width == 2 else None, self.hashes[self.first + end])
+
+    @property
+    def nbytes(self) -> int:
+        """Bytes of all tables (the words are shared between the matchers of one chunk)."""
+        return sum(v.nbytes for v in vars(self).values() if isinstance(v, np.ndarray))
+
+    def items(self, pattern: int) -> list[str]:
+        own = self.owner[self.owner_bounds[pattern]:self.owner_bounds[pattern + 1]]
+        return [self.names[i] for i in set(own.tolist()) if i >= 0]
 
     def slots(self, before, last) -> np.ndarray:
         key = last if before is None else before * _PAIR + last
@@ -79,7 +104,7 @@ class Matcher:
         found, where = [], []
         while len(at):
             slot = self.slots(h[at - 1] if self.width == 2 else None, h[at])
-            move = self.shift[slot]
+            move = self.shift[slot].astype(np.int64)
             stop = move == 0
             if stop.any():
                 found.append(at[stop])
@@ -92,31 +117,37 @@ class Matcher:
     def search(self, data: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """First word and pattern number of every occurrence."""
         end, slot = self._candidates(words)
-        size = self.bucket[slot + 1] - self.bucket[slot]
-        pattern = self.order[_expand(self.bucket[slot], size)]
+        low = np.searchsorted(self.suffix, slot, "left")
+        size = np.searchsorted(self.suffix, slot, "right") - low
+        pattern = self.order[_expand(low, size)]
         first = np.repeat(end, size) - self.length + 1
         for j in range(self.length):   # prefix first; most wrong ones fall out at once
-            same = words.hashes[first + j] == self.hashes[pattern, j]
+            same = words.hashes[first + j] == self.hashes[self.first[pattern] + j]
             first, pattern = first[same], pattern[same]
         right = np.zeros(len(first), dtype=bool)
-        for i, (at, p) in enumerate(zip(first.tolist(), pattern.tolist())):
-            right[i] = all(data[words.starts[at + j]:words.ends[at + j]].tobytes() == w for j, w in enumerate(self.texts[p]))
+        for i, (at, own) in enumerate(zip(first.tolist(), self.first[pattern].tolist())):
+            right[i] = all(data[words.starts[at + j]:words.ends[at + j]].tobytes() == self.data[self.starts[own + j]:self.ends[own + j]].tobytes()
+                           for j in range(self.length))
         return first[right], pattern[right]
 
 
 def build(items: list[tuple], window: int) -> list[Matcher]:
     """Matchers of (item id, text) rows, one for each pattern length."""
-    by_length: dict[int, dict[tuple, set]] = {}
-    for block in blocks(pa.array([t for _, t in items], pa.string())):
-        words, data = split(block, ALNUM_WORD, lower=True), LOWER[block.data]
-        texts = [data[a:b].tobytes() for a, b in zip(words.starts.tolist(), words.ends.tolist())]
-        for row in range(block.n):
-            own = texts[words.bounds[row]:words.bounds[row + 1]]
-            item = items[block.lo + row][0]
-            for at in range(max(len(own) - window, 0) + 1 if own else 0):
-                pattern = tuple(own[at:at + window])
-                by_length.setdefault(len(pattern), {}).setdefault(pattern, set()).update([] if item is None else [str(item)])
-    return [Matcher(p) for _, p in sorted(by_length.items())]
+    texts = pa.array([t for _, t in items], pa.string())
+    whole = next(blocks(texts, limit=1 << 62), None)
+    if whole is None:
+        return []
+    words, data = split(whole, ALNUM_WORD, lower=True), LOWER[whole.data]
+    known: dict[bytes, int] = {}
+    ids = np.array([known.setdefault(data[a:b].tobytes(), len(known)) for a, b in zip(words.starts.tolist(), words.ends.tolist())], dtype=np.int32)
+    names = sorted({str(i) for i, _ in items if i is not None})
+    number = {n: k for k, n in enumerate(names)}
+    owner = np.array([-1 if i is None else number[str(i)] for i, _ in items], dtype=np.int32)
+    counts = words.counts
+    windows = np.where(counts > 0, np.maximum(counts - window, 0) + 1, 0)
+    first = _expand(words.bounds[:-1], windows)
+    length, owner = np.repeat(np.minimum(counts, window), windows), np.repeat(owner, windows)
+    return [Matcher(data, words, ids, first[length == m], owner[length == m], names, int(m)) for m in np.unique(length)]
 
 
 def search_block(block: Block, matchers: list[Matcher]) -> tuple[Words, np.ndarray, np.ndarray, list[set]]:
@@ -129,8 +160,8 @@ def search_block(block: Block, matchers: list[Matcher]) -> tuple[Words, np.ndarr
         starts.append(first)
         ends.append(first + matcher.length)
         rows = np.searchsorted(words.bounds, first, side="right") - 1
-        for row, p in {*zip(rows.tolist(), pattern.tolist())}:
-            items[row].update(matcher.items[p])
+        for row, p in {*zip(rows.tolist(), pattern.tolist())}:   # each pattern of a row once
+            items[row].update(matcher.items(p))
     return words, np.concatenate(starts), np.concatenate(ends), items
 
 
@@ -143,7 +174,7 @@ def _hit_counts(words: Words, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return np.diff(total[words.bounds])
 
 
-SPANS, ITEMS, N_WORDS, N_HIT = "__wm_spans", "__wm_items", "__wm_words", "__wm_hit"
+SPANS, ITEMS, N_WORDS, N_HIT, ROW = "__wm_spans", "__wm_items", "__wm_words", "__wm_hit", "__wm_row"
 
 
 def _search(docs: DataFrame, text_col: str, matchers) -> DataFrame:
@@ -181,14 +212,27 @@ def _search(docs: DataFrame, text_col: str, matchers) -> DataFrame:
 
 def _searched(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, window: int) -> DataFrame:
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text")).distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-size // CHUNK_BYTES))
-    for c in range(chunks):
+
+    def matchers(c: int):
         mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(chunks)) == c) if chunks > 1 else items
-        matchers = build([(r[0], r[1]) for r in mine.toLocalIterator()], window)
-        docs = _search(docs, text_col, spark.sparkContext.broadcast(matchers))
-    return docs
+        return spark.sparkContext.broadcast(build([(r[0], r[1]) for r in mine.toLocalIterator()], window))
+
+    if chunks == 1:
+        return _search(docs, text_col, matchers(0))
+    numbered = stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "documents")
+    found = []
+    for c in range(chunks):
+        tables = matchers(c)
+        found.append(stage(_search(numbered.select(ROW, text_col), text_col, tables).where(F.size(SPANS) > 0).select(ROW, SPANS, ITEMS), "found"))
+        tables.destroy()   # before the next chunk's
+    rows = reduce(DataFrame.unionByName, found).groupBy(ROW).agg(   # at most one row per chunk
+        F.flatten(F.collect_list(SPANS)).alias(SPANS), F.array_distinct(F.flatten(F.collect_list(ITEMS))).alias(ITEMS))
+    both = numbered.join(rows, ROW, "left").drop(ROW)
+    both = both.withColumns({SPANS: F.coalesce(SPANS, F.array().cast("array<bigint>")), ITEMS: F.coalesce(ITEMS, F.array().cast("array<string>"))})
+    return _search(both, text_col, spark.sparkContext.broadcast([]))   # counts over all spans
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
