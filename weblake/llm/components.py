@@ -2,7 +2,9 @@
 
 Each step is one aggregation and one join on a slim (node, node) table; the edges are
 staged as a table after every round, so a lost executor costs a reread and the plan
-never grows. Nothing is collected but two numbers a round (edge count and a checksum).
+never grows. The aggregated side of a join is staged too: both sides then come straight from an
+exchange, and adaptive execution can split a hub (the leader of a large group of copies).
+Nothing is collected but two numbers a round (edge count and a checksum).
 """
 
 from __future__ import annotations
@@ -29,10 +31,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = _state(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
         large = (both.where("v > u").join(low, "u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stage(large, "large")
+        low = stage(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = (large.join(low, "u").where("v != m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
                      low.select("u", F.col("m").alias("v"))).distinct())

@@ -16,7 +16,8 @@ segments, overlaps are counted separately in each fragment and summed:
    can only link if ``|shared| >= percent/100 * |set|``: on prose this leaves the near
    copies and little else. Common n-grams are known to be shared and skip their fragment,
    so no fragment has to hold the documents of a hot passage; which n-grams count as
-   common (at most ``HOT_LIMIT``, most frequent first) moves work, never results.
+   common (at most ``HOT_LIMIT``, most frequent first) moves work, never results. (An n-gram spread
+   so thinly that no block of text holds ``HOT_LOCAL`` of its documents is not seen as common.)
 3. *Candidates.* N-grams are ordered by document frequency, then hash. Similar sets share
    an n-gram within their prefixes, at positions that leave room for the overlap needed.
    First every class meets one leader per prefix n-gram; then, with the components of
@@ -282,9 +283,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select("gram", "sig", "n", (F.col("shared") - F.col("at")).alias("rem")))
     # the leader is the class that has the n-gram earliest for its size: in a group of near
     # copies that is the text the others were made from, which links with most of them
-    lead = (first.groupBy("gram").agg(F.min(F.struct((F.lit(1) - F.col("rem") / F.col("n")).alias("at"), "sig", "n", "rem")).alias("lead"),
+    # staged, like every aggregate that is joined on its own key here: AQE can then split a hot n-gram
+    lead = stage(first.groupBy("gram").agg(F.min(F.struct((F.lit(1) - F.col("rem") / F.col("n")).alias("at"), "sig", "n", "rem")).alias("lead"),
                                       F.count(F.lit(1)).alias("df"))
-            .where("df > 1").select("gram", "lead.sig", "lead.n", "lead.rem").toDF("gram", "lead", "lead_n", "lead_rem"))
+            .where("df > 1").select("gram", "lead.sig", "lead.n", "lead.rem").toDF("gram", "lead", "lead_n", "lead_rem"), "leaders")
     met = first.join(lead, "gram").where((F.col("sig") != F.col("lead"))
                                          & _fits(percent, F.col("n"), F.col("rem"), F.col("lead_n"), F.col("lead_rem")))
     links = stage(_links(_pairs(met, "sig", "lead"), classes, percent), "links")
@@ -293,8 +295,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mine = (first.join(known, "sig", "left").select("gram", "sig", "n", "rem", F.coalesce("label", "sig").alias("label")))
     sides = mine.groupBy("gram", "label").agg(F.count(F.lit(1)).alias("size"))
     # ties go to the larger label: both sides of the join below must name the same main label
-    split_up = (sides.groupBy("gram").agg(F.max(F.struct("size", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("labels"))
-                .where("labels > 1").select("gram", "main"))
+    split_up = stage(sides.groupBy("gram").agg(F.max(F.struct("size", "label"))["label"].alias("main"), F.count(F.lit(1)).alias("labels"))
+                .where("labels > 1").select("gram", "main"), "split-up")
     mixed = mine.join(split_up, "gram")
     other = mixed.where("label != main").select("gram", F.col("sig").alias("sig2"), F.col("n").alias("n2"),
                                                 F.col("rem").alias("rem2"), F.col("label").alias("label2"))
@@ -322,7 +324,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5,
                       percent: int = 75) -> DataFrame:
     """The documents' rows with one row of each component kept: the smallest id (null ids come
-    last), then the smallest text hash; of rows equal in both, one.
+    last), then the smallest text hash; of rows equal in both, the one whose columns (maps aside) hash lowest.
 
     Rows are told apart by id and text hash. The set of kept rows grows with the corpus, so it
     is never broadcast: one sort-merge join moves the texts, at every size, and the choice among
@@ -337,5 +339,6 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     kept = (found.where(F.col("row") == F.col("component_id"))
             .select(name(F.col("row.id")).alias("__id"), F.col("row.hash").alias("__hash")).distinct())
     chosen = docs.withColumns({"__id": name(F.col(id_col)), "__hash": text_hash}).join(kept.hint("merge"), ["__id", "__hash"])
-    first = F.row_number().over(Window.partitionBy("__id", "__hash").orderBy("__hash"))
+    whole = F.xxhash64(*[F.col(f.name) for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)])
+    first = F.row_number().over(Window.partitionBy("__id", "__hash").orderBy(whole, F.col(text_col).isNull()))
     return chosen.withColumn("__copy", first).where("__copy = 1").select(*docs.columns)
