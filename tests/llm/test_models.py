@@ -202,3 +202,9 @@ def test_mixing_can_cut_and_stays_nonnegative(spark):
     got = mixing.rated(docs, mixing.fit(docs, labels, {"high": 1.0, "low": 1e-9}, budget=5000.0), {"high": 1.0, "low": 1e-9})
     assert got.where("rate < 0").count() == 0
     assert got.where("p_low > 0.9").agg(F.max("rate")).first()[0] < 0.05
+
+
+def test_mixing_reports_weights_that_are_not_met(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), queries.quality_domains(spark, SF)
+    with pytest.warns(UserWarning, match="not met after 2 steps"):
+        mixing.fit(docs, labels, {"high": 0.3, "low": 0.7}, max_steps=2)
