@@ -208,3 +208,29 @@ def test_perfect_hash_is_minimal_and_settles_equal_hashes():
     assert sorted(slot[others].tolist()) == list(range(4998)) and (slot[[10, 11]] == -1).all()
     empty, none = token_files.build_hash(h[:0])
     assert empty == [] and len(none) == 0 and token_files.look_up(h[:3], empty).tolist() == [-1, -1, -1]
+
+
+def test_url_list_of_the_query_is_no_host_pattern(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = queries.QUERIES["op5_blocked_bloom_urls"](spark, sf).collect()
+    hosts = {}
+    for r in rows:
+        hosts.setdefault(r.host, set()).add(r.listed)
+    assert sum(len(v) == 2 for v in hosts.values()) >= 3   # hosts with listed and other pages
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    own = {r.page_id for r in pages.where(F.md5(F.col("html").cast("binary")).rlike(f"^{queries.REJECTED}")).collect()}
+    assert {r.page_id for r in rows if r.listed} >= {i for i in own if i in {r.page_id for r in rows if r.host}}
+
+
+def test_hot_urls_are_split(spark):
+    from ..test_skew import _skew_conf
+    with _skew_conf(spark):
+        i = F.col("id")
+        pages = spark.range(300_000).select(F.col("id").alias("page_id"), F.xxhash64("id").alias("v"), F.when(i % 5 != 0, F.lit("http://hot.example.org/a")).otherwise(
+            F.concat(F.lit("http://h"), (i % 997).cast("string"), F.lit(".example.org/"), i.cast("string"))).alias("url"))
+        listed = spark.range(3000).select(F.concat(F.lit("http://h"), (i % 997).cast("string"), F.lit(".example.org/"), i.cast("string")).alias("url")).unionByName(
+            spark.createDataFrame([("http://www.hot.example.org/a/?utm_source=x",)], "url string"))
+        df = url_filter.judge(pages, listed, [])
+        assert len(df.where("verdict = 'block'").collect()) == 240_000 + 600
+        assert len(df.collect()) == 300_000
+        assert df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin(skew=true)") >= 2

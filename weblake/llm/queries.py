@@ -166,17 +166,17 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
-JUNK_SITE = r"(^|\.)(adult-x|spam-farm|cheap-pills|ads-track|casino-win|free-bets)\.example\.[a-z]+$"
+REJECTED = "[01]"   # first digit of the md5 of a page's html: an eighth of the pages stands for those that a review rejected
 
 
 @register("op5_blocked_bloom_urls", rf"""
-WITH p AS (SELECT page_id, url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 1), ''), '{UPPER}', '{LOWER}') AS host,
+WITH p AS (SELECT page_id, url, html, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 1), ''), '{UPPER}', '{LOWER}') AS host,
                   coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 2), '') AS path,
                   coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?', 3), '') AS query FROM pages),
 c AS (SELECT *, list_filter(list_sort(string_split(query, '&')), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref)=')) AS args FROM p),
 k AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '/+$', '')
                      || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END END AS key FROM c),
-listed AS (SELECT DISTINCT key FROM k WHERE regexp_matches(host, '{JUNK_SITE}')),
+listed AS (SELECT DISTINCT key FROM k WHERE regexp_matches(md5(html), '^{REJECTED}')),
 rules(rule, site, rest, action) AS (VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
     ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
 best AS (SELECT page_id, url, host, path, key, (SELECT arg_max(r, length(r.rule)) FROM rules r
@@ -185,10 +185,11 @@ SELECT page_id, host, path, r.rule AS rule, listed.key IS NOT NULL AS listed,
        coalesce(r.action, CASE WHEN listed.key IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM best LEFT JOIN listed ON listed.key = best.key""")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every page's URL: rules, then the list of URLs met on junk sites."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(url_filter.host(F.col("url")).rlike(JUNK_SITE))
-    return url_filter.judge(pages, listed, RULES).drop("url")
+    """Verdict on every page's URL: rules, then the list of URLs of pages rejected by their content. Other pages
+    of a listed address (with ``www.``, tracking parameters, other content) are found by filter and join alone."""
+    pages = table(spark, sf_dir, "pages")
+    listed = pages.where(F.md5(F.col("html").cast("binary")).rlike(f"^{REJECTED}")).select("url")
+    return url_filter.judge(pages.select("page_id", "url"), listed, RULES).drop("url")
 
 
 ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"

@@ -4,7 +4,7 @@ Everything is DataFrame expressions. A canonical URL's hashes pick one block of
 and eight bits in it (one in each of eight 32-bit words). The filter is a table of
 blocks, built by a bitwise-or aggregation over the listed URLs; pages meet their block in
 one join (a broadcast where Spark finds the block table small enough, otherwise a shuffle
-join whose hot blocks adaptive execution splits). Pages whose bits are all set are possible
+join; filter and list are staged, so that adaptive execution can split a hot block or URL). Pages whose bits are all set are possible
 hits; they alone take part in the exact join with the list, which removes false positives.
 
 A null URL, or one without ``://``, has an empty host and path, fits no rule and is never
@@ -19,6 +19,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORDS = 8               # 32-bit words of a block
 BITS_PER_KEY = 16
@@ -82,8 +84,9 @@ def possible_hits(pages: DataFrame, key: str, filter_blocks: DataFrame, blocks:
 def judge(pages: DataFrame, listed_urls: DataFrame, rules: list[tuple[str, str]], url_col: str = "url", listed_col: str = "url") -> DataFrame:
     """``pages`` with host, path, rule, listed and verdict (``allow`` or ``block``): the longest
     rule's action, else ``block`` for a listed URL."""
-    listed = listed_urls.select(canonical(F.col(listed_col)).alias("__key")).where(F.col("__key").isNotNull()).distinct()
+    listed = stage(listed_urls.select(canonical(F.col(listed_col)).alias("__key")).where(F.col("__key").isNotNull()).distinct(), "listed")
     filter_blocks, blocks = bloom_blocks(listed, "__key", listed.count())
+    filter_blocks = stage(filter_blocks, "bloom")
     keyed = possible_hits(pages.withColumn("__key", canonical(F.col(url_col))), "__key", filter_blocks, blocks)
     unlisted = keyed.where(~F.col("__possible")).withColumn("__listed", F.lit(False))
     checked = (keyed.where("__possible").join(listed.withColumn("__exact", F.lit(True)), "__key", "left")
