@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from ..session import stage
 
 PIVOTS = 8
-BLOCK_ROWS = 4096                 # parts searched at once
+BLOCK_ROWS = 2048                 # parts searched at once
 WAVES = (0, 2, 8, 24, 64)         # entries are visited in waves of growing length, in the order of their bounds
 COMPONENT_LIMIT = 1 << 30
 
@@ -55,11 +55,19 @@ class Codes:
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances of the rows of ``a`` and ``b`` (pair by pair, or broadcast), in 64-bit integers."""
-    gap = a.astype(np.int64) - b
+    """Squared distances of the rows of ``a`` and ``b`` (pair by pair, or broadcast), in integers of
+    the operands' width (see :func:`narrow`), 64 bits unless both are 32."""
+    gap = a - b
     return np.einsum("...i,...i->...", gap, gap)
 
 
+def narrow(rows: np.ndarray, book: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both in 32-bit integers where no squared distance can leave them, else in 64 bits."""
+    top = max(int(np.abs(rows).max(initial=0)), int(np.abs(book).max(initial=0)))
+    kind = np.int32 if 4 * top * top * max(rows.shape[1], 1) < 1 << 31 else np.int64
+    return rows.astype(kind), book.astype(kind)
+
+
 def choose_pivots(book: np.ndarray, count: int = PIVOTS) -> np.ndarray:
     """Entries far from each other: the first, then always the one farthest from those chosen."""
     chosen = [0] if len(book) else []
@@ -80,14 +88,17 @@ def nearest(rows: np.ndarray, to_pivots: np.ndarray, book: np.ndarray, book_to_p
     many exact distances it took."""
     index, best, evaluated = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), 0
     entries = len(book)
+    rows, book = narrow(rows, book)
+    book_to_pivots = book_to_pivots.astype(np.float32)
     for lo in range(0, len(rows), BLOCK_ROWS):
-        block, own = rows[lo:lo + BLOCK_ROWS], to_pivots[lo:lo + BLOCK_ROWS].astype(np.float64)
-        bound = np.zeros((len(block), entries))
+        block, own = rows[lo:lo + BLOCK_ROWS], to_pivots[lo:lo + BLOCK_ROWS].astype(np.float32)
+        bound, gap = np.zeros((len(block), entries), np.float32), np.empty((len(block), entries), np.float32)
         for j in range(own.shape[1]):
-            np.maximum(bound, np.abs(own[:, j:j + 1] - book_to_pivots[:, j]), out=bound)
-        slack = 1e-6 * (own.max(initial=0.0) + book_to_pivots.max(initial=0.0)) + 1e-6   # stored distances are 32-bit floats
-        bound = np.square(np.maximum(bound - slack, 0.0))
-        order = np.argsort(bound, axis=1, kind="stable")
+            np.subtract(own[:, j:j + 1], book_to_pivots[:, j], out=gap)
+            np.maximum(bound, np.abs(gap, out=gap), out=bound)
+        slack = 2e-6 * (own.max(initial=0.0) + book_to_pivots.max(initial=0.0)) + 1e-6   # distances and bounds are 32-bit floats
+        bound = np.square(np.maximum(bound - slack, 0.0), dtype=np.float64) * (1 - 1e-6)
+        order = np.argsort(bound, axis=1)
         key = np.full(len(block), np.iinfo(np.int64).max)
         index_block, active = np.zeros(len(block), np.int64), np.arange(len(block))
         for at, to in zip(WAVES, (*WAVES[1:], entries)):
@@ -101,7 +112,7 @@ def nearest(rows: np.ndarray, to_pivots: np.ndarray, book: np.ndarray, book_to_p
             if not len(row):
                 continue
             entry = here[row, col]
-            exact = distances(block[active[row]], book[entry])
+            exact = distances(block[active[row]], book[entry]).astype(np.int64)
             evaluated += len(exact)
             first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
             least = np.minimum.reduceat(exact, first)
