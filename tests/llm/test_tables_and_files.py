@@ -1,5 +1,6 @@
 """Operators 1, 5, 6 and 8: exact round trips and brute force on awkward rows."""
 
+import json
 import random
 import zlib
 
@@ -210,6 +211,79 @@ def test_perfect_hash_is_minimal_and_settles_equal_hashes():
     assert empty == [] and len(none) == 0 and token_files.look_up(h[:3], empty).tolist() == [-1, -1, -1]
 
 
+def test_stored_ranks_give_the_slots_of_the_bit_arrays(tmp_path):
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 2, 63, 64, 65, 3000):
+        h = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        if n > 64:
+            h[10] = h[11]
+        slots = np.zeros(n, token_files.SLOT)
+        slots["f"], slots["position"] = rng.integers(0, 1 << 32, n), np.arange(n)
+        token_files._write(token_files._bucket_uri(str(tmp_path), n), token_files.pack_bucket(h, slots))
+        f = slots["f"].astype(np.int64)
+        for whole in (True, False):
+            bucket = token_files.Bucket(str(tmp_path), n, whole)
+            there, found = bucket.find(h, f)
+            assert there.all() and found["position"].tolist() == list(range(n))
+            there, found = bucket.find(rng.integers(0, 1 << 63, 50).astype(np.uint64), np.full(50, 5))
+            assert not there.any() and not len(found)
+
+
+def test_one_key_is_read_by_offsets_without_spark(spark, monkeypatch):
+    texts = ["text 0", None, "", "é ñ, x. y", "twice", "twice and more"]
+    rows = [(i, f"document {i}, {'w ' * (i % 9)}") for i in range(3000)] + [(10_000 + i, t) for i, t in enumerate(texts)] + [(5, "copy"), (5, None), (None, "no key")]
+    root = f"{shared_dir(spark)}/keyed"
+    docs = spark.createDataFrame(rows, DOCS)
+    entries = token_files.write_shards(docs, queries.bpe_path(), root)
+    assert token_files.build_index(entries, root) == (root, 1)
+    expected = {}
+    for d, _, n, crc in reference_files(rows):
+        expected.setdefault(d, []).append((n, crc))
+    read, plain = [], token_files.Bucket._bytes
+    monkeypatch.setattr(token_files.Bucket, "_bytes", lambda self, start, size: (read.append(size), plain(self, start, size))[1])
+    files = token_files.TokenFiles(root)
+    for key in [None, 5, *range(0, 3000, 37), *range(10_000, 10_006)]:
+        read.clear()
+        got = [(len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for ids in files.read(key)]
+        assert got == expected[key]
+        assert sum(read) <= token_files.HEAD_BYTES + token_files.LEVELS * token_files.WORD.itemsize + token_files.SLOT.itemsize
+    assert files.read(777_777) == []
+    with pytest.raises(TypeError):
+        files.read(5.0)
+
+
+def test_keyed_reads_of_string_keys_and_an_empty_table(spark):
+    for rows in ([("a", "x y"), ("b", None), ("", "empty key"), ("null", "a word"), (None, "none")], []):
+        root = f"{shared_dir(spark)}/strings-{len(rows)}"
+        docs = spark.createDataFrame(rows, "doc_id string, text string")
+        token_files.build_index(token_files.write_shards(docs, queries.bpe_path(), root), root)
+        files = token_files.TokenFiles(root)
+        for key, text in rows:
+            (_, _, n, crc), = reference_files([(key, text)])
+            assert [(len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for ids in files.read(key)] == [(n, crc)]
+        assert len(files.read(None)) == (1 if rows else 0) and files.read("c") == []
+
+
+def test_other_tokenizers_get_whole_texts(spark, tmp_path):
+    from tokenizers import Tokenizer
+    with open(queries.bpe_path(), encoding="utf-8") as file:
+        plain = json.load(file)
+    space = {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}
+    one = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    token = [{"id": 50257, "content": "b, c", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}]
+    texts = [t for _, t in H.awkward_rows() if t] + ODD + ["a b, c d b, c.", "  The end. of  it"]
+    for i, change in enumerate([{}, {"pre_tokenizer": space}, {"pre_tokenizer": one}, {"normalizer": {"type": "Strip", "strip_left": True, "strip_right": True}},
+                                {"added_tokens": plain["added_tokens"] + token}]):
+        path = str(tmp_path / f"{i}.json")
+        with open(path, "w", encoding="utf-8") as file:
+            json.dump(plain | change, file)
+        tokenizer = Tokenizer.from_file(path)
+        assert token_files.Encoder(path).cuts == (not change)
+        docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+        assert {r.doc_id: r.n_tokens for r in token_files.count_tokens(docs, path).collect()} == {
+            j: len(tokenizer.encode(t, add_special_tokens=False).ids) for j, t in enumerate(texts)}
+
+
 def test_url_list_of_the_query_is_no_host_pattern(spark):
     sf = "/root/testdata/sf0.01"
     rows = queries.QUERIES["op5_blocked_bloom_urls"](spark, sf).collect()
