@@ -83,6 +83,75 @@ def test_toxicity_held_out_quality(spark):
     assert bad.count() == 0
 
 
+def plain_loss(model, docs, y, keep):
+    """Loss by the definition, one window and one filter at a time, in 64 bits."""
+    size, total = toxicity.FILTERS, 0.0
+    for doc, label, own in zip(docs, y, keep):
+        z = float(model.out_bias)
+        for f in range(len(model.bias)):
+            weight = model.filters[f // size][:, :, f % size].astype(np.float64)
+            vectors = [model.embed[a].astype(np.float64) + model.embed[b] for a, b in doc]
+            windows = [sum(float(v @ w) for v, w in zip(vectors[i:], weight)) for i in range(len(doc))]
+            z += max(0.0, max(windows, default=0.0) + float(model.bias[f])) * float(own[f]) * float(model.out[f])
+        total += math.log1p(math.exp(z)) - float(label) * z
+    squares = sum((w.astype(np.float64) ** 2).sum() for w in [*model.filters, model.out])
+    return total / len(docs) + toxicity.DECAY / 2 * squares
+
+
+def test_toxicity_logits_and_gradients_match_the_definition():
+    rng = np.random.default_rng(5)
+    dim, size = toxicity.DIM, toxicity.FILTERS
+    model = toxicity.Model(rng.normal(0, 1, (40, dim)), [rng.normal(0, 0.3, (w, dim, size)) for w in toxicity.WIDTHS],
+                           rng.normal(0, 0.3, len(toxicity.WIDTHS) * size), rng.normal(0, 0.3, len(toxicity.WIDTHS) * size), 0.1)
+    docs = [[(int(rng.integers(20)), 20 + int(rng.integers(20))) for _ in range(n)] for n in (6, 0, 1, 2, 9)]
+    ids = np.array([pair for doc in docs for pair in doc])
+    bounds = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    y, keep = np.array([1, 0, 0, 1, 1], np.float32), (rng.random((5, len(model.bias))) < 0.5) * 2.0
+    for doc, z in zip(docs, model.logits(ids, bounds)):
+        own = plain_loss(model, [doc], [0], np.ones((1, len(model.bias)))) - toxicity.DECAY / 2 * sum((w ** 2).sum() for w in [*model.filters, model.out])
+        assert z == pytest.approx(math.log(math.expm1(own)), abs=1e-4)
+    d_last, d_out, d_bias, d_filters, touched, moved = toxicity.gradients(model, ids, bounds, y, keep)
+    d_embed = np.zeros_like(model.embed)
+    np.add.at(d_embed, touched, moved)
+
+    def slope(array, at):
+        kept, values = array[at], []
+        for step in (1e-6, -1e-6):
+            array[at] = kept + step
+            values.append(plain_loss(model, docs, y, keep))
+        array[at] = kept
+        return (values[0] - values[1]) / 2e-6
+
+    for array, got in [(model.embed, d_embed), (model.bias, d_bias), (model.out, d_out), *zip(model.filters, d_filters)]:
+        for flat in rng.choice(array.size, 25, replace=array.size < 25):
+            at = np.unravel_index(flat, array.shape)
+            assert got[at] == pytest.approx(slope(array, at), abs=2e-5)
+    rest = [plain_loss(toxicity.Model(model.embed, model.filters, model.bias, model.out, 0.1 + s), docs, y, keep) for s in (1e-6, -1e-6)]
+    assert d_last == pytest.approx((rest[0] - rest[1]) / 2e-6, abs=2e-5)
+
+
+def test_toxicity_learns_from_bounded_text(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice(["idiot", "stupid"] if i % 2 else ["nice", "day"]) for _ in range(20)), i % 2) for i in range(120)]
+    rows += [(1000 + i, "idiot " * 200_000 if i % 2 else "day " * 200_000, i % 2) for i in range(4)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 100_000)
+    taken, kept = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda found, y: (taken.extend(map(len, found)), kept(found, y))[1])
+    fitted = toxicity.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+    assert taken and sum(taken) * 4 <= 2 * 100_000
+    scores = {r.doc_id: r[toxicity.SCORE] for r in toxicity.scored(table, fitted).collect()}
+    assert all((scores[i] >= toxicity.CUT) == (toxic == 1) for i, _, toxic in rows)
+
+
+def test_language_learns_from_long_and_repeated_rows_in_parts(spark):
+    rows = [(1, "the cat and the dog " * 100_000, "en"), (2, "der hund und die katze", "de"), (3, "la casa y el perro", "es"), (None, "the", "xx")]
+    labelled = spark.createDataFrame(rows + [(2, "der hund und die katze", "de")] * 300, "doc_id bigint, text string, lang string")
+    once, spread = language.fit(spark.createDataFrame(rows[:3], labelled.schema).coalesce(1)), language.fit(labelled.repartition(7))
+    assert once.languages == spread.languages == ["de", "en", "es"]
+    assert np.array_equal(once.table, spread.table) and np.array_equal(once.writes, spread.writes)
+
+
 def test_toxicity_of_awkward_rows(spark):
     rng = random.Random(4)
     rows = [(i, H.prose(rng, 40) + (f" nasty{i % 3} " if i % 4 == 0 else " ") + H.prose(rng, 40)) for i in range(2000)]

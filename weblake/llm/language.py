@@ -7,8 +7,9 @@ switch labels spans; the document's language is the one whose spans hold most le
 and the score is that share.
 
 The model is fitted from at most ``SAMPLE_DOCS`` labelled documents per language (those
-with the smallest hashes; a documented bound), everything else runs over all rows and
-whole texts. A null text, or one without a letter, is ``und`` with score 0, as is every
+with the smallest hashes; a documented bound) whose whole texts are counted where they lie,
+everything else runs over all rows and whole texts. An id that occurs repeatedly is learned from
+once (its smallest text), a row without id not at all. A null text, or one without a letter, is ``und`` with score 0, as is every
 text when nothing could be learned (no labelled rows). Ties go to the language that sorts
 first. Repeated rows are judged each for itself; empty tables work; extra columns are ignored.
 """
@@ -97,39 +98,57 @@ class Model:
 
 
 def training_rows(labelled: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataFrame:
-    """At most ``SAMPLE_DOCS`` rows of each language, by hash order (columns lang, text)."""
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    near = rows.join(F.broadcast(counts), "lang").where(
-        F.pmod("h", F.lit(1 << 20)) * F.col("n") <= F.lit(2 * SAMPLE_DOCS * (1 << 20)))  # spares the ranking most rows
-    ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 20)), "h")))
-    return ranked.where(F.col("r") <= SAMPLE_DOCS).select("lang", "text")
+    """One text of each of at most ``SAMPLE_DOCS`` ids of each language, by hash order (columns lang, text).
+    Ids are ranked, not texts."""
+    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()).select(
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("__id"))
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct("__id").alias("n"))
+    hashed = rows.select("lang", "__id", F.pmod(F.xxhash64("__id"), F.lit(1 << 20)).alias("h"))
+    near = hashed.join(F.broadcast(counts), "lang").where(F.col("h") * F.col("n") <= F.lit(2 * SAMPLE_DOCS * (1 << 20)))  # spares the ranking most rows
+    ranked = near.select("lang", "__id", "h").distinct().withColumn(
+        "r", F.row_number().over(Window.partitionBy("lang").orderBy("h", F.xxhash64("__id"), "__id")))
+    chosen = ranked.where(F.col("r") <= SAMPLE_DOCS).select("lang", "__id")   # at most SAMPLE_DOCS rows a language
+    return rows.join(F.broadcast(chosen), ["lang", "__id"]).groupBy("lang", "__id").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
-    """Learn from labelled rows: n-gram counts per language, one language a task."""
-    def count(data):
-        total, scripts = np.zeros(1 << BITS, dtype=np.int64), np.zeros(len(SCRIPT_NAMES), dtype=np.int64)
-        for block in blocks(data.column("text")):
-            words = split(block, PLAIN_WORD)
-            raw = block.data.tobytes()
-            texts = [raw[a:b].decode() for a, b in zip(words.starts.tolist(), words.ends.tolist())]
-            if texts:
-                by_script, buckets, _ = _features(texts)
-                total += np.bincount(buckets, minlength=1 << BITS)
-                scripts += by_script.sum(axis=0)
-        return pa.table({"lang": data.column("lang").slice(0, 1), "grams": [total.tobytes()], "scripts": [scripts.tobytes()]})
-
-    rows = (training_rows(labelled, text_col, lang_col, id_col).groupBy("lang")
-            .applyInArrow(count, "lang string, grams binary, scripts binary").collect())
-    rows = sorted(r for r in rows if any(r["scripts"]))
-    if not rows:
+    """Learn from labelled rows: n-gram counts of a language, counted by every task for its own rows and summed."""
+    def count(batches):
+        grams, scripts = {}, {}
+        for batch in batches:
+            langs = batch.column(0).to_pylist()
+            for block in blocks(batch.column(1)):
+                words = split(block, PLAIN_WORD)
+                raw = block.data.tobytes()
+                texts = [raw[a:b].decode() for a, b in zip(words.starts.tolist(), words.ends.tolist())]
+                if not texts:
+                    continue
+                own = langs[block.lo:block.lo + block.n]
+                known = sorted(set(own))
+                owner = np.array([known.index(c) for c in own])[words.rows]   # language of each word
+                by_script, buckets, words_of = _features(texts)
+                for i, lang in enumerate(known):
+                    grams[lang] = grams.get(lang, 0) + np.bincount(buckets[owner[words_of] == i], minlength=1 << BITS)
+                    scripts[lang] = scripts.get(lang, 0) + by_script[owner == i].sum(axis=0)
+        for lang in grams:
+            for kind, counts in (("gram", grams[lang]), ("script", scripts[lang])):
+                at = np.flatnonzero(counts)
+                yield pa.record_batch([pa.array([lang] * len(at), pa.string()), pa.array([kind] * len(at), pa.string()),
+                                       pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["lang", "kind", "at", "n"])
+
+    counted = (training_rows(labelled, text_col, lang_col, id_col).mapInArrow(count, "lang string, kind string, at bigint, n bigint")
+               .groupBy("lang", "kind", "at").agg(F.sum("n").alias("n")).toArrow())   # at most a row a language and bucket or script
+    lang, kind = np.array(counted.column("lang").to_pylist(), dtype=object), np.array(counted.column("kind").to_pylist(), dtype=object)
+    at, n = counted.column("at").to_numpy(), counted.column("n").to_numpy()
+    languages = sorted(set(lang[kind == "script"].tolist()))   # those with a letter
+    if not languages:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool))
-    grams = np.stack([np.frombuffer(r["grams"], dtype=np.int64) for r in rows], axis=1).astype(np.float64)
-    scripts = np.stack([np.frombuffer(r["scripts"], dtype=np.int64) for r in rows], axis=1)
+    grams, scripts = np.zeros((1 << BITS, len(languages))), np.zeros((len(SCRIPT_NAMES), len(languages)), dtype=np.int64)
+    for c, name in enumerate(languages):
+        grams[at[(lang == name) & (kind == "gram")], c] = n[(lang == name) & (kind == "gram")]
+        scripts[at[(lang == name) & (kind == "script")], c] = n[(lang == name) & (kind == "script")]
     logs = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * len(grams)))
-    return Model([r["lang"] for r in rows], (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32),
+    return Model(languages, (logs - logs.mean(axis=1, keepdims=True)).astype(np.float32),
                  scripts >= SCRIPT_SHARE * scripts.sum(axis=0))
 
 

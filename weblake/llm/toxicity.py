@@ -6,10 +6,11 @@ each filter's maximum over the whole document is kept (max pooling), and a logis
 gives the logit. Gradients flow to the maximal windows only, which makes training cheap.
 
 Training takes at most ``SAMPLE_DOCS`` labelled documents of each class (those with the
-smallest hashes: a documented bound) but every fifth of them; their word hashes, not their
-texts, reach the driver. All other labelled documents, however many, are scored on Spark and
-calibrate a threshold for each language from counts by language, label and logit bin, so that
-a calibrated score of ``CUT`` means "at the language's threshold". A language with fewer than
+smallest hashes: a documented bound) but every fifth of them, and of these in the same order only
+as many as have ``SAMPLE_BYTES`` of text together; their word hashes, not their texts, reach the
+driver. All other labelled documents, however many, are scored on Spark and
+calibrate a threshold for each language from counts by language, label and logit bin (the least
+share missed plus ``ALARM`` times the share of clean documents flagged), so that a calibrated score of ``CUT`` means "at the language's threshold". A language with fewer than
 ``LEAST`` such rows of a class is filled up to ``LEAST`` with the distribution of all
 languages; one without any has the threshold of all. The language of a text is read off its
 own function words; no column but the text enters a score.
@@ -34,13 +35,15 @@ from ..session import stage, staging
 from .words import ALNUM_WORD, LOWER, U64, Words, blocks, mix, span_hashes, split
 
 SAMPLE_DOCS = 4000
+SAMPLE_BYTES = 64 << 20   # text of a class's training documents together
 BITS, DIM, FILTERS, WIDTHS = 15, 12, 12, (1, 2, 3)
 STEM = 5               # bytes of a word that its second embedding hashes
+ALARM = 2              # what a share of clean documents flagged weighs against the same share of toxic ones missed
 CUT = 0.7              # calibrated scores from here on are toxic
 LEAST = 25             # rows of a class from which a language's threshold rests on its own rows alone
 LIMIT, STEPS = 30, 32  # logits are clipped to -LIMIT..LIMIT and counted in STEPS bins for each unit
 BLOCK = 1 << 20
-EPOCHS, LEAST_STEPS, BATCH, RATE = 4, 400, 32, 0.01
+EPOCHS, LEAST_STEPS, BATCH, RATE, DECAY = 4, 400, 32, 0.01, 1e-3
 
 # Frequent function words, by which a text's language is told for calibration.
 FUNCTION_WORDS = {
@@ -132,6 +135,40 @@ def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate([[0], np.cumsum([len(r) for r in rows])])
 
 
+def gradients(model: Model, ids: np.ndarray, bounds: np.ndarray, y: np.ndarray, keep: np.ndarray):
+    """Of the mean cross-entropy plus ``DECAY`` / 2 times the squared filters and output weights, hidden
+    units being multiplied by ``keep``: for the output's bias and weights, the hidden bias, the filters,
+    and the embedding rows touched with what moves each."""
+    pooled, spot = model.pool(ids, bounds, where=True)
+    hidden = pooled + model.bias
+    active = (hidden > 0) * keep
+    relu = hidden * active
+    p = 1 / (1 + np.exp(-np.clip(relu @ model.out + model.out_bias, -30, 30)))
+    d = ((p - y) / len(y)).astype(np.float32)
+    dh = d[:, None] * model.out * active
+    d_bias = dh.sum(axis=0)
+    dh[np.diff(bounds) == 0] = 0   # no word, no window
+    d_filters, touched, moved = [], [np.zeros(0, np.int64)], [np.zeros((0, DIM), np.float32)]
+    for k, weight in enumerate(model.filters):
+        cols = slice(k * FILTERS, (k + 1) * FILTERS)
+        g, at = dh[:, cols], spot[:, cols]
+        grad = DECAY * weight
+        for j in range(len(weight)):
+            to = at + j
+            inside = to < bounds[1:][:, None]
+            to = np.where(inside, to, 0)
+            vec = model.embed[ids[to, 0]] + model.embed[ids[to, 1]]           # [row, filter, DIM]
+            gi = g * inside
+            grad[j] += np.einsum("rf,rfd->df", gi, vec)
+            step = gi[:, :, None] * weight[j].T[None]
+            live = gi != 0
+            for col in (0, 1):
+                touched.append(ids[to[live], col])
+                moved.append(step[live])
+        d_filters.append(grad)
+    return np.float32(d.sum()), relu.T @ d + DECAY * model.out, d_bias, d_filters, np.concatenate(touched), np.concatenate(moved)
+
+
 def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
     """Fit by Adam on balanced mini-batches; embeddings update where the maximal windows are.
 
@@ -150,34 +187,10 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
             pick = np.concatenate([rng.choice(c, BATCH // 2) for c in classes])
             ids, bounds = _flat([rows[i] for i in pick])
             y = labels[pick].astype(np.float32)
-            pooled, spot = model.pool(ids, bounds, where=True)
-            hidden = pooled + model.bias
-            active = (hidden > 0) * (rng.random(hidden.shape) < 0.5).astype(np.float32) * 2   # dropout
-            relu = hidden * active
-            p = 1 / (1 + np.exp(-np.clip(relu @ model.out + model.out_bias, -30, 30)))
-            d = ((p - y) / BATCH).astype(np.float32)
-            dh = d[:, None] * model.out * active
-            dh[np.diff(bounds) == 0] = 0
-            d_out, d_bias = relu.T @ d + 1e-3 * model.out, dh.sum(axis=0)
-            touched, moved = [], []
-            for k, weight in enumerate(model.filters):
-                cols = slice(k * FILTERS, (k + 1) * FILTERS)
-                g, at = dh[:, cols], spot[:, cols]
-                grad = 1e-3 * weight
-                for j in range(len(weight)):
-                    to = at + j
-                    inside = to < bounds[1:][:, None]
-                    to = np.where(inside, to, 0)
-                    vec = model.embed[ids[to, 0]] + model.embed[ids[to, 1]]           # [row, filter, DIM]
-                    gi = g * inside
-                    grad[j] += np.einsum("rf,rfd->df", gi, vec)
-                    step = gi[:, :, None] * weight[j].T[None]
-                    live = gi != 0
-                    for col in (0, 1):
-                        touched.append(ids[to[live], col])
-                        moved.append(step[live])
-                weight -= dense[k].step(grad, rate)
-            touched, moved = np.concatenate(touched), np.concatenate(moved)
+            keep = (rng.random((BATCH, len(model.bias))) < 0.5).astype(np.float32) * 2   # dropout
+            d_last, d_out, d_bias, d_filters, touched, moved = gradients(model, ids, bounds, y, keep)
+            for k, grad in enumerate(d_filters):
+                model.filters[k] -= dense[k].step(grad, rate)
             if len(touched):
                 spots, inverse = np.unique(touched, return_inverse=True)
                 total = np.stack([np.bincount(inverse, weights=moved[:, c], minlength=len(spots)) for c in range(DIM)], axis=1)
@@ -185,17 +198,18 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Model:
                 model.embed[spots] -= (5 * rate * total / np.sqrt(square[spots])[:, None]).astype(np.float32)
             model.bias -= bias_opt.step(d_bias, rate)
             model.out -= out_opt.step(d_out, rate)
-            model.out_bias -= float(last_opt.step(np.float32(d.sum()), rate))
+            model.out_bias -= float(last_opt.step(d_last, rate))
     return model
 
 
 def _threshold(clean: np.ndarray, toxic: np.ndarray) -> float:
-    """The cut with the least sum of both classes' error rates (the middle of the widest best range)."""
+    """The cut with the least share of toxic documents missed plus ``ALARM`` times the share of
+    clean documents flagged (the middle of the widest best range)."""
     filled = np.flatnonzero(clean + toxic)
     edges = np.arange(filled[0], filled[-1] + 2)
     miss = np.append(0, np.cumsum(toxic))[edges] / toxic.sum()
     alarm = 1 - np.append(0, np.cumsum(clean))[edges] / clean.sum()
-    best = edges[miss + 2 * alarm <= (miss + 2 * alarm).min() + 1e-9]
+    best = edges[miss + ALARM * alarm <= (miss + ALARM * alarm).min() + 1e-9]
     widest = max(np.split(best, np.flatnonzero(np.diff(best) > 1) + 1), key=len)
     return (widest[0] + widest[-1]) / 2 / STEPS - LIMIT
 
@@ -263,8 +277,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     with staging(docs.sparkSession):
         chosen = stage(training_ids(rows), "training_ids")
         texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text"))
-        sample = (texts.join(F.broadcast(chosen), "__id").groupBy("__id", "label", "r").agg(F.min("text").alias("text"))
-                  .select("r", "label", "text").mapInArrow(words, "r int, label int, ids binary").toArrow()
+        found = stage(texts.join(F.broadcast(chosen), "__id").groupBy("__id", "label", "r").agg(F.min("text").alias("text")), "training_texts")
+        so_far = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).over(Window.partitionBy("label").orderBy("r"))
+        chosen = stage(found.select("__id", "label", "r", so_far.alias("bytes")).where(F.col("bytes") <= SAMPLE_BYTES).drop("bytes"), "training_ids")
+        sample = (found.join(F.broadcast(chosen.select("__id")), "__id").select("r", "label", "text").mapInArrow(words, "r int, label int, ids binary").toArrow()
                   .sort_by([("r", "ascending"), ("label", "ascending")]))
         y, learn = sample.column("label").to_numpy(), sample.column("r").to_numpy() % 5 > 0
         if not len(y) or y.min() == y.max():
