@@ -147,3 +147,12 @@ def test_jaccard_of_long_texts_and_empty_tables(spark):
     assert rows_of(ngram_join.jaccard_components(docs)) == [(5, 249_996, 5), (6, 249_998, 5), (7, 1, 7)]
     assert ngram_join.jaccard_components(docs.limit(0)).count() == 0
     assert ngram_join.one_per_component(docs.limit(0)).count() == 0
+
+
+def test_different_sets_with_one_signature_are_told_apart(spark, monkeypatch):
+    rng = random.Random(11)
+    base = [H.prose(rng, 60, 10**6) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(base)] + [(50 + i, t) for i, t in enumerate(base[:5])] + [(90, base[3] + " x"), (91, ""), (92, None)]
+    whole = ngram_join.signatures
+    monkeypatch.setattr(ngram_join, "signatures", lambda hashes, bounds, second=False: whole(hashes, bounds, second) if second else whole(hashes, bounds) % 3)
+    assert rows_of(ngram_join.jaccard_components(spark.createDataFrame(rows, DOCS))) == H.jaccard_components(rows)
