@@ -97,6 +97,19 @@ def test_pivots_prune_and_ties_go_to_the_lower_index():
     assert evaluated < 0.25 * whole.size   # the rest was ruled out by the bounds
 
 
+@pytest.mark.parametrize("top, entries, rows", [(3, 200, 500), (900, 256, 3000), (50_000, 100, 700), (1 << 29, 90, 300), (900, 1, 5), (900, 3, 0)])
+def test_nearest_entries_equal_brute_force_at_every_width(top, entries, rows):
+    """Products in 32 and 64 bit floats and, beyond them, integers; many ties where components are small."""
+    rng = np.random.default_rng(top)
+    book, x = rng.integers(-top, top + 1, (entries, 8)), rng.integers(-top, top + 1, (rows, 8))
+    pivots = pivot_codes.choose_pivots(book)
+    index, best, _ = pivot_codes.nearest(x, pivot_codes.pivot_distances(x, pivots).astype(np.float32), book, pivot_codes.pivot_distances(book, pivots))
+    whole = pivot_codes.distances(x[:, None, :], book[None, :, :])
+    if rows:
+        assert (index == whole.argmin(axis=1)).all() and (best == whole.min(axis=1)).all()
+    assert len(index) == rows
+
+
 # ---------------------------------------------------------------- operator 11
 
 

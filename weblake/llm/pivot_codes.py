@@ -27,6 +27,7 @@ leave 64 bits. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,8 +39,10 @@ from pyspark.sql import types as T
 from ..session import stage
 
 PIVOTS = 8
-BLOCK_ROWS = 2048                 # parts searched at once
-WAVES = (0, 2, 8, 24, 64)         # entries are visited in waves of growing length, in the order of their bounds
+BLOCK_ROWS = 2048                 # parts whose bounds are held at once
+TILE_ROWS = 128                   # parts that go on together
+SPARSE = 8                        # pair by pair where less than this part of a step is left
+STEP = 128                        # entries that a tile meets before bounds are compared again
 COMPONENT_LIMIT = 1 << 30
 
 
@@ -83,45 +86,76 @@ def pivot_distances(rows: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.stack([np.sqrt(distances(rows, p).astype(np.float64)) for p in pivots], axis=1) if len(pivots) else np.zeros((len(rows), 0))
 
 
+def _float_type(rows_norm: int, book_norm: int):
+    """The narrowest float in which ``|e|^2 - 2xe`` is exact (all its partial sums are integers below
+    the mantissa's limit, by Cauchy-Schwarz), or None."""
+    top = book_norm + 2 * (math.isqrt(rows_norm * book_norm) + 1)
+    return np.float32 if top < 1 << 24 else np.float64 if top < 1 << 53 else None
+
+
 def nearest(rows: np.ndarray, to_pivots: np.ndarray, book: np.ndarray, book_to_pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """Index and squared distance of every row's nearest entry (ties: the lower index), and how
-    many exact distances it took."""
+    many exact distances it took.
+
+    A row first meets the entry of its lowest bound. Rows that met the same one then go on together
+    in tiles: entries in the order of the tile's lowest bounds, ``STEP`` at a time, and before each
+    step those that no row's bound allows any more are dropped. Where bounds rule out most of a
+    step its distances are computed pair by pair, else as a matrix product in floats, in which these
+    integers are exact; neither changes a result."""
     index, best, evaluated = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64), 0
     entries = len(book)
     rows, book = narrow(rows, book)
-    book_to_pivots = book_to_pivots.astype(np.float32)
+    rows_norm, book_norm = (np.einsum("ij,ij->i", x, x, dtype=np.int64) for x in (rows, book))
+    kind = _float_type(int(rows_norm.max(initial=0)), int(book_norm.max(initial=0)))
+    if kind:
+        rows_float, book_float, norm_float = rows.astype(kind), -2 * book.astype(kind).T, book_norm.astype(kind)
+    to_book = np.ascontiguousarray(book_to_pivots.T.astype(np.float32))
+
+    def lowest(at: np.ndarray, cols: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Least squared distance of each of the rows to the allowed of the entries, its entry (the
+        first among equals), and the number of distances computed."""
+        row, col = np.nonzero(allowed) if not kind or np.count_nonzero(allowed) < allowed.size // SPARSE else (None, None)
+        if row is None:
+            found = rows_float[at] @ book_float[:, cols] + norm_float[cols]
+            least = found.argmin(axis=1)
+            return found[np.arange(len(at)), least].astype(np.int64) + rows_norm[at], cols[least], found.size
+        found = np.full(allowed.shape, np.iinfo(np.int64).max)
+        found[row, col] = distances(rows[at[row]], book[cols[col]])
+        least = found.argmin(axis=1)
+        return found[np.arange(len(at)), least], cols[least], len(row)
+
     for lo in range(0, len(rows), BLOCK_ROWS):
-        block, own = rows[lo:lo + BLOCK_ROWS], to_pivots[lo:lo + BLOCK_ROWS].astype(np.float32)
-        bound, gap = np.zeros((len(block), entries), np.float32), np.empty((len(block), entries), np.float32)
+        at_rows = np.arange(lo, min(lo + BLOCK_ROWS, len(rows)))
+        own = to_pivots[at_rows].astype(np.float32)
+        bound, gap = np.zeros((len(own), entries), np.float32), np.empty((len(own), entries), np.float32)
         for j in range(own.shape[1]):
-            np.subtract(own[:, j:j + 1], book_to_pivots[:, j], out=gap)
+            np.subtract(own[:, j:j + 1], to_book[j], out=gap)
             np.maximum(bound, np.abs(gap, out=gap), out=bound)
-        slack = 2e-6 * (own.max(initial=0.0) + book_to_pivots.max(initial=0.0)) + 1e-6   # distances and bounds are 32-bit floats
-        bound = np.square(np.maximum(bound - slack, 0.0), dtype=np.float64) * (1 - 1e-6)
-        order = np.argsort(bound, axis=1)
-        key = np.full(len(block), np.iinfo(np.int64).max)
-        index_block, active = np.zeros(len(block), np.int64), np.arange(len(block))
-        for at, to in zip(WAVES, (*WAVES[1:], entries)):
-            if at >= entries:
-                break
-            active = active[bound[active, order[active, at]] <= key[active]]
-            if not len(active):
-                break
-            here = order[active, at:to]
-            row, col = np.nonzero(np.take_along_axis(bound[active], here, axis=1) <= key[active, None])
-            if not len(row):
-                continue
-            entry = here[row, col]
-            exact = distances(block[active[row]], book[entry]).astype(np.int64)
-            evaluated += len(exact)
-            first = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-            least = np.minimum.reduceat(exact, first)
-            tied = np.where(exact == np.repeat(least, np.diff(np.append(first, len(row)))), entry, entries)
-            low = np.minimum.reduceat(tied, first)
-            owner = active[row[first]]
-            better = (least < key[owner]) | ((least == key[owner]) & (low < index_block[owner]))
-            key[owner[better]], index_block[owner[better]] = least[better], low[better]
-        index[lo:lo + len(block)], best[lo:lo + len(block)] = index_block, key
+        slack = 2e-6 * (own.max(initial=0.0) + to_book.max(initial=0.0)) + 1e-6   # distances and bounds are 32-bit floats
+        chosen = bound.argmin(axis=1)
+        key = distances(rows[at_rows], book[chosen]).astype(np.int64)
+        evaluated += len(key)
+        together = np.argsort(chosen, kind="stable")
+        for tile in np.split(together, range(TILE_ROWS, len(together), TILE_ROWS)):
+            near = bound[tile]
+            low = near.min(axis=0)
+            order = np.argsort(low)
+            for step in range(0, entries, STEP):
+                reach = np.sqrt(key[tile].astype(np.float64)) * (1 + 1e-6) + slack
+                cols = order[step:step + STEP]
+                if low[cols[0]] > reach.max():
+                    break
+                allowed = near[:, cols] <= reach[:, None].astype(np.float32)
+                some = allowed.any(axis=0)
+                if not some.any():
+                    continue
+                cols, allowed = cols[some], allowed[:, some]
+                by_index = np.argsort(cols)   # the lower index comes first among equals
+                value, entry, count = lowest(at_rows[tile], cols[by_index], allowed[:, by_index])
+                evaluated += count
+                better = (value < key[tile]) | ((value == key[tile]) & (entry < chosen[tile]))
+                key[tile[better]], chosen[tile[better]] = value[better], entry[better]
+        index[at_rows], best[at_rows] = chosen, key
     return index, best, evaluated
 
 
