@@ -6,7 +6,8 @@ letters, so suffixes match inside a document only. Prefix doubling sorts the suf
 longest-common-prefix (LCP) array, and the deepest LCP interval that holds a suffix gives
 the longest repeated substring that starts at that word. Spans that are not merely the
 tail of the span one word earlier are the maximal repeats; their union is the covered
-part of the document.
+part of the document. A repeat whose every occurrence lies at the start of a longer repeat
+("ab" in "abc abc abd abd") adds nothing to that union and is not listed by ``repeated_spans``.
 
 Rules: a document is dropped if it has fewer than ``min_doc_words`` words, if words in
 repeated 3-word windows exceed half of it (``base_failed``), if maximal repeats of at
