@@ -187,6 +187,28 @@ def test_no_link_of_planted_fingerprints_is_lost(spark, monkeypatch, radius, sli
         ball_hashing.links(spark.createDataFrame([(1,)], "print long"), 3)
 
 
+@pytest.mark.parametrize("slices", [8, 11])
+def test_a_dense_group_gives_few_pairs_and_none_twice(spark, monkeypatch, slices):
+    """All 277 fingerprints within two flips of 23 bits of a centre: 38,226 links, each sharing up to 2,000 variants."""
+    monkeypatch.setattr(ball_hashing, "SLICE_BITS", slices)
+    rng = random.Random(3)
+    centre, bits = rng.getrandbits(64), rng.sample(range(64), 23)
+    values = sorted({centre ^ (1 << i | 1 << j) for i in bits for j in bits if i != j} | {centre ^ 1 << i for i in bits} | {centre})
+    place = {v - (1 << 64) if v >> 63 else v: i for i, v in enumerate(values)}
+    pairs = [(r.a, r.b) for r in ball_hashing.links(spark.createDataFrame([(v,) for v in place], "print long").repartition(3)).collect()]
+    assert len(pairs) == len(set(pairs)) <= 40 * len(values)
+    seen, border = set(), [0]
+    near = collections.defaultdict(list)
+    for a, b in pairs:
+        near[place[a]].append(place[b])
+        near[place[b]].append(place[a])
+    while border:
+        seen.update(border)
+        border = [y for x in border for y in near[x] if y not in seen]
+        border = sorted(set(border))
+    assert len(seen) == len(values) == 277
+
+
 def H_partition(labels):
     groups = collections.defaultdict(set)
     for i, g in enumerate(labels):

@@ -14,9 +14,13 @@ distinct fingerprints, so that a slice never holds more than ``SLICE_PRINTS`` of
 slice, sub-slices by more bits of the same function bound the variants in memory.
 
 *Collisions.* All fingerprints of one variant lie within ``radius`` of each other. The smallest
-is linked with the others (a star, not all pairs), repeated pairs of a slice are removed, and
-every pair is verified by counting differing bits. No link between components is lost: whoever
-is linked shares a variant, and whoever shares a variant hangs on the same star.
+leads the others (a star, not all pairs), and a pair of leader and member is given out at one of the
+many variants that both share only, their *midpoint* (the smaller one with the lower half of the differing
+bits flipped): so no pair comes twice, from whatever slices, and a dense group gives a few pairs a
+member. No link between components is lost: if another one leads at the midpoint of a linked pair
+(x, y), x < y, then it is linked with x and y, and both these pairs come before (x, y) in the order
+by the larger member, then the smaller, so that they are connected by induction; if x leads there, the
+pair itself is given out.
 
 Equal fingerprints are one node, so copies never meet as pairs. A null or empty text or one
 without words has fingerprint zero and links like any other; fewer words than a shingle make
@@ -98,8 +102,20 @@ def slice_of(values: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
+def midpoint(low: np.ndarray, high: np.ndarray, radius: int) -> np.ndarray:
+    """``low`` with the lower half (rounded down) of the bits flipped that differ from ``high``: a variant of
+    both if they differ in ``radius`` bits at most."""
+    rest = low ^ high
+    flips, out = np.bitwise_count(rest) // 2, low.copy()
+    for i in range(radius // 2):
+        lowest = rest & (~rest + U64(1))
+        out ^= np.where(flips > i, lowest, U64(0))
+        rest = rest ^ lowest
+    return out
+
+
 def meet(prints: np.ndarray, sub: int, bits: int, masks: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct verified pairs (leader, member) among the variants that lie in slice ``sub``."""
+    """Pairs (leader, member) whose midpoint is among the variants that lie in slice ``sub``."""
     own = slice_of(prints, bits)
     order = np.argsort(own, kind="stable")
     prints, own = prints[order], own[order]
@@ -120,10 +136,8 @@ def meet(prints: np.ndarray, sub: int, bits: int, masks: np.ndarray, radius: int
         return source, source
     first = np.flatnonzero(np.append(True, variants[1:] != variants[:-1]))
     leader = np.repeat(np.minimum.reduceat(source, first), np.diff(np.append(first, len(variants))))
-    other = leader != source
-    pairs = np.unique(np.stack([leader[other], source[other]], axis=1), axis=0)
-    pairs = pairs[np.bitwise_count(pairs[:, 0] ^ pairs[:, 1]) <= radius]
-    return pairs[:, 0], pairs[:, 1]
+    given = (leader != source) & (variants == midpoint(leader, source, radius))
+    return leader[given], source[given]
 
 
 def links(prints: DataFrame, radius: int = 4) -> DataFrame:
