@@ -6,10 +6,13 @@ import statistics
 
 from pyspark.sql import functions as F
 
+from weblake import registry as R
 from weblake.operators.sampling import permuted, pick_one_per_key, rank_by_hash, sample_per_group, seeded_draw
 from weblake.operators.serial import serial_keys
 from weblake.plans import catalog as C
 
+from .conftest import SF_SMALL
+
 
 def test_serial_keys_dense_and_ordered(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).alias("v")).repartition(7)
@@ -57,6 +60,30 @@ def test_pick_one_per_key_brute_force(spark):
     assert got == expect
 
 
+def test_positions_and_picks_are_hashed_once(spark):
+    """No filter on a join's position repeats the hashes it is made of, and values equal the permutation's."""
+    items = spark.range(90).withColumnRenamed("id", "item")
+    groups = spark.createDataFrame([(g, 40) for g in range(6)], "g bigint, k bigint")
+    sampled = sample_per_group(groups, "g", "k", items, "item", 9, "t")
+    opts = spark.createDataFrame([(p, s) for p in range(90) for s in range(p % 4)], "p bigint, s bigint")
+    picked = pick_one_per_key(sampled.withColumnRenamed("item", "p"), ["g", "p"], opts, "p", "s", 5, "o")
+    for df in (sampled, picked):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "md5(" in plan
+        assert not [line for line in plan.splitlines() if "Filter" in line and "md5(" in line]
+    ranked = {r.p: r.item for r in rank_by_hash(items, "item", 9, "t", name="p").collect()}
+    draws = groups.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(39)))).withColumn("n", F.lit(90))
+    want = {(r.g, ranked[r.p]) for r in permuted(draws, "i", "n", 9, F.lit("t-walk"), "g", name="p").collect()}
+    assert {(r.g, r.item) for r in sampled.collect()} == want and len(want) == 240
+    assert {(r.g, r.p) for r in picked.collect()} == {(g, p) for g, p in want if p % 4}
+
+
+def test_price_lists_read_line_items_once(spark):
+    products, suppliers, companies = R._catalog_inputs(R.Fixture(spark, SF_SMALL))
+    assert not [f for df in (suppliers, companies) for f in df.inputFiles() if "lineitem" in f]
+    assert 0 < suppliers.count() < companies.count() == companies.select("CompanyId").distinct().count()
+
+
 def test_catalog_build_properties(spark):
     products = spark.createDataFrame([(p, float(p)) for p in range(1, 41)], "ProductId bigint, DefaultPrice double")
     companies = spark.createDataFrame([(c, c <= 4, 7 * c, c) for c in range(1, 11)], "CompanyId bigint, IsSupplier boolean, k bigint, Increment bigint")

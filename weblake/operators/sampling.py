@@ -82,12 +82,14 @@ def permuted(df: DataFrame, i: str, n: str, seed, *key, name: str = "__pos") ->
     walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.col("__v"), lambda v, _: F.when(v < size, v).otherwise(once(v)))
     out = out.withColumn("__v", F.when(F.col("__v") < size, F.col("__v")).otherwise(walked))
     stuck = F.raise_error(F.lit("sample: a walk did not return")).cast("bigint")
-    return (out.withColumn(name, F.when(F.col("__v") < size, F.col("__v")).otherwise(stuck))
+    # Never null, and said to be: a join on a nullable position first filters it, and that filter is pushed
+    # below all rounds with their hashes written out inside each other.
+    return (out.withColumn(name, F.coalesce(F.when(F.col("__v") < size, F.col("__v")).otherwise(stuck), F.lit(-1).cast("bigint")))
             .drop("__size", "__a", "__b", "__l", "__r", "__v"))
 
 
 def _bucket(h: Column, digits: int = BUCKET_HEX) -> Column:
-    return F.conv(F.substring(h, 1, digits), 16, 10).cast("int")
+    return F.coalesce(F.conv(F.substring(h, 1, digits), 16, 10).cast("int"), F.lit(0))   # never null, see permuted
 
 
 def rank_by_hash(items: DataFrame, key: str, seed, salt: str, name: str = "__pos",
@@ -108,6 +110,7 @@ def rank_by_hash(items: DataFrame, key: str, seed, salt: str, name: str = "__pos
     grp = [within] if within else []
     digits = WITHIN_BUCKET_HEX if within else BUCKET_HEX
     tagged = items.withColumn("__h", h).withColumn("__b", _bucket(F.col("__h"), digits))
+    tagged = tagged.withColumn("__h", F.unhex("__h"))   # the same order in half the bytes to shuffle and sort
     counts = tagged.groupBy(*grp, "__b").agg(F.count(F.lit(1)).alias("__bn"))
     earlier = Window.partitionBy(*grp).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*grp, "__b", F.coalesce(F.sum("__bn").over(earlier), F.lit(0)).alias("__boff"))
@@ -165,5 +168,6 @@ def pick_one_per_key(choices: DataFrame, keys: list[str], options: DataFrame, op
                                 with_sizes=True)
     sizes = sizes.withColumnRenamed("__size", "__m")
     draw = F.pmod(seeded_draw(seed, F.lit(salt + "-pick"), *keys), F.col("__m"))
+    draw = F.coalesce(draw, F.lit(-1).cast("bigint"))   # never null, see permuted: or each draw is made again by a filter
     picks = choices.join(sizes, on=option_key, how="inner").withColumn("__opt", draw).drop("__m")
     return picks.join(local.hint("merge"), on=[option_key, "__opt"], how="inner").drop("__opt")

@@ -159,7 +159,7 @@ CATALOG_SEED = 42
 
 
 def _catalog_inputs(fx: Fixture):
-    companies = fx.price_list_companies(CATALOG_SEED)
+    companies = stage(fx.price_list_companies(CATALOG_SEED), "price-list-companies")   # a row a company, read for suppliers and for buyers
     return fx.product_prices(), companies.filter("IsSupplier"), companies
 
 
