@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -47,3 +48,34 @@ def test_slices_large_strings_and_empty_columns():
     assert [W.split(b, W.PLAIN_WORD).counts.tolist() for b in W.blocks(column)] == [[0, 1]]
     assert list(W.blocks(pa.array([], pa.string()))) == []
     assert [b.n for b in W.blocks(pa.nulls(2))] == [2]
+
+
+def test_hashing_a_large_block_holds_little_whatever_its_size():
+    rng = np.random.default_rng(5)
+    data = rng.integers(97, 105, 3 << 20).astype(np.uint8)
+    data[rng.choice(len(data), len(data) // 6, replace=False)] = 32
+    data[(1 << 20):(1 << 20) + (1 << 18) + 9] = 97       # one long word
+    block = W.Block(0, 1, data, np.array([0, len(data)]))
+    found = W.split(block, W.PLAIN_WORD)
+    kept = dict(W._powers)
+    W._powers.update(up=np.ones(1, W.U64), down=np.ones(1, W.U64))
+    tracemalloc.start()
+    try:
+        again = W.span_hashes(data, found.starts, found.ends)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        W._powers.update(kept)
+    assert peak < 40 << 20                                    # 100.7 MB when the whole block was summed at once
+    assert (again == found.hashes).all()
+    for i in rng.choice(len(again), 200, replace=False).tolist():
+        a, b = found.starts[i], found.ends[i]
+        assert W.span_hashes(data[a:b], np.array([0]), np.array([b - a]))[0] == again[i]
+
+
+def test_spans_out_of_order_or_inside_each_other_hash_like_single_ones():
+    data = np.random.default_rng(6).integers(0, 256, 3 << 18).astype(np.uint8)
+    for starts, ends in (([700_000, 5, 5], [700_009, 9, 700_000]), ([0, 1, 300_000], [600_000, 600_001, 600_002]), ([], [])):
+        starts, ends = np.array(starts, np.int64), np.array(ends, np.int64)
+        each = [W.span_hashes(data[a:b], np.array([0]), np.array([b - a]))[0] for a, b in zip(starts, ends)]
+        assert W.span_hashes(data, starts, ends).tolist() == each

@@ -207,8 +207,8 @@ def _shared(segments: DataFrame, fragments: int) -> DataFrame:
         if part >= fragments:
             df, bucket = np.full(len(sig), 0xFFFF, dtype=np.uint16), np.full(len(sig), part - fragments, dtype=np.int64)
         else:
-            quarter = (hashes >> U64(20)) & U64(3)   # a quarter of the n-grams at a time, to hold less
-            found = [_several(sig[q], n[q], hashes[q]) for q in (np.flatnonzero(quarter == i) for i in range(4))]
+            eighth = (hashes >> U64(20)).astype(np.uint8) & 7   # an eighth of the n-grams at a time, to hold less
+            found = [_several(sig[q], n[q], hashes[q]) for q in (np.flatnonzero(eighth == i) for i in range(8))]
             sig, n, hashes, df = (np.concatenate(x) for x in zip(*found))
             bucket = _bucket(sig, fragments)
         order = np.lexsort((hashes, sig, bucket))

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 BLOCK_BYTES = 3 << 20
+CHUNK_BYTES = 1 << 18   # bytes whose prefix sums are held at once (a longer span is a chunk of its own)
 _ODD = 0x9E3779B97F4A7C15
 _INV = pow(_ODD, -1, 1 << 64)
 
@@ -35,7 +36,7 @@ _powers: dict[str, np.ndarray] = {"up": np.ones(1, U64), "down": np.ones(1, U64)
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers["up"]) < n:
-        size = max(n, BLOCK_BYTES + 1)
+        size = max(1 << (n - 1).bit_length(), CHUNK_BYTES + 1)
         for name, base in (("up", _ODD), ("down", _INV)):
             steps = np.full(size, base, dtype=U64)
             steps[0] = 1
@@ -44,7 +45,24 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of ``data[start:end]`` for many spans: one polynomial prefix sum."""
+    """64-bit hash of ``data[start:end]`` for many spans: polynomial prefix sums.
+
+    Hashes do not depend on where a span lies, so spans in order are hashed a chunk of bytes
+    at a time: the arrays of eight bytes a byte stay small, whatever the block's size."""
+    if len(data) > CHUNK_BYTES and (np.diff(starts) >= 0).all() and (np.diff(ends) >= 0).all():
+        out = np.empty(len(starts), dtype=U64)
+        lo = 0
+        while lo < len(starts):
+            at = int(starts[lo])
+            hi = max(int(np.searchsorted(ends, at + CHUNK_BYTES, side="right")), lo + 1)
+            to = int(ends[hi - 1])
+            out[lo:hi] = _span_hashes(data[at:to], starts[lo:hi] - at, ends[lo:hi] - at)
+            lo = hi
+        return out
+    return _span_hashes(data, starts, ends)
+
+
+def _span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     up, down = _power_tables(len(data) + 1)
     sums = np.zeros(len(data) + 1, dtype=U64)
     np.cumsum(_BYTE[data] * up[:len(data)], out=sums[1:])
@@ -83,7 +101,8 @@ class Words:
 
 
 def blocks(texts: pa.Array, limit: int = BLOCK_BYTES):
-    """Cut a string column into blocks of about ``limit`` bytes."""
+    """Cut a string column into blocks of about ``limit`` bytes. Workers live on from step to step:
+    what Arrow no longer needs goes back to the system after every column."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if pa.types.is_null(texts.type):
@@ -102,6 +121,7 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES):
         hi = min(max(hi, lo + 1), n)
         yield Block(lo, hi, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
         lo = hi
+    pa.default_memory_pool().release_unused()
 
 
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
